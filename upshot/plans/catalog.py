@@ -239,3 +239,7 @@ def q_qini(spark, sf):
 def q_auuc(spark, sf):
     curve = ranking.qini_curve(scored(spark, sf), n_points=1)
     return rnd(curve.select("n", "auuc"))
+
+
+# Registration side effects: the remaining query families.
+from upshot.plans import q_segments  # noqa: E402,F401
