@@ -6,12 +6,13 @@ instead:
 
 1. brackets every wanted probability p with approximate edges at p +/- delta
    (``percentile_approx``, bounded memory, partial aggregation);
-2. counts, per edge, how many values fall strictly below it (one pass of
-   conditional sums); the rank of each wanted order statistic then names the
-   bucket between two adjacent edges that holds it - always correctly, the
-   approximation only decides how narrow the bucket is;
-3. keeps only rows inside those buckets, aggregates them by distinct value and
-   walks a running count inside each (group, quantile) bucket.
+2. gives every row the index of the bucket between adjacent edges that holds
+   it and counts rows per bucket (partial aggregation, tiny output); the rank
+   of each wanted order statistic then names its bucket - always correctly,
+   the approximation only decides how narrow the bucket is;
+3. keeps only rows of those buckets (equi-join on the bucket index against a
+   small target table), aggregates them by distinct value and walks a
+   running count inside each (group, quantile) bucket.
 
 The result equals NumPy/DuckDB ``linear`` quantiles: h = (n-1) p,
 q = x[floor h] + (h - floor h) (x[floor h + 1] - x[floor h]).
@@ -47,14 +48,19 @@ def quantiles(df: DataFrame, value: str, probs, by=(), accuracy: int = 100000,
     stats = base.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"),
                                   F.percentile_approx("_v", edge_p, accuracy).alias("_e"))
 
+    # Pass 2: rows per bucket, bucket b = number of edges <= v (b-th bucket is [e_b, e_{b+1})).
     def attach(frame: DataFrame, small: DataFrame) -> DataFrame:
         return frame.join(small, by) if by else frame.crossJoin(small)
 
-    # Pass 2: values strictly below each edge.
-    below = attach(base, stats.select(*by, "_e")).groupBy(*by).agg(
-        F.array(*[F.sum(F.when(F.col("_v") < F.col("_e")[i], 1).otherwise(0)).cast("long")
-                  for i in range(n_edges)]).alias("_lt"))
-    grid = attach(stats, below) if by else stats.crossJoin(below)
+    bucketed = attach(base, stats.select(*by, "_e")).withColumn(
+        "_bk", F.size(F.filter("_e", lambda e: e <= F.col("_v"))))
+    per_bucket = bucketed.groupBy(*by, "_bk").agg(F.count(F.lit(1)).alias("_c"))
+    # values strictly below edge i (1-based) = rows in buckets < i
+    below = per_bucket.groupBy(*by).agg(F.collect_list(F.struct("_bk", "_c")).alias("_bc")).select(
+        *by, F.transform(F.sequence(F.lit(1), F.lit(n_edges)),
+                         lambda i: F.aggregate(F.filter("_bc", lambda x: x["_bk"] < i), F.lit(0).cast("long"),
+                                               lambda acc, x: acc + x["_c"])).alias("_lt"))
+    grid = attach(stats, below)
 
     # Per (group, quantile, lower/upper neighbour): the bucket holding that rank.
     h = (F.col("_n") - 1).cast("double") * F.col("prob")
@@ -63,23 +69,19 @@ def quantiles(df: DataFrame, value: str, probs, by=(), accuracy: int = 100000,
                        F.posexplode(prob_arr).alias("q_idx", "prob"))
                .withColumn("_k", F.floor(h).cast("long"))
                .withColumn("_frac", h - F.col("_k"))
-               .select(*by, "q_idx", "prob", "_n", "_frac", "_e", "_lt",
+               .select(*by, "q_idx", "prob", "_n", "_frac", "_lt",
                        F.explode(F.array(
                            F.struct(F.lit(0).alias("side"), F.col("_k").alias("rank")),
                            F.struct(F.lit(1).alias("side"),
                                     F.least(F.col("_k") + 1, F.col("_n") - 1).alias("rank")))).alias("_t"))
                .select("*", "_t.side", "_t.rank")
-               .withColumn("_b", F.size(F.filter("_lt", lambda x: x <= F.col("rank"))))
-               .select(*by, "q_idx", "prob", "_n", "_frac", "side", "rank",
-                       F.when(F.col("_b") > 0, F.element_at("_e", F.col("_b"))).alias("_lo"),
-                       F.when(F.col("_b") < n_edges, F.element_at("_e", F.col("_b") + 1)).alias("_hi"),
-                       F.when(F.col("_b") > 0, F.element_at("_lt", F.col("_b"))).otherwise(F.lit(0)).alias("_off")))
-
-    # Pass 3: rows inside the wanted buckets, counted by distinct value.
-    in_bucket = ((F.col("_lo").isNull() | (F.col("_v") >= F.col("_lo")))
-                 & (F.col("_hi").isNull() | (F.col("_v") < F.col("_hi"))))
+               .withColumn("_bk", F.size(F.filter("_lt", lambda x: x <= F.col("rank"))))
+               .select(*by, "q_idx", "prob", "_n", "_frac", "side", "rank", "_bk",
+                       F.when(F.col("_bk") > 0, F.element_at("_lt", F.col("_bk"))).otherwise(F.lit(0)).alias("_off")))
+
+    # Pass 3: rows of the wanted buckets (equi-join on the bucket), counted by distinct value.
     keys = [*by, "q_idx", "side"]
-    cand = (attach(base, targets).where(in_bucket)
+    cand = (bucketed.select(*by, "_bk", "_v").join(targets.select(*by, "_bk", "q_idx", "side"), [*by, "_bk"])
             .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")))
     w = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     picked = (cand.join(targets.select(*keys, "rank", "_off", "prob", "_frac", "_n"), keys)
