@@ -244,3 +244,4 @@ def q_auuc(spark, sf):
 # Registration side effects: the remaining query families.
 from upshot.plans import q_segments  # noqa: E402,F401
 from upshot.plans import q_policy  # noqa: E402,F401
+from upshot.plans import q_monitor  # noqa: E402,F401
