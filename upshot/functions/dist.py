@@ -29,20 +29,21 @@ def chi2_1dof_critical(alpha: float) -> float:
     return z_critical(alpha) ** 2
 
 
-_erfc = np.frompyfunc(math.erfc, 1, 1)
+def _erfc(x: np.ndarray) -> np.ndarray:
+    return np.array([math.erfc(v) for v in x], dtype="float64")
 
 
 @F.pandas_udf(DoubleType())
 def _two_sided_p(z: pd.Series) -> pd.Series:
     zz = z.astype("float64").abs() / math.sqrt(2.0)
-    out = pd.Series(_erfc(zz.fillna(0.0).to_numpy()).astype("float64"), index=z.index)
+    out = pd.Series(_erfc(zz.fillna(0.0).to_numpy()), index=z.index)
     return out.where(z.notna())
 
 
 @F.pandas_udf(DoubleType())
 def _chi2_1dof_p(chi2: pd.Series) -> pd.Series:
     x = np.sqrt(chi2.astype("float64").clip(lower=0.0).fillna(0.0).to_numpy() / 2.0)
-    out = pd.Series(_erfc(x).astype("float64"), index=chi2.index)
+    out = pd.Series(_erfc(x), index=chi2.index)
     return out.where(chi2.notna())
 
 
