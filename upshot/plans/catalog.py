@@ -246,3 +246,4 @@ from upshot.plans import q_segments  # noqa: E402,F401
 from upshot.plans import q_policy  # noqa: E402,F401
 from upshot.plans import q_monitor  # noqa: E402,F401
 from upshot.plans import q_models  # noqa: E402,F401
+from upshot.plans import q_stream  # noqa: E402,F401
