@@ -44,13 +44,13 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 SCORED_CTE = experiment_cte() + ", scored AS (SELECT *, f0 / 500000.0 - 0.3 AS score FROM experiment)\n"
 
 
-def rnd(df: DataFrame, digits: int = 9, keep=()) -> DataFrame:
+def rnd(df: DataFrame, digits: int = 6, keep=()) -> DataFrame:
     """Round every double column (report-layer rounding) except ``keep``."""
     return df.select(*[fixed(c, digits).alias(c) if t == "double" and c not in keep else F.col(c)
                        for c, t in df.dtypes])
 
 
-def R(expr: str, digits: int = 9) -> str:
+def R(expr: str, digits: int = 6) -> str:
     return fixed_sql(expr, digits)
 
 
@@ -124,7 +124,7 @@ _MOMENTS_SQL = """
 """
 
 
-def _effect_select(metric: str, variant: str, d: int = 9) -> str:
+def _effect_select(metric: str, variant: str, d: int = 6) -> str:
     z = repr(Z95)
     return f"""SELECT '{metric}' AS metric, '{variant}' AS variant, n_c, n_t,
   {R('mu_c', d)} AS control_mean, {R('mu_t', d)} AS treatment_mean, {R('eff', d)} AS absolute_effect,
@@ -170,7 +170,7 @@ SELECT treatment, n_obs, {R('CAST(conversions AS DOUBLE)')} AS conversions, {R('
 FROM a, l
 """)
 def q_baseline_ab(spark, sf):
-    return rnd(effects.baseline_ab(experiment(spark, sf)), 9)
+    return rnd(effects.baseline_ab(experiment(spark, sf)))
 
 
 @register("unit_economics", experiment_cte() + f"""
