@@ -20,7 +20,7 @@ q = x[floor h] + (h - floor h) (x[floor h + 1] - x[floor h]).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -53,7 +53,7 @@ def quantiles(df: DataFrame, value: str, probs, by=(), accuracy: int = 100000,
         return frame.join(small, by) if by else frame.crossJoin(small)
 
     bucketed = attach(base, stats.select(*by, "_e")).withColumn(
-        "_bk", F.size(F.filter("_e", lambda e: e <= F.col("_v"))))
+        "_bk", count_sorted("_e", "_v", n_edges, strict=False))
     per_bucket = bucketed.groupBy(*by, "_bk").agg(F.count(F.lit(1)).alias("_c"))
     # values strictly below edge i (1-based) = rows in buckets < i
     below = per_bucket.groupBy(*by).agg(F.collect_list(F.struct("_bk", "_c")).alias("_bc")).select(
@@ -104,8 +104,34 @@ def quantile_array(df: DataFrame, value: str, probs, by=(), **kw) -> DataFrame:
         .select(*by, F.transform("_s", lambda s: s["value"]).alias("edges"), "n"))
 
 
-def bin_of(value, edges) -> "F.Column":
+def count_sorted(edges, value, n: int, strict: bool) -> Column:
+    """Number of elements of a sorted array (static length ``n``) that are < (strict) or <= the value.
+
+    A binary search written as nested CASE over element positions: about
+    log2(n) comparisons per row, all inside whole-stage codegen (an
+    interpreted ``filter`` lambda would touch every element).
+    """
+    e = F.col(edges) if isinstance(edges, str) else edges
+    v = F.col(value) if isinstance(value, str) else value
+    if n > 512:  # keep generated code small for very long edge arrays
+        return F.size(F.filter(e, (lambda x: x < v) if strict else (lambda x: x <= v)))
+
+    def below(i: int) -> Column:
+        return e.getItem(i) < v if strict else e.getItem(i) <= v
+
+    def search(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(below(mid), search(mid + 1, hi)).otherwise(search(lo, mid))
+
+    return search(0, n)
+
+
+def bin_of(value, edges, n: int | None = None) -> Column:
     """Right-closed bin index: number of edges strictly below the value."""
     v = F.col(value) if isinstance(value, str) else value
     e = F.col(edges) if isinstance(edges, str) else edges
-    return F.size(F.filter(e, lambda x: x < v))
+    if n is None:
+        return F.size(F.filter(e, lambda x: x < v))
+    return count_sorted(e, v, n, strict=True)

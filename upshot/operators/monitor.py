@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from upshot.functions.columns import bid_decision, col_, psi_rag, unit_uniform
-from upshot.functions.quantiles import quantiles
+from upshot.functions.quantiles import count_sorted, quantiles
 from upshot.functions.sampling import smallest_by_hash
 
 PSI_EPS = 1e-7
@@ -56,7 +56,7 @@ def psi_edges(reference: DataFrame, features: list[str], n_bins: int = 10, metho
 def histogram_bin(value: Column, edges: Column, n_bins: int) -> Column:
     """``np.histogram`` bin: [e_i, e_{i+1}) with the last bin closed; null outside the edges."""
     first, last = F.element_at(edges, 1), F.element_at(edges, n_bins + 1)
-    idx = F.size(F.filter(edges, lambda e: e <= value)) - 1
+    idx = count_sorted(edges, value, n_bins + 1, strict=False) - 1
     return (F.when((value < first) | (value > last), F.lit(None).cast("int"))
             .when(value == last, F.lit(n_bins - 1)).otherwise(idx))
 

@@ -39,7 +39,7 @@ def decile_stats(scored: DataFrame, score: str = "score", treatment: str = "trea
     edges = quantile_array(scored, score, probs, method=method).select("edges")
     t, y = F.col(treatment), F.col(outcome).cast("double")
     binned = (scored.select(score, treatment, outcome).crossJoin(F.broadcast(edges))
-              .withColumn("decile", bin_of(score, "edges") + 1))
+              .withColumn("decile", bin_of(score, "edges", len(probs)) + 1))
     out = binned.groupBy("decile").agg(
         F.count(F.lit(1)).alias("n_obs"),
         F.count(F.when(t == 0, 1)).alias("n_control"),
@@ -206,7 +206,7 @@ def bootstrap_qini(scored: DataFrame, score: str = "score", treatment: str = "tr
     y = F.col(outcome).cast("double")
     base = (scored.select(unit, F.col(score).cast("double").alias("_s"), t.alias("_t"), y.alias("_y"))
             .crossJoin(F.broadcast(edges))
-            .withColumn("_bucket", F.lit(n_buckets) - bin_of("_s", "edges"))  # 1 = highest scores
+            .withColumn("_bucket", F.lit(n_buckets) - bin_of("_s", "edges", len(probs)))  # 1 = highest scores
             .select(unit, "_bucket", "_t", "_y",
                     F.explode(F.sequence(F.lit(0), F.lit(n_bootstraps - 1))).alias("b")))
     u = F.pmod(F.xxhash64(F.col(unit), F.col("b"), F.lit(seed)), F.lit(1 << 53)).cast("double") / float(1 << 53)

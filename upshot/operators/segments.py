@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,6 +10,7 @@ from upshot.functions.columns import (ARCHETYPES, archetype, archetype_order, sa
                                       unit_uniform)
 from upshot.functions.quantiles import quantiles
 from upshot.functions.sampling import smallest_by_hash
+from upshot.session import ensure_checkpoint_dir
 
 
 def top_threshold(scored: DataFrame, score: str = "score", top: float = 0.10, method: str = "exact") -> DataFrame:
@@ -99,21 +101,28 @@ def stratified_sample(df: DataFrame, label: str = "archetype_label", n: int = 50
     the quotas overshoot n the union is trimmed to n by a second hash.
     Rows are chosen by the smallest hash of the unit id within each stratum,
     so the sample is reproducible and retry-safe. Adds ``row_id`` 0..n-1.
+    Eager: the input is read once (persisted for the duration of the call);
+    the bounded result (n rows) is checkpointed to the shared checkpoint folder.
     """
-    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_size"))
-    total = sizes.agg(F.sum("_size").alias("_total"))
-    k = F.least(F.col("_total"), F.lit(n))
-    quotas = (sizes.crossJoin(total)
-              .withColumn("quota", F.least(F.col("_size"), F.greatest(
-                  F.lit(1).cast("long"), F.bround(k * F.col("_size") / F.col("_total")).cast("long"))))
-              .select(label, "quota"))
-    keyed = df.withColumn("_u", unit_uniform(unit, seed, hash_kind))
-    picked = smallest_by_hash(keyed, [label], quotas, "_u", unit)
-    trim_q = total.select(F.least(F.col("_total"), F.lit(n)).alias("quota"))
-    trimmed = smallest_by_hash(picked.withColumn("_u", unit_uniform(unit, seed + 1, hash_kind)), [], trim_q,
-                               "_u", unit)
-    order = Window.orderBy("_u", unit)  # at most n rows
-    return trimmed.withColumn("row_id", F.row_number().over(order) - 1).drop("_u")
+    ensure_checkpoint_dir(df.sparkSession)
+    keyed = df.withColumn("_u", unit_uniform(unit, seed, hash_kind)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        sizes = keyed.groupBy(label).agg(F.count(F.lit(1)).alias("_size")).checkpoint()  # one row per stratum
+        total = sizes.agg(F.sum("_size").alias("_total"))
+        k = F.least(F.col("_total"), F.lit(n))
+        quotas = (sizes.crossJoin(total)
+                  .withColumn("quota", F.least(F.col("_size"), F.greatest(
+                      F.lit(1).cast("long"), F.bround(k * F.col("_size") / F.col("_total")).cast("long"))))
+                  .select(label, "quota"))
+        # at most n + (number of strata) rows: cheap to materialise, cuts the lineage
+        picked = smallest_by_hash(keyed, [label], quotas, "_u", unit).checkpoint()
+        trim_q = total.select(F.least(F.col("_total"), F.lit(n)).alias("quota"))
+        trimmed = smallest_by_hash(picked.withColumn("_u", unit_uniform(unit, seed + 1, hash_kind)), [], trim_q,
+                                   "_u", unit, bins=256)
+        order = Window.orderBy("_u", unit)  # at most n rows
+        return trimmed.withColumn("row_id", F.row_number().over(order) - 1).drop("_u").checkpoint()
+    finally:
+        keyed.unpersist()
 
 
 def archetype_counts(df: DataFrame, label: str = "archetype_label") -> DataFrame:

@@ -11,49 +11,14 @@ The model-free score used where no learner is involved is
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from upshot.functions.columns import fixed, fixed_sql
-from upshot.functions.dist import chi2_1dof_critical, z_critical
+from upshot.functions.dist import chi2_1dof_critical
 from upshot.operators import effects, ranking, validation
+from upshot.plans.registry import (COST, ORACLE, QUERIES, R, SCORED_CTE, VALUE, Z95, register, rnd,  # noqa: F401
+                                   scored)
 from upshot.sources.experiment import EXPECTED_RATIO, FEATURES, experiment, experiment_cte
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
-
-VALUE, COST = 10.0, 0.10
-Z95 = z_critical(0.05)
-
-
-def register(name: str, oracle: str | None = None):
-    def deco(fn):
-        QUERIES[name] = fn
-        if oracle is not None:
-            ORACLE[name] = oracle
-        return fn
-    return deco
-
-
-def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return experiment(spark, sf_dir).withColumn("score", F.col("f0") / F.lit(500000.0) - F.lit(0.3))
-
-
-SCORED_CTE = experiment_cte() + ", scored AS (SELECT *, f0 / 500000.0 - 0.3 AS score FROM experiment)\n"
-
-
-def rnd(df: DataFrame, digits: int = 6, keep=()) -> DataFrame:
-    """Round every double column (report-layer rounding) except ``keep``."""
-    return df.select(*[fixed(c, digits).alias(c) if t == "double" and c not in keep else F.col(c)
-                       for c, t in df.dtypes])
-
-
-def R(expr: str, digits: int = 6) -> str:
-    return fixed_sql(expr, digits)
-
-
 # ----------------------------------------------------------------- validation
 
 @register("srm_check", experiment_cte() + f"""
@@ -240,10 +205,3 @@ def q_auuc(spark, sf):
     curve = ranking.qini_curve(scored(spark, sf), n_points=1)
     return rnd(curve.select("n", "auuc"))
 
-
-# Registration side effects: the remaining query families.
-from upshot.plans import q_segments  # noqa: E402,F401
-from upshot.plans import q_policy  # noqa: E402,F401
-from upshot.plans import q_monitor  # noqa: E402,F401
-from upshot.plans import q_models  # noqa: E402,F401
-from upshot.plans import q_stream  # noqa: E402,F401

@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from upshot.operators import bandit, effects, learners, ranking, segments, validation
-from upshot.plans.catalog import COST, R, VALUE, _MOMENTS_SQL, register, rnd, scored
+from upshot.plans.catalog import _MOMENTS_SQL
+from upshot.plans.registry import COST, R, VALUE, register, rnd, scored
 from upshot.plans.q_segments import split_flag
 from upshot.sources.experiment import EXPECTED_RATIO, FEATURES, experiment, experiment_cte
 

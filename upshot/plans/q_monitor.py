@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from upshot.functions.columns import unit_uniform_sql
 from upshot.operators import monitor
-from upshot.plans.catalog import COST, R, SCORED_CTE, VALUE, register, rnd, scored
+from upshot.plans.registry import COST, R, SCORED_CTE, VALUE, register, rnd, scored
 from upshot.plans.q_segments import SPLIT_SQL, split_flag
 from upshot.sources.experiment import FEATURES
 

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from upshot.functions.columns import bid_decision
 from upshot.operators import effects, policy, segments, validation
 from upshot.functions.dist import chi2_1dof_critical
-from upshot.plans.catalog import BALANCE_SQL, COST, R, SCORED_CTE, VALUE, register, rnd, scored
+from upshot.plans.catalog import BALANCE_SQL
+from upshot.plans.registry import COST, R, SCORED_CTE, VALUE, register, rnd, scored
 from upshot.plans.q_segments import CLASSIFIED_CTE, classified
 from upshot.sources.experiment import EXPECTED_RATIO, FEATURES, experiment
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from upshot.functions.columns import unit_uniform, unit_uniform_sql
 from upshot.operators import ranking, segments
-from upshot.plans.catalog import R, SCORED_CTE, register, rnd, scored
+from upshot.plans.registry import R, SCORED_CTE, register, rnd, scored
 from upshot.sources.experiment import FEATURES
 
 TOP_SHARE = 0.15

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from upshot.operators.learners import Distiller
-from upshot.plans.catalog import COST, R, VALUE, register, rnd
+from upshot.plans.registry import COST, R, VALUE, register, rnd
 from upshot.sources.tables import read_table
 from upshot.streaming import events as st
 
