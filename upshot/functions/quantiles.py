@@ -14,6 +14,10 @@ instead:
    small target table), aggregates them by distinct value and walks a
    running count inside each (group, quantile) bucket.
 
+The two small intermediate tables (edges per group; target buckets per group
+and probability) are checkpointed, so the base is scanned once per pass and
+not once per branch. The function is therefore eager for those two jobs.
+
 The result equals NumPy/DuckDB ``linear`` quantiles: h = (n-1) p,
 q = x[floor h] + (h - floor h) (x[floor h + 1] - x[floor h]).
 """
@@ -23,6 +27,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from upshot.session import ensure_checkpoint_dir
+
 
 def quantiles(df: DataFrame, value: str, probs, by=(), accuracy: int = 100000,
               method: str = "exact") -> DataFrame:
@@ -44,9 +50,11 @@ def quantiles(df: DataFrame, value: str, probs, by=(), accuracy: int = 100000,
     edge_p = sorted({min(1.0, max(0.0, p + s * delta)) for p in probs for s in (-1.0, 1.0)})
     n_edges = len(edge_p)
 
-    # Pass 1: approximate edges per group (bounded sketch per group).
+    ensure_checkpoint_dir(df.sparkSession)
+    # Pass 1: approximate edges per group (bounded sketch per group). The result
+    # has one row per group; checkpointing it keeps later passes from re-running it.
     stats = base.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"),
-                                  F.percentile_approx("_v", edge_p, accuracy).alias("_e"))
+                                  F.percentile_approx("_v", edge_p, accuracy).alias("_e")).checkpoint()
 
     # Pass 2: rows per bucket, bucket b = number of edges <= v (b-th bucket is [e_b, e_{b+1})).
     def attach(frame: DataFrame, small: DataFrame) -> DataFrame:
@@ -77,7 +85,8 @@ def quantiles(df: DataFrame, value: str, probs, by=(), accuracy: int = 100000,
                .select("*", "_t.side", "_t.rank")
                .withColumn("_bk", F.size(F.filter("_lt", lambda x: x <= F.col("rank"))))
                .select(*by, "q_idx", "prob", "_n", "_frac", "side", "rank", "_bk",
-                       F.when(F.col("_bk") > 0, F.element_at("_lt", F.col("_bk"))).otherwise(F.lit(0)).alias("_off")))
+                       F.when(F.col("_bk") > 0, F.element_at("_lt", F.col("_bk"))).otherwise(F.lit(0)).alias("_off"))
+               .checkpoint())  # groups x probabilities x 2 rows
 
     # Pass 3: rows of the wanted buckets (equi-join on the bucket), counted by distinct value.
     keys = [*by, "q_idx", "side"]
@@ -87,12 +96,11 @@ def quantiles(df: DataFrame, value: str, probs, by=(), accuracy: int = 100000,
     picked = (cand.join(targets.select(*keys, "rank", "_off", "prob", "_frac", "_n"), keys)
               .withColumn("_cum", F.sum("_c").over(w) + F.col("_off"))
               .where((F.col("_cum") - F.col("_c") <= F.col("rank")) & (F.col("rank") < F.col("_cum"))))
-    lo = picked.where(F.col("side") == 0).select(*by, "q_idx", "prob", "_frac", F.col("_n").alias("n"),
-                                                F.col("_v").alias("_x0"))
-    hi = picked.where(F.col("side") == 1).select(*by, "q_idx", F.col("_v").alias("_x1"))
-    return (lo.join(hi, [*by, "q_idx"])
-            .select(*by, "q_idx", "prob",
-                    (F.col("_x0") + F.col("_frac") * (F.col("_x1") - F.col("_x0"))).alias("value"), "n"))
+    pair = picked.groupBy(*by, "q_idx", "prob", "_frac", "_n").agg(
+        F.max(F.when(F.col("side") == 0, F.col("_v"))).alias("_x0"),
+        F.max(F.when(F.col("side") == 1, F.col("_v"))).alias("_x1"))
+    return pair.select(*by, "q_idx", "prob", (F.col("_x0") + F.col("_frac") * (F.col("_x1") - F.col("_x0"))).alias("value"),
+                       F.col("_n").alias("n"))
 
 
 def quantile_array(df: DataFrame, value: str, probs, by=(), **kw) -> DataFrame:

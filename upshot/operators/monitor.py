@@ -50,7 +50,7 @@ def psi_edges(reference: DataFrame, features: list[str], n_bins: int = 10, metho
     last = n_bins
     edges = F.transform("_s", lambda s, i: F.when(i == 0, s["value"] - PSI_EPS)
                         .when(i == last, s["value"] + PSI_EPS).otherwise(s["value"]))
-    return arr.select("feature", edges.alias("edges"), "n_ref")
+    return arr.select("feature", edges.alias("edges"), "n_ref").checkpoint()  # one row per feature
 
 
 def histogram_bin(value: Column, edges: Column, n_bins: int) -> Column:
