@@ -4,8 +4,9 @@ A window ``row_number() over (partition by stratum order by hash)`` would
 sort a whole stratum in one task (a stratum may hold a third of the rows).
 Because the hash is uniform, a fixed histogram of it is balanced whatever
 the skew: count rows per (stratum, hash bin), find the bin where each
-stratum's quota is reached, keep every row below it and rank only the rows
-of that one bin (about size / bins rows) to finish the quota exactly.
+stratum's quota is reached, keep the rows up to that bin and rank rows only
+inside their (stratum, bin) - each such group holds about size / bins rows,
+and only selected rows (about the quota) are shuffled.
 """
 
 from __future__ import annotations
@@ -13,34 +14,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from upshot.session import ensure_checkpoint_dir
+
 
 def smallest_by_hash(df: DataFrame, by: list[str], quotas: DataFrame, u: str, tie: str,
                      bins: int = 65536) -> DataFrame:
     """Rows of ``df`` whose rank by (u, tie) within their stratum is <= the stratum's ``quota``.
 
-    ``quotas`` has columns ``by... , quota`` (one row per stratum, small).
+    ``quotas`` has columns ``by..., quota`` (one row per stratum, small). Two
+    passes over ``df``: the histogram, then the selection.
     """
+    ensure_checkpoint_dir(df.sparkSession)
+    keys = list(by) or ["_all"]
     hb = F.least(F.floor(F.col(u) * bins), F.lit(bins - 1)).cast("int")
     keyed = df.withColumn("_hb", hb)
-    hist = keyed.groupBy(*by, "_hb").agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy(*by).orderBy("_hb").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cut = (hist.withColumn("_cum", F.sum("_c").over(w))
-           .join(quotas, by) if by else hist.withColumn("_cum", F.sum("_c").over(w)).crossJoin(quotas))
-    cut = (cut.where(F.col("_cum") >= F.col("quota"))
-           .groupBy(*by).agg(F.min_by(F.struct("_hb", (F.col("quota") - (F.col("_cum") - F.col("_c"))).alias("need")),
-                                      "_hb").alias("_k"))
-           .select(*by, F.col("_k._hb").alias("_cut"), F.col("_k.need").alias("_need")))
-    full = quotas.join(cut, by, "left_anti") if by else None  # strata whose quota covers every row
-    attach = (lambda a, b: a.join(b, by)) if by else (lambda a, b: a.crossJoin(b))
-    below = attach(keyed, cut).where(F.col("_hb") < F.col("_cut"))
-    edge = attach(keyed, cut).where(F.col("_hb") == F.col("_cut"))
-    rank = Window.partitionBy(*by, "_hb").orderBy(u, tie)
-    edge = edge.withColumn("_r", F.row_number().over(rank)).where(F.col("_r") <= F.col("_need"))
-    cols = df.columns
-    out = below.select(*cols).unionByName(edge.select(*cols))
-    if full is not None:
-        out = out.unionByName(keyed.join(full.select(*by), by).select(*cols))
-    else:
-        uncut = keyed.crossJoin(cut.select(F.count(F.lit(1)).alias("_m"))).where(F.col("_m") == 0)
-        out = out.unionByName(uncut.select(*cols))
-    return out
+    if not by:
+        keyed = keyed.withColumn("_all", F.lit(0))
+        quotas = quotas.withColumn("_all", F.lit(0))
+    hist = keyed.groupBy(*keys, "_hb").agg(F.count(F.lit(1)).alias("_c"))
+    w = Window.partitionBy(*keys).orderBy("_hb").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cut = (hist.withColumn("_cum", F.sum("_c").over(w)).join(quotas, keys)
+           .where(F.col("_cum") >= F.col("quota"))
+           .groupBy(*keys).agg(F.min_by(F.struct("_hb", (F.col("quota") - (F.col("_cum") - F.col("_c"))).alias("need")),
+                                        "_hb").alias("_k"))
+           .select(*keys, F.col("_k._hb").alias("_cut"), F.col("_k.need").alias("_need"))
+           .checkpoint())  # one row per stratum; strata without a row keep every row
+    sel = keyed.join(F.broadcast(cut), keys, "left").where(F.col("_cut").isNull() | (F.col("_hb") <= F.col("_cut")))
+    rank = Window.partitionBy(*keys, "_hb").orderBy(u, tie)
+    out = (sel.withColumn("_r", F.row_number().over(rank))
+           .where(F.col("_cut").isNull() | (F.col("_hb") < F.col("_cut")) | (F.col("_r") <= F.col("_need"))))
+    return out.select(*df.columns)

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from upshot.functions.columns import col_, safe_div
 from upshot.functions.quantiles import bin_of, quantile_array
+from upshot.session import ensure_checkpoint_dir
 
 
 # --------------------------------------------------------------------- deciles
@@ -77,9 +78,8 @@ def cate_histogram(scored: DataFrame, score: str = "score", bins: int = 50) -> D
 
 # ------------------------------------------------------------------ qini curve
 
-def _split_keys(keyed: DataFrame, score: str, unit: str, buckets: int, seed: int) -> list[tuple]:
+def _split_keys(keyed: DataFrame, score: str, unit: str, buckets: int, seed: int, n: int) -> list[tuple]:
     """Split keys of the order (score desc, unit asc) from a bounded sample."""
-    n = keyed.count()
     if n == 0 or buckets <= 1:
         return []
     frac = min(1.0, 64.0 * buckets / n)
@@ -119,11 +119,16 @@ def qini_rows(scored: DataFrame, score: str = "score", treatment: str = "treatme
 
     qini = (cum_y_t / max(cum_n_t,1) - cum_y_c / max(cum_n_c,1)) * (cum_n_t + cum_n_c)
     """
+    return _qini_rows(scored, score, treatment, outcome, unit, buckets, seed)[0]
+
+
+def _qini_rows(scored, score, treatment, outcome, unit, buckets, seed):
     t = F.col(treatment).cast("long")
     y = F.col(outcome).cast("double")
     keyed = scored.select(F.col(unit), F.col(score).cast("double").alias(score),
                           t.alias("_t"), y.alias("_y")).where(F.col(score).isNotNull())
-    splits = _split_keys(keyed, score, unit, buckets, seed)
+    n = keyed.count()
+    splits = _split_keys(keyed, score, unit, buckets, seed, n)
     keyed = keyed.withColumn("_bucket", order_bucket(splits, score, unit))
     parts = {"_yt": F.col("_y") * F.col("_t"), "_nt": F.col("_t"),
              "_yc": F.col("_y") * (1 - F.col("_t")), "_nc": 1 - F.col("_t")}
@@ -133,12 +138,12 @@ def qini_rows(scored: DataFrame, score: str = "score", treatment: str = "treatme
                                          for k in parts])
     run = (Window.partitionBy("_bucket").orderBy(F.desc(score), F.asc(unit))
            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    rows = keyed.join(F.broadcast(offsets), "_bucket")
-    for k, e in parts.items():
-        rows = rows.withColumn(k, F.sum(e).over(run) + F.col(f"{k}_off"))
+    joined = keyed.join(F.broadcast(offsets), "_bucket")
+    rows = joined.select(unit, score, *[(F.sum(e).over(run) + F.col(f"{k}_off")).alias(k)
+                                        for k, e in parts.items()])  # one Window operator
     n_t, n_c = F.col("_nt"), F.col("_nc")
     qini = (F.col("_yt") / F.greatest(n_t, F.lit(1)) - F.col("_yc") / F.greatest(n_c, F.lit(1))) * (n_t + n_c)
-    return rows.select(unit, score, (n_t + n_c - 1).alias("idx"), qini.alias("qini"))
+    return rows.select(unit, score, (n_t + n_c - 1).alias("idx"), qini.alias("qini")), n
 
 
 def downsample_grid(n_points: int, n_rows: Column) -> Column:
@@ -154,20 +159,28 @@ def qini_curve(scored: DataFrame, n_points: int = 1000, **kw) -> DataFrame:
 
     Columns: point, idx, population_pct (idx/(n-1)), qini, auuc, n.
     AUUC is the trapezoid area over all n rows on x = i/(n-1):
-    (sum(q) - (q_first + q_last)/2) / (n-1).
+    (sum(q) - (q_first + q_last)/2) / (n-1). One aggregation over the
+    windowed rows yields the sum, the end points and the (at most
+    ``n_points``) grid rows.
     """
-    rows = qini_rows(scored, **kw)
-    summary = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("qini").alias("_s"),
-                       F.min_by("qini", "idx").alias("_q0"), F.max_by("qini", "idx").alias("_q1"))
+    rows, n = _qini_rows(scored, kw.get("score", "score"), kw.get("treatment", "treatment"),
+                         kw.get("outcome", "conversion"), kw.get("unit", "unit_id"), kw.get("buckets", 16),
+                         kw.get("seed", 7))
+    grid_idx = sorted({(k * (n - 1)) // max(n_points - 1, 1) for k in range(n_points)}) if n else []
+    spark = scored.sparkSession
+    grid = spark.createDataFrame([(int(i),) for i in grid_idx], "idx long").withColumn("_g", F.lit(True))
+    marked = rows.join(F.broadcast(grid), "idx", "left")   # at most n_points grid rows
+    summary = marked.agg(
+        F.count(F.lit(1)).alias("n"), F.sum("qini").alias("_s"),
+        F.min_by("qini", "idx").alias("_q0"), F.max_by("qini", "idx").alias("_q1"),
+        F.collect_list(F.when(F.col("_g"), F.struct("idx", "qini"))).alias("_pts"))
     auuc = F.when(F.col("n") <= 1, F.lit(0.0)).otherwise(
         (F.col("_s") - (F.col("_q0") + F.col("_q1")) / 2.0) / (F.col("n") - 1))
-    summary = summary.select("n", auuc.alias("auuc"))
-    grid = summary.select("n", "auuc", F.posexplode(downsample_grid(n_points, F.col("n"))).alias("point", "idx"))
-    curve = rows.select("idx", "qini").join(F.broadcast(grid), "idx")
-    return curve.select("point", "idx",
-                        F.when(F.col("n") <= 1, F.lit(0.0)).otherwise(
-                            F.col("idx") / (F.col("n") - 1)).alias("population_pct"),
-                        "qini", "auuc", "n")
+    pts = summary.select("n", auuc.alias("auuc"), F.map_from_entries("_pts").alias("_m"),
+                         F.posexplode(downsample_grid(n_points, F.col("n"))).alias("point", "idx"))
+    return pts.select("point", "idx",
+                      F.when(F.col("n") <= 1, F.lit(0.0)).otherwise(F.col("idx") / (F.col("n") - 1)).alias("population_pct"),
+                      F.element_at("_m", F.col("idx")).alias("qini"), "auuc", "n")
 
 
 def random_line(curve: DataFrame) -> DataFrame:
@@ -200,6 +213,7 @@ def bootstrap_qini(scored: DataFrame, score: str = "score", treatment: str = "tr
     the grid. Output per grid point: population_pct, y_mean, y_lower_95ci,
     y_upper_95ci, auuc_mean, auuc_std (population std over replicates).
     """
+    ensure_checkpoint_dir(scored.sparkSession)
     probs = [i / n_buckets for i in range(1, n_buckets)]
     edges = quantile_array(scored, score, probs, method=method).select("edges")
     t = F.col(treatment).cast("long")
@@ -216,7 +230,8 @@ def bootstrap_qini(scored: DataFrame, score: str = "score", treatment: str = "tr
                F.sum(F.col("_w") * F.col("_y") * F.col("_t")).alias("yt"),
                F.sum(F.col("_w") * F.col("_t")).alias("nt"),
                F.sum(F.col("_w") * F.col("_y") * (1 - F.col("_t"))).alias("yc"),
-               F.sum(F.col("_w") * (1 - F.col("_t"))).alias("nc")))
+               F.sum(F.col("_w") * (1 - F.col("_t"))).alias("nc"))
+           .checkpoint())  # B x K rows; everything after this is small
     cum = Window.partitionBy("b").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     pts = agg.select("b", "_bucket", *[F.sum(c).over(cum).alias(c) for c in ["yt", "nt", "yc", "nc"]])
     tot = Window.partitionBy("b")

@@ -182,7 +182,7 @@ FROM p, (VALUES (1000000::BIGINT), (10000000::BIGINT), (100000000::BIGINT)) v(im
 def q_scale(spark, sf):
     pv = policy.score_policy_value(scored(spark, sf), value=VALUE, cost=COST)
     out = policy.scale_projection(pv)
-    return out.select("impressions", F.col("profit_per_user").cast("decimal(38,9)").cast("double").alias("profit_per_user"),
+    return out.select("impressions", F.col("profit_per_user").cast("decimal(38,6)").cast("double").alias("profit_per_user"),
                       F.col("projected_profit").cast("decimal(38,4)").cast("double").alias("projected_profit"))
 
 
