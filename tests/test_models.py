@@ -65,3 +65,36 @@ def test_profit_bandit_prefers_control(spark):
     tab = agent.round_table(spark).toPandas()
     assert tab.matched.sum() > 0
     assert tab.matched.sum() - tab.matched_treatment.sum() > tab.matched_treatment.sum()
+
+
+def test_save_load_roundtrip(spark, tmp_path):
+    rng = np.random.default_rng(46)
+    n = 600
+    pdf = pd.DataFrame({"f0": rng.random(n), "f1": rng.random(n), "treatment": rng.integers(0, 2, n),
+                        "conversion": rng.integers(0, 2, n)})
+    df = spark.createDataFrame(pdf)
+    t = learners.TLearner(["f0", "f1"], n_estimators=3, max_depth=2).fit(df)
+    t.save(str(tmp_path / "t"))
+    t2 = learners.TLearner.load(str(tmp_path / "t"))
+    a = t.predict(df).toPandas().uplift_score.to_numpy()
+    b = t2.predict(df).toPandas().uplift_score.to_numpy()
+    assert np.allclose(a, b)
+    pdf["teacher"] = pdf.f0 - pdf.f1
+    d = learners.Distiller(["f0", "f1"], "tree", max_depth=3).fit(spark.createDataFrame(pdf), "teacher")
+    d.save(str(tmp_path / "s"))
+    d2 = learners.Distiller.load(str(tmp_path / "s"), ["f0", "f1"])
+    assert np.allclose(d.predict(df).toPandas().student_score, d2.predict(df).toPandas().student_score)
+
+
+def test_tree_rules_table(spark):
+    rng = np.random.default_rng(47)
+    pdf = pd.DataFrame({"f0": rng.random(2000), "f1": rng.random(2000)})
+    pdf["score"] = np.where(pdf.f0 > 0.5, 0.1, -0.01)
+    tree = learners.surrogate_tree(spark.createDataFrame(pdf), ["f0", "f1"], score="score", max_depth=2)
+    rules = learners.tree_rules(tree, ["f0", "f1"]).toPandas()
+    root = rules[rules.node_id == 0].iloc[0]
+    assert root.node_type == "Split" and root.feature == "f0" and abs(float(root.threshold) - 0.5) < 0.05
+    assert rules[rules.node_type == "Leaf"].n_samples.sum() == 2000
+    assert set(rules.archetype_hint) <= {"Persuadable", "Sleeping Dog", "Low Uplift"}
+    imp = learners.feature_importance(tree, ["f0", "f1"]).toPandas().set_index("feature")
+    assert imp.loc["f0", "rank"] == 1 and imp.loc["f0", "threshold_direction"] == "<="

@@ -52,3 +52,15 @@ def test_archetypes(spark):
     c = segments.classify(spark.createDataFrame(pdf), control_rate=0.5).toPandas()
     assert list(c.archetype_label) == ["Sleeping Dog", "Persuadable", "Sure Thing", "Lost Cause"]
     assert list(c.persuadable_flag) == [0, 1, 0, 0]
+
+
+def test_sample_n_and_frac(spark):
+    n = 5000
+    df = spark.createDataFrame(pd.DataFrame({"unit_id": np.arange(n), "x": np.arange(n) % 7}))
+    s = segments.sample_n(df, 300).toPandas()
+    assert len(s) == 300 and s.unit_id.is_unique
+    assert len(segments.sample_n(df, 10 ** 6).toPandas()) == n
+    f = segments.sample_frac(df, 0.1).count()
+    assert 350 < f < 650
+    from upshot.functions.sampling import cuped_sample_size
+    assert cuped_sample_size(2_000_000) == 200_000 and cuped_sample_size(50_000) == 50_000

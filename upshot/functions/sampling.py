@@ -44,3 +44,14 @@ def smallest_by_hash(df: DataFrame, by: list[str], quotas: DataFrame, u: str, ti
     out = (sel.withColumn("_r", F.row_number().over(rank))
            .where(F.col("_cut").isNull() | (F.col("_hb") < F.col("_cut")) | (F.col("_r") <= F.col("_need"))))
     return out.select(*df.columns)
+
+
+def sample_n(df: DataFrame, n: int, u: str, tie: str) -> DataFrame:
+    """Exactly min(n, rows) rows: those with the smallest (u, tie) - a seeded sample without replacement."""
+    spark = df.sparkSession
+    return smallest_by_hash(df, [], spark.createDataFrame([(int(n),)], "quota long"), u, tie)
+
+
+def cuped_sample_size(n_rows: int, floor_n: int = 100000, share: float = 0.10) -> int:
+    """max(floor_n, share * N), capped at N (the reference raises instead of capping)."""
+    return min(n_rows, max(floor_n, int(share * n_rows)))

@@ -224,3 +224,26 @@ def incremental_value(cum_reward: Column, baseline: Column, matched: Column) ->
     inc = cum_reward - baseline * matched
     return [inc.alias("incremental_value"),
             safe_div(safe_div(cum_reward, matched) - baseline, F.abs(baseline)).alias("relative_gain")]
+
+
+def roi_from_top_share(scored: DataFrame, score: str = "score", treatment: str = "treatment",
+                       outcome: str = "conversion", share: float = 0.20, value: float = 10.0, cost: float = 0.10,
+                       method: str = "exact") -> DataFrame:
+    """ROI calculator (K23): target the top ``share`` by score; the conversion rate is the treated rate there."""
+    thr = quantiles(scored, score, [1.0 - share], method=method).select(F.col("value").alias("_thr"))
+    top = F.col(score) >= F.col("_thr")
+    a = scored.crossJoin(F.broadcast(thr)).agg(
+        F.count(F.lit(1)).alias("total_users"),
+        F.avg(F.when(top & (F.col(treatment) == 1), F.col(outcome).cast("double"))).alias("conversion_rate"))
+    aud = F.col("total_users") * F.lit(share)
+    return a.select(F.lit(float(share)).alias("share"), aud.alias("audience_size"), "conversion_rate",
+                    *roi_calculator(aud, F.col("conversion_rate"), value, cost))
+
+
+def sample_size_status(df: DataFrame, treatment: str = "treatment", min_n: int = 1000) -> DataFrame:
+    """GREEN when both arms hold at least ``min_n`` units, else RED (K28, our rule)."""
+    t = F.col(treatment)
+    a = df.agg(F.count(F.when(t == 0, 1)).alias("n_control"), F.count(F.when(t == 1, 1)).alias("n_treatment"))
+    ok = (F.col("n_control") >= min_n) & (F.col("n_treatment") >= min_n)
+    return a.select("n_control", "n_treatment", F.lit(min_n).alias("min_n"),
+                    F.when(ok, "GREEN").otherwise("RED").alias("sample_size_status"))

@@ -131,3 +131,21 @@ def archetype_counts(df: DataFrame, label: str = "archetype_label") -> DataFrame
 
 __all__ = ["ARCHETYPES", "top_threshold", "flag_top", "segment_profile", "stratum_baseline", "classify",
            "archetype_summary", "stratified_sample", "archetype_counts"]
+
+
+def sample_n(df: DataFrame, n: int, unit: str = "unit_id", seed: int = 42, hash_kind: str = "lcg") -> DataFrame:
+    """Exact-size sample without replacement keyed on the unit hash (reproducible, retry-safe)."""
+    from upshot.functions.sampling import sample_n as _sample_n
+    keyed = df.withColumn("_u", unit_uniform(unit, seed, hash_kind))
+    return _sample_n(keyed, n, "_u", unit).drop("_u")
+
+
+def sample_frac(df: DataFrame, fraction: float, unit: str = "unit_id", seed: int = 42,
+                hash_kind: str = "lcg") -> DataFrame:
+    """Bernoulli sample of about ``fraction`` of the units: hash(unit) < fraction (no shuffle)."""
+    return df.where(unit_uniform(unit, seed, hash_kind) < F.lit(float(fraction)))
+
+
+def segment_dim(profile: DataFrame, importance: DataFrame) -> DataFrame:
+    """Segment dimension: profile and surrogate importance joined on the feature (one row per feature)."""
+    return profile.join(importance.drop("feature_idx"), "feature", "left")

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from upshot.operators import bandit, effects, learners, ranking, segments, validation
+from upshot.operators import bandit, effects, learners, policy, ranking, segments, validation
 from upshot.plans.catalog import _MOMENTS_SQL
 from upshot.plans.registry import COST, R, VALUE, register, rnd, scored
 from upshot.plans.q_segments import split_flag
@@ -160,8 +160,12 @@ def _bandit(spark, sf):
 
 @register("linucb_replay")
 def q_linucb(spark, sf):
-    agent, _, _ = _bandit(spark, sf)
-    return rnd(agent.summary(spark), 6)
+    agent, _, test = _bandit(spark, sf)
+    base = effects.baseline_profit(test, value=VALUE, cost=COST).select(F.col("baseline_profit_per_user").alias("_b"))
+    s = agent.summary(spark).crossJoin(base)
+    s = s.select("*", *policy.incremental_value(F.col("cumulative_reward"), F.col("_b"),
+                                                F.col("aligned_events"))).withColumnRenamed("_b", "baseline_profit_per_user")
+    return rnd(s, 6)
 
 
 @register("bandit_trajectory")

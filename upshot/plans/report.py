@@ -159,6 +159,14 @@ class ExperimentReport:
     def drift_simulation(self) -> DataFrame:
         return monitor.drift_sample(self.periods, score="uplift_score").select("week", "uplift_score")
 
+    def segment_rules(self) -> DataFrame:
+        """The surrogate tree as indented rule text, one line per row (written as text)."""
+        text = learners.rules_text(self.surrogate, self.cfg.features)
+        return self.spark.createDataFrame([(line,) for line in text.splitlines()], "value string")
+
+    def segment_dim(self) -> DataFrame:
+        return segments.segment_dim(self.segment_profile(), self.feature_importance())
+
     def tables(self) -> dict:
         names = ["experiment_summary", "bandit_trajectory", "uplift_sample", "decile_stats", "covariate_balance",
                  "statistics_results", "qini_curve_data", "feature_importance", "segment_profile",
@@ -169,4 +177,6 @@ class ExperimentReport:
     def export(self, out_dir: str, fmt: str = "parquet") -> DataFrame:
         if self.scored is None:
             self.build()
+        sinks.write_report(self.segment_rules(), f"{out_dir}/segment_rules", "text")
+        sinks.write_report(self.segment_dim(), f"{out_dir}/segment_dim", fmt)
         return sinks.export_all(self.spark, self.tables(), out_dir, self.cfg.run_date, fmt)
