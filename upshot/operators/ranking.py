@@ -6,10 +6,11 @@ Scale notes
   global sort, no single-task percentile buffer); the edges are one broadcast row.
 * The Qini curve needs running sums in global score order. A global
   ``Window.orderBy`` would move every row into one task, so the order
-  ``(score desc, unit asc)`` is cut into balanced ranges by split keys taken
-  from a bounded sample (ties are split by the unit id, so one hot score
-  cannot make a hot range). Per-range totals (K rows) give exclusive prefix
-  offsets; running sums inside each range add the offset.
+  ``(score desc, unit asc)`` is range-partitioned into P ranges with P
+  growing with the row count (ties on a hot score are split by the unit
+  id). Per-range totals (P rows) give exclusive prefix offsets; running sums
+  run inside each range and add the offset. Both branches read one reused
+  range exchange, so they agree on the range ids.
 * The bootstrap never materialises B copies of the data: Poisson(1) weights
   are pure functions of (unit, replicate, seed), folded into a partial
   aggregate per (score bucket, replicate); curves are built from B x K rows.
@@ -78,67 +79,43 @@ def cate_histogram(scored: DataFrame, score: str = "score", bins: int = 50) -> D
 
 # ------------------------------------------------------------------ qini curve
 
-def _split_keys(keyed: DataFrame, score: str, unit: str, buckets: int, seed: int, n: int) -> list[tuple]:
-    """Split keys of the order (score desc, unit asc) from a bounded sample."""
-    if n == 0 or buckets <= 1:
-        return []
-    frac = min(1.0, 64.0 * buckets / n)
-    sample = keyed.select(score, unit).sample(False, frac, seed).collect()  # ~64 * buckets rows
-    keys = sorted(((-r[0], r[1]) for r in sample if r[0] is not None))
-    if not keys:
-        return []
-    picks = sorted({keys[(i * len(keys)) // buckets] for i in range(1, buckets)})
-    return [(-s, u) for s, u in picks]
-
-
-def order_bucket(splits: list[tuple], score: str, unit: str) -> Column:
-    """Index of the range of (score desc, unit asc) holding the row (binary search as nested CASE)."""
-    s, u = F.col(score), F.col(unit)
-
-    def at_or_before(i: int) -> Column:
-        ss, uu = splits[i]
-        return (F.lit(ss) > s) | ((F.lit(ss) == s) & (F.lit(uu) <= u))
-
-    def search(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(at_or_before(mid), search(mid + 1, hi)).otherwise(search(lo, mid))
-
-    return search(0, len(splits))
-
-
-def default_buckets(n_rows_hint: int | None = None) -> int:
-    return 16 if not n_rows_hint else max(16, min(1024, n_rows_hint // 1_000_000))
-
-
 def qini_rows(scored: DataFrame, score: str = "score", treatment: str = "treatment",
               outcome: str = "conversion", unit: str = "unit_id", buckets: int = 16,
-              seed: int = 7) -> DataFrame:
+              rows_per_bucket: int = 2_000_000) -> DataFrame:
     """Every row with its position ``idx`` (0-based, order score desc / unit asc) and Qini value.
 
     qini = (cum_y_t / max(cum_n_t,1) - cum_y_c / max(cum_n_c,1)) * (cum_n_t + cum_n_c)
     """
-    return _qini_rows(scored, score, treatment, outcome, unit, buckets, seed)[0]
+    return _qini_rows(scored, score, treatment, outcome, unit, buckets, rows_per_bucket)[0]
 
 
-def _qini_rows(scored, score, treatment, outcome, unit, buckets, seed):
+def _qini_rows(scored, score, treatment, outcome, unit, buckets, rows_per_bucket):
+    """Range-partition the order (score desc, unit asc) into P ranges, P growing with the row count.
+
+    Spark samples the composite key to pick the range bounds, so ties on a
+    hot score are split by the unit id and every range holds about
+    ``rows_per_bucket`` rows. Totals per range and the running sums inside
+    each range read the same (reused) range exchange within one plan, so the
+    range ids agree; exclusive prefix offsets over the P totals are broadcast
+    (P is bounded by n / rows_per_bucket).
+    """
     t = F.col(treatment).cast("long")
     y = F.col(outcome).cast("double")
     keyed = scored.select(F.col(unit), F.col(score).cast("double").alias(score),
                           t.alias("_t"), y.alias("_y")).where(F.col(score).isNotNull())
     n = keyed.count()
-    splits = _split_keys(keyed, score, unit, buckets, seed, n)
-    keyed = keyed.withColumn("_bucket", order_bucket(splits, score, unit))
+    n_ranges = max(1, int(buckets or 1), -(-n // max(rows_per_bucket, 1)))
+    ranged = (keyed.repartitionByRange(n_ranges, F.desc(score), F.asc(unit))
+              .withColumn("_bucket", F.spark_partition_id()))
     parts = {"_yt": F.col("_y") * F.col("_t"), "_nt": F.col("_t"),
              "_yc": F.col("_y") * (1 - F.col("_t")), "_nc": 1 - F.col("_t")}
-    totals = keyed.groupBy("_bucket").agg(*[F.sum(e).alias(k) for k, e in parts.items()])
-    prior = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    totals = ranged.groupBy("_bucket").agg(*[F.sum(e).alias(k) for k, e in parts.items()])
+    prior = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)   # P rows only
     offsets = totals.select("_bucket", *[F.coalesce(F.sum(k).over(prior), F.lit(0)).alias(f"{k}_off")
                                          for k in parts])
     run = (Window.partitionBy("_bucket").orderBy(F.desc(score), F.asc(unit))
            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    joined = keyed.join(F.broadcast(offsets), "_bucket")
+    joined = ranged.join(F.broadcast(offsets), "_bucket")
     rows = joined.select(unit, score, *[(F.sum(e).over(run) + F.col(f"{k}_off")).alias(k)
                                         for k, e in parts.items()])  # one Window operator
     n_t, n_c = F.col("_nt"), F.col("_nc")
@@ -165,7 +142,7 @@ def qini_curve(scored: DataFrame, n_points: int = 1000, **kw) -> DataFrame:
     """
     rows, n = _qini_rows(scored, kw.get("score", "score"), kw.get("treatment", "treatment"),
                          kw.get("outcome", "conversion"), kw.get("unit", "unit_id"), kw.get("buckets", 16),
-                         kw.get("seed", 7))
+                         kw.get("rows_per_bucket", 2_000_000))
     grid_idx = sorted({(k * (n - 1)) // max(n_points - 1, 1) for k in range(n_points)}) if n else []
     spark = scored.sparkSession
     grid = spark.createDataFrame([(int(i),) for i in grid_idx], "idx long").withColumn("_g", F.lit(True))
