@@ -25,3 +25,10 @@ def test_missing_columns_and_file(spark, tmp_path):
         loader.read_experiment(spark, path)
     with pytest.raises(FileNotFoundError):
         loader.read_experiment(spark, str(tmp_path / "nope.parquet"))
+
+
+def test_treatment_only_guard(spark, tmp_path):
+    path = str(tmp_path / "t.parquet")
+    pd.DataFrame({"treatment": [0, 1, 1], "x": [1.0, 2.0, 3.0]}).to_parquet(path)
+    df = loader.read_experiment(spark, path, required=["treatment"])
+    assert dict(df.dtypes)["treatment"] == "tinyint" and dict(df.dtypes)["x"] == "float"

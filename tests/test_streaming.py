@@ -17,3 +17,13 @@ def test_stream_monitor_equals_batch(spark):
 def test_stream_srm_counts(spark):
     out = st.stream_srm(spark, SF).toPandas()
     assert (out.n_control + out.n_treatment).sum() == read_table(spark, SF, "events").count()
+
+
+def test_stream_psi_reference_window_is_stable(spark):
+    from upshot.plans.q_stream import _event_reference
+    ref = _event_reference(spark, SF)
+    edges = st.with_ref_counts(ref, st.reference_edges(ref))
+    out = st.stream_psi(spark, SF, edges).toPandas()
+    first = out[out.window_start == out.window_start.min()]
+    assert len(first) == 2 and (first.psi.abs() < 1e-9).all()
+    assert set(out.rag_status) <= {"GREEN", "AMBER", "RED"}

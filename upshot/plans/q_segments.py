@@ -149,3 +149,34 @@ def q_decile_summary(spark, sf):
     d = ranking.decile_stats(scored(spark, sf))
     r = ranking.decile_lift_ratio(d)
     return rnd(r.select(F.col("mean_lift").alias("mean_decile_lift"), "top_lift", "decile_lift_ratio"))
+
+
+@register("uplift_sample_enriched", CLASSIFIED_CTE + f"""
+, sz AS (SELECT archetype_label, count(*) AS size FROM cl GROUP BY 1)
+, tot AS (SELECT sum(size) AS total FROM sz)
+, qt AS (SELECT archetype_label,
+           least(size, greatest(1, CAST(round_even(least(total, {SAMPLE_N}) * size / total, 0) AS BIGINT))) AS quota
+         FROM sz, tot)
+, rk AS (SELECT *, row_number() OVER (PARTITION BY archetype_label ORDER BY u1, unit_id) AS r
+         FROM (SELECT *, {unit_uniform_sql('unit_id', 42)} AS u1 FROM cl) x)
+, pk AS (SELECT rk.* FROM rk JOIN qt USING (archetype_label) WHERE r <= quota)
+, tk AS (SELECT *, row_number() OVER (ORDER BY u2, unit_id) AS r2
+         FROM (SELECT *, {unit_uniform_sql('unit_id', 43)} AS u2 FROM pk) y)
+, smp AS (SELECT tk.* FROM tk, tot WHERE r2 <= least(total, {SAMPLE_N}))
+, g AS (SELECT archetype_label, count(*) AS cnt, avg(score) AS u FROM cl GROUP BY 1)
+, s2 AS (SELECT archetype_label, cnt * 100.0 / sum(cnt) OVER () AS pct_of_total,
+           CASE WHEN archetype_label = 'Persuadable' THEN u * 10.0 - 0.1 ELSE 0.0 END AS expected_profit_per_user,
+           CASE WHEN archetype_label = 'Persuadable' THEN 'BID' ELSE 'NO BID' END AS bid_recommendation FROM g)
+SELECT CAST(r2 - 1 AS INTEGER) AS row_id, unit_id, smp.archetype_label, score AS uplift_score,
+  {R('pct_of_total')} AS pct_of_total, {R('expected_profit_per_user')} AS expected_profit_per_user, bid_recommendation
+FROM smp JOIN s2 USING (archetype_label)
+""")
+def q_sample_enriched(spark, sf):
+    c = classified(spark, sf)
+    smp = segments.stratified_sample(c, n=SAMPLE_N, seed=42)
+    summ = segments.archetype_summary(c).select("archetype_label", "pct_of_total", "expected_profit_per_user",
+                                                "bid_recommendation")
+    out = smp.join(F.broadcast(summ), "archetype_label")   # one row per archetype on the small side
+    return rnd(out.select(F.col("row_id").cast("int").alias("row_id"), "unit_id", "archetype_label",
+                          F.col("score").alias("uplift_score"), "pct_of_total", "expected_profit_per_user",
+                          "bid_recommendation"), keep=("uplift_score",))
