@@ -15,8 +15,9 @@ instead:
    running count inside each (group, quantile) bucket.
 
 The two small intermediate tables (edges per group; target buckets per group
-and probability) are checkpointed, so the base is scanned once per pass and
-not once per branch. The function is therefore eager for those two jobs.
+and probability) are materialised as local relations (their size is fixed by
+the groups and probabilities), so the base is scanned once per pass and not
+once per branch. The function is therefore eager for those two jobs.
 
 The result equals NumPy/DuckDB ``linear`` quantiles: h = (n-1) p,
 q = x[floor h] + (h - floor h) (x[floor h + 1] - x[floor h]).
@@ -27,6 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from upshot.functions.materialize import small
 from upshot.session import ensure_checkpoint_dir
 
 
@@ -53,8 +55,8 @@ def quantiles(df: DataFrame, value: str, probs, by=(), accuracy: int = 100000,
     ensure_checkpoint_dir(df.sparkSession)
     # Pass 1: approximate edges per group (bounded sketch per group). The result
     # has one row per group; checkpointing it keeps later passes from re-running it.
-    stats = base.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"),
-                                  F.percentile_approx("_v", edge_p, accuracy).alias("_e")).checkpoint()
+    stats = small(base.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"),
+                                  F.percentile_approx("_v", edge_p, accuracy).alias("_e")))
 
     # Pass 2: rows per bucket, bucket b = number of edges <= v (b-th bucket is [e_b, e_{b+1})).
     def attach(frame: DataFrame, small: DataFrame) -> DataFrame:
@@ -86,7 +88,8 @@ def quantiles(df: DataFrame, value: str, probs, by=(), accuracy: int = 100000,
                .withColumn("_bk", F.size(F.filter("_lt", lambda x: x <= F.col("rank"))))
                .select(*by, "q_idx", "prob", "_n", "_frac", "side", "rank", "_bk",
                        F.when(F.col("_bk") > 0, F.element_at("_lt", F.col("_bk"))).otherwise(F.lit(0)).alias("_off"))
-               .checkpoint())  # groups x probabilities x 2 rows
+               )
+    targets = small(targets, 2_000_000)  # groups x probabilities x 2 rows
 
     # Pass 3: rows of the wanted buckets (equi-join on the bucket), counted by distinct value.
     keys = [*by, "q_idx", "side"]

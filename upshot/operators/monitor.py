@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from upshot.functions.columns import bid_decision, col_, psi_rag, unit_uniform
+from upshot.functions.materialize import small
 from upshot.functions.quantiles import count_sorted, quantiles
 from upshot.functions.sampling import smallest_by_hash
 
@@ -50,7 +51,7 @@ def psi_edges(reference: DataFrame, features: list[str], n_bins: int = 10, metho
     last = n_bins
     edges = F.transform("_s", lambda s, i: F.when(i == 0, s["value"] - PSI_EPS)
                         .when(i == last, s["value"] + PSI_EPS).otherwise(s["value"]))
-    return arr.select("feature", edges.alias("edges"), "n_ref").checkpoint()  # one row per feature
+    return small(arr.select("feature", edges.alias("edges"), "n_ref"), 100_000)  # one row per feature
 
 
 def histogram_bin(value: Column, edges: Column, n_bins: int) -> Column:

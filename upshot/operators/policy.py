@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from upshot.functions.columns import bid_decision, col_, realised_profit, safe_div
-from upshot.functions.quantiles import quantiles
+from upshot.functions.quantiles import count_sorted, quantiles
 
 DEFAULT_COSTS = [0.05, 0.10, 0.15, 0.20, 0.25, 0.50]
 
@@ -99,21 +99,30 @@ def returns_curve(scored: DataFrame, score: str = "score", treatment: str = "tre
     """Targeting threshold 1%..100%: audience, CATE at the threshold percentile, mean CATE above it, P&L.
 
     revenue = audience * treatment_cr * (1 + cate_at) * value; net = revenue - audience * cost.
+    The mean score above each of the ``steps`` edges comes from one pass: each row gets the
+    number k of edges at or below its score (binary search), rows are summed per k (at most
+    steps + 1 groups), and suffix sums over k give every threshold's mean.
     """
     ts = [(j + 1) / steps for j in range(steps)]
     q = quantiles(scored, score, [1.0 - t for t in ts], method=method)
-    edges = q.groupBy().agg(F.array_sort(F.collect_list(F.struct("q_idx", "value"))).alias("_e"), F.first("n").alias("n"))
-    edges = edges.select(F.transform("_e", lambda s: s["value"]).alias("_e"), "n")
+    edges = (q.groupBy().agg(F.array_sort(F.collect_list(F.struct("q_idx", "value"))).alias("_e"),
+                             F.first("n").alias("n"))
+             .select(F.transform("_e", lambda s: s["value"]).alias("_e"), "n"))
     s = F.col(score).cast("double")
     y = F.col(outcome).cast("double")
-    base = scored.select(score, treatment, outcome).crossJoin(F.broadcast(edges))
-    aggs = [F.avg(F.when(F.col(treatment) == 1, y)).alias("_tcr"), F.first("n").alias("_n"),
-            F.first("_e").alias("_edges")]
-    aggs += [F.avg(F.when(s >= F.col("_e")[j], s)).alias(f"a{j}") for j in range(steps)]
-    wide = base.agg(*aggs)
-    rows = wide.select("_tcr", "_n", F.explode(F.array(*[
-        F.struct(F.lit(j).alias("j"), F.lit(ts[j]).alias("threshold"), F.col("_edges")[j].alias("cate_at"),
-                 F.col(f"a{j}").alias("cate_avg")) for j in range(steps)])).alias("r")).select("_tcr", "_n", "r.*")
+    k = count_sorted(F.reverse(F.col("_e")), s, steps, strict=False)   # edges ascending
+    per_k = (scored.select(score, treatment, outcome).crossJoin(F.broadcast(edges))
+             .groupBy(k.alias("k")).agg(F.sum(s).alias("_s"), F.count(F.lit(1)).alias("_c"),
+                                        F.sum(F.when(F.col(treatment) == 1, y)).alias("_ty"),
+                                        F.count(F.when(F.col(treatment) == 1, 1)).alias("_tn")))
+    tcr = per_k.agg((F.sum("_ty") / F.sum("_tn")).alias("_tcr"))
+    grid = scored.sparkSession.range(steps).select(F.col("id").cast("int").alias("j"))
+    above = (grid.crossJoin(per_k).where(F.col("k") >= F.lit(steps) - F.col("j"))   # <= steps x (steps+1) rows
+             .groupBy("j").agg((F.sum("_s") / F.sum("_c")).alias("cate_avg")))
+    ts_arr = F.array(*[F.lit(t) for t in ts])
+    rows = (grid.crossJoin(edges).crossJoin(tcr).join(above, "j", "left")
+            .select(F.element_at(ts_arr, F.col("j") + 1).alias("threshold"),
+                    F.element_at("_e", F.col("j") + 1).alias("cate_at"), "cate_avg", "_tcr", F.col("n").alias("_n")))
     audience = F.col("threshold") * F.col("_n")
     revenue = audience * F.col("_tcr") * (1 + F.col("cate_at")) * value
     return rows.select("threshold", audience.alias("audience_size"), "cate_at", "cate_avg",

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from upshot.functions.columns import col_, safe_div
 from upshot.functions.quantiles import bin_of, quantile_array
+from upshot.functions.materialize import checkpointed
 from upshot.session import ensure_checkpoint_dir
 
 
@@ -207,8 +208,8 @@ def bootstrap_qini(scored: DataFrame, score: str = "score", treatment: str = "tr
                F.sum(F.col("_w") * F.col("_y") * F.col("_t")).alias("yt"),
                F.sum(F.col("_w") * F.col("_t")).alias("nt"),
                F.sum(F.col("_w") * F.col("_y") * (1 - F.col("_t"))).alias("yc"),
-               F.sum(F.col("_w") * (1 - F.col("_t"))).alias("nc"))
-           .checkpoint())  # B x K rows; everything after this is small
+               F.sum(F.col("_w") * (1 - F.col("_t"))).alias("nc")))
+    agg = checkpointed(agg)  # B x K rows; everything after this is small
     cum = Window.partitionBy("b").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     pts = agg.select("b", "_bucket", *[F.sum(c).over(cum).alias(c) for c in ["yt", "nt", "yc", "nc"]])
     tot = Window.partitionBy("b")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from upshot.functions.columns import (ARCHETYPES, archetype, archetype_order, safe_div,
                                       unit_uniform)
 from upshot.functions.quantiles import quantiles
+from upshot.functions.materialize import checkpointed, small
 from upshot.functions.sampling import smallest_by_hash
 from upshot.session import ensure_checkpoint_dir
 
@@ -107,7 +108,7 @@ def stratified_sample(df: DataFrame, label: str = "archetype_label", n: int = 50
     ensure_checkpoint_dir(df.sparkSession)
     keyed = df.withColumn("_u", unit_uniform(unit, seed, hash_kind)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        sizes = keyed.groupBy(label).agg(F.count(F.lit(1)).alias("_size")).checkpoint()  # one row per stratum
+        sizes = small(keyed.groupBy(label).agg(F.count(F.lit(1)).alias("_size")), 1_000_000)  # one row per stratum
         total = sizes.agg(F.sum("_size").alias("_total"))
         k = F.least(F.col("_total"), F.lit(n))
         quotas = (sizes.crossJoin(total)
@@ -115,12 +116,12 @@ def stratified_sample(df: DataFrame, label: str = "archetype_label", n: int = 50
                       F.lit(1).cast("long"), F.bround(k * F.col("_size") / F.col("_total")).cast("long"))))
                   .select(label, "quota"))
         # at most n + (number of strata) rows: cheap to materialise, cuts the lineage
-        picked = smallest_by_hash(keyed, [label], quotas, "_u", unit).checkpoint()
+        picked = checkpointed(smallest_by_hash(keyed, [label], quotas, "_u", unit))
         trim_q = total.select(F.least(F.col("_total"), F.lit(n)).alias("quota"))
         trimmed = smallest_by_hash(picked.withColumn("_u", unit_uniform(unit, seed + 1, hash_kind)), [], trim_q,
                                    "_u", unit, bins=256)
         order = Window.orderBy("_u", unit)  # at most n rows
-        return trimmed.withColumn("row_id", F.row_number().over(order) - 1).drop("_u").checkpoint()
+        return checkpointed(trimmed.withColumn("row_id", F.row_number().over(order) - 1).drop("_u"))
     finally:
         keyed.unpersist()
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from upshot.functions.columns import bid_decision, unit_uniform
+from upshot.functions.materialize import checkpointed
 from upshot.operators import bandit, effects, learners, monitor, policy, ranking, segments, validation
 from upshot.session import ensure_checkpoint_dir
 from upshot.sources import sinks
@@ -56,7 +57,7 @@ class ExperimentReport:
         c = self.cfg
         self.learner = learners.XLearner(c.features, n_estimators=c.n_estimators, max_depth=c.max_depth).fit(self.train)
         scored = self.learner.predict(self.test, "uplift_score", keep_baseline=True)
-        self.scored = scored.checkpoint()          # reliable checkpoint: scoring happens once
+        self.scored = checkpointed(scored)         # reliable checkpoint: scoring happens once
         self.srm = validation.check_srm(self.exp, expected_ratio=c.expected_ratio, with_p=True)
         self.balance = validation.covariate_balance(self.exp, c.features)
         self.ate = effects.ate(self.exp, "conversion", with_p=True)
