@@ -32,3 +32,14 @@ def test_treatment_only_guard(spark, tmp_path):
     pd.DataFrame({"treatment": [0, 1, 1], "x": [1.0, 2.0, 3.0]}).to_parquet(path)
     df = loader.read_experiment(spark, path, required=["treatment"])
     assert dict(df.dtypes)["treatment"] == "tinyint" and dict(df.dtypes)["x"] == "float"
+
+
+def test_validation_cli(spark, tmp_path):
+    from upshot.plans import validate_cli
+    rng = np.random.default_rng(3)
+    t = np.array([1] * 850 + [0] * 150)
+    path = str(tmp_path / "v.parquet")
+    pd.DataFrame({"treatment": t, "f0": rng.normal(size=1000), "f1": t * 5.0 + rng.normal(size=1000)}).to_parquet(path)
+    srm, balance, worst = validate_cli.run(spark, path)
+    assert srm.first()["valid"]
+    assert [r["feature"] for r in worst.collect()] == ["f1"]
