@@ -27,3 +27,37 @@ def test_stream_psi_reference_window_is_stable(spark):
     first = out[out.window_start == out.window_start.min()]
     assert len(first) == 2 and (first.psi.abs() < 1e-9).all()
     assert set(out.rag_status) <= {"GREEN", "AMBER", "RED"}
+
+
+def test_late_rows_beyond_watermark_are_dropped(spark, tmp_path):
+    """Three micro-batches: weeks 1-4, then week 5, then late week-1 rows.
+
+    Spark filters late rows against the watermark in force when the batch
+    starts (max event time of the earlier batches minus the delay), so the
+    third batch's week-1 rows are dropped and the closed window keeps its count.
+    """
+    import datetime as dt
+    import os
+
+    import pandas as pd
+
+    start = dt.datetime(2024, 1, 1)
+
+    def frame(ids, days):
+        return pd.DataFrame({"event_id": ids, "ts": [start + dt.timedelta(days=d) for d in days], "user_id": ids,
+                             "event_type": ["purchase"] * len(ids), "value": [10.0] * len(ids),
+                             "props": ["{}"] * len(ids)})
+
+    d = tmp_path / "ev"
+    d.mkdir()
+    parts = [("a", list(range(0, 40)), [i % 28 for i in range(40)]),
+             ("b", list(range(100, 105)), [31] * 5),
+             ("c", list(range(200, 205)), [1] * 5)]
+    for k, (name, ids, days) in enumerate(parts):
+        f = d / f"{name}_events.parquet"
+        frame(ids, days).to_parquet(f, coerce_timestamps="us")
+        os.utime(f, (1_700_000_000 + k * 100, 1_700_000_000 + k * 100))   # file order = batch order
+    out = st.stream_monitor(spark, str(d), glob="*_events.parquet").toPandas().sort_values("window_start")
+    first_window = sum(1 for i in range(40) if (start + dt.timedelta(days=i % 28)).date() < dt.date(2024, 1, 4))
+    assert out.n_events.iloc[0] == first_window       # the late rows never reached the closed window
+    assert out.n_events.sum() == 40 + 5               # week-5 rows counted, late rows dropped

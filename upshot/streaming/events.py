@@ -50,10 +50,15 @@ FROM events
 """
 
 
-def event_stream(spark: SparkSession, sf_dir: str, table: str = "events", files_per_trigger: int = 1) -> DataFrame:
-    """``readStream`` of the table's Parquet file(s) with the batch schema (no inference)."""
-    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet").schema
-    return (spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet")
+def event_stream(spark: SparkSession, sf_dir: str, table: str = "events", files_per_trigger: int = 1,
+                 glob: str | None = None) -> DataFrame:
+    """``readStream`` of the table's Parquet file(s) with the batch schema (no inference).
+
+    ``glob`` selects the files inside ``sf_dir`` (default: ``{table}.parquet``).
+    """
+    pattern = glob or f"{table}.parquet"
+    schema = spark.read.option("pathGlobFilter", pattern).parquet(sf_dir).schema
+    return (spark.readStream.schema(schema).option("pathGlobFilter", pattern)
             .option("maxFilesPerTrigger", files_per_trigger).parquet(sf_dir))
 
 
@@ -89,10 +94,13 @@ def monitor_aggs(value: float, cost: float) -> list[Column]:
 
 
 def stream_monitor(spark: SparkSession, sf_dir: str, value: float = 10.0, cost: float = 0.10,
-                   path: str | None = None) -> DataFrame:
-    """Per 7-day event-time window: events, bid rate, mean score, conversion, expected profit."""
+                   path: str | None = None, glob: str | None = None, watermark: str = "1 day") -> DataFrame:
+    """Per 7-day event-time window: events, bid rate, mean score, conversion, expected profit.
+
+    Rows arriving after the watermark has passed their window's end are dropped.
+    """
     path = path or scratch_path(spark, f"stream-monitor-{uuid.uuid4().hex}")
-    ev = windowed(event_columns(event_stream(spark, sf_dir)))
+    ev = windowed(event_columns(event_stream(spark, sf_dir, glob=glob)), watermark=watermark)
     agg = ev.groupBy("w").agg(*monitor_aggs(value, cost)).select(
         F.unix_seconds("w.start").alias("window_start"), "*").drop("w")
     _run(agg, path)
