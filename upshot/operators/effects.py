@@ -135,8 +135,7 @@ def baseline_ab(df: DataFrame, outcome: str = "conversion", treatment: str = "tr
     per_arm = (df.groupBy(treatment)
                .agg(F.count(F.lit(1)).alias("n_obs"), F.sum(y).alias("conversions"),
                     F.avg(y).alias("conversion_rate")))
-    margin = F.lit(z) * F.sqrt(F.col("conversion_rate") * (1 - F.col("conversion_rate")) / F.col("n_obs"))
-    per_arm = (per_arm.withColumn("ci_margin", margin)
+    per_arm = (per_arm.withColumn("ci_margin", proportion_ci("conversion_rate", "n_obs", z))
                .withColumn("ci_lower", F.col("conversion_rate") - F.col("ci_margin"))
                .withColumn("ci_upper", F.col("conversion_rate") + F.col("ci_margin")))
     lift = per_arm.agg(F.max(F.when(F.col(treatment) == 0, F.col("conversion_rate"))).alias("_cr_c"),

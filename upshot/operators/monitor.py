@@ -7,8 +7,6 @@ assignment needs no global sort.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -146,13 +144,3 @@ def drift_sample(scored: DataFrame, period: str = "period", score: str = "score"
     picked = smallest_by_hash(keyed, [period], sizes, "_u", unit)
     return picked.select(F.col(period).alias("week"), unit, F.col(score).alias("uplift_score"))
 
-
-def psi_value(ref_counts: list[int], cur_counts: list[int], n_ref: int, n_cur: int, eps: float = PSI_EPS) -> float:
-    """Plain-Python PSI over already-aggregated bin counts (bounded by the bin count)."""
-    k = len(ref_counts)
-    tot = 0.0
-    for r, c in zip(ref_counts, cur_counts):
-        rp = (r + eps) / (n_ref + eps * k)
-        cp = (c + eps) / (n_cur + eps * k)
-        tot += (cp - rp) * math.log(cp / rp)
-    return tot

@@ -11,7 +11,6 @@ The model-free score used where no learner is involved is
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from upshot.functions.dist import chi2_1dof_critical
 from upshot.operators import effects, ranking, validation

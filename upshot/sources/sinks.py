@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Minimum row counts per report table.
 MIN_ROWS = {
@@ -68,6 +66,3 @@ def summary_row(parts: list[DataFrame]) -> DataFrame:
         out = out.crossJoin(p)
     return out
 
-
-def flatten_counts(srm: DataFrame) -> DataFrame:
-    return srm.select(F.col("n_control"), F.col("n_treatment"), (F.col("n_control") + F.col("n_treatment")).alias("n_total"))
