@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from upshot.functions.columns import srm_band, unit_uniform_sql
+from upshot.functions.dist import chi2_1dof_critical
 from upshot.operators import learners, monitor, policy, ranking, segments, validation
 from upshot.plans.catalog import _QINI_ROWS_SQL
 from upshot.plans.registry import COST, R, SCORED_CTE, VALUE, register, rnd, scored
@@ -31,10 +32,19 @@ def q_sample_frac(spark, sf):
     return s.groupBy("treatment").agg(F.count(F.lit(1)).alias("n"), F.sum("conversion").cast("long").alias("conversions"))
 
 
-@register("srm_status_bands")
+@register("srm_status_bands", experiment_cte() + f"""
+, c AS (SELECT count(CASE WHEN treatment = 0 THEN 1 END) AS nc, count(CASE WHEN treatment = 1 THEN 1 END) AS nt FROM experiment)
+, x AS (SELECT nc, nt, power(nc - (nc + nt) * {1 - EXPECTED_RATIO!r}, 2) / ((nc + nt) * {1 - EXPECTED_RATIO!r})
+             + power(nt - (nc + nt) * {EXPECTED_RATIO!r}, 2) / ((nc + nt) * {EXPECTED_RATIO!r}) AS chi2 FROM c)
+SELECT nc AS n_control, nt AS n_treatment, {R('chi2')} AS chi2,
+  CASE WHEN chi2 > {chi2_1dof_critical(0.01)!r} THEN 'RED' WHEN chi2 > {chi2_1dof_critical(0.05)!r} THEN 'AMBER'
+       ELSE 'GREEN' END AS srm_band
+FROM x
+""")
 def q_srm_bands(spark, sf):
+    """Display bands from the p-value (erfc); the oracle derives them from chi-square critical values."""
     srm = validation.check_srm(experiment(spark, sf), expected_ratio=EXPECTED_RATIO, with_p=True)
-    return rnd(srm.withColumn("srm_band", srm_band("p_value")), keep=("p_value",))
+    return rnd(srm.select("n_control", "n_treatment", "chi2", srm_band("p_value").alias("srm_band")))
 
 
 @register("qini_random_line", _QINI_ROWS_SQL + f"""

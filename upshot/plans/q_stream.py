@@ -44,7 +44,40 @@ def _event_reference(spark, sf):
     return ev.crossJoin(first).where(w.start == F.col("_s")).drop("_s")
 
 
-@register("stream_psi")
+def _stream_psi_sql() -> str:
+    probs = ", ".join(repr(i / 10) for i in range(11))
+    binx = ("CASE WHEN value < edges[1] OR value > edges[11] THEN NULL WHEN value = edges[11] THEN 9 "
+            "ELSE len(list_filter(edges, lambda e: e <= value)) - 1 END")
+    return EV_CTE + f"""
+, w AS (SELECT *, {WIN} AS window_start FROM ev)
+, ref AS (SELECT * FROM w WHERE window_start = (SELECT min(window_start) FROM w))
+, rl AS (SELECT 'x_value' AS feature, x_value AS value FROM ref UNION ALL SELECT 'x_hour', x_hour FROM ref)
+, ed AS (SELECT feature, count(*) AS n_ref,
+           list_transform(quantile_cont(value, [{probs}]),
+                          lambda x, i: CASE WHEN i = 1 THEN x - 1e-7 WHEN i = 11 THEN x + 1e-7 ELSE x END) AS edges
+         FROM rl GROUP BY feature)
+, rc AS (SELECT feature, bin, count(*) AS ref_c FROM (SELECT rl.feature, {binx} AS bin FROM rl JOIN ed USING (feature)) x
+         WHERE bin IS NOT NULL GROUP BY 1, 2)
+, cl AS (SELECT window_start, 'x_value' AS feature, x_value AS value FROM w
+         UNION ALL SELECT window_start, 'x_hour', x_hour FROM w)
+, cc AS (SELECT window_start, feature, bin, count(*) AS cur_c
+         FROM (SELECT cl.window_start, cl.feature, {binx} AS bin FROM cl JOIN ed USING (feature)) x
+         WHERE bin IS NOT NULL GROUP BY 1, 2, 3)
+, cn AS (SELECT window_start, count(*) AS n_cur FROM w GROUP BY 1)
+, g AS (SELECT cn.window_start, cn.n_cur, ed.feature, ed.n_ref, CAST(b.bin AS INTEGER) AS bin FROM cn, ed, range(0, 10) b(bin))
+, f AS (SELECT g.*, coalesce(rc.ref_c, 0) AS ref_c, coalesce(cc.cur_c, 0) AS cur_c FROM g
+        LEFT JOIN rc ON rc.feature = g.feature AND rc.bin = g.bin
+        LEFT JOIN cc ON cc.window_start = g.window_start AND cc.feature = g.feature AND cc.bin = g.bin)
+, p AS (SELECT window_start, feature,
+          sum(((cur_c + 1e-7) / (n_cur + 1e-7 * 10) - (ref_c + 1e-7) / (n_ref + 1e-7 * 10))
+              * ln(((cur_c + 1e-7) / (n_cur + 1e-7 * 10)) / ((ref_c + 1e-7) / (n_ref + 1e-7 * 10)))) AS psi
+        FROM f GROUP BY 1, 2)
+SELECT window_start, feature, {R('psi')} AS psi,
+  CASE WHEN {R('psi')} < 0.1 THEN 'GREEN' WHEN {R('psi')} < 0.25 THEN 'AMBER' ELSE 'RED' END AS rag_status FROM p
+"""
+
+
+@register("stream_psi", _stream_psi_sql())
 def q_stream_psi(spark, sf):
     ref = _event_reference(spark, sf)
     edges = st.with_ref_counts(ref, st.reference_edges(ref))
