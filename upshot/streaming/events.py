@@ -141,12 +141,12 @@ def stream_psi(spark: SparkSession, sf_dir: str, edges: DataFrame, n_bins: int =
     binned = long.select("w", "r.feature", histogram_bin(F.col("r.value"), F.col("r.edges"), n_bins).alias("bin"))
     counts = binned.groupBy("w", "feature", "bin").agg(F.count(F.lit(1)).alias("cur_c")).select(
         F.unix_seconds("w.start").alias("window_start"), "feature", "bin", "cur_c")
-    totals = ev.groupBy("w").agg(F.count(F.lit(1)).alias("n_cur")).select(
-        F.unix_seconds("w.start").alias("window_start"), "n_cur")
-    _run(counts, path + "/counts")
-    _run(totals, path + "/totals")
-    cur = latest(spark, path + "/counts", ["window_start", "feature", "bin"]).where(F.col("bin").isNotNull())
-    tot = latest(spark, path + "/totals", ["window_start"])
+    _run(counts, path + "/counts")   # one stream: out-of-range values keep a null bin
+    allc = latest(spark, path + "/counts", ["window_start", "feature", "bin"])
+    first = e[0]["feature"]
+    tot = (allc.where(F.col("feature") == first).groupBy("window_start")
+           .agg(F.sum("cur_c").alias("n_cur")))   # every event has exactly one bin (maybe null) per feature
+    cur = allc.where(F.col("bin").isNotNull())
     return psi_from_counts(cur, tot, edges, n_bins)
 
 
