@@ -98,3 +98,14 @@ def test_tree_rules_table(spark):
     assert set(rules.archetype_hint) <= {"Persuadable", "Sleeping Dog", "Low Uplift"}
     imp = learners.feature_importance(tree, ["f0", "f1"]).toPandas().set_index("feature")
     assert imp.loc["f0", "rank"] == 1 and imp.loc["f0", "threshold_direction"] == "<="
+
+
+def test_linucb_learns_paying_arm(spark):
+    """Context [1.0, 0.5]; arm 1 always pays 1, arm 0 pays 0 (value 1, no cost)."""
+    n = 100
+    pdf = pd.DataFrame({"unit_id": np.arange(n), "event_idx": np.arange(n), "a": [1.0] * n, "b": [0.5] * n,
+                        "treatment": [i % 2 for i in range(n)], "conversion": [i % 2 for i in range(n)]})
+    agent = bandit.BatchedLinUCB(["a", "b"], alpha=1.0, value=1.0, cost=0.0)
+    agent.run(agent.prepare(spark.createDataFrame(pdf), order_col="event_idx", batch_size=10))
+    assert agent.choose([1.0, 0.5]) == 1
+    assert agent.summary(spark).first()["aligned_events"] > 0
