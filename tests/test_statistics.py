@@ -60,3 +60,22 @@ def test_baseline_ab_and_economics(spark):
     e = effects.economics(df, value=10.0, cost=0.1).first()
     assert abs(e["baseline_profit_as_run"] - (0.15 * 10 - 0.1 * 0.5)) < 1e-12
     assert abs(e["incremental_profit_per_user"] - ((0.2 * 10 - 0.1) - 0.1 * 10)) < 1e-12
+
+
+def test_cuped_rank_deficient_is_min_norm(spark):
+    rng = np.random.default_rng(14)
+    n = 2000
+    a = rng.normal(size=n)
+    X = np.column_stack([a, a, rng.normal(size=n)])        # duplicated covariate
+    y = 2 * a + 0.5 * X[:, 2] + rng.normal(size=n)
+    pdf = pd.DataFrame(X, columns=["a", "a2", "c"]).assign(conversion=y, treatment=rng.integers(0, 2, n))
+    theta, _ = effects.cuped_theta(spark.createDataFrame(pdf), "conversion", ["a", "a2", "c"])
+    Xc = X - X.mean(axis=0)
+    want = np.linalg.lstsq(Xc, y - y.mean(), rcond=None)[0]
+    assert np.allclose(theta, want, atol=1e-8) and abs(theta[0] - theta[1]) < 1e-8
+
+
+def test_one_arm_frame_gives_null_effect(spark):
+    df = spark.createDataFrame(pd.DataFrame({"treatment": [1, 1, 1], "conversion": [0.0, 1.0, 1.0]}))
+    r = effects.ate(df, "conversion").first()
+    assert r["n_c"] == 0 and r["absolute_effect"] is None and r["std_error"] is None
