@@ -55,3 +55,15 @@ def test_periods_and_timeseries(spark):
     ts = monitor.monitor_periods(p).toPandas().sort_values("week")
     assert list(ts.week) == list(range(1, 9)) and ts.n_users.sum() == 800
     assert (ts.n_users == 100).all()
+
+
+def test_report_formatting(spark):
+    from upshot.plans.report_format import format_table
+    df = spark.createDataFrame([(0.1234565, 0.987654321, 3, "f0", 1)],
+                               "smd double, abs_smd double, n int, feature string, is_balanced int")
+    out = format_table("covariate_balance", df)
+    assert out.columns[:4] == ["feature", "smd", "abs_smd", "is_balanced"]
+    types = dict(out.dtypes)
+    assert types["smd"] == "float" and types["is_balanced"] == "tinyint"
+    r = out.first()
+    assert abs(r["abs_smd"] - 0.987654) < 1e-6

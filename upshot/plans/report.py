@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from upshot.functions.columns import bid_decision, unit_uniform
 from upshot.functions.materialize import checkpointed
 from upshot.operators import bandit, effects, learners, monitor, policy, ranking, segments, validation
+from upshot.plans.report_format import format_table
 from upshot.session import ensure_checkpoint_dir
 from upshot.sources import sinks
 
@@ -173,7 +174,7 @@ class ExperimentReport:
                  "statistics_results", "qini_curve_data", "feature_importance", "segment_profile",
                  "policy_comparison", "archetype_summary", "tree_rules", "distillation_benchmark",
                  "monitoring_timeseries", "psi_scores", "drift_simulation"]
-        return {n: getattr(self, n) for n in names}
+        return {n: (lambda n=n: format_table(n, getattr(self, n)())) for n in names}
 
     def export(self, out_dir: str, fmt: str = "parquet") -> DataFrame:
         if self.scored is None:
