@@ -37,3 +37,19 @@ def checkpointed(df: DataFrame) -> DataFrame:
         return cached.checkpoint(eager=True)
     finally:
         cached.unpersist()
+
+
+def bounded(df: DataFrame, max_local_rows: int = 100_000) -> DataFrame:
+    """Materialise an aggregate whose size depends on the data (e.g. one row per group).
+
+    Computed once into the cache; kept as a local relation when it has at most
+    ``max_local_rows`` rows, otherwise written as a reliable checkpoint.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if cached.count() <= max_local_rows:
+            return df.sparkSession.createDataFrame(cached.collect(), schema=df.schema)
+        return cached.checkpoint(eager=True)
+    finally:
+        cached.unpersist()

@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from upshot.functions.materialize import small
+from upshot.functions.materialize import bounded, small
 from upshot.session import ensure_checkpoint_dir
 
 
@@ -55,7 +55,7 @@ def quantiles(df: DataFrame, value: str, probs, by=(), accuracy: int = 100000,
     ensure_checkpoint_dir(df.sparkSession)
     # Pass 1: approximate edges per group (bounded sketch per group). The result
     # has one row per group; checkpointing it keeps later passes from re-running it.
-    stats = small(base.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"),
+    stats = (bounded if by else small)(base.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"),
                                   F.percentile_approx("_v", edge_p, accuracy).alias("_e")))
 
     # Pass 2: rows per bucket, bucket b = number of edges <= v (b-th bucket is [e_b, e_{b+1})).
@@ -89,7 +89,7 @@ def quantiles(df: DataFrame, value: str, probs, by=(), accuracy: int = 100000,
                .select(*by, "q_idx", "prob", "_n", "_frac", "side", "rank", "_bk",
                        F.when(F.col("_bk") > 0, F.element_at("_lt", F.col("_bk"))).otherwise(F.lit(0)).alias("_off"))
                )
-    targets = small(targets, 2_000_000)  # groups x probabilities x 2 rows
+    targets = bounded(targets) if by else small(targets)  # groups x probabilities x 2 rows
 
     # Pass 3: rows of the wanted buckets (equi-join on the bucket), counted by distinct value.
     keys = [*by, "q_idx", "side"]

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from upshot.functions.materialize import small
+from upshot.functions.materialize import bounded
 from upshot.session import ensure_checkpoint_dir
 
 
@@ -39,7 +39,7 @@ def smallest_by_hash(df: DataFrame, by: list[str], quotas: DataFrame, u: str, ti
            .groupBy(*keys).agg(F.min_by(F.struct("_hb", (F.col("quota") - (F.col("_cum") - F.col("_c"))).alias("need")),
                                         "_hb").alias("_k"))
            .select(*keys, F.col("_k._hb").alias("_cut"), F.col("_k.need").alias("_need")))
-    cut = small(cut, 1_000_000)  # one row per stratum; strata without a row keep every row
+    cut = bounded(cut)  # one row per stratum; strata without a row keep every row
     sel = keyed.join(F.broadcast(cut), keys, "left").where(F.col("_cut").isNull() | (F.col("_hb") <= F.col("_cut")))
     rank = Window.partitionBy(*keys, "_hb").orderBy(u, tie)
     out = (sel.withColumn("_r", F.row_number().over(rank))

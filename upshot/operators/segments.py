@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from upshot.functions.columns import (ARCHETYPES, archetype, archetype_order, safe_div,
                                       unit_uniform)
 from upshot.functions.quantiles import quantiles
-from upshot.functions.materialize import checkpointed, small
+from upshot.functions.materialize import bounded, checkpointed
 from upshot.functions.sampling import smallest_by_hash
 from upshot.session import ensure_checkpoint_dir
 
@@ -108,7 +108,7 @@ def stratified_sample(df: DataFrame, label: str = "archetype_label", n: int = 50
     ensure_checkpoint_dir(df.sparkSession)
     keyed = df.withColumn("_u", unit_uniform(unit, seed, hash_kind)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        sizes = small(keyed.groupBy(label).agg(F.count(F.lit(1)).alias("_size")), 1_000_000)  # one row per stratum
+        sizes = bounded(keyed.groupBy(label).agg(F.count(F.lit(1)).alias("_size")))  # one row per stratum
         total = sizes.agg(F.sum("_size").alias("_total"))
         k = F.least(F.col("_total"), F.lit(n))
         quotas = (sizes.crossJoin(total)
