@@ -109,3 +109,23 @@ def test_linucb_learns_paying_arm(spark):
     agent.run(agent.prepare(spark.createDataFrame(pdf), order_col="event_idx", batch_size=10))
     assert agent.choose([1.0, 0.5]) == 1
     assert agent.summary(spark).first()["aligned_events"] > 0
+
+
+def test_report_on_reference_schema(spark, tmp_path):
+    """The full report on a table with the reference's columns only (no unit id, no timestamps)."""
+    from upshot.plans import run_report
+    rng = np.random.default_rng(48)
+    n = 6000
+    pdf = pd.DataFrame(rng.random((n, 12)), columns=[f"f{i}" for i in range(12)])
+    pdf["treatment"] = (rng.random(n) < 0.85).astype(int)
+    p = 0.05 + 0.1 * pdf.treatment * (pdf.f0 > 0.5)
+    pdf["conversion"] = (rng.random(n) < p).astype(int)
+    pdf["visit"] = np.maximum(pdf.conversion, (rng.random(n) < 0.3).astype(int))
+    pdf["exposure"] = pdf.treatment * (rng.random(n) < 0.6)
+    src = str(tmp_path / "exp.parquet")
+    pdf.to_parquet(src)
+    out = str(tmp_path / "report")
+    check = run_report.main(["--input", src, "--out", out, "--n-estimators", "5", "--max-depth", "3",
+                             "--bootstraps", "5", "--sample-size", "1000"], spark=spark).toPandas()
+    assert check.ok.all(), check[~check.ok]
+    assert spark.read.text(out + "/segment_rules").count() > 0

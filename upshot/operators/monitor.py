@@ -144,3 +144,11 @@ def drift_sample(scored: DataFrame, period: str = "period", score: str = "score"
     picked = smallest_by_hash(keyed, [period], sizes, "_u", unit)
     return picked.select(F.col(period).alias("week"), unit, F.col(score).alias("uplift_score"))
 
+
+
+def assign_periods_by_hash(df: DataFrame, unit: str = "unit_id", n_periods: int = 8, name: str = "period",
+                           seed: int = 11) -> DataFrame:
+    """Equal random slices 1..n by unit hash, for data without timestamps (the reference slices by row order)."""
+    from upshot.functions.columns import unit_uniform
+    u = unit_uniform(unit, seed, "xxhash")
+    return df.withColumn(name, F.least(F.floor(u * n_periods), F.lit(n_periods - 1)).cast("int") + 1)
