@@ -79,3 +79,20 @@ def test_one_arm_frame_gives_null_effect(spark):
     df = spark.createDataFrame(pd.DataFrame({"treatment": [1, 1, 1], "conversion": [0.0, 1.0, 1.0]}))
     r = effects.ate(df, "conversion").first()
     assert r["n_c"] == 0 and r["absolute_effect"] is None and r["std_error"] is None
+
+
+def test_jvm_and_pandas_p_values_agree(spark):
+    import math
+
+    from pyspark.sql import functions as F
+
+    from upshot.functions import dist
+    df = spark.createDataFrame([(z,) for z in [0.0, 0.5, 1.96, 3.0, 7.5, 20.0]], "z double")
+    jvm = [r[0] for r in df.select(dist.normal_two_sided_p("z")).collect()]
+    pandas = [r[0] for r in df.select(dist._two_sided_p(F.col("z"))).collect()]
+    for z, a, b in zip([0.0, 0.5, 1.96, 3.0, 7.5, 20.0], jvm, pandas):
+        want = math.erfc(z / math.sqrt(2))
+        assert abs(a - want) <= 1e-14 + 1e-9 * want and abs(b - want) <= 1e-14 + 1e-9 * want
+    chi = [r[0] for r in spark.createDataFrame([(3.841458820694124,)], "c double")
+           .select(dist.chi2_1dof_p("c")).collect()]
+    assert abs(chi[0] - 0.05) < 1e-12

@@ -2,9 +2,10 @@
 
 Critical values are driver constants (stdlib ``statistics.NormalDist``), so
 verdicts such as "significant at alpha" stay plain column comparisons.
-P-values need erfc, which Spark SQL lacks: they are computed with an
-Arrow-batched pandas UDF applied to already-aggregated rows only (one row per
-metric), never to base data.
+P-values need erfc, which Spark SQL lacks as a function. It is called in the
+JVM through ``java_method`` on commons-math3's ``Erf.erfc`` (shipped with
+Spark); an Arrow-batched pandas UDF is kept as a fallback. Either way it is
+applied to already-aggregated rows (one row per metric), never to base data.
 """
 
 from __future__ import annotations
@@ -47,10 +48,21 @@ def _chi2_1dof_p(chi2: pd.Series) -> pd.Series:
     return out.where(chi2.notna())
 
 
+USE_JVM_ERFC = True
+
+
+def jvm_erfc(x: Column) -> Column:
+    """erfc in the JVM (commons-math3), null-safe."""
+    call = F.java_method(F.lit("org.apache.commons.math3.special.Erf"), F.lit("erfc"), x.cast("double"))
+    return F.when(x.isNull(), F.lit(None).cast("double")).otherwise(call.cast("double"))
+
+
 def normal_two_sided_p(z) -> Column:
     """erfc(|z|/sqrt 2): no underflow to 0 for large |z| (unlike 2*(1-cdf))."""
-    return _two_sided_p(F.col(z) if isinstance(z, str) else z)
+    c = F.col(z) if isinstance(z, str) else z
+    return jvm_erfc(F.abs(c) / F.lit(math.sqrt(2.0))) if USE_JVM_ERFC else _two_sided_p(c)
 
 
 def chi2_1dof_p(chi2) -> Column:
-    return _chi2_1dof_p(F.col(chi2) if isinstance(chi2, str) else chi2)
+    c = F.col(chi2) if isinstance(chi2, str) else chi2
+    return jvm_erfc(F.sqrt(F.greatest(c, F.lit(0.0)) / 2.0)) if USE_JVM_ERFC else _chi2_1dof_p(c)
