@@ -71,7 +71,9 @@ class ExperimentReport:
         self.stream = self.agent.prepare(self.scored, n_rounds=c.bandit_rounds, standardize=True)
         self.agent.run(self.stream)
         self.bandit_summary = self.agent.summary(self.spark).first()
-        self.classified = segments.classify(self.scored, score="uplift_score")
+        # Sure Thing split: the control conversion rate of the whole experiment (the ATE's control mean)
+        control_rate = self.ate.select("control_mean").first()[0]
+        self.classified = segments.classify(self.scored, score="uplift_score", control_rate=control_rate)
         if "ts" in self.scored.columns:
             self.periods = monitor.assign_periods(self.scored, "ts", c.periods)
         else:   # no timestamps: equal hash slices
