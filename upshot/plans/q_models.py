@@ -180,5 +180,6 @@ def q_trajectory(spark, sf):
 @register("uplift_archetypes_model")
 def q_arch_model(spark, sf):
     _, s = _xlearner_scored(spark, sf)
-    c = segments.classify(s, score="uplift_score")
+    control_rate = effects.ate(experiment(spark, sf), "conversion").select("control_mean").first()[0]
+    c = segments.classify(s, score="uplift_score", control_rate=control_rate)
     return rnd(segments.archetype_summary(c, score="uplift_score", value=VALUE, cost=COST), 6)
