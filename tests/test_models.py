@@ -129,3 +129,17 @@ def test_report_on_reference_schema(spark, tmp_path):
                              "--bootstraps", "5", "--sample-size", "1000"], spark=spark).toPandas()
     assert check.ok.all(), check[~check.ok]
     assert spark.read.text(out + "/segment_rules").count() > 0
+
+
+def test_xlearner_recovers_planted_sign(spark):
+    rng = np.random.default_rng(49)
+    n = 4000
+    f0, f1 = rng.random(n), rng.random(n)
+    t = (rng.random(n) < 0.7).astype(int)
+    p = 0.2 + np.where(f0 > 0.5, 0.4, -0.15) * t
+    pdf = pd.DataFrame({"f0": f0, "f1": f1, "treatment": t, "conversion": (rng.random(n) < p).astype(int)})
+    df = spark.createDataFrame(pdf)
+    m = learners.XLearner(["f0", "f1"], n_estimators=15, max_depth=3).fit(df)
+    out = m.predict(df).toPandas()
+    hi, lo = out[out.f0 > 0.5].uplift_score.mean(), out[out.f0 <= 0.5].uplift_score.mean()
+    assert hi > 0.2 and lo < 0.0
