@@ -40,7 +40,8 @@ def smallest_by_hash(df: DataFrame, by: list[str], quotas: DataFrame, u: str, ti
                                         "_hb").alias("_k"))
            .select(*keys, F.col("_k._hb").alias("_cut"), F.col("_k.need").alias("_need")))
     cut = bounded(cut)  # one row per stratum; strata without a row keep every row
-    sel = keyed.join(F.broadcast(cut), keys, "left").where(F.col("_cut").isNull() | (F.col("_hb") <= F.col("_cut")))
+    # one row per stratum: no hint - AQE broadcasts it when its runtime size is small
+    sel = keyed.join(cut, keys, "left").where(F.col("_cut").isNull() | (F.col("_hb") <= F.col("_cut")))
     rank = Window.partitionBy(*keys, "_hb").orderBy(u, tie)
     out = (sel.withColumn("_r", F.row_number().over(rank))
            .where(F.col("_cut").isNull() | (F.col("_hb") < F.col("_cut")) | (F.col("_r") <= F.col("_need"))))

@@ -80,6 +80,9 @@ def cate_histogram(scored: DataFrame, score: str = "score", bins: int = 50) -> D
 
 # ------------------------------------------------------------------ qini curve
 
+MAX_BROADCAST_RANGES = 200_000   # x 5 numbers per range: a few MB at most
+
+
 def qini_rows(scored: DataFrame, score: str = "score", treatment: str = "treatment",
               outcome: str = "conversion", unit: str = "unit_id", buckets: int = 16,
               rows_per_bucket: int = 2_000_000) -> DataFrame:
@@ -116,7 +119,8 @@ def _qini_rows(scored, score, treatment, outcome, unit, buckets, rows_per_bucket
                                          for k in parts])
     run = (Window.partitionBy("_bucket").orderBy(F.desc(score), F.asc(unit))
            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    joined = ranged.join(F.broadcast(offsets), "_bucket")
+    # one row per range: broadcast while that is provably small, else an ordinary join
+    joined = ranged.join(F.broadcast(offsets) if n_ranges <= MAX_BROADCAST_RANGES else offsets, "_bucket")
     rows = joined.select(unit, score, *[(F.sum(e).over(run) + F.col(f"{k}_off")).alias(k)
                                         for k, e in parts.items()])  # one Window operator
     n_t, n_c = F.col("_nt"), F.col("_nc")
