@@ -110,12 +110,21 @@ def q_rag(spark, sf):
     return monitor.rag_counts(psi_scores(spark, sf))
 
 
-@register("model_health", PSI_SQL + """
-SELECT CASE WHEN max(CAST(rag_status = 'RED' AS INTEGER)) = 1 THEN 'CRITICAL'
-            WHEN max(CAST(rag_status = 'AMBER' AS INTEGER)) = 1 THEN 'WARNING' ELSE 'HEALTHY' END AS model_health FROM ps
+_TS_PART = TS_SQL[len(PERIODS_CTE):]
+
+
+@register("model_health", PSI_SQL + _TS_PART + """
+, b AS (SELECT week, expected_profit_per_user * n_users AS pp FROM ts)
+, c AS (SELECT pp, avg(pp) OVER w AS bm, coalesce(stddev_samp(pp) OVER w, 0.0) AS bs
+        FROM b WINDOW w AS (ORDER BY week ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+, al AS (SELECT max(CAST((pp > bm + 2.0 * bs) OR (pp < bm - 2.0 * bs) AS INTEGER)) AS alert FROM c)
+, rag AS (SELECT max(CAST(rag_status = 'RED' AS INTEGER)) AS red, max(CAST(rag_status = 'AMBER' AS INTEGER)) AS amber FROM ps)
+SELECT CASE WHEN red = 1 THEN 'CRITICAL' WHEN amber = 1 OR alert = 1 THEN 'WARNING' ELSE 'HEALTHY' END AS model_health
+FROM rag, al
 """)
 def q_health(spark, sf):
-    return monitor.model_health(psi_scores(spark, sf))
+    band = monitor.control_band(monitor.monitor_periods(test_periods(spark, sf), value=VALUE, cost=COST))
+    return monitor.model_health(psi_scores(spark, sf), band)
 
 
 @register("drift_sample", PERIODS_CTE + f"""
