@@ -42,3 +42,12 @@ def test_imbalanced_top_k_signed_order(spark):
     rows = [(0, "a", 0.5, 0.5, False), (1, "b", -0.9, 0.9, False), (2, "c", 0.2, 0.2, False), (3, "d", 0.0, 0.0, True)]
     bal = spark.createDataFrame(rows, "feature_idx int, feature string, smd double, abs_smd double, is_balanced boolean")
     assert [r["feature"] for r in validation.imbalanced_features(bal, 2).collect()] == ["a", "c"]
+
+
+def test_srm_on_fail_raise(spark):
+    import pytest
+    df = spark.createDataFrame(pd.DataFrame({"treatment": [0, 1] * 500}))
+    with pytest.raises(validation.SampleRatioMismatch):
+        validation.check_srm(df, expected_ratio=0.85, on_fail="raise")
+    ok = spark.createDataFrame(pd.DataFrame({"treatment": [1] * 850 + [0] * 150}))
+    assert validation.check_srm(ok, on_fail="raise").first()["valid"]

@@ -20,13 +20,32 @@ def discover_features(df: DataFrame, prefix: str = "f") -> list[str]:
     return [c for c in df.columns if c.startswith(prefix)]
 
 
+class SampleRatioMismatch(ValueError):
+    """Raised by ``check_srm(on_fail="raise")`` when the arm split fails the test."""
+
+
 def check_srm(df: DataFrame, treatment: str = "treatment", expected_ratio: float = 0.85,
-              alpha: float = 0.001, with_p: bool = False) -> DataFrame:
+              alpha: float = 0.001, with_p: bool = False, on_fail: str = "warn") -> DataFrame:
     """Chi-square goodness of fit of arm counts against ``[N(1-r), N r]``.
 
     ``valid`` is ``p > alpha``, decided as ``chi2 < critical(alpha)`` so the
     verdict stays a column comparison; ``with_p`` adds the p-value itself.
+    ``on_fail="warn"`` returns the verdict row (lazy); ``"raise"`` evaluates the
+    one-row result now and raises ``SampleRatioMismatch`` when it is invalid.
     """
+    if on_fail not in ("warn", "raise"):
+        raise ValueError("on_fail must be 'warn' or 'raise'")
+    out = _srm(df, treatment, expected_ratio, alpha, with_p)
+    if on_fail == "raise":
+        row = out.first()
+        if not row["valid"]:
+            raise SampleRatioMismatch(
+                f"SRM detected: control={row['n_control']} treatment={row['n_treatment']} "
+                f"chi2={row['chi2']:.4f} (expected treated share {expected_ratio})")
+    return out
+
+
+def _srm(df: DataFrame, treatment: str, expected_ratio: float, alpha: float, with_p: bool) -> DataFrame:
     t = F.col(treatment)
     counts = df.agg(F.count(F.when(t == 0, 1)).alias("n_control"),
                     F.count(F.when(t == 1, 1)).alias("n_treatment"))
