@@ -96,3 +96,17 @@ def test_jvm_and_pandas_p_values_agree(spark):
     chi = [r[0] for r in spark.createDataFrame([(3.841458820694124,)], "c double")
            .select(dist.chi2_1dof_p("c")).collect()]
     assert abs(chi[0] - 0.05) < 1e-12
+
+
+def test_cuped_theta_from_sample(spark):
+    from upshot.functions.sampling import cuped_sample_size
+    rng = np.random.default_rng(15)
+    n = 20000
+    t = rng.integers(0, 2, n)
+    f0 = rng.normal(10, 2, n)
+    y = f0 + 0.5 * t + rng.normal(0, 0.5, n)
+    df = spark.createDataFrame(pd.DataFrame({"unit_id": np.arange(n), "treatment": t, "conversion": y, "f0": f0}))
+    full = effects.cuped(df, "conversion", ["f0"]).first()
+    samp = effects.cuped(df, "conversion", ["f0"], theta_sample=cuped_sample_size(n, floor_n=2000)).first()
+    assert abs(full["absolute_effect"] - samp["absolute_effect"]) < 0.02
+    assert samp["std_error"] < effects.ate(df, "conversion").first()["std_error"]

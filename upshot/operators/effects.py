@@ -92,9 +92,15 @@ def cuped_adjusted(df: DataFrame, outcome: str, covariates: list[str], theta, me
 
 
 def cuped(df: DataFrame, outcome: str, covariates: list[str], treatment: str = "treatment",
-          alpha: float = 0.05, with_p: bool = False) -> DataFrame:
-    """Variance-reduced ATE: theta from all rows, then Welch on the adjusted outcome."""
-    theta, means = cuped_theta(df, outcome, covariates)
+          alpha: float = 0.05, with_p: bool = False, theta_sample: int | None = None,
+          unit: str = "unit_id") -> DataFrame:
+    """Variance-reduced ATE: theta from all rows (or from an exact-size unit-hash sample of
+    ``theta_sample`` rows, as the reference does), then Welch on the adjusted outcome of all rows."""
+    src = df
+    if theta_sample is not None:
+        from upshot.operators.segments import sample_n
+        src = sample_n(df, theta_sample, unit=unit, hash_kind="xxhash")
+    theta, means = cuped_theta(src, outcome, covariates)
     adj = cuped_adjusted(df.select(treatment, outcome, *covariates), outcome, covariates, theta, means)
     return ate(adj, f"{outcome}_cuped", treatment, alpha, with_p, variant="CUPED Adjusted")
 
