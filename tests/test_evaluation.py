@@ -72,3 +72,18 @@ def test_histogram_counts_sum(spark):
     pdf = planted(1000, 5)
     h = ranking.cate_histogram(spark.createDataFrame(pdf), bins=50).toPandas()
     assert h.n.sum() == 1000 and h.bin.max() == 49
+
+
+def test_tie_aware_qini_matches_row_curve_at_boundaries(spark):
+    rng = np.random.default_rng(3)
+    n = 3000
+    pdf = pd.DataFrame({"unit_id": np.arange(n), "score": np.floor(rng.random(n) * 6) / 6,
+                        "treatment": rng.integers(0, 2, n), "conversion": rng.integers(0, 2, n)})
+    q, _ = numpy_qini(pdf.treatment.to_numpy(), pdf.conversion.to_numpy(), pdf.score.to_numpy(),
+                      pdf.unit_id.to_numpy())
+    ties = ranking.qini_tie_aware(spark.createDataFrame(pdf), rows_per_bucket=2).toPandas().sort_values("n_cum")
+    assert len(ties) == 6 and ties.n_cum.iloc[-1] == n
+    assert np.allclose(ties.qini.to_numpy(), q[ties.n_cum.to_numpy() - 1], atol=1e-9)  # equal at tie ends
+    x = np.concatenate([[0.0], ties.population_pct.to_numpy()])
+    y = np.concatenate([[0.0], ties.qini.to_numpy()])
+    assert abs(ties.auuc.iloc[0] - np.sum((x[1:] - x[:-1]) * (y[1:] + y[:-1]) / 2)) < 1e-9

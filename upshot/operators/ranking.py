@@ -257,3 +257,49 @@ def bootstrap_qini(scored: DataFrame, score: str = "score", treatment: str = "tr
             .select("point", F.col("x").alias("population_pct"), "y_mean",
                     F.col("_p")[0].alias("y_lower_95ci"), F.col("_p")[1].alias("y_upper_95ci"),
                     "auuc_mean", "auuc_std"))
+
+
+def qini_tie_aware(scored: DataFrame, score: str = "score", treatment: str = "treatment",
+                   outcome: str = "conversion", rows_per_bucket: int = 2_000_000) -> DataFrame:
+    """Qini curve evaluated only at tie boundaries: one point per distinct score (order independent).
+
+    Rows are first aggregated per distinct score (partial aggregation; a hot
+    score collapses to one row), then running sums over the distinct scores in
+    descending order use range partitions with prefix offsets, as in
+    ``qini_rows``. Columns: score, n_cum, population_pct (n_cum / n), qini, auuc
+    (trapezoid over the boundary points starting at (0, 0)).
+    """
+    t = F.col(treatment).cast("long")
+    y = F.col(outcome).cast("double")
+    per = (scored.where(F.col(score).isNotNull())
+           .groupBy(F.col(score).cast("double").alias(score))
+           .agg(F.sum(y * t).alias("yt"), F.sum(t).alias("nt"), F.sum(y * (1 - t)).alias("yc"),
+                F.sum(1 - t).alias("nc")))
+    n_distinct = per.count()
+    n_ranges = max(1, -(-n_distinct // max(rows_per_bucket, 1)))
+    ranged = per.repartitionByRange(n_ranges, F.desc(score)).withColumn("_bucket", F.spark_partition_id())
+    parts = ["yt", "nt", "yc", "nc"]
+    totals = ranged.groupBy("_bucket").agg(*[F.sum(p).alias(p) for p in parts])
+    prior = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_bucket", *[F.coalesce(F.sum(p).over(prior), F.lit(0)).alias(f"{p}_off") for p in parts])
+    run = Window.partitionBy("_bucket").orderBy(F.desc(score)).rowsBetween(Window.unboundedPreceding, 0)
+    joined = ranged.join(F.broadcast(offsets) if n_ranges <= MAX_BROADCAST_RANGES else offsets, "_bucket")
+    cum = joined.select("_bucket", score, *[(F.sum(p).over(run) + F.col(f"{p}_off")).alias(p) for p in parts])
+    n_t, n_c = F.col("nt"), F.col("nc")
+    total = per.agg((F.sum("nt") + F.sum("nc")).alias("_n"))
+    pts = (cum.crossJoin(F.broadcast(total))
+           .select("_bucket", score, (n_t + n_c).alias("n_cum"), ((n_t + n_c) / F.col("_n")).alias("population_pct"),
+                   ((F.col("yt") / F.greatest(n_t, F.lit(1)) - F.col("yc") / F.greatest(n_c, F.lit(1)))
+                    * (n_t + n_c)).alias("qini")))
+    # Trapezoid from (0, 0): the previous point is the lag inside the range, or the last point of
+    # the previous range (one row per range), so no window spans all distinct scores.
+    last = pts.groupBy("_bucket").agg(F.max_by(F.struct("population_pct", "qini"), "n_cum").alias("_last"))
+    prev_last = last.select("_bucket", F.lag("_last").over(Window.orderBy("_bucket")).alias("_prev"))
+    inner = Window.partitionBy("_bucket").orderBy(F.desc(score))
+    seg = (pts.join(F.broadcast(prev_last) if n_ranges <= MAX_BROADCAST_RANGES else prev_last, "_bucket")
+           .withColumn("_lp", F.lag(F.struct("population_pct", "qini")).over(inner))
+           .withColumn("_p", F.coalesce("_lp", "_prev", F.struct(F.lit(0.0).alias("population_pct"),
+                                                                  F.lit(0.0).alias("qini")))))
+    area = seg.agg(F.sum((F.col("population_pct") - F.col("_p.population_pct"))
+                         * (F.col("qini") + F.col("_p.qini")) / 2).alias("auuc"))
+    return pts.crossJoin(area).select(score, "n_cum", "population_pct", "qini", "auuc")

@@ -103,3 +103,22 @@ def q_segment_dim(spark, sf):
     tree = learners.surrogate_tree(test, FEATURES, score="score", max_depth=5)
     prof = segments.segment_profile(test, FEATURES, top=TOP_SHARE)
     return rnd(segments.segment_dim(prof, learners.feature_importance(tree, FEATURES)))
+
+
+@register("qini_tie_aware", experiment_cte() + f"""
+, s AS (SELECT floor(f0 / 50000) / 10.0 - 0.3 AS score, treatment, CAST(conversion AS DOUBLE) AS y FROM experiment)
+, per AS (SELECT score, sum(y * treatment) AS yt, CAST(sum(treatment) AS BIGINT) AS nt,
+            sum(y * (1 - treatment)) AS yc, CAST(sum(1 - treatment) AS BIGINT) AS nc FROM s GROUP BY score)
+, cum AS (SELECT score, sum(yt) OVER w AS yt, sum(nt) OVER w AS nt, sum(yc) OVER w AS yc, sum(nc) OVER w AS nc
+          FROM per WINDOW w AS (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+, tot AS (SELECT sum(nt) + sum(nc) AS n FROM per)
+, pts AS (SELECT score, CAST(nt + nc AS BIGINT) AS n_cum, (nt + nc) / n AS population_pct,
+            (yt / greatest(nt, 1) - yc / greatest(nc, 1)) * (nt + nc) AS qini FROM cum, tot)
+, lg AS (SELECT *, coalesce(lag(population_pct) OVER (ORDER BY score DESC), 0.0) AS px,
+            coalesce(lag(qini) OVER (ORDER BY score DESC), 0.0) AS py FROM pts)
+, ar AS (SELECT sum((population_pct - px) * (qini + py) / 2) AS auuc FROM lg)
+SELECT score, n_cum, {R('population_pct')} AS population_pct, {R('qini')} AS qini, {R('auuc')} AS auuc FROM pts, ar
+""")
+def q_qini_ties(spark, sf):
+    s = experiment(spark, sf).withColumn("score", F.floor(F.col("f0") / 50000) / 10.0 - 0.3)
+    return rnd(ranking.qini_tie_aware(s), keep=("score",))
