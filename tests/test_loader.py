@@ -43,3 +43,13 @@ def test_validation_cli(spark, tmp_path):
     srm, balance, worst = validate_cli.run(spark, path)
     assert srm.first()["valid"]
     assert [r["feature"] for r in worst.collect()] == ["f1"]
+
+
+def test_baseline_cli(spark, tmp_path):
+    from upshot.plans import baseline_cli
+    path = str(tmp_path / "b.parquet")
+    pd.DataFrame({"treatment": [0] * 100 + [1] * 100,
+                  "conversion": [1] * 10 + [0] * 90 + [1] * 15 + [0] * 85}).to_parquet(path)
+    rows = baseline_cli.run(spark, path).collect()
+    assert [r["n_obs"] for r in rows] == [100, 100]
+    assert abs(rows[1]["relative_lift_pct"] - 50.0) < 1e-9
