@@ -95,18 +95,21 @@ def archetype_summary(classified: DataFrame, score: str = "score", baseline: str
 
 
 def stratified_sample(df: DataFrame, label: str = "archetype_label", n: int = 50000, unit: str = "unit_id",
-                      seed: int = 42, hash_kind: str = "lcg") -> DataFrame:
+                      seed: int = 42, hash_kind: str = "lcg", persist_input: bool = True) -> DataFrame:
     """Proportional stratified sample without replacement, exact size min(n, total).
 
     Quota per stratum: min(size, max(1, round_half_even(n * size / total))); if
     the quotas overshoot n the union is trimmed to n by a second hash.
     Rows are chosen by the smallest hash of the unit id within each stratum,
     so the sample is reproducible and retry-safe. Adds ``row_id`` 0..n-1.
-    Eager: the input is read once (persisted for the duration of the call);
-    the bounded result (n rows) is checkpointed to the shared checkpoint folder.
+    Eager: the input is read once (persisted for the duration of the call, unless
+    ``persist_input=False`` because it is already materialised); the bounded result
+    (n rows) is checkpointed to the shared checkpoint folder.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    keyed = df.withColumn("_u", unit_uniform(unit, seed, hash_kind)).persist(StorageLevel.MEMORY_AND_DISK)
+    keyed = df.withColumn("_u", unit_uniform(unit, seed, hash_kind))
+    if persist_input:
+        keyed = keyed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         sizes = bounded(keyed.groupBy(label).agg(F.count(F.lit(1)).alias("_size")))  # one row per stratum
         total = sizes.agg(F.sum("_size").alias("_total"))

@@ -128,7 +128,8 @@ class ExperimentReport:
     def uplift_sample(self) -> DataFrame:
         keep = ["unit_id", "treatment", "conversion", "visit", *self.cfg.profile_features, "uplift_score",
                 "baseline_conversion_prob", "archetype_label", "persuadable_flag"]
-        return segments.stratified_sample(self.classified.select(*keep), n=self.cfg.sample_size)
+        # the scored split is already a checkpoint: read it again rather than persist a copy
+        return segments.stratified_sample(self.classified.select(*keep), n=self.cfg.sample_size, persist_input=False)
 
     def policy_comparison(self) -> DataFrame:
         c = self.cfg
