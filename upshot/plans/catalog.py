@@ -1,9 +1,7 @@
-"""Registered queries: each reads the driver tables (whole) and returns a DataFrame.
+"""Core registered queries: validation, effects and ranking over the whole driver tables.
 
-``QUERIES[name](spark, sf_dir)`` is the Spark plan; ``ORACLE[name]`` is the
-same question in plain SQL over the pre-registered tables, used as the
-correctness oracle. Queries whose semantics SQL cannot express (learners,
-bandits, bootstrap, p-values, streams) have no oracle entry.
+Other families live in ``q_*.py``; ``all_queries`` imports them all. See
+``registry.py`` for the registry and the shared helpers.
 
 The model-free score used where no learner is involved is
 ``f0 / 500000.0 - 0.3`` (rank-correct for the planted effect).
@@ -11,7 +9,6 @@ The model-free score used where no learner is involved is
 
 from __future__ import annotations
 
-
 from upshot.functions.dist import chi2_1dof_critical
 from upshot.operators import effects, ranking, validation
 from upshot.plans.registry import (COST, ORACLE, QUERIES, R, SCORED_CTE, VALUE, Z95, register, rnd,  # noqa: F401
