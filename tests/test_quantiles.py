@@ -21,3 +21,19 @@ def test_hot_value_third_of_rows(spark):
     x = np.concatenate([np.full(3000, 5.0), rng.normal(size=6000)])
     res = quantiles(spark.createDataFrame(pd.DataFrame({"x": x})), "x", [0.2, 0.5, 0.8], accuracy=200).toPandas()
     assert np.allclose(np.quantile(x, [0.2, 0.5, 0.8]), res.sort_values("q_idx").value.to_numpy())
+
+
+def test_count_sorted_long_arrays_match_filter(spark):
+    from pyspark.sql import functions as F
+
+    from upshot.functions.quantiles import count_sorted
+    rng = np.random.default_rng(5)
+    for n in (1, 7, 64, 65, 999, 1000, 1030):
+        edges = np.sort(np.round(rng.normal(size=n), 1))   # duplicates included
+        vals = np.concatenate([edges[:20], rng.normal(size=200), [-99.0, 99.0]])
+        df = spark.createDataFrame(pd.DataFrame({"v": vals})).withColumn(
+            "e", F.array(*[F.lit(float(x)) for x in edges]))
+        got = df.select("v", count_sorted("e", "v", n, strict=False).alias("le"),
+                        count_sorted("e", "v", n, strict=True).alias("lt")).toPandas()
+        assert (got["le"].to_numpy() == np.searchsorted(edges, got.v.to_numpy(), side="right")).all(), n
+        assert (got["lt"].to_numpy() == np.searchsorted(edges, got.v.to_numpy(), side="left")).all(), n

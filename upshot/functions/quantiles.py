@@ -120,23 +120,32 @@ def count_sorted(edges, value, n: int, strict: bool) -> Column:
 
     A binary search written as nested CASE over element positions: about
     log2(n) comparisons per row, all inside whole-stage codegen (an
-    interpreted ``filter`` lambda would touch every element).
+    interpreted ``filter`` lambda would touch every element). Long arrays use
+    two levels - blocks of 32 by their last element, then positions inside the
+    block at a data-dependent base - so the expression stays small.
     """
     e = F.col(edges) if isinstance(edges, str) else edges
     v = F.col(value) if isinstance(value, str) else value
-    if n > 512:  # keep generated code small for very long edge arrays
-        return F.size(F.filter(e, (lambda x: x < v) if strict else (lambda x: x <= v)))
 
-    def below(i: int) -> Column:
-        return e.getItem(i) < v if strict else e.getItem(i) <= v
+    def below(item: Column) -> Column:
+        return item < v if strict else item <= v
 
-    def search(lo: int, hi: int) -> Column:
+    def search(at, lo: int, hi: int) -> Column:
         if lo == hi:
             return F.lit(lo)
         mid = (lo + hi) // 2
-        return F.when(below(mid), search(mid + 1, hi)).otherwise(search(lo, mid))
-
-    return search(0, n)
+        return F.when(below(at(mid)), search(at, mid + 1, hi)).otherwise(search(at, lo, mid))
+
+    if n <= 64:
+        return search(lambda i: e.getItem(i), 0, n)
+    block = 32
+    full = n // block
+    # level 1: full blocks whose last element is below the value
+    blocks_below = search(lambda k: e.getItem(k * block + block - 1), 0, full)
+    base = blocks_below * F.lit(block)
+    # level 2: inside the next block (positions past the end read null, i.e. "not below")
+    inner = search(lambda j: F.get(e, base + F.lit(j)), 0, block)   # get(): null past the end
+    return base + inner
 
 
 def bin_of(value, edges, n: int | None = None) -> Column:
