@@ -143,3 +143,21 @@ def test_xlearner_recovers_planted_sign(spark):
     out = m.predict(df).toPandas()
     hi, lo = out[out.f0 > 0.5].uplift_score.mean(), out[out.f0 <= 0.5].uplift_score.mean()
     assert hi > 0.2 and lo < 0.0
+
+
+def test_bandit_trajectory_matches_pandas_cumsum(spark):
+    rng = np.random.default_rng(50)
+    n = 3000
+    pdf = pd.DataFrame({"unit_id": np.arange(n), "f0": rng.random(n), "f1": rng.random(n),
+                        "treatment": rng.integers(0, 2, n), "conversion": (rng.random(n) < 0.2).astype(int)})
+    agent = bandit.BatchedLinUCB(["f0", "f1"], value=10.0, cost=0.5)
+    stream = agent.prepare(spark.createDataFrame(pdf), n_rounds=5)
+    agent.run(stream)
+    dec = agent.decisions(stream).toPandas()
+    m = dec[dec.chosen == dec.arm].sort_values(["round", "order_key", "unit"])
+    cum = m.reward.cumsum().to_numpy()
+    traj = agent.trajectory(stream, baseline_profit=0.3, n_points=50, buckets=4).toPandas().sort_values("impression_index")
+    assert len(traj) == 50 and traj.impression_index.iloc[-1] == len(m) - 1
+    assert np.allclose(traj.cumulative_profit_bandit.to_numpy(), cum[traj.impression_index.to_numpy()], atol=1e-9)
+    assert np.allclose(traj.cumulative_profit_baseline, (traj.impression_index + 1) * 0.3)
+    assert abs(cum[-1] - agent.summary(spark).first()["cumulative_reward"]) < 1e-9
