@@ -26,15 +26,29 @@ from upshot.functions.columns import realised_profit, unit_uniform
 from upshot.session import scratch_path
 
 
-def _ucb_expr(xs: list[Column], theta: np.ndarray, a_inv: np.ndarray, alpha: float) -> Column:
+def _ucb_coefs(theta: np.ndarray, a_inv: np.ndarray) -> tuple[list[float], list[float]]:
+    """Mean coefficients and the upper-triangle quadratic-form coefficients (off-diagonal doubled)."""
+    d = len(theta)
+    quad = [float(a_inv[i, j] * (1.0 if i == j else 2.0)) for i in range(d) for j in range(i, d)]
+    return [float(t) for t in theta], quad
+
+
+def _ucb_expr(xs: list[Column], mean_c, quad_c, alpha: float) -> Column:
+    """theta.x + alpha * sqrt(x' A^-1 x) from coefficient literals (lists of floats) or array columns.
+
+    The same expression shape is used both ways, so a replay round and the later
+    decision pass compute bit-identical scores.
+    """
     d = len(xs)
-    mean = sum((F.lit(float(theta[i])) * xs[i] for i in range(d)), F.lit(0.0))
-    quad = F.lit(0.0)
+    at = (lambda c, k: F.lit(c[k])) if isinstance(mean_c, list) else (lambda c, k: c.getItem(k))
+    mean = F.lit(0.0)
+    for i in range(d):
+        mean = mean + at(mean_c, i) * xs[i]
+    quad, k = F.lit(0.0), 0
     for i in range(d):
         for j in range(i, d):
-            coef = a_inv[i, j] * (1.0 if i == j else 2.0)
-            if coef != 0.0:
-                quad = quad + F.lit(float(coef)) * xs[i] * xs[j]
+            quad = quad + at(quad_c, k) * xs[i] * xs[j]
+            k += 1
     return mean + F.lit(float(alpha)) * F.sqrt(F.greatest(quad, F.lit(0.0)))
 
 
@@ -87,21 +101,21 @@ class BatchedLinUCB:
         return df.sparkSession.read.parquet(path)
 
     # -- replay -------------------------------------------------------------------
-    def _choice(self, theta, a_inv) -> Column:
+    def _choice(self, c0, c1) -> Column:
+        """Arm with the larger UCB (ties pick arm 0, as argmax); c0/c1 = (mean, quad) coefficients."""
         xs = [F.col(f"x{i}") for i in range(len(self.features))]
-        u0 = _ucb_expr(xs, theta[0], a_inv[0], self.alpha)
-        u1 = _ucb_expr(xs, theta[1], a_inv[1], self.alpha)
-        return F.when(u1 > u0, F.lit(1)).otherwise(F.lit(0))  # ties pick arm 0 (argmax)
+        u0 = _ucb_expr(xs, c0[0], c0[1], self.alpha)
+        u1 = _ucb_expr(xs, c1[0], c1[1], self.alpha)
+        return F.when(u1 > u0, F.lit(1)).otherwise(F.lit(0))
 
     def run(self, stream: DataFrame) -> "BatchedLinUCB":
         d = len(self.features)
         rounds = sorted(r[0] for r in stream.select("round").distinct().collect())  # bounded by n_rounds
         xs = [F.col(f"x{i}") for i in range(d)]
         for r in rounds:
-            theta = [_solve(self.A[a], self.b[a]) for a in (0, 1)]
-            a_inv = [np.linalg.pinv(self.A[a]) for a in (0, 1)]
-            self.params.append((r, theta, a_inv))
-            rows = stream.where(F.col("round") == r).withColumn("chosen", self._choice(theta, a_inv))
+            coefs = [_ucb_coefs(_solve(self.A[a], self.b[a]), np.linalg.pinv(self.A[a])) for a in (0, 1)]
+            self.params.append((int(r), coefs))
+            rows = stream.where(F.col("round") == r).withColumn("chosen", self._choice(coefs[0], coefs[1]))
             aggs = [F.count(F.lit(1)).alias("n"), F.sum("reward").alias("rsum")]
             aggs += [F.sum(xs[i] * xs[j]).alias(f"xx{i}_{j}") for i in range(d) for j in range(i, d)]
             aggs += [F.sum(F.col("reward") * xs[i]).alias(f"rx{i}") for i in range(d)]
@@ -148,12 +162,19 @@ class BatchedLinUCB:
              for r in self.rounds], "round int, matched long, reward double, matched_treatment long")
 
     def decisions(self, stream: DataFrame) -> DataFrame:
-        """Every event with the arm chosen by its round's parameters (one pass, one CASE per round)."""
-        expr = None
-        for r, theta, a_inv in self.params:
-            c = self._choice(theta, a_inv)
-            expr = F.when(F.col("round") == r, c) if expr is None else expr.when(F.col("round") == r, c)
-        return stream.withColumn("chosen", expr if expr is not None else F.lit(0))
+        """Every event with the arm chosen by its round's parameters.
+
+        The parameters are a small table (one row per round) joined on the round;
+        the UCB expression reads them by position, so its size does not grow with
+        the number of rounds.
+        """
+        spark = stream.sparkSession
+        params = spark.createDataFrame(
+            [(r, c[0][0], c[0][1], c[1][0], c[1][1]) for r, c in self.params],
+            "round int, m0 array<double>, q0 array<double>, m1 array<double>, q1 array<double>")
+        joined = stream.join(F.broadcast(params), "round")   # one row per round
+        chosen = self._choice((F.col("m0"), F.col("q0")), (F.col("m1"), F.col("q1")))
+        return joined.withColumn("chosen", chosen).drop("m0", "q0", "m1", "q1")
 
     def trajectory(self, stream: DataFrame, baseline_profit: float, n_points: int = 2000,
                    buckets: int = 256) -> DataFrame:

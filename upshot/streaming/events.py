@@ -191,7 +191,7 @@ def stream_score(spark: SparkSession, sf_dir: str, scorer, value: float = 10.0,
 def stream_linucb(spark: SparkSession, sf_dir: str, alpha: float = 1.0, value: float = 10.0, cost: float = 0.10,
                   scales=(100.0, 10.0), path: str | None = None) -> DataFrame:
     """Batched LinUCB with one round per micro-batch; state (A, b per arm) keyed by batch_id."""
-    from upshot.operators.bandit import _solve, _ucb_expr
+    from upshot.operators.bandit import _solve, _ucb_coefs, _ucb_expr
     from upshot.functions.columns import realised_profit
     path = path or scratch_path(spark, f"stream-linucb-{uuid.uuid4().hex}")
     d = len(EVENT_FEATURES)
@@ -211,10 +211,9 @@ def stream_linucb(spark: SparkSession, sf_dir: str, alpha: float = 1.0, value: f
     def step(batch: DataFrame, batch_id: int) -> None:
         A, b, matched, reward = load_state(batch_id)
         xs = [F.col(f) / F.lit(s) for f, s in zip(EVENT_FEATURES, scales)]
-        theta = [_solve(A[a], b[a]) for a in (0, 1)]
-        a_inv = [np.linalg.pinv(A[a]) for a in (0, 1)]
-        u0 = _ucb_expr(xs, theta[0], a_inv[0], alpha)
-        u1 = _ucb_expr(xs, theta[1], a_inv[1], alpha)
+        c0, c1 = [_ucb_coefs(_solve(A[a], b[a]), np.linalg.pinv(A[a])) for a in (0, 1)]
+        u0 = _ucb_expr(xs, c0[0], c0[1], alpha)
+        u1 = _ucb_expr(xs, c1[0], c1[1], alpha)
         rows = batch.select(*[x.alias(f"x{i}") for i, x in enumerate(xs)], F.col("treatment").alias("arm"),
                             realised_profit(F.col("conversion"), F.col("treatment"), value, cost).alias("r"),
                             F.when(u1 > u0, 1).otherwise(0).alias("chosen"))
