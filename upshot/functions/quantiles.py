@@ -15,9 +15,10 @@ instead:
    running count inside each (group, quantile) bucket.
 
 The two small intermediate tables (edges per group; target buckets per group
-and probability) are materialised as local relations (their size is fixed by
-the groups and probabilities), so the base is scanned once per pass and not
-once per branch. The function is therefore eager for those two jobs.
+and probability) are materialised once - as local relations when small, as
+checkpoints otherwise (see ``functions/materialize.py``) - so the base is
+scanned once per pass and not once per branch. The function is therefore
+eager for those two jobs.
 
 The result equals NumPy/DuckDB ``linear`` quantiles: h = (n-1) p,
 q = x[floor h] + (h - floor h) (x[floor h + 1] - x[floor h]).
@@ -53,8 +54,8 @@ def quantiles(df: DataFrame, value: str, probs, by=(), accuracy: int = 100000,
     n_edges = len(edge_p)
 
     ensure_checkpoint_dir(df.sparkSession)
-    # Pass 1: approximate edges per group (bounded sketch per group). The result
-    # has one row per group; checkpointing it keeps later passes from re-running it.
+    # Pass 1: approximate edges per group (bounded sketch per group). The result has
+    # one row per group; materialising it keeps later passes from re-running it.
     stats = (bounded if by else small)(base.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"),
                                   F.percentile_approx("_v", edge_p, accuracy).alias("_e")))
 
