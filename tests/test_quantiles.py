@@ -37,3 +37,18 @@ def test_count_sorted_long_arrays_match_filter(spark):
                         count_sorted("e", "v", n, strict=True).alias("lt")).toPandas()
         assert (got["le"].to_numpy() == np.searchsorted(edges, got.v.to_numpy(), side="right")).all(), n
         assert (got["lt"].to_numpy() == np.searchsorted(edges, got.v.to_numpy(), side="left")).all(), n
+
+
+def test_approx_method_runs_through_operators(spark):
+    from upshot.operators import monitor, policy, ranking, segments
+    rng = np.random.default_rng(8)
+    n = 3000
+    pdf = pd.DataFrame({"unit_id": np.arange(n), "score": rng.normal(size=n), "treatment": rng.integers(0, 2, n),
+                        "conversion": rng.integers(0, 2, n), "f0": rng.normal(size=n)})
+    df = spark.createDataFrame(pdf)
+    d_exact = ranking.decile_stats(df).toPandas().sort_values("decile")
+    d_apx = ranking.decile_stats(df, method="approx").toPandas().sort_values("decile")
+    assert d_apx.n_obs.sum() == n and (abs(d_apx.n_obs.to_numpy() - d_exact.n_obs.to_numpy()) <= 5).all()
+    assert segments.segment_profile(df, ["f0"], method="approx").count() == 1
+    assert policy.greedy_decision(df, method="approx").where("greedy_bid").count() in range(440, 461)
+    assert monitor.psi(df, df, ["f0"], method="approx").first()["psi"] < 1e-6

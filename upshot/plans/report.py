@@ -39,6 +39,7 @@ class ReportConfig:
     sample_size: int = 50000
     periods: int = 8
     run_date: str = "1970-01-01"
+    quantile_method: str = "exact"     # "approx" = one percentile_approx pass per quantile set
     profile_features: list[str] = field(default_factory=list)
 
 
@@ -107,7 +108,7 @@ class ExperimentReport:
         return effects.statistics_results(self.ate, self.cuped)
 
     def decile_stats(self) -> DataFrame:
-        d = ranking.decile_stats(self.scored, score="uplift_score")
+        d = ranking.decile_stats(self.scored, score="uplift_score", method=self.cfg.quantile_method)
         return d.fillna(0.0, ["mean_y_control", "mean_y_treatment", "actual_lift"])
 
     def qini_curve_data(self) -> DataFrame:
@@ -120,7 +121,8 @@ class ExperimentReport:
         return learners.tree_rules(self.surrogate, self.cfg.features)
 
     def segment_profile(self) -> DataFrame:
-        return segments.segment_profile(self.scored, self.cfg.features, score="uplift_score", top=self.cfg.top_share)
+        return segments.segment_profile(self.scored, self.cfg.features, score="uplift_score", top=self.cfg.top_share,
+                                        method=self.cfg.quantile_method)
 
     def archetype_summary(self) -> DataFrame:
         return segments.archetype_summary(self.classified, score="uplift_score", value=self.cfg.value, cost=self.cfg.cost)
@@ -133,7 +135,7 @@ class ExperimentReport:
 
     def policy_comparison(self) -> DataFrame:
         c = self.cfg
-        s = policy.greedy_decision(self.scored, "uplift_score", top=c.top_share)
+        s = policy.greedy_decision(self.scored, "uplift_score", top=c.top_share, method=c.quantile_method)
         specs = [(1, "A/B Random (Baseline)", F.col("treatment") == 1, "Treat as logged. No targeting."),
                  (2, "Uplift Model (Greedy)", F.col("greedy_bid"), f"Target top {int(c.top_share * 100)}% by uplift."),
                  (3, "Uplift Threshold", bid_decision("uplift_score", c.value, c.cost), "Bid when uplift x value > cost.")]
@@ -161,7 +163,7 @@ class ExperimentReport:
         return monitor.monitor_periods(self.periods, score="uplift_score", value=self.cfg.value, cost=self.cfg.cost)
 
     def psi_scores(self) -> DataFrame:
-        p = monitor.psi(self.train, self.periods, self.cfg.features, by=["period"])
+        p = monitor.psi(self.train, self.periods, self.cfg.features, by=["period"], method=self.cfg.quantile_method)
         return p.select(F.col("period").alias("week"), "feature", "psi", "rag_status")
 
     def drift_simulation(self) -> DataFrame:

@@ -45,6 +45,7 @@ def main(argv=None, spark=None) -> DataFrame:
     ap.add_argument("--bootstraps", type=int, default=20)
     ap.add_argument("--sample-size", type=int, default=50000)
     ap.add_argument("--run-date", default="1970-01-01")
+    ap.add_argument("--quantiles", default="exact", choices=["exact", "approx"])
     a = ap.parse_args(argv)
     spark = spark or local_session()
     if a.input:
@@ -55,7 +56,7 @@ def main(argv=None, spark=None) -> DataFrame:
         exp, feats, profile = experiment(spark, a.sf_dir), FEATURES, ["f2", "f3", "f4"]
     cfg = ReportConfig(features=feats, value=a.value, cost=a.cost, n_estimators=a.n_estimators,
                        max_depth=a.max_depth, bootstraps=a.bootstraps, sample_size=a.sample_size,
-                       profile_features=profile, run_date=a.run_date)
+                       profile_features=profile, run_date=a.run_date, quantile_method=a.quantiles)
     manifest = ExperimentReport(spark, exp, cfg).export(a.out, a.format)
     check = sinks.validate_exports(spark, a.out, a.format)
     print(json.dumps(manifest.first().asDict()))
