@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from upshot.functions.materialize import checkpointed
 from upshot.operators import bandit, effects, learners, policy, ranking, segments, validation
 from upshot.plans.catalog import _MOMENTS_SQL
-from upshot.plans.registry import COST, R, VALUE, register, rnd, scored
+from upshot.plans.registry import COST, R, VALUE, memo, register, rnd, scored
 from upshot.plans.q_segments import split_flag
 from upshot.sources.experiment import EXPECTED_RATIO, FEATURES, experiment, experiment_cte
 
@@ -93,9 +93,11 @@ def q_tlearner(spark, sf):
 
 
 def _xlearner_scored(spark, sf):
-    train, test = _split(spark, sf)
-    m = learners.XLearner(FEATURES, **GBT).fit(train)
-    return m, checkpointed(m.predict(test, "uplift_score", keep_baseline=True))  # scored once, read by every pass
+    def build():
+        train, test = _split(spark, sf)
+        m = learners.XLearner(FEATURES, **GBT).fit(train)
+        return m, checkpointed(m.predict(test, "uplift_score", keep_baseline=True))  # scored once, read by every pass
+    return memo(spark, ("xlearner", sf), build)   # trained once per application for the three queries using it
 
 
 @register("xlearner_deciles")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from upshot.plans.registry import COST, VALUE, register, rnd
+from upshot.plans.registry import COST, VALUE, memo, register, rnd
 from upshot.plans.report import ExperimentReport, ReportConfig
 from upshot.session import scratch_path
 from upshot.sources import sinks
@@ -12,9 +12,11 @@ from upshot.sources.experiment import FEATURES, experiment
 
 
 def _report(spark, sf):
-    cfg = ReportConfig(features=FEATURES, value=VALUE, cost=COST, n_estimators=20, max_depth=4,
-                       profile_features=["f2", "f3", "f4"], run_date="2024-01-31")
-    return ExperimentReport(spark, experiment(spark, sf), cfg).build()
+    def build():
+        cfg = ReportConfig(features=FEATURES, value=VALUE, cost=COST, n_estimators=20, max_depth=4,
+                           profile_features=["f2", "f3", "f4"], run_date="2024-01-31")
+        return ExperimentReport(spark, experiment(spark, sf), cfg).build()
+    return memo(spark, ("report", sf), build)
 
 
 @register("experiment_summary")

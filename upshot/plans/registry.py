@@ -47,3 +47,17 @@ def rnd(df: DataFrame, digits: int = 6, keep=()) -> DataFrame:
 
 def R(expr: str, digits: int = 6) -> str:
     return fixed_sql(expr, digits)
+
+
+_MEMO: dict = {}
+
+
+def memo(spark: SparkSession, key: tuple, build):
+    """Reuse a trained artefact (model, scored checkpoint, built report) within one Spark application.
+
+    Keyed on the application id, so a new session never sees objects of a stopped one.
+    """
+    full = (spark.sparkContext.applicationId, *key)
+    if full not in _MEMO:
+        _MEMO[full] = build()
+    return _MEMO[full]
