@@ -116,8 +116,10 @@ def q_propensity(spark, sf):
 
 
 def _surrogate(spark, sf, depth=5):
-    _, test = _split(spark, sf)
-    return learners.surrogate_tree(test, FEATURES, score="score", max_depth=depth, min_samples_leaf=50)
+    def build():
+        _, test = _split(spark, sf)
+        return learners.surrogate_tree(test, FEATURES, score="score", max_depth=depth, min_samples_leaf=50)
+    return memo(spark, ("surrogate", sf, depth), build)
 
 
 @register("surrogate_tree_rules")
@@ -156,10 +158,12 @@ def q_score_bid(spark, sf):
 
 
 def _bandit(spark, sf):
-    _, test = _split(spark, sf)
-    agent = bandit.BatchedLinUCB(FEATURES, alpha=1.0, value=VALUE, cost=COST)
-    stream = agent.prepare(test, n_rounds=10, standardize=True)
-    return agent.run(stream), stream, test
+    def build():
+        _, test = _split(spark, sf)
+        agent = bandit.BatchedLinUCB(FEATURES, alpha=1.0, value=VALUE, cost=COST)
+        stream = agent.prepare(test, n_rounds=10, standardize=True)
+        return agent.run(stream), stream, test
+    return memo(spark, ("linucb", sf), build)
 
 
 @register("linucb_replay")
