@@ -61,3 +61,11 @@ def test_late_rows_beyond_watermark_are_dropped(spark, tmp_path):
     first_window = sum(1 for i in range(40) if (start + dt.timedelta(days=i % 28)).date() < dt.date(2024, 1, 4))
     assert out.n_events.iloc[0] == first_window       # the late rows never reached the closed window
     assert out.n_events.sum() == 40 + 5               # week-5 rows counted, late rows dropped
+
+
+def test_stream_linucb_first_round_picks_control(spark):
+    """One micro-batch: both arms start equal, ties pick arm 0, so matches = control events."""
+    out = st.stream_linucb(spark, SF).toPandas()
+    ev = st.event_columns(read_table(spark, SF, "events"))
+    n_control = ev.where("treatment = 0").count()
+    assert len(out) == 1 and out.matched.iloc[0] == n_control
