@@ -108,10 +108,10 @@ def stream_monitor(spark: SparkSession, sf_dir: str, value: float = 10.0, cost:
 
 
 def stream_srm(spark: SparkSession, sf_dir: str, expected_ratio: float = 0.85, alpha: float = 0.001,
-               path: str | None = None) -> DataFrame:
+               path: str | None = None, glob: str | None = None) -> DataFrame:
     """Per window: arm counts, chi-square against the expected split and the verdict."""
     path = path or scratch_path(spark, f"stream-srm-{uuid.uuid4().hex}")
-    ev = windowed(event_columns(event_stream(spark, sf_dir)))
+    ev = windowed(event_columns(event_stream(spark, sf_dir, glob=glob)))
     agg = ev.groupBy("w").agg(F.count(F.when(F.col("treatment") == 0, 1)).alias("n_control"),
                               F.count(F.when(F.col("treatment") == 1, 1)).alias("n_treatment")).select(
         F.unix_seconds("w.start").alias("window_start"), "n_control", "n_treatment")
@@ -130,11 +130,11 @@ def reference_edges(reference: DataFrame, n_bins: int = 10) -> DataFrame:
 
 
 def stream_psi(spark: SparkSession, sf_dir: str, edges: DataFrame, n_bins: int = 10,
-               path: str | None = None) -> DataFrame:
+               path: str | None = None, glob: str | None = None) -> DataFrame:
     """Windowed bin counts per feature against frozen reference edges; PSI from the counts."""
     path = path or scratch_path(spark, f"stream-psi-{uuid.uuid4().hex}")
     e = edges.collect()  # one row per feature: bounded
-    ev = windowed(event_columns(event_stream(spark, sf_dir)))
+    ev = windowed(event_columns(event_stream(spark, sf_dir, glob=glob)))
     long = ev.select("w", F.explode(F.array(*[
         F.struct(F.lit(r["feature"]).alias("feature"), F.col(r["feature"]).alias("value"),
                  F.array(*[F.lit(float(x)) for x in r["edges"]]).alias("edges")) for r in e])).alias("r"))
@@ -175,10 +175,10 @@ def with_ref_counts(reference: DataFrame, edges: DataFrame, n_bins: int = 10) ->
 
 
 def stream_score(spark: SparkSession, sf_dir: str, scorer, value: float = 10.0, cost: float = 0.10,
-                 path: str | None = None) -> DataFrame:
+                 path: str | None = None, glob: str | None = None) -> DataFrame:
     """Stateless scoring + BID decision appended to a Parquet sink (``scorer``: DataFrame -> DataFrame)."""
     path = path or scratch_path(spark, f"stream-score-{uuid.uuid4().hex}")
-    ev = scorer(event_columns(event_stream(spark, sf_dir)))
+    ev = scorer(event_columns(event_stream(spark, sf_dir, glob=glob)))
     out = ev.select("event_id", "ts", "uplift_score",
                     (F.col("uplift_score") * value - cost).alias("expected_profit"),
                     F.when(F.col("uplift_score") * value - cost > 0, "BID").otherwise("NO BID").alias("decision"))
@@ -189,7 +189,7 @@ def stream_score(spark: SparkSession, sf_dir: str, scorer, value: float = 10.0,
 
 
 def stream_linucb(spark: SparkSession, sf_dir: str, alpha: float = 1.0, value: float = 10.0, cost: float = 0.10,
-                  scales=(100.0, 10.0), path: str | None = None) -> DataFrame:
+                  scales=(100.0, 10.0), path: str | None = None, glob: str | None = None) -> DataFrame:
     """Batched LinUCB with one round per micro-batch; state (A, b per arm) keyed by batch_id."""
     from upshot.operators.bandit import _solve, _ucb_coefs, _ucb_expr
     from upshot.functions.columns import realised_profit
@@ -232,7 +232,7 @@ def stream_linucb(spark: SparkSession, sf_dir: str, alpha: float = 1.0, value: f
                               "matched long, reward double") \
             .write.mode("overwrite").parquet(f"{path}/state/batch_id_part={batch_id}")
 
-    ev = event_columns(event_stream(spark, sf_dir))
+    ev = event_columns(event_stream(spark, sf_dir, glob=glob))
     q = (ev.writeStream.foreachBatch(step).option("checkpointLocation", f"{path}/checkpoint")
          .trigger(availableNow=True).start())
     q.awaitTermination()
