@@ -81,7 +81,8 @@ def test_stream_linucb_equals_batched_rounds(spark, tmp_path):
     from upshot.operators import bandit
 
     ev = read_table(spark, SF, "events").orderBy("event_id").toPandas()
-    parts = np.array_split(ev, 3)
+    cuts = np.linspace(0, len(ev), 4).astype(int)
+    parts = [ev.iloc[cuts[k]:cuts[k + 1]] for k in range(3)]
     d = tmp_path / "ev"
     d.mkdir()
     for k, part in enumerate(parts):
