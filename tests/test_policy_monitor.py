@@ -67,3 +67,15 @@ def test_report_formatting(spark):
     assert types["smd"] == "float" and types["is_balanced"] == "tinyint"
     r = out.first()
     assert abs(r["abs_smd"] - 0.987654) < 1e-6
+
+
+def test_psi_overflow_option(spark):
+    rng = np.random.default_rng(33)
+    ref = pd.DataFrame({"a": rng.random(2000)})
+    cur = pd.DataFrame({"a": np.concatenate([rng.random(900), np.full(100, 5.0)])})   # 10% out of range
+    r, c = spark.createDataFrame(ref), spark.createDataFrame(cur)
+    dropped = monitor.psi(r, c, ["a"]).first()["psi"]
+    clipped = monitor.psi(r, c, ["a"], overflow="clip").first()["psi"]
+    assert abs(dropped - numpy_psi(ref.a.to_numpy(), cur.a.to_numpy())) < 1e-9
+    capped = np.minimum(cur.a.to_numpy(), ref.a.max())
+    assert abs(clipped - numpy_psi(ref.a.to_numpy(), capped)) < 1e-9 and clipped != dropped

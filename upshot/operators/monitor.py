@@ -52,21 +52,32 @@ def psi_edges(reference: DataFrame, features: list[str], n_bins: int = 10, metho
     return small(arr.select("feature", edges.alias("edges"), "n_ref"), 100_000)  # one row per feature
 
 
-def histogram_bin(value: Column, edges: Column, n_bins: int) -> Column:
-    """``np.histogram`` bin: [e_i, e_{i+1}) with the last bin closed; null outside the edges."""
+def histogram_bin(value: Column, edges: Column, n_bins: int, overflow: str = "drop") -> Column:
+    """``np.histogram`` bin: [e_i, e_{i+1}) with the last bin closed.
+
+    Values outside the edges get no bin (``overflow="drop"``, the reference) or
+    the first / last bin (``overflow="clip"``).
+    """
     first, last = F.element_at(edges, 1), F.element_at(edges, n_bins + 1)
     idx = count_sorted(edges, value, n_bins + 1, strict=False) - 1
-    return (F.when((value < first) | (value > last), F.lit(None).cast("int"))
+    if overflow == "clip":
+        outside_lo, outside_hi = F.lit(0), F.lit(n_bins - 1)
+    elif overflow == "drop":
+        outside_lo = outside_hi = F.lit(None).cast("int")
+    else:
+        raise ValueError("overflow must be 'drop' or 'clip'")
+    return (F.when(value < first, outside_lo).when(value > last, outside_hi)
             .when(value == last, F.lit(n_bins - 1)).otherwise(idx))
 
 
 def psi(reference: DataFrame, current: DataFrame, features: list[str], by: list[str] | None = None,
-        n_bins: int = 10, method: str = "exact") -> DataFrame:
+        n_bins: int = 10, method: str = "exact", overflow: str = "drop") -> DataFrame:
     """Population Stability Index per feature (and per ``by`` group of the current frame).
 
     pct = (count + eps) / (n + eps * bins), with n the size of the frame (values
     outside the reference edges drop out of the counts but stay in n);
     psi = sum((cur - ref) * ln(cur / ref)). Bins missing from a side count 0.
+    ``overflow="clip"`` counts out-of-range current values in the end bins instead.
     """
     by = list(by or [])
     edges = psi_edges(reference, features, n_bins, method)
@@ -76,7 +87,7 @@ def psi(reference: DataFrame, current: DataFrame, features: list[str], by: list[
     cur_long = unpivot(current, features, by).join(F.broadcast(edges.select("feature", "edges")), "feature")
     cur_n = current.groupBy(*by).agg(F.count(F.lit(1)).alias("n_cur")) if by else \
         current.agg(F.count(F.lit(1)).alias("n_cur"))
-    cur_counts = (cur_long.withColumn("bin", histogram_bin(F.col("value"), F.col("edges"), n_bins))
+    cur_counts = (cur_long.withColumn("bin", histogram_bin(F.col("value"), F.col("edges"), n_bins, overflow))
                   .where(F.col("bin").isNotNull()).groupBy(*by, "feature", "bin").agg(F.count(F.lit(1)).alias("cur_c")))
     bins = current.sparkSession.range(n_bins).select(F.col("id").cast("int").alias("bin"))
     grid = (cur_n.crossJoin(edges.select("feature", "n_ref")).crossJoin(bins))
