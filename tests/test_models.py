@@ -161,3 +161,18 @@ def test_bandit_trajectory_matches_pandas_cumsum(spark):
     assert np.allclose(traj.cumulative_profit_bandit.to_numpy(), cum[traj.impression_index.to_numpy()], atol=1e-9)
     assert np.allclose(traj.cumulative_profit_baseline, (traj.impression_index + 1) * 0.3)
     assert abs(cum[-1] - agent.summary(spark).first()["cumulative_reward"]) < 1e-9
+
+
+def test_uplift_estimator_in_pipeline(spark):
+    from pyspark.ml import Pipeline
+
+    from upshot.operators.learners import UpliftEstimator
+    rng = np.random.default_rng(51)
+    n = 1500
+    pdf = pd.DataFrame({"f0": rng.random(n), "f1": rng.random(n), "treatment": rng.integers(0, 2, n),
+                        "conversion": rng.integers(0, 2, n)})
+    df = spark.createDataFrame(pdf)
+    est = UpliftEstimator(featureCols=["f0", "f1"], learner="t", maxIter=3, maxDepth=2, predictionCol="cate")
+    model = Pipeline(stages=[est]).fit(df)
+    out = model.transform(df)
+    assert "cate" in out.columns and out.where("cate IS NULL").count() == 0
