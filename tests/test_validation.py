@@ -51,3 +51,16 @@ def test_srm_on_fail_raise(spark):
         validation.check_srm(df, expected_ratio=0.85, on_fail="raise")
     ok = spark.createDataFrame(pd.DataFrame({"treatment": [1] * 850 + [0] * 150}))
     assert validation.check_srm(ok, on_fail="raise").first()["valid"]
+
+
+def test_integrity_equals_separate_checks(spark):
+    rng = np.random.default_rng(9)
+    t = rng.integers(0, 2, 3000)
+    df = spark.createDataFrame(pd.DataFrame({"treatment": t, "f0": rng.normal(size=3000), "f1": t + rng.normal(size=3000)}))
+    srm, bal = validation.integrity(df, ["f0", "f1"], expected_ratio=0.5)
+    a = srm.first()
+    b = validation.check_srm(df, expected_ratio=0.5, with_p=True).first()
+    assert a["n_control"] == b["n_control"] and abs(a["chi2"] - b["chi2"]) < 1e-12 and a["valid"] == b["valid"]
+    x = {r["feature"]: r["smd"] for r in bal.collect()}
+    y = {r["feature"]: r["smd"] for r in validation.covariate_balance(df, ["f0", "f1"]).collect()}
+    assert all(abs(x[k] - y[k]) < 1e-12 for k in y)

@@ -99,3 +99,38 @@ def imbalanced_features(balance: DataFrame, k: int = 5) -> DataFrame:
     """Features failing the balance check, largest signed SMD first, top ``k``."""
     return (balance.where(~F.col("is_balanced"))
             .orderBy(F.desc("smd"), F.asc("feature")).limit(k))
+
+
+def integrity(df: DataFrame, features: list[str], treatment: str = "treatment", expected_ratio: float = 0.85,
+              alpha: float = 0.001, with_p: bool = True, threshold: float = BALANCE_THRESHOLD):
+    """SRM verdict and covariate balance from ONE scan: arm counts and per-feature moments are a
+    single aggregate, materialised once (one row), and both results are derived from it."""
+    from upshot.functions.materialize import small
+    t = F.col(treatment)
+    aggs = [F.count(F.when(t == 0, 1)).alias("n_control"), F.count(F.when(t == 1, 1)).alias("n_treatment")]
+    for f in features:
+        x = F.col(f).cast("double")
+        aggs += [F.avg(F.when(t == 1, x)).alias(f"{f}__mt"), F.avg(F.when(t == 0, x)).alias(f"{f}__mc"),
+                 F.var_samp(F.when(t == 1, x)).alias(f"{f}__vt"), F.var_samp(F.when(t == 0, x)).alias(f"{f}__vc")]
+    one = small(df.agg(*aggs), 1)
+    n = F.col("n_control") + F.col("n_treatment")
+    e_c = n.cast("double") * F.lit(1.0 - expected_ratio)
+    e_t = n.cast("double") * F.lit(expected_ratio)
+    chi2 = F.pow(F.col("n_control") - e_c, 2) / e_c + F.pow(F.col("n_treatment") - e_t, 2) / e_t
+    srm = one.select("n_control", "n_treatment", n.alias("n_total"),
+                     F.lit(float(expected_ratio)).alias("expected_ratio"),
+                     safe_div(F.col("n_treatment"), n).alias("observed_ratio"), chi2.alias("chi2"))
+    srm = srm.withColumn("valid", F.col("chi2") < F.lit(chi2_1dof_critical(alpha)))
+    if with_p:
+        srm = srm.withColumn("p_value", chi2_1dof_p("chi2"))
+    long = one.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("feature_idx"), F.lit(f).alias("feature"),
+                 F.col(f"{f}__mt").alias("mt"), F.col(f"{f}__mc").alias("mc"),
+                 F.col(f"{f}__vt").alias("vt"), F.col(f"{f}__vc").alias("vc"))
+        for i, f in enumerate(features)])).alias("r")).select("r.*")
+    pooled = F.sqrt((F.col("vt") + F.col("vc")) / 2.0)
+    smd = F.when(pooled == 0, F.lit(0.0)).otherwise((F.col("mt") - F.col("mc")) / pooled)
+    balance = (long.select("feature_idx", "feature", smd.alias("smd"))
+               .withColumn("abs_smd", F.abs("smd"))
+               .withColumn("is_balanced", F.col("abs_smd") < F.lit(threshold)))
+    return srm, balance

@@ -3,7 +3,7 @@
     python -m upshot.plans.validate_cli PATH [--ratio 0.85] [--alpha 0.001] [--master local[*]]
 
 Needs only the ``treatment`` column (features are the columns starting with ``f``).
-Two aggregates, one scan each; output is a handful of rows.
+One fused aggregate (one scan) for both checks; output is a handful of rows.
 """
 
 from __future__ import annotations
@@ -17,11 +17,11 @@ from upshot.sources.loader import read_experiment
 
 def run(spark, path: str, ratio: float = 0.85, alpha: float = 0.001, top: int = 5):
     df = read_experiment(spark, path, required=["treatment"])
-    srm = validation.check_srm(df, expected_ratio=ratio, alpha=alpha, with_p=True)
     feats = validation.discover_features(df)
-    balance = validation.covariate_balance(df, feats) if feats else None
-    worst = validation.imbalanced_features(balance, top) if balance is not None else None
-    return srm, balance, worst
+    if not feats:
+        return validation.check_srm(df, expected_ratio=ratio, alpha=alpha, with_p=True), None, None
+    srm, balance = validation.integrity(df, feats, expected_ratio=ratio, alpha=alpha)   # one scan for both
+    return srm, balance, validation.imbalanced_features(balance, top)
 
 
 def main(argv=None) -> int:
