@@ -60,8 +60,8 @@ class ExperimentReport:
         self.learner = learners.XLearner(c.features, n_estimators=c.n_estimators, max_depth=c.max_depth).fit(self.train)
         scored = self.learner.predict(self.test, "uplift_score", keep_baseline=True)
         self.scored = checkpointed(scored)         # reliable checkpoint: scoring happens once
-        self.srm = validation.check_srm(self.exp, expected_ratio=c.expected_ratio, with_p=True)
-        self.balance = validation.covariate_balance(self.exp, c.features)
+        # one scan, one materialised row for both integrity checks
+        self.srm, self.balance = validation.integrity(self.exp, c.features, expected_ratio=c.expected_ratio)
         self.ate = effects.ate(self.exp, "conversion", with_p=True)
         self.cuped = effects.cuped(self.exp, "conversion", c.features, with_p=True)
         self.surrogate = learners.surrogate_tree(self.scored, c.features, max_depth=c.surrogate_depth)
