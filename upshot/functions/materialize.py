@@ -39,17 +39,21 @@ def checkpointed(df: DataFrame) -> DataFrame:
         cached.unpersist()
 
 
-def bounded(df: DataFrame, max_local_rows: int = 100_000) -> DataFrame:
+def bounded(df: DataFrame, max_local_rows: int = 100_000, with_flag: bool = False):
     """Materialise an aggregate whose size depends on the data (e.g. one row per group).
 
     Computed once into the cache; kept as a local relation when it has at most
     ``max_local_rows`` rows, otherwise written as a reliable checkpoint.
+    ``with_flag`` also returns whether the result is the small local relation
+    (a proven size bound, e.g. to decide on a broadcast join).
     """
     ensure_checkpoint_dir(df.sparkSession)
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if cached.count() <= max_local_rows:
-            return df.sparkSession.createDataFrame(cached.collect(), schema=df.schema)
-        return cached.checkpoint(eager=True)
+            out, local = df.sparkSession.createDataFrame(cached.collect(), schema=df.schema), True
+        else:
+            out, local = cached.checkpoint(eager=True), False
+        return (out, local) if with_flag else out
     finally:
         cached.unpersist()

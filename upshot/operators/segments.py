@@ -58,7 +58,10 @@ def stratum_baseline(df: DataFrame, strata: list, treatment: str = "treatment",
     keys = [f"_s{i}" for i in range(len(strata))]
     rates = keyed.groupBy(*keys).agg(
         F.avg(F.when(F.col(treatment) == 0, F.col(outcome).cast("double"))).alias(name))
-    return keyed.join(rates, keys).drop(*keys)
+    # A stratum can hold a third of the rows: a shuffle join on its key would put it in one
+    # task. Broadcast the rates when their row count is proven small, else an ordinary join.
+    rates, small_side = bounded(rates, 100_000, with_flag=True)
+    return keyed.join(F.broadcast(rates) if small_side else rates, keys).drop(*keys)
 
 
 def classify(scored: DataFrame, score: str = "score", baseline: str = "baseline_conversion_prob",
