@@ -56,14 +56,16 @@ def quantiles(df: DataFrame, value: str, probs, by=(), accuracy: int = 100000,
     ensure_checkpoint_dir(df.sparkSession)
     # Pass 1: approximate edges per group (bounded sketch per group). The result has
     # one row per group; materialising it keeps later passes from re-running it.
-    stats = (bounded if by else small)(base.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"),
-                                  F.percentile_approx("_v", edge_p, accuracy).alias("_e")))
+    stats_agg = base.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"),
+                                      F.percentile_approx("_v", edge_p, accuracy).alias("_e"))
+    stats, stats_small = bounded(stats_agg, with_flag=True) if by else (small(stats_agg), True)
 
     # Pass 2: rows per bucket, bucket b = number of edges <= v (b-th bucket is [e_b, e_{b+1})).
-    def attach(frame: DataFrame, small: DataFrame) -> DataFrame:
-        return frame.join(small, by) if by else frame.crossJoin(small)
+    def attach(frame: DataFrame, side: DataFrame, side_small: bool = True) -> DataFrame:
+        side = F.broadcast(side) if side_small else side   # proven small: never shuffle the big side
+        return frame.join(side, by) if by else frame.crossJoin(side)
 
-    bucketed = attach(base, stats.select(*by, "_e")).withColumn(
+    bucketed = attach(base, stats.select(*by, "_e"), stats_small).withColumn(
         "_bk", count_sorted("_e", "_v", n_edges, strict=False))
     per_bucket = bucketed.groupBy(*by, "_bk").agg(F.count(F.lit(1)).alias("_c"))
     # values strictly below edge i (1-based) = rows in buckets < i
@@ -71,7 +73,7 @@ def quantiles(df: DataFrame, value: str, probs, by=(), accuracy: int = 100000,
         *by, F.transform(F.sequence(F.lit(1), F.lit(n_edges)),
                          lambda i: F.aggregate(F.filter("_bc", lambda x: x["_bk"] < i), F.lit(0).cast("long"),
                                                lambda acc, x: acc + x["_c"])).alias("_lt"))
-    grid = attach(stats, below)
+    grid = attach(stats, below, stats_small)
 
     # Per (group, quantile, lower/upper neighbour): the bucket holding that rank.
     h = (F.col("_n") - 1).cast("double") * F.col("prob")
@@ -90,11 +92,14 @@ def quantiles(df: DataFrame, value: str, probs, by=(), accuracy: int = 100000,
                .select(*by, "q_idx", "prob", "_n", "_frac", "side", "rank", "_bk",
                        F.when(F.col("_bk") > 0, F.element_at("_lt", F.col("_bk"))).otherwise(F.lit(0)).alias("_off"))
                )
-    targets = bounded(targets) if by else small(targets)  # groups x probabilities x 2 rows
+    targets, targets_small = (bounded(targets, with_flag=True) if by
+                              else (small(targets), True))  # groups x probabilities x 2 rows
 
     # Pass 3: rows of the wanted buckets (equi-join on the bucket), counted by distinct value.
     keys = [*by, "q_idx", "side"]
-    cand = (bucketed.select(*by, "_bk", "_v").join(targets.select(*by, "_bk", "q_idx", "side"), [*by, "_bk"])
+    tsel = targets.select(*by, "_bk", "q_idx", "side")
+    # the bucket of a hot value is a hot key: broadcast the (small) target table, never shuffle on it
+    cand = (bucketed.select(*by, "_bk", "_v").join(F.broadcast(tsel) if targets_small else tsel, [*by, "_bk"])
             .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")))
     w = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     picked = (cand.join(targets.select(*keys, "rank", "_off", "prob", "_frac", "_n"), keys)
