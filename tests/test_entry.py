@@ -20,3 +20,17 @@ def test_experiment_fixture_counts(spark):
     r = experiment(spark, SF).groupBy("treatment").agg(F.count("*").alias("n"), F.sum("conversion").alias("c"))
     got = {x["treatment"]: (x["n"], x["c"]) for x in r.collect()}
     assert got == {0: (225, 14), 1: (1275, 161)}
+
+
+# Queries SQL cannot express (learners, trees, bandit, bootstrap, p-values, model-based streams, report):
+ROWS_ONLY = {
+    "cuped_all_features", "ate_pvalue", "srm_pvalue", "bootstrap_qini", "tlearner_deciles", "xlearner_deciles",
+    "propensity_by_arm", "surrogate_tree_rules", "feature_importance", "segment_rules_text", "distillation_fidelity",
+    "score_and_bid", "linucb_replay", "bandit_trajectory", "uplift_archetypes_model", "segment_dim",
+    "experiment_summary", "report_export_validation", "stream_score", "stream_linucb",
+}
+
+
+def test_every_sql_expressible_query_has_an_oracle():
+    missing = set(E.queries()) - set(E.oracle_sql())
+    assert missing == ROWS_ONLY
