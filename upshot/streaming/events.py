@@ -64,7 +64,8 @@ def event_stream(spark: SparkSession, sf_dir: str, table: str = "events", files_
 
 def _sink(path: str):
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        # the folder name carries batch_id (partition discovery); overwrite makes a replayed batch idempotent
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
     return write
 
 
