@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from upshot.llm import decontaminate, mixing, simhash, suffix_dedup, toxicity
-from upshot.llm.common import cut, release
+from upshot.llm.common import cut
 from upshot.llm.queries import table
 
 
@@ -64,5 +64,4 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = cut(stage(spark, docs, sf_dir), name)
-        release(spark)
     return docs

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import os
 import uuid
 
@@ -25,23 +24,27 @@ def prepare(spark: SparkSession) -> None:
     ensure_checkpoint_dir(spark)
 
 
+#: Spark setting: shuffle files of a query are deleted when the query ends, not when the driver collects garbage.
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write a frame once to the shared folder of ``spark.checkpoint.dir`` and read it back.
 
     Later jobs start from the files, so a lost executor costs no recomputation
-    of what lies before. Folders carry the application's id.
+    of what lies before, and the shuffle files of the written query go at once.
+    Folders carry the application's id.
     """
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/upshot-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEAN, None)
+    spark.conf.set(_CLEAN, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEAN)
+        else:
+            spark.conf.set(_CLEAN, before)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def release(spark: SparkSession) -> None:
-    """Ask for a collection on the driver: Spark then deletes shuffle files of finished jobs.
-
-    Worth a call after ``cut`` between phases that shuffle much.
-    """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()

@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 
 from upshot.llm.bytesarr import (U64, gram_names, mix, powers, prefix_names, row_chunks, slice_names, sliding_min,
                                  text_bytes)
-from upshot.llm.common import cut, prepare, release
+from upshot.llm.common import cut, prepare
 
 LENGTH, GRAM, BLOCK = 200, 40, 8
 CHUNK, SEGMENT = 100_000, 400_000      # bytes of text handled at a time
@@ -182,7 +182,6 @@ def repeated_places(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     ``place`` packs the text's hash bits, the first string's byte position and
     the number of consecutive strings that are repeated.
     """
-    spark = texts.sparkSession
     id_type = texts.schema["id"].dataType
 
     def fields(*names: str) -> T.StructType:
@@ -208,7 +207,6 @@ def repeated_places(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     schema = fields("place", "bucket", "name")
     first = texts.mapInArrow(_emit_territories(length, gram, arrow(schema)), schema)
     shared = cut(first.join(buckets(first), "bucket"), "territories")
-    release(spark)
 
     equal = shared.where("mixed").groupBy("bucket", "name").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("place", "id")).alias("one"))
@@ -216,11 +214,10 @@ def repeated_places(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     ones = equal.select("one.id", "one.place", "bucket")
     blocks = with_texts(ones).mapInArrow(_emit_blocks(length, gram, arrow(schema)), schema)
     split = cut(blocks.join(buckets(blocks), "bucket"), "blocks")
-    release(spark)
 
     strings = with_texts(split.where("mixed")).mapInArrow(_emit_strings(length, arrow(schema)), schema)
     twice = strings.groupBy("bucket", "name").agg(F.count(F.lit(1)).alias("n")).where("n >= 2").drop("n")
-    last = strings.join(twice, ["bucket", "name"], "left_semi")
+    last = cut(strings.join(twice, ["bucket", "name"], "left_semi"), "strings")
     return (shared.where("not mixed").select("id", "place").unionByName(copies.select("id", "place"))
             .unionByName(split.where("not mixed").select("id", "place")).unionByName(last.select("id", "place")))
 
