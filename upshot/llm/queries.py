@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from upshot.llm import decontaminate, mixing, simhash, suffix_dedup, toxicity
+from upshot.llm import decontaminate, mixing, neighbours, simhash, suffix_dedup, token_counts, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -59,6 +59,17 @@ def op1_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("positions")
 
 
+@register("op2_token_counts")
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE tokens of every whole text."""
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    count = token_counts.token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"), F.col("text"))
+    return docs.select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"),
+                       count.alias("n_tokens")).withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
 @register("op4_suffix_dedup")
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of 200-byte strings that start at two places of the corpus, removed from every text."""
@@ -80,6 +91,20 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.col("m.longest.words"), F.lit(0)).alias("longest_match"))
 
 
+@register("op7_url_filter")
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's url judged by the longest rule, else by its host's trust and distrust."""
+    out = url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return out.select("page_id", *[F.col(f"__url_{c}").alias(c) for c in ("host", "path", "rule", "verdict")])
+
+
+@register("op8_neighbours")
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 largest inner products found for every vector whose id is divisible by 20."""
+    found = neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 @register("op9_toxicity")
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document; a fifth of the ids is held out of training."""
