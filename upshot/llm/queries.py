@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from upshot.llm import decontaminate, mixing, neighbours, simhash, suffix_dedup, token_counts, toxicity, url_filter
+from upshot.llm import (decontaminate, html_text, mixing, neighbours, simhash, suffix_dedup, token_counts, toxicity,
+                        url_filter)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -70,6 +71,13 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                        count.alias("n_tokens")).withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+@register("op3_html_text")
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page, through its host's wrapper."""
+    out = html_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return out.select("page_id", "url", F.col("__text").alias("text"), F.char_length("__text").cast("long").alias("n_chars"))
+
+
 @register("op4_suffix_dedup")
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of 200-byte strings that start at two places of the corpus, removed from every text."""
