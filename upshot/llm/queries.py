@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from upshot.llm import (decontaminate, html_text, mixing, neighbours, simhash, suffix_dedup, token_counts, toxicity,
-                        url_filter)
+from upshot.llm import (decontaminate, html_text, mixing, neighbours, passages, simhash, suffix_dedup, token_counts,
+                        toxicity, url_filter)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -99,6 +99,13 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.col("m.longest.words"), F.lit(0)).alias("longest_match"))
 
 
+@register("op6_passages")
+def op6_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document in fuzzy passages of 50 or more words that stand in other documents too."""
+    found = passages.repeated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 @register("op7_url_filter")
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's url judged by the longest rule, else by its host's trust and distrust."""

@@ -5,8 +5,8 @@ and two words between them, hashed into ``2**bits`` slots. FTRL-proximal keeps
 a learning rate for every coordinate and sets weights below the L1 strength to
 zero, so the model is a short list that is broadcast (at most ``2**bits``
 entries, a fixed bound). Training runs on shards of the labelled rows: each
-shard is one task that goes through its rows in hash order; after each epoch
-the shards' states are averaged in Spark and sent out again.
+shard (at most ``SHARD_ROWS`` rows) is one task that goes through its rows in
+hash order; after each round the shards' states are averaged in Spark and sent out again.
 """
 
 from __future__ import annotations
@@ -21,13 +21,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from upshot.llm.bytesarr import U64, mix, row_chunks, text_bytes
-from upshot.llm.common import prepare
+from upshot.llm.common import cut, prepare
 from upshot.llm.words import word_table
 
 #: Bound on the labelled rows a model is fitted on (those with the smallest hashes of the id).
 TRAIN_ROWS = 40_000
 SHARD_ROWS = 10_000
-BITS, EPOCHS = 18, 4
+#: Rounds of training and averaging, and passes over its rows that a shard makes in each round.
+BITS, ROUNDS, PASSES = 18, 2, 2
 ALPHA, BETA, L2 = 1.0, 1.0, 1.0
 #: L1 strength for each row of a shard, and the least strength (a slot seen once must stay at zero).
 L1_ROW, L1_LEAST = 0.0012, 1.5
@@ -82,12 +83,12 @@ def _slots(texts: pa.Array, bits: int) -> list[np.ndarray]:
         pairs = [row << bits | slot for row, slot in features(raw[off[lo]:off[hi]], off[lo:hi + 1] - off[lo], bits)]
         keys = np.unique(np.concatenate(pairs))
         cuts = np.searchsorted(keys, np.arange(hi - lo + 1) << bits)
-        out += [keys[a:b] & ((1 << bits) - 1) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        out += [(keys[a:b] & ((1 << bits) - 1)).astype(np.int32) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
     return out
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-        train_rows: int = TRAIN_ROWS, bits: int = BITS, epochs: int = EPOCHS) -> ToxicityModel:
+        train_rows: int = TRAIN_ROWS, bits: int = BITS, rounds: int = ROUNDS) -> ToxicityModel:
     """Learn from the labelled rows of ``docs``.
 
     At most ``train_rows`` labelled ids are used, those with the smallest
@@ -113,16 +114,16 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         train = (docs.join(F.broadcast(known), docs[id_col] == known["__id"])
                  .select(F.pmod(F.xxhash64("__id"), F.lit(shards)).alias("shard"),
                          F.xxhash64("__id", body).alias("place"), F.col("__y").alias("y"), body.alias("body")))
-        for _ in range(epochs):
+        train = cut(train, "train")
+        for _ in range(rounds):
             state = spark.sparkContext.broadcast((z, n))
 
             def shard(batches: Iterator[pa.RecordBatch], state=state) -> Iterator[pa.RecordBatch]:
                 own_z, own_n = (x.copy() for x in state.value)
-                seen = False
-                for b in batches:
-                    seen = True
-                    _epoch(own_z, own_n, zip(_slots(b.column(1), bits), b.column(0).to_pylist(), strict=True), offset, l1)
-                if seen:
+                rows = [x for b in batches for x in zip(_slots(b.column(1), bits), b.column(0).to_pylist(), strict=True)]
+                for _ in range(PASSES):
+                    _epoch(own_z, own_n, iter(rows), offset, l1)
+                if rows:
                     at = np.flatnonzero(own_n)
                     yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(own_z[at]), pa.array(own_n[at])],
                                                      ["slot", "z", "n"])
