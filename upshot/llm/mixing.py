@@ -57,7 +57,8 @@ def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, slopes: tuple = S
     s = s.withColumn("level", (F.sum("source_size").over(everything) * F.lit(total_share)
                                - F.coalesce(F.sum("cap").over(before), F.lit(0.0))) / F.sum("weight").over(after))
     s = s.withColumn("full", F.col("cap") / F.col("weight") <= F.col("level"))
-    shared = F.min(F.when(~F.col("full"), F.col("level"))).over(everything)
+    # the first source that is not full has the common level; those after it compute a lower one
+    shared = F.max(F.when(~F.col("full"), F.col("level"))).over(everything)
     return s.withColumn("target", F.when(F.col("full"), F.col("cap")).otherwise(shared * F.col("weight"))).select(
         "source", "source_size", "slope", "target")
 

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from upshot.llm.common import cut, prepare
 
-TABLES, WIDTH, SUCCESS = 2, 3.0, 0.72
+TABLES, WIDTH, SUCCESS = 2, 3.0, 0.8
 SAMPLE, SHARD_ROWS, COPY_SALTS = 2_000, 20_000, 32
 
 

@@ -43,7 +43,7 @@ l AS (SELECT *, (sum(source_size) OVER () * 1.5::DOUBLE
                / sum(weight) OVER (f ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
       FROM w WINDOW f AS (ORDER BY cap / weight, source NULLS LAST)),
 g AS (SELECT *, CASE WHEN cap / weight <= level THEN cap
-               ELSE min(level) FILTER (WHERE cap / weight > level) OVER () * weight END AS target FROM l),
+               ELSE max(level) FILTER (WHERE cap / weight > level) OVER () * weight END AS target FROM l),
 o AS (SELECT d.*, g.source_size, g.target, g.slope,
         sum(size) OVER (PARTITION BY d.source ORDER BY bucket, h, doc_id, size
                         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size AS start

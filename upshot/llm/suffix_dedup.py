@@ -81,7 +81,7 @@ def _emit_territories(length: int, gram: int, schema: pa.Schema):
             out: list[tuple[np.ndarray, ...]] = []
             for r0, r1 in row_chunks(off, CHUNK):
                 base = off[r0]
-                if off[r1] - base <= SEGMENT:
+                if r1 - r0 > 1 or off[r1] - base <= SEGMENT:
                     parts = [(r0, 0, raw[base:off[r1]], off[r0:r1 + 1] - base)]
                 else:   # one long text: pieces that share length - 1 bytes, so every string is in one piece
                     size = off[r1] - base

@@ -25,13 +25,13 @@ from upshot.llm.common import cut, prepare
 from upshot.llm.words import word_table
 
 #: Bound on the labelled rows a model is fitted on (those with the smallest hashes of the id).
-TRAIN_ROWS = 40_000
-SHARD_ROWS = 10_000
+TRAIN_ROWS = 24_000
+SHARD_ROWS = 4_000
 #: Rounds of training and averaging, and passes over its rows that a shard makes in each round.
 BITS, ROUNDS, PASSES = 18, 2, 2
 ALPHA, BETA, L2 = 1.0, 1.0, 1.0
 #: L1 strength for each row of a shard, and the least strength (a slot seen once must stay at zero).
-L1_ROW, L1_LEAST = 0.0012, 1.5
+L1_ROW, L1_LEAST = 0.002, 1.5
 CHUNK = 1_000_000
 
 
