@@ -37,7 +37,7 @@ def test_distillation_fidelity(spark):
     assert d.predict(spark.createDataFrame(pdf)).count() == 1000
 
 
-def test_batched_linucb_batch_one_equals_sequential(spark):
+def test_batched_linucb_batch_one_equals_closed_form(spark):
     rng = np.random.default_rng(44)
     n = 40
     x = rng.normal(size=(n, 2))
@@ -49,10 +49,21 @@ def test_batched_linucb_batch_one_equals_sequential(spark):
     agent = bandit.BatchedLinUCB(["a", "b"], alpha=1.0)
     stream = agent.prepare(spark.createDataFrame(pdf), order_col="event_idx", batch_size=1)
     agent.run(stream)
-    matched, total, A, b = bandit.sequential_linucb(x, arms, rewards, 1.0)
+    seen = agent.decisions(stream).toPandas().sort_values("unit")
+    chosen = seen.chosen.to_numpy()
+    kept = chosen == arms
+    for i in range(n):      # each decision against the closed-form ridge solution over the events kept before it
+        ucb = []
+        for a in (0, 1):
+            before = kept & (arms == a) & (np.arange(n) < i)
+            inv = np.linalg.inv(np.eye(2) + x[before].T @ x[before])
+            ucb.append(inv @ x[before].T @ rewards[before] @ x[i] + np.sqrt(x[i] @ inv @ x[i]))
+        assert chosen[i] == int(ucb[1] > ucb[0])
     s = agent.summary(spark).first()
-    assert s["aligned_events"] == matched and abs(s["cumulative_reward"] - total) < 1e-9
-    assert np.allclose(agent.A[0], A[0]) and np.allclose(agent.b[1], b[1])
+    assert s["aligned_events"] == kept.sum() and abs(s["cumulative_reward"] - rewards[kept].sum()) < 1e-9
+    for a in (0, 1):
+        own = x[kept & (arms == a)]
+        assert np.allclose(agent.A[a], np.eye(2) + own.T @ own)
 
 
 def test_profit_bandit_prefers_control(spark):

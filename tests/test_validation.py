@@ -38,10 +38,10 @@ def test_zero_pooled_std_gives_zero(spark):
     assert r["smd"] == 0.0 and r["is_balanced"]
 
 
-def test_imbalanced_top_k_signed_order(spark):
+def test_imbalanced_top_k_by_absolute_smd(spark):
     rows = [(0, "a", 0.5, 0.5, False), (1, "b", -0.9, 0.9, False), (2, "c", 0.2, 0.2, False), (3, "d", 0.0, 0.0, True)]
     bal = spark.createDataFrame(rows, "feature_idx int, feature string, smd double, abs_smd double, is_balanced boolean")
-    assert [r["feature"] for r in validation.imbalanced_features(bal, 2).collect()] == ["a", "c"]
+    assert [r["feature"] for r in validation.imbalanced_features(bal, 2).collect()] == ["b", "a"]
 
 
 def test_srm_on_fail_raise(spark):

@@ -209,24 +209,3 @@ class BatchedLinUCB:
         return pts.select(F.col("idx").cast("int").alias("impression_index"),
                           F.col("cum").alias("cumulative_profit_bandit"), base.alias("cumulative_profit_baseline"),
                           (F.col("cum") - base).alias("profit_delta"))
-
-
-def sequential_linucb(x: np.ndarray, arms: np.ndarray, rewards: np.ndarray, alpha: float = 1.0):
-    """Plain event-by-event LinUCB replay (small inputs; used to check the batched version)."""
-    d = x.shape[1]
-    A = [np.identity(d), np.identity(d)]
-    b = [np.zeros(d), np.zeros(d)]
-    matched, total = 0, 0.0
-    for i in range(len(x)):
-        p = []
-        for a in (0, 1):
-            theta = _solve(A[a], b[a])
-            a_inv = np.linalg.inv(A[a])
-            p.append(theta @ x[i] + alpha * np.sqrt(x[i] @ a_inv @ x[i]))
-        chosen = int(np.argmax(p))
-        if chosen == arms[i]:
-            A[chosen] += np.outer(x[i], x[i])
-            b[chosen] += rewards[i] * x[i]
-            matched += 1
-            total += rewards[i]
-    return matched, total, A, b

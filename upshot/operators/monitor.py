@@ -148,7 +148,7 @@ def model_age(run_date: str, today: Column | None = None, retrain_after_days: in
 
 
 def drift_sample(scored: DataFrame, period: str = "period", score: str = "score", per_period: int = 500,
-                 unit: str = "unit_id", seed: int = 42, hash_kind: str = "lcg") -> DataFrame:
+                 unit: str = "unit_id", seed: int = 42, hash_kind: str = "md5") -> DataFrame:
     """Up to ``per_period`` scores per period, without replacement, chosen by unit hash."""
     sizes = scored.groupBy(period).agg(F.least(F.count(F.lit(1)), F.lit(per_period)).alias("quota"))
     keyed = scored.select(period, unit, score).withColumn("_u", unit_uniform(unit, seed, hash_kind))

@@ -98,7 +98,7 @@ def archetype_summary(classified: DataFrame, score: str = "score", baseline: str
 
 
 def stratified_sample(df: DataFrame, label: str = "archetype_label", n: int = 50000, unit: str = "unit_id",
-                      seed: int = 42, hash_kind: str = "lcg", persist_input: bool = True) -> DataFrame:
+                      seed: int = 42, hash_kind: str = "md5", persist_input: bool = True) -> DataFrame:
     """Proportional stratified sample without replacement, exact size min(n, total).
 
     Quota per stratum: min(size, max(1, round_half_even(n * size / total))); if
@@ -140,7 +140,7 @@ __all__ = ["ARCHETYPES", "top_threshold", "flag_top", "segment_profile", "stratu
            "archetype_summary", "stratified_sample", "archetype_counts"]
 
 
-def sample_n(df: DataFrame, n: int, unit: str = "unit_id", seed: int = 42, hash_kind: str = "lcg") -> DataFrame:
+def sample_n(df: DataFrame, n: int, unit: str = "unit_id", seed: int = 42, hash_kind: str = "md5") -> DataFrame:
     """Exact-size sample without replacement keyed on the unit hash (reproducible, retry-safe)."""
     from upshot.functions.sampling import sample_n as _sample_n
     keyed = df.withColumn("_u", unit_uniform(unit, seed, hash_kind))
@@ -148,7 +148,7 @@ def sample_n(df: DataFrame, n: int, unit: str = "unit_id", seed: int = 42, hash_
 
 
 def sample_frac(df: DataFrame, fraction: float, unit: str = "unit_id", seed: int = 42,
-                hash_kind: str = "lcg") -> DataFrame:
+                hash_kind: str = "md5") -> DataFrame:
     """Bernoulli sample of about ``fraction`` of the units: hash(unit) < fraction (no shuffle)."""
     return df.where(unit_uniform(unit, seed, hash_kind) < F.lit(float(fraction)))
 

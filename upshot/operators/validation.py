@@ -96,9 +96,9 @@ def max_abs_smd(balance: DataFrame) -> DataFrame:
 
 
 def imbalanced_features(balance: DataFrame, k: int = 5) -> DataFrame:
-    """Features failing the balance check, largest signed SMD first, top ``k``."""
+    """Features failing the balance check, largest absolute SMD first, top ``k``."""
     return (balance.where(~F.col("is_balanced"))
-            .orderBy(F.desc("smd"), F.asc("feature")).limit(k))
+            .orderBy(F.desc(F.abs("smd")), F.asc("feature")).limit(k))
 
 
 def integrity(df: DataFrame, features: list[str], treatment: str = "treatment", expected_ratio: float = 0.85,

@@ -64,7 +64,7 @@ def q_max_smd(spark, sf):
 
 @register("imbalanced_features", BALANCE_SQL + f"""
 SELECT feature_idx, feature, {R('smd')} AS smd, {R('abs(smd)')} AS abs_smd, abs(smd) < 0.01 AS is_balanced
-FROM s WHERE NOT (abs(smd) < 0.01) ORDER BY smd DESC, feature LIMIT 5
+FROM s WHERE NOT (abs(smd) < 0.01) ORDER BY abs(smd) DESC, feature LIMIT 5
 """)
 def q_imbalanced(spark, sf):
     # A strict 0.01 threshold so the fixture has offenders to rank (top-5 is the feature).

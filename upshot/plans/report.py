@@ -141,9 +141,9 @@ class ExperimentReport:
                  (3, "Uplift Threshold", bid_decision("uplift_score", c.value, c.cost), "Bid when uplift x value > cost.")]
         table = policy.policy_table(s, specs, value=c.value, cost=c.cost)
         b = self.bandit_summary
-        n = self.scored.count()
+        bids = self.agent.decisions(self.stream).agg(F.avg((F.col("chosen") == 1).cast("double")).alias("rate")).first()["rate"]
         bandit_row = self.spark.createDataFrame(
-            [(4, "LinUCB Bandit (Batched)", float(b["avg_profit"]), 100.0 * b["aligned_events"] / max(n, 1),
+            [(4, "LinUCB Bandit (Batched)", float(b["avg_profit"]), 100.0 * (bids or 0.0),
               "Profit-aware batched LinUCB replay.")], table.schema)
         return table.unionByName(bandit_row)
 
