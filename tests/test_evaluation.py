@@ -87,3 +87,25 @@ def test_tie_aware_qini_matches_row_curve_at_boundaries(spark):
     x = np.concatenate([[0.0], ties.population_pct.to_numpy()])
     y = np.concatenate([[0.0], ties.qini.to_numpy()])
     assert abs(ties.auuc.iloc[0] - np.sum((x[1:] - x[:-1]) * (y[1:] + y[:-1]) / 2)) < 1e-9
+
+
+def test_qini_does_not_depend_on_exchange_reuse(spark):
+    pdf = planted(n=4000).assign(score=lambda d: d.score.round(2))
+    frame = spark.createDataFrame(pdf).repartition(7)
+    got = []
+    for reuse in ("true", "false"):
+        for adaptive in ("true", "false"):
+            with_conf = {"spark.sql.exchange.reuse": reuse, "spark.sql.adaptive.enabled": adaptive}
+            before = {k: spark.conf.get(k) for k in with_conf}
+            try:
+                for k, v in with_conf.items():
+                    spark.conf.set(k, v)
+                curve = ranking.qini_curve(frame, n_points=100, buckets=8).toPandas().sort_values("point")
+                ties = ranking.qini_tie_aware(frame, rows_per_bucket=500).toPandas().sort_values("n_cum")
+                got.append((curve.qini.to_numpy(), curve.auuc.iloc[0], ties.qini.to_numpy(), ties.auuc.iloc[0]))
+            finally:
+                for k, v in before.items():
+                    spark.conf.set(k, v)
+    for other in got[1:]:
+        for a, b in zip(got[0], other, strict=True):
+            np.testing.assert_allclose(a, b, rtol=1e-9, atol=1e-9)

@@ -8,9 +8,10 @@ Scale notes
   ``Window.orderBy`` would move every row into one task, so the order
   ``(score desc, unit asc)`` is range-partitioned into P ranges with P
   growing with the row count (ties on a hot score are split by the unit
-  id). Per-range totals (P rows) give exclusive prefix offsets; running sums
-  run inside each range and add the offset. Both branches read one reused
-  range exchange, so they agree on the range ids.
+  id). The rows are written once with their range ids; per-range totals (P
+  rows) give exclusive prefix offsets, running sums run inside each range
+  and add the offset. Both read the written ids, so they agree whatever the
+  planner reuses and whichever executors are lost.
 * The bootstrap never materialises B copies of the data: Poisson(1) weights
   are pure functions of (unit, replicate, seed), folded into a partial
   aggregate per (score bucket, replicate); curves are built from B x K rows.
@@ -80,9 +81,6 @@ def cate_histogram(scored: DataFrame, score: str = "score", bins: int = 50) -> D
 
 # ------------------------------------------------------------------ qini curve
 
-MAX_BROADCAST_RANGES = 200_000   # x 5 numbers per range: a few MB at most
-
-
 def qini_rows(scored: DataFrame, score: str = "score", treatment: str = "treatment",
               outcome: str = "conversion", unit: str = "unit_id", buckets: int = 16,
               rows_per_bucket: int = 2_000_000) -> DataFrame:
@@ -98,10 +96,11 @@ def _qini_rows(scored, score, treatment, outcome, unit, buckets, rows_per_bucket
 
     Spark samples the composite key to pick the range bounds, so ties on a
     hot score are split by the unit id and every range holds about
-    ``rows_per_bucket`` rows. Totals per range and the running sums inside
-    each range read the same (reused) range exchange within one plan, so the
-    range ids agree; exclusive prefix offsets over the P totals are broadcast
-    (P is bounded by n / rows_per_bucket).
+    ``rows_per_bucket`` rows. The bounds are sampled, so a second run of the
+    exchange may cut elsewhere: the rows are checkpointed with their range
+    ids, and both the totals and the running sums read that. The join of the
+    P offsets shares the window's partitioning by range, so its form is left
+    to the planner.
     """
     t = F.col(treatment).cast("long")
     y = F.col(outcome).cast("double")
@@ -109,8 +108,8 @@ def _qini_rows(scored, score, treatment, outcome, unit, buckets, rows_per_bucket
                           t.alias("_t"), y.alias("_y")).where(F.col(score).isNotNull())
     n = keyed.count()
     n_ranges = max(1, int(buckets or 1), -(-n // max(rows_per_bucket, 1)))
-    ranged = (keyed.repartitionByRange(n_ranges, F.desc(score), F.asc(unit))
-              .withColumn("_bucket", F.spark_partition_id()))
+    ranged = checkpointed(keyed.repartitionByRange(n_ranges, F.desc(score), F.asc(unit))
+                          .withColumn("_bucket", F.spark_partition_id()))
     parts = {"_yt": F.col("_y") * F.col("_t"), "_nt": F.col("_t"),
              "_yc": F.col("_y") * (1 - F.col("_t")), "_nc": 1 - F.col("_t")}
     totals = ranged.groupBy("_bucket").agg(*[F.sum(e).alias(k) for k, e in parts.items()])
@@ -119,8 +118,7 @@ def _qini_rows(scored, score, treatment, outcome, unit, buckets, rows_per_bucket
                                          for k in parts])
     run = (Window.partitionBy("_bucket").orderBy(F.desc(score), F.asc(unit))
            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    # one row per range: broadcast while that is provably small, else an ordinary join
-    joined = ranged.join(F.broadcast(offsets) if n_ranges <= MAX_BROADCAST_RANGES else offsets, "_bucket")
+    joined = ranged.join(offsets, "_bucket")
     rows = joined.select(unit, score, *[(F.sum(e).over(run) + F.col(f"{k}_off")).alias(k)
                                         for k, e in parts.items()])  # one Window operator
     n_t, n_c = F.col("_nt"), F.col("_nc")
@@ -277,16 +275,17 @@ def qini_tie_aware(scored: DataFrame, score: str = "score", treatment: str = "tr
                 F.sum(1 - t).alias("nc")))
     n_distinct = per.count()
     n_ranges = max(1, -(-n_distinct // max(rows_per_bucket, 1)))
-    ranged = per.repartitionByRange(n_ranges, F.desc(score)).withColumn("_bucket", F.spark_partition_id())
+    ranged = checkpointed(per.repartitionByRange(n_ranges, F.desc(score))
+                          .withColumn("_bucket", F.spark_partition_id()))
     parts = ["yt", "nt", "yc", "nc"]
     totals = ranged.groupBy("_bucket").agg(*[F.sum(p).alias(p) for p in parts])
     prior = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_bucket", *[F.coalesce(F.sum(p).over(prior), F.lit(0)).alias(f"{p}_off") for p in parts])
     run = Window.partitionBy("_bucket").orderBy(F.desc(score)).rowsBetween(Window.unboundedPreceding, 0)
-    joined = ranged.join(F.broadcast(offsets) if n_ranges <= MAX_BROADCAST_RANGES else offsets, "_bucket")
+    joined = ranged.join(offsets, "_bucket")
     cum = joined.select("_bucket", score, *[(F.sum(p).over(run) + F.col(f"{p}_off")).alias(p) for p in parts])
     n_t, n_c = F.col("nt"), F.col("nc")
-    total = per.agg((F.sum("nt") + F.sum("nc")).alias("_n"))
+    total = ranged.agg((F.sum("nt") + F.sum("nc")).alias("_n"))
     pts = (cum.crossJoin(F.broadcast(total))
            .select("_bucket", score, (n_t + n_c).alias("n_cum"), ((n_t + n_c) / F.col("_n")).alias("population_pct"),
                    ((F.col("yt") / F.greatest(n_t, F.lit(1)) - F.col("yc") / F.greatest(n_c, F.lit(1)))
@@ -296,7 +295,7 @@ def qini_tie_aware(scored: DataFrame, score: str = "score", treatment: str = "tr
     last = pts.groupBy("_bucket").agg(F.max_by(F.struct("population_pct", "qini"), "n_cum").alias("_last"))
     prev_last = last.select("_bucket", F.lag("_last").over(Window.orderBy("_bucket")).alias("_prev"))
     inner = Window.partitionBy("_bucket").orderBy(F.desc(score))
-    seg = (pts.join(F.broadcast(prev_last) if n_ranges <= MAX_BROADCAST_RANGES else prev_last, "_bucket")
+    seg = (pts.join(prev_last, "_bucket")
            .withColumn("_lp", F.lag(F.struct("population_pct", "qini")).over(inner))
            .withColumn("_p", F.coalesce("_lp", "_prev", F.struct(F.lit(0.0).alias("population_pct"),
                                                                   F.lit(0.0).alias("qini")))))
