@@ -53,3 +53,15 @@ def test_baseline_cli(spark, tmp_path):
     rows = baseline_cli.run(spark, path).collect()
     assert [r["n_obs"] for r in rows] == [100, 100]
     assert abs(rows[1]["relative_lift_pct"] - 50.0) < 1e-9
+
+
+@pytest.mark.parametrize("value", [0.7, 2.0, -1.0, float("nan")])
+def test_flag_that_is_not_binary_fails(spark, value):
+    df = spark.createDataFrame([(0.0,), (1.0,), (value,)], "treatment double")
+    with pytest.raises(Exception, match="neither 0 nor 1"):
+        loader.narrow_types(df).collect()
+
+
+def test_null_and_boolean_flags_are_kept(spark):
+    df = spark.createDataFrame([(None, True), (1.0, False)], "treatment double, visit boolean")
+    assert [tuple(r) for r in loader.narrow_types(df).collect()] == [(None, 1), (1, 0)]

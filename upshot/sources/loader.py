@@ -20,11 +20,17 @@ def validate_schema(df: DataFrame, required=REQUIRED) -> DataFrame:
 
 
 def narrow_types(df: DataFrame, flags=FLAG_COLUMNS) -> DataFrame:
-    """Doubles become float, 0/1 flags become tinyint; other columns are kept as they are."""
+    """Doubles become float, 0/1 flags become tinyint; other columns are kept as they are.
+
+    A flag value other than 0, 1 or null (0.7, 2, NaN) fails the job that reads
+    it rather than being cut to an integer.
+    """
     out = []
     for name, dtype in df.dtypes:
         if name in flags:
-            out.append(F.col(name).cast("tinyint").alias(name))
+            wrong = F.raise_error(F.concat(F.lit(f"flag {name} is neither 0 nor 1: "), F.col(name).cast("string")))
+            fits = F.col(name).isNull() | F.col(name).cast("double").isin(0.0, 1.0)
+            out.append(F.when(fits, F.col(name).cast("tinyint")).otherwise(wrong.cast("tinyint")).alias(name))
         elif dtype == "double":
             out.append(F.col(name).cast("float").alias(name))
         else:
