@@ -109,3 +109,11 @@ def test_qini_does_not_depend_on_exchange_reuse(spark):
     for other in got[1:]:
         for a, b in zip(got[0], other, strict=True):
             np.testing.assert_allclose(a, b, rtol=1e-9, atol=1e-9)
+
+
+def test_null_scores_take_no_part_in_deciles_and_histogram(spark):
+    full = spark.createDataFrame(planted(n=500))
+    holes = full.unionByName(full.limit(7).selectExpr("unit_id", "cast(null as double) score", "treatment", "conversion"))
+    for f, key in ((ranking.decile_stats, "decile"), (ranking.cate_histogram, "bin")):
+        a, b = (sorted(f(d).collect(), key=lambda r: r[key]) for d in (full, holes))
+        assert a == b and all(r[key] is not None for r in a)

@@ -37,8 +37,10 @@ def decile_stats(scored: DataFrame, score: str = "score", treatment: str = "trea
     """Quantile bins of the score (right-closed); per bin arm means, counts and actual lift.
 
     ``decile`` runs 1..n_bins with n_bins the highest scores. Bins whose
-    edges coincide (heavy ties) are simply absent.
+    edges coincide (heavy ties) are simply absent. Rows without a score take
+    no part.
     """
+    scored = scored.where(F.col(score).isNotNull())
     probs = [i / n_bins for i in range(1, n_bins)]
     edges = quantile_array(scored, score, probs, method=method).select("edges")
     t, y = F.col(treatment), F.col(outcome).cast("double")
@@ -65,7 +67,8 @@ def decile_lift_ratio(deciles: DataFrame) -> DataFrame:
 
 
 def cate_histogram(scored: DataFrame, score: str = "score", bins: int = 50) -> DataFrame:
-    """Equal-width histogram of the scores between min and max (last bin closed)."""
+    """Equal-width histogram of the scores between min and max (last bin closed); null scores take no part."""
+    scored = scored.where(F.col(score).isNotNull())
     s = F.col(score).cast("double")
     rng = scored.agg(F.min(s).alias("_lo"), F.max(s).alias("_hi"))
     width = (F.col("_hi") - F.col("_lo")) / F.lit(bins)
