@@ -265,6 +265,62 @@ def test_passages(spark, texts):
     assert passages.repeated(frame(spark, [])).count() == 0
 
 
+def word_maker(seed):
+    rng = random.Random(seed)
+    return rng, lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+
+
+def changed(rng, words, at):
+    return [f"x{rng.randrange(10**6)}" if i in at else w for i, w in enumerate(words)]
+
+
+def test_passages_of_texts_whose_smallest_holder_is_another(spark):
+    rng, say = word_maker(8)
+    p, q, line = say(60), say(60), say(6)
+    rows = [(1, say(20) + p[:45] + say(20)), (5, say(30) + p + say(10)), (9, p + say(25))]
+    # 21 ~ 22 and 22 ~ 23 or 21 ~ 23 at 0.8, 21 against 23 below it
+    rows += [(21, say(5) + changed(rng, q, set(range(3, 60, 10))) + say(9)), (22, say(9) + q + say(8)),
+             (23, say(7) + changed(rng, q, set(range(8, 60, 10)) | {15, 35}) + say(6))]
+    rows += [(40 + i, say(30) + line + say(30)) for i in range(30)]     # a line in unlike surroundings, one of them shared
+    both = say(25) + line + say(25)
+    rows += [(80, say(12) + both + say(12)), (81, say(3) + both), (90, both + say(1)), (91, both + say(1))]
+    rows += [(92, " ".join(rows[-1][1]).split())]
+    got = {r.id: r for r in passages.repeated(frame(spark, [(i, " ".join(w), "s") for i, w in rows])).collect()}
+    assert got[1].n_repeated == 0 and got[5].n_repeated == got[9].n_repeated == 60 and got[9].class_id == 5
+    assert got[22].class_id == got[23].class_id == got[21].class_id == 21 and got[23].n_repeated >= 50
+    assert all(got[40 + i].n_repeated == 0 for i in range(30))
+    assert {got[i].class_id for i in (80, 81, 90, 91, 92)} == {80} and got[81].n_repeated == 56
+    assert got[92].n_repeated == 57 and got[92].n_links == 4
+
+
+def test_passages_with_many_changes_are_found(spark):
+    rng, say = word_maker(9)
+    rows, want = [], []
+    for k in range(60):
+        p = say(60)
+        at = set(rng.sample(range(5, 55), 9 if k % 2 else 6))
+        same = np.array([i not in at for i in range(60)])
+        rows += [(2 * k, say(20) + p + say(20)), (2 * k + 1, say(9) + changed(rng, p, at) + say(9))]
+        want.append(any(same[i:i + 5].all() for i in range(56)))
+    single = say(55)        # a single seed is common, the other words agree in runs of four
+    rows += [(200, single), (201, changed(rng, single, {4, 9, 14, 19, 24, 30, 35, 40, 45, 50}))]
+    got = {r.id: r for r in passages.repeated(frame(spark, [(i, " ".join(w), "s") for i, w in rows])).collect()}
+    found = [got[2 * k + 1].class_id == 2 * k for k in range(60)]
+    assert all(want) and sum(found) >= 58
+    assert got[201].class_id == got[200].class_id == 200
+
+
+def test_passages_at_several_places_of_a_text(spark):
+    _, say = word_maker(10)
+    p, q = say(60), say(55)
+    rows = [(3, p + say(80) + p + say(70) + p), (4, say(10) + p + say(5)), (6, say(4) + q), (7, q + say(90) + q + say(8))]
+    rows += [(8, ["la"] * 400), (9, say(3) + ["la"] * 90 + say(3))]
+    got = {r.id: r for r in passages.repeated(frame(spark, [(i, " ".join(w), "s") for i, w in rows])).collect()}
+    assert (got[3].n_repeated, got[3].n_spans) == (180, 3) and got[4].n_repeated == 60
+    assert (got[7].n_repeated, got[7].n_spans) == (110, 2) and (got[6].n_repeated, got[6].class_id) == (55, 6)
+    assert (got[8].n_repeated, got[9].n_repeated) == (400, 90)
+
+
 def test_chain_equals_quadratic_search():
     rng = np.random.default_rng(4)
     for _ in range(30):
