@@ -228,6 +228,37 @@ def test_html_main_text(spark):
                            (12, ""), (12, "")]
 
 
+PAGES = "page_id long, url string, html string"
+
+
+def main_text(spark, pages):
+    return {r.page_id: r["__text"] for r in html_text.extract(spark.createDataFrame(pages, PAGES)).collect()}
+
+
+def test_html_templates_of_one_host(spark, monkeypatch):
+    monkeypatch.setattr(html_text, "FOLD", 2)
+    extra = lambda i: "".join(f"<h{k}>Head {k}</h{k}>" for k in range(2, 2 + i % 5))
+    pages = [(i, "http://h.net/a", f"<body><article>{extra(i)}<p>Article {i}</article></body>") for i in range(10)]
+    pages += [(20, "http://h.net/b", "<body><main><p>In main</main></body>"), (21, None, "<body><div id=x><p>Plain text</div>"),
+              (22, "none", "<body><article><p>Other</article>"), (23, "http://h.net/c", "<body><div id=y><p>Div text</div>")]
+    # one slot name at two places of the expression: the first is links, the second text
+    pages += [(30 + i, "http://l.net/", f"<body><div><p><a href=x>Home of all pages</a></p><h2>Title</h2><p>Long text of page {i}</p></div>")
+              for i in range(3)]
+    got = main_text(spark, pages)
+    assert all(got[i].split("\n")[-1] == f"Article {i}" and len(got[i].split("\n")) == 1 + i % 5 for i in range(10))
+    assert (got[20], got[21], got[22], got[23]) == ("In main", "Plain text", "Other", "Div text")
+    assert all(got[30 + i] == f"Title\nLong text of page {i}" for i in range(3))
+
+
+def test_html_layout_names_and_skipped_elements(spark):
+    pages = [(1, "http://a.net/", "<body class='page right-sidebar'><div id=wrap class=has-sidebar><article><p>One</article></div>"),
+             (2, "http://b.net/", "<body class=comments><div class=content-with-comments><p>Two</div><div class=comments><p>no</div>"),
+             (3, "http://c.net/", "<body><div class=comments><article><p>Three</article></div>"),
+             (4, "http://d.net/", "<body><article><svg viewBox='0' /><p>Four<video-player src=x></video-player></p><canvas><p>end</article>"),
+             (5, "http://e.net/", "<body><div class=comments><article><p>no</article></div><article><p>Five</article>")]
+    assert main_text(spark, pages) == {1: "One", 2: "Two", 3: "Three", 4: "Four\nend", 5: "Five"}
+
+
 def test_wrapper_alignment():
     a = html_text.collapse(["h", "p", "p", "f"])
     b = html_text.collapse(["h", "x", "p", "f"])
