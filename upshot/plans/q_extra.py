@@ -9,7 +9,7 @@ from upshot.functions.dist import chi2_1dof_critical
 from upshot.operators import learners, monitor, policy, ranking, segments, validation
 from upshot.plans.catalog import _QINI_ROWS_SQL
 from upshot.plans.registry import COST, R, SCORED_CTE, VALUE, register, rnd, scored
-from upshot.plans.q_segments import TOP_SHARE, split_flag
+from upshot.plans.q_segments import TOP_SHARE
 from upshot.sources.experiment import EXPECTED_RATIO, FEATURES, experiment, experiment_cte
 
 SAMPLE_UNITS = 2000
@@ -99,9 +99,9 @@ def q_sample_status(spark, sf):
 
 @register("segment_dim")
 def q_segment_dim(spark, sf):
-    test = scored(spark, sf).where(~split_flag())
-    tree = learners.surrogate_tree(test, FEATURES, score="score", max_depth=5)
-    prof = segments.segment_profile(test, FEATURES, top=TOP_SHARE)
+    rows = scored(spark, sf)
+    tree = learners.surrogate_tree(rows, FEATURES, score="score", max_depth=5)
+    prof = segments.segment_profile(rows, FEATURES, top=TOP_SHARE)
     return rnd(segments.segment_dim(prof, learners.feature_importance(tree, FEATURES)))
 
 

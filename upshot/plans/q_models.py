@@ -14,7 +14,7 @@ from upshot.plans.registry import COST, R, VALUE, memo, register, rnd, scored
 from upshot.plans.q_segments import split_flag
 from upshot.sources.experiment import EXPECTED_RATIO, FEATURES, experiment, experiment_cte
 
-GBT = dict(n_estimators=20, max_depth=4)
+GBT = dict(n_estimators=100, max_depth=5)
 
 
 def _split(spark, sf):
@@ -80,8 +80,7 @@ def q_srm_p(spark, sf):
 
 @register("bootstrap_qini")
 def q_bootstrap(spark, sf):
-    _, test = _split(spark, sf)
-    return rnd(ranking.bootstrap_qini(test, n_bootstraps=20, n_points=1000, n_buckets=200), 6)
+    return rnd(ranking.bootstrap_qini(scored(spark, sf), n_bootstraps=20, n_points=1000, n_buckets=200), 6)
 
 
 @register("tlearner_deciles")
@@ -109,7 +108,7 @@ def q_xlearner(spark, sf):
 @register("propensity_by_arm")
 def q_propensity(spark, sf):
     train, test = _split(spark, sf)
-    m = learners.XLearner(FEATURES, n_estimators=10, max_depth=3).fit(train)
+    m = learners.XLearner(FEATURES, **GBT).fit(train)
     p = m.predict_propensity(test)
     return rnd(p.groupBy("treatment").agg(F.avg("propensity").alias("mean_propensity"),
                                           F.count(F.lit(1)).alias("n")), 6)
@@ -117,8 +116,7 @@ def q_propensity(spark, sf):
 
 def _surrogate(spark, sf, depth=5):
     def build():
-        _, test = _split(spark, sf)
-        return learners.surrogate_tree(test, FEATURES, score="score", max_depth=depth, min_samples_leaf=50)
+        return learners.surrogate_tree(scored(spark, sf), FEATURES, score="score", max_depth=depth, min_samples_leaf=50)
     return memo(spark, ("surrogate", sf, depth), build)
 
 
@@ -150,26 +148,26 @@ def q_distill(spark, sf):
 
 @register("score_and_bid")
 def q_score_bid(spark, sf):
-    _, test = _split(spark, sf)
-    student = learners.Distiller(FEATURES, "tree", max_depth=5).fit(test, "score")
-    out = learners.score_and_bid(test, student, VALUE, COST)
+    rows = scored(spark, sf)
+    student = learners.Distiller(FEATURES, "tree", max_depth=5).fit(rows, "score")
+    out = learners.score_and_bid(rows, student, VALUE, COST)
     return rnd(out.groupBy("decision", "uplift_band").agg(F.count(F.lit(1)).alias("n"),
                                                           F.avg("expected_profit").alias("avg_expected_profit")), 6)
 
 
 def _bandit(spark, sf):
     def build():
-        _, test = _split(spark, sf)
+        events = scored(spark, sf)
         agent = bandit.BatchedLinUCB(FEATURES, alpha=1.0, value=VALUE, cost=COST)
-        stream = agent.prepare(test, n_rounds=10, standardize=True)
-        return agent.run(stream), stream, test
+        stream = agent.prepare(events, n_rounds=10, standardize=True)
+        return agent.run(stream), stream, events
     return memo(spark, ("linucb", sf), build)
 
 
 @register("linucb_replay")
 def q_linucb(spark, sf):
-    agent, _, test = _bandit(spark, sf)
-    base = effects.baseline_profit(test, value=VALUE, cost=COST).select(F.col("baseline_profit_per_user").alias("_b"))
+    agent, _, events = _bandit(spark, sf)
+    base = effects.baseline_profit(events, value=VALUE, cost=COST).select(F.col("baseline_profit_per_user").alias("_b"))
     s = agent.summary(spark).crossJoin(base)
     s = s.select("*", *policy.incremental_value(F.col("cumulative_reward"), F.col("_b"),
                                                 F.col("aligned_events"))).withColumnRenamed("_b", "baseline_profit_per_user")
@@ -178,8 +176,8 @@ def q_linucb(spark, sf):
 
 @register("bandit_trajectory")
 def q_trajectory(spark, sf):
-    agent, stream, test = _bandit(spark, sf)
-    base = effects.baseline_profit(test, value=VALUE, cost=COST).first()[0]
+    agent, stream, events = _bandit(spark, sf)
+    base = effects.baseline_profit(events, value=VALUE, cost=COST).first()[0]
     return rnd(agent.trajectory(stream, base, n_points=2000), 4)
 
 

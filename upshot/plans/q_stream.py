@@ -9,6 +9,8 @@ from upshot.plans.registry import COST, R, VALUE, register, rnd
 from upshot.sources.tables import read_table
 from upshot.streaming import events as st
 
+ROUNDS = 10
+
 EV_CTE = f"WITH ev AS ({st.EVENT_COLUMNS_SQL})\n"
 WIN = (f"CAST(floor((date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) * 86400 "
        f"+ hour(ts) * 3600 + minute(ts) * 60 + second(ts)) / {st.WEEK}) AS BIGINT) * {st.WEEK}")
@@ -94,4 +96,5 @@ def q_stream_score(spark, sf):
 
 @register("stream_linucb")
 def q_stream_linucb(spark, sf):
-    return rnd(st.stream_linucb(spark, sf, value=VALUE, cost=COST))
+    folder = st.rounds_by_time(spark, read_table(spark, sf, "events"), ROUNDS)
+    return rnd(st.stream_linucb(spark, folder, value=VALUE, cost=COST, glob="*.parquet"))
