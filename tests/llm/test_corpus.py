@@ -102,6 +102,17 @@ def test_decontamination_equals_brute_force(spark, block_bytes):
     assert decontaminate.matches(frame(spark, rows), empty).where(decontaminate.contaminated(F.col("__match"))).count() == 0
 
 
+def test_longest_match_uses_all_places_of_a_window(spark):
+    _, say = word_maker(11)
+    shared, own = say(30), say(20)
+    item = own + shared + say(20)
+    items = [(1, say(8) + shared), (2, item), (3, shared + say(9))]
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    docs = frame(spark, [(1, " ".join(say(5) + item + say(5)), "s")])
+    found = decontaminate.matches(docs, bench).first()["__match"].longest
+    assert (found.words, found.doc_word, found.item, found.item_word) == (70, 5, 2, 0)
+
+
 def brute_simhash(text):
     import xxhash
     w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))

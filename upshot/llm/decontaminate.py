@@ -1,12 +1,12 @@
-"""Benchmark decontamination with suffix arrays of the training shards.
+"""Benchmark decontamination by bisection in the sorted windows of the benchmark.
 
-Every batch of training texts is a shard. Its suffix array holds the word
-positions sorted by the words that follow (as 64-bit names, as deep as a
-window is long). Every test suffix, the window that starts at a benchmark
-word, is found in it by binary search; neighbouring finds on one diagonal
-grow into longest verbatim matches with their places in both texts. Positions
-whose first words start no test suffix are left out of the array, which drops
-no match.
+The dealt method, a suffix array of the training text in which every test
+suffix is searched, is turned round: the windows that start at a benchmark word
+are sorted (as 64-bit word names). In every batch of training texts the word
+positions whose first words start a test window are sorted by the words that
+follow, and each is bisected in the test windows; the other positions cannot
+match. Neighbouring finds on one diagonal of one item grow into longest
+verbatim matches with their places in both texts, over all places of a window.
 
 The benchmark is read in blocks of bounded size; each block's suffixes are
 broadcast in turn. Training texts are not shuffled.
@@ -114,24 +114,36 @@ def _narrow(column: np.ndarray, value: np.ndarray, lo: np.ndarray, hi: np.ndarra
     return bounds[0], bounds[1]
 
 
+def _places(block: np.ndarray, window: np.ndarray, blocks: list[TestSuffixes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(find, item, word) of every place of the windows found."""
+    out = []
+    for b, t in enumerate(blocks):
+        find = np.flatnonzero(block == b)
+        first = t.starts[window[find]]
+        n = t.starts[window[find] + 1] - first
+        at = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+        out.append((np.repeat(find, n), t.items[at], t.words[at]))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
 def _shard(raw: np.ndarray, off: np.ndarray, blocks: list[TestSuffixes]) -> Iterator[dict]:
     """A match record for each text of a shard."""
     row, name = word_table(raw, off)
     size = len(off) - 1
     count = np.bincount(row, minlength=size)
     begin = np.cumsum(count) - count
-    position, length, item, word = [], [], [], []
+    position, length, block, window = [], [], [], []
     pairs = []
-    for t in blocks:
+    for k, t in enumerate(blocks):
         at, win = _search(row, name, t)
         position.append(at)
         length.append(np.full(len(at), t.length))
-        item.append(t.items[t.starts[win]])
-        word.append(t.words[t.starts[win]])
+        block.append(np.full(len(at), k))
+        window.append(win)
         for r, w in np.unique(np.stack([row[at], win]), axis=1).T if len(at) else ():
             pairs.append((int(r), np.unique(t.items[t.starts[w]:t.starts[w + 1]])))
-    position, length, item, word = (np.concatenate(x) if x else np.empty(0, np.int64)
-                                    for x in (position, length, item, word))
+    position, length, block, window = (np.concatenate(x) if x else np.empty(0, np.int64)
+                                       for x in (position, length, block, window))
     of_row: dict[int, set[int]] = {}
     for r, found in pairs:
         of_row.setdefault(r, set()).update(found.tolist())
@@ -149,9 +161,11 @@ def _shard(raw: np.ndarray, off: np.ndarray, blocks: list[TestSuffixes]) -> Iter
             new = np.flatnonzero(np.r_[True, lo[1:] > top[:-1]])
             record["runs"] = [{"lo": int(a), "hi": int(z)} for a, z in
                               zip(lo[new], top[np.r_[new[1:], len(lo)] - 1], strict=True)]
-            # finds that follow each other on one diagonal of one item are one verbatim match
-            diagonal = np.lexsort((lo, lo - word[k], item[k]))
-            d_item, d_shift, d_lo, d_hi = (x[diagonal] for x in (item[k], lo - word[k], lo, hi))
+            # finds that follow each other on one diagonal of one item are one verbatim match; a window has many places
+            find, item, word = _places(block[k], window[k], blocks)
+            lo, hi = lo[find], hi[find]
+            diagonal = np.lexsort((lo, lo - word, item))
+            d_item, d_shift, d_lo, d_hi = (x[diagonal] for x in (item, lo - word, lo, hi))
             starts = np.flatnonzero(np.r_[True, (d_item[1:] != d_item[:-1]) | (d_shift[1:] != d_shift[:-1])
                                           | (d_lo[1:] > d_hi[:-1])])
             last = np.r_[starts[1:], len(diagonal)] - 1
