@@ -1,4 +1,4 @@
-"""Exact repeated-substring removal by bucket-pointer refinement of anchored suffixes.
+"""Exact repeated-substring removal by hashed names of anchored suffixes.
 
 A byte string of ``length`` bytes is repeated if it starts at two places of the
 corpus. Every such string holds ``length - gram + 1`` grams; the one with the
@@ -10,12 +10,17 @@ to be told apart:
 1. Initial buckets: the anchor's gram. All strings in a row with one anchor
    are a *territory*. A bucket with one territory holds nothing repeated; one
    whose territories have the same bytes is repeated as a whole.
-2. Refinement by the identifiers of later offsets: a bucket with different
+2. Refinement by content hashes, in three fixed levels: a bucket with different
    territories is split by the whole territory, then by blocks of ``BLOCK``
    strings (bytes common to the block), and last by the single strings. Each
    level refines the buckets of the one before, and only those that are still
    undecided; territories known to be equal are refined through one of them.
 
+This stands in for the dealt refinement, in which buckets are sorted on the
+bucket identifiers of later offsets again and again. Strings have a fixed
+length, so a hash of all their bytes tells them apart at once, where pointers
+would need a join with the buckets at a later offset for every doubling.
+
 Each level is an aggregation with map-side partial sums (count, least and
 greatest identifier) and a join back, so a passage shared by a third of all
 documents never meets in one task. Identifiers are 64-bit names within
