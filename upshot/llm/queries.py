@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from upshot.llm import (decontaminate, html_text, mixing, neighbours, passages, simhash, suffix_dedup, token_counts,
+from upshot.llm import (decontaminate, html_text, merkle, mixing, neighbours, passages, simhash, suffix_dedup, token_counts,
                         toxicity, url_filter)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -137,3 +137,76 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
                         F.col("component").alias("component_id"))
+
+
+@register("op11_merkle", sql=r"""
+WITH RECURSIVE
+b AS (SELECT d.*, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+          lambda c: CAST(ascii(c) AS BIGINT))),
+        lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+          lambda x, y: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384::BIGINT ELSE 0 END))) AS crc
+      FROM documents d),
+f AS (SELECT doc_id, lang, coalesce(xor(crc, 4294967295::BIGINT) % 7 = 0, false) AND n_chars IS NOT NULL AS bad, n_chars,
+        coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || CAST(doc_id AS VARCHAR), '-')
+          || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+        coalesce(strlen(text) || ':' || text, '-') AS tail FROM b),
+h AS (SELECT doc_id, lang,
+        sha256(head || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || CAST(n_chars AS VARCHAR), '-') || tail) AS leaf,
+        CASE WHEN bad THEN sha256(head || strlen(CAST(n_chars + 1 AS VARCHAR)) || ':' || CAST(n_chars + 1 AS VARCHAR) || tail) END
+          AS claim FROM f),
+l AS (SELECT doc_id, lang, leaf, coalesce(claim, leaf) AS claim,
+        row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM h),
+lower_tree(lang, level, nodes) AS (
+  SELECT lang, 0, list(leaf ORDER BY pos) FROM l GROUP BY lang
+  UNION ALL
+  SELECT lang, level + 1, list_transform(range(0, len(nodes), 2),
+    lambda i: sha256(nodes[i + 1] || coalesce(nodes[i + 2], ''))) FROM lower_tree WHERE len(nodes) > 1),
+sub AS (SELECT lang, nodes[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place
+        FROM lower_tree WHERE len(nodes) = 1),
+upper_tree(level, nodes) AS (
+  SELECT 0, list(subroot ORDER BY place) FROM sub
+  UNION ALL
+  SELECT level + 1, list_transform(range(0, len(nodes), 2),
+    lambda i: sha256(nodes[i + 1] || coalesce(nodes[i + 2], ''))) FROM upper_tree WHERE len(nodes) > 1),
+steps AS (
+  SELECT lang, 0 AS storey, level, nodes FROM lower_tree WHERE len(nodes) > 1
+  UNION ALL
+  SELECT s.lang, 1, level, nodes FROM upper_tree, sub s WHERE len(nodes) > 1),
+walks AS (
+  SELECT l.doc_id, l.lang, l.leaf, l.claim, l.pos, s.subroot, s.place,
+    (SELECT nodes[1] FROM upper_tree WHERE len(nodes) = 1) AS root FROM l JOIN sub s ON l.lang IS NOT DISTINCT FROM s.lang),
+sides AS (
+  SELECT w.lang, w.pos, t.storey * 100 + t.level AS n,
+    (CASE t.storey WHEN 0 THEN w.pos ELSE w.place END) >> t.level AS slot,
+    coalesce(t.nodes[xor((CASE t.storey WHEN 0 THEN w.pos ELSE w.place END) >> t.level, 1) + 1], '') AS sibling
+  FROM walks w JOIN steps t ON w.lang IS NOT DISTINCT FROM t.lang),
+paths AS (
+  SELECT lang, pos, list({'left': CASE WHEN slot % 2 = 1 THEN sibling ELSE '' END,
+                          'right': CASE WHEN slot % 2 = 0 THEN sibling ELSE '' END} ORDER BY n) AS path
+  FROM sides GROUP BY lang, pos),
+folded AS (
+  SELECT w.*, coalesce(p.path, []) AS path FROM walks w
+  LEFT JOIN paths p ON w.lang IS NOT DISTINCT FROM p.lang AND w.pos = p.pos),
+climb(lang, pos, i, node) AS (
+  SELECT lang, pos, 0, claim FROM folded
+  UNION ALL
+  SELECT c.lang, c.pos, c.i + 1, sha256(f.path[c.i + 1]['left'] || c.node || f.path[c.i + 1]['right'])
+  FROM climb c JOIN folded f ON c.lang IS NOT DISTINCT FROM f.lang AND c.pos = f.pos WHERE c.i < len(f.path))
+SELECT f.doc_id, f.leaf, f.subroot, f.root,
+  sha256(array_to_string(list_transform(f.path, lambda s: s['left'] || s['right']), '')) AS proof_sha256,
+  c.node AS folded_root, c.node = f.root AS verified
+FROM folded f JOIN climb c ON c.lang IS NOT DISTINCT FROM f.lang AND c.pos = f.pos AND c.i = len(f.path)""")
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, subroot, root and proof of every document; one in seven claims a wrong n_chars and fails its proof."""
+    def fields(n_chars):
+        return F.col("doc_id"), F.col("source"), F.col("lang"), n_chars, F.col("text")
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    tampered = (F.crc32(F.col("doc_id").cast("string")) % 7 == 0) & F.col("n_chars").isNotNull()
+    docs = docs.withColumn("claim", F.when(tampered, merkle.leaf(*fields(F.try_add("n_chars", F.lit(1))))))
+    found = merkle.manifest(docs, merkle.leaf(*fields(F.col("n_chars"))), F.col("lang"), F.col("doc_id"), ["doc_id", "claim"])
+    found = found.select("doc_id", "claim", "__proof.*")
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", merkle.path_digest(F.col("path")).alias("proof_sha256"),
+        merkle.fold(F.coalesce("claim", "leaf"), F.col("path")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
