@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from upshot.llm import (decontaminate, html_text, merkle, mixing, neighbours, passages, simhash, suffix_dedup, token_counts,
-                        toxicity, url_filter)
+from upshot.llm import (conversation_repair, decontaminate, exact_dedup, html_text, merkle, mixing, neighbours, passages,
+                        simhash, suffix_dedup, token_counts, toxicity, url_filter)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -210,3 +210,100 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "leaf", "subroot", "root", merkle.path_digest(F.col("path")).alias("proof_sha256"),
         merkle.fold(F.coalesce("claim", "leaf"), F.col("path")).alias("folded_root"),
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@register("op13_exact_dedup", sql="""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS body FROM documents),
+g AS (SELECT *, count(*) OVER w AS group_size, max(doc_id) OVER w AS keep_id,
+        row_number() OVER (PARTITION BY body ORDER BY doc_id DESC NULLS LAST) = 1 AS kept
+      FROM t WINDOW w AS (PARTITION BY body))
+SELECT doc_id, keep_id, group_size, kept, sha256(body) AS text_sha256 FROM g""")
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact copies among all documents: each row's group, and the row of it that stays."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.withColumn("text_sha256", F.sha2(F.coalesce("text", F.lit("")), 256))
+    found = exact_dedup.exact_groups(docs, F.col("text"), "doc_id", ["doc_id", "text_sha256"])
+    return found.select("doc_id", "__exact.*", "text_sha256")
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """``conversations`` with the damage that op12 asks for: dropped, emptied, cut, repeated and reroled rows."""
+    part = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn", "role", "text")]
+    kind = F.crc32(F.concat(part[0], F.lit(":"), part[1])) % 20
+    text = F.when(kind == 1, "").when(kind == 2, F.regexp_replace(part[3], "[.!?]", "")).otherwise(part[3])
+    role = F.when(kind == 4, "user").otherwise(part[2])
+    copies = F.when(kind == 0, 0).when(kind == 3, 2).otherwise(1)
+    rows = rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), copies.alias("copies"))
+    return rows.select("conv_id", "turn", "role", "text", F.explode(F.array_repeat(F.lit(0), F.col("copies"))).alias("copy"))
+
+
+@register("op12_conversation_repair", sql=r"""
+WITH RECURSIVE
+raw AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+          coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name FROM conversations),
+coded AS (SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(name, ''),
+          lambda c: CAST(ascii(c) AS BIGINT))),
+        lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+          lambda x, y: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384::BIGINT ELSE 0 END))), 4294967295::BIGINT) % 20 AS kind
+      FROM raw),
+dirty AS (SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+            CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+          FROM coded, range(2) c(copy) WHERE kind <> 0 AND (copy = 0 OR kind = 3)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM dirty),
+ended AS (SELECT *, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS shown,
+            row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS copy FROM placed),
+r AS (SELECT *, CASE WHEN shown = '' THEN 'b' WHEN copy > 1 THEN 'd'
+               WHEN right(shown, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault,
+        CASE WHEN role[1:1] IN ('s', 'u', 'a') THEN role[1:1] ELSE 'o' END AS cls,
+        lag(role[1:1]) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM ended),
+stats AS (SELECT conv_id, CASE WHEN max(turn) IS NULL THEN 0 ELSE max(turn) - min(turn) + 1 - count(DISTINCT turn) END AS gaps,
+            count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate,
+            count(*) FILTER (fault = 't') AS truncated,
+            count(*) FILTER (before || role[1:1] NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+          FROM r GROUP BY conv_id),
+move(role, a, b) AS (VALUES ('s', 0, 1), ('u', 0, 2), ('u', 1, 2), ('u', 3, 2), ('a', 2, 3)),
+ins(a, b, cost, audit) AS (VALUES (0, 0, 0, ''), (0, 2, 3, 'I'), (0, 3, 6, 'II'), (1, 1, 0, ''), (1, 2, 3, 'I'),
+  (1, 3, 6, 'II'), (2, 2, 0, ''), (2, 3, 3, 'I'), (3, 3, 0, ''), (3, 2, 3, 'I')),
+sym AS (SELECT DISTINCT cls, fault FROM r),
+edit AS (
+  SELECT cls, fault, s AS a, s AS b, 4 AS cost, 'D' AS audit FROM sym, range(4) t(s)
+  UNION ALL
+  SELECT cls, fault, a, b, CASE WHEN role = cls THEN 0 ELSE 3 END + CASE fault WHEN 't' THEN 3 ELSE 0 END,
+    CASE WHEN role = cls THEN 'K' ELSE 'R' END
+  FROM sym, move WHERE fault IN ('', 't') AND (role = cls OR role IN ('u', 'a'))),
+step AS (SELECT e.cls, e.fault, e.a, i.b, min({'cost': e.cost + i.cost, 'audit': e.audit || i.audit}) AS way
+         FROM edit e JOIN ins i ON e.b = i.a GROUP BY ALL),
+walk(conv_id, i, b, way) AS (
+  SELECT s.conv_id, 0::BIGINT, ins.b, {'cost': ins.cost, 'audit': ins.audit} FROM stats s, ins WHERE ins.a = 0
+  UNION ALL
+  SELECT w.conv_id, w.i + 1, t.b, min({'cost': w.way.cost + t.way.cost, 'audit': w.way.audit || t.way.audit})
+  FROM walk w JOIN r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.i = w.i + 1
+    JOIN step t ON t.cls = r.cls AND t.fault = r.fault AND t.a = w.b
+  GROUP BY w.conv_id, w.i, t.b),
+best AS (SELECT s.conv_id, min(w.way) AS way FROM walk w JOIN stats s
+           ON s.conv_id IS NOT DISTINCT FROM w.conv_id AND s.n = w.i WHERE w.b IN (0, 3) GROUP BY s.conv_id),
+letters AS (SELECT conv_id, unnest(string_split(way.audit, '')) AS letter, generate_subscripts(string_split(way.audit, ''), 1) AS k
+            FROM best WHERE way.audit <> ''),
+consumed AS (SELECT *, count(*) FILTER (letter <> 'I') OVER w AS i, count(*) FILTER (letter <> 'D') OVER w AS o
+             FROM letters WINDOW w AS (PARTITION BY conv_id ORDER BY k)),
+kept AS (SELECT c.conv_id, c.k, c.letter, c.o, CASE WHEN letter <> 'I' THEN r.role END AS role, CASE WHEN letter = 'I' THEN '' ELSE r.text END AS text,
+           max(CASE WHEN c.o = 1 AND letter = 'K' AND r.cls = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY c.conv_id) AS shift
+         FROM consumed c LEFT JOIN r ON r.conv_id IS NOT DISTINCT FROM c.conv_id AND r.i = c.i WHERE letter <> 'D'),
+joined AS (SELECT conv_id, sha256(string_agg(CASE WHEN letter = 'K' THEN role WHEN (o - shift) % 2 = 1 THEN 'user' ELSE 'assistant' END
+             || ':' || text, chr(10) ORDER BY k)) AS repaired_sha256 FROM kept GROUP BY conv_id)
+SELECT c.conv_id, coalesce(s.gaps, 0) AS gaps, coalesce(s.blank, 0) AS blank, coalesce(s.duplicate, 0) AS duplicate,
+  coalesce(s.truncated, 0) AS truncated, coalesce(s.illegal, 0) AS illegal, CAST(coalesce(b.way.cost, 0) AS BIGINT) AS cost,
+  coalesce(b.way.audit, '') AS audit, coalesce(j.repaired_sha256, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN stats s ON s.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN joined j ON j.conv_id IS NOT DISTINCT FROM c.conv_id""")
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every damaged conversation."""
+    rows = table(spark, sf_dir, "conversations")
+    found = conversation_repair.Repair(damaged(rows), *[F.col(c) for c in ("conv_id", "turn", "role", "text")]).conversations()
+    found = found.withColumnRenamed("conv", "found_id")
+    out = rows.select("conv_id").distinct().join(found, F.col("conv_id").eqNullSafe(F.col("found_id")), "left")
+    numbers = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return out.select("conv_id", *numbers, F.coalesce("audit", F.lit("")).alias("audit"),
+                      F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
