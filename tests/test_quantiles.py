@@ -52,3 +52,73 @@ def test_approx_method_runs_through_operators(spark):
     assert segments.segment_profile(df, ["f0"], method="approx").count() == 1
     assert policy.greedy_decision(df, method="approx").where("greedy_bid").count() in range(440, 461)
     assert monitor.psi(df, df, ["f0"], method="approx").first()["psi"] < 1e-6
+
+
+def test_two_reads_of_the_data(spark, monkeypatch, tmp_path):
+    """All columns and groups: the sketch read and the count read, nothing else touches the base."""
+    import re
+
+    from pyspark.sql import functions as F
+
+    from upshot.functions import quantiles as q
+    path = str(tmp_path / "base")
+    spark.range(60_000).select((F.col("id") % 3).alias("g"), F.col("id").cast("double").alias("a"),
+                             F.sin("id").alias("b")).write.parquet(path)
+    reads = []
+
+    def watch(make):
+        def run(df, *args, **kw):
+            reads.append(len(re.findall(r"FileScan parquet|Scan parquet", df._jdf.queryExecution().executedPlan().toString())))
+            return make(df, *args, **kw)
+        return run
+
+    monkeypatch.setattr(q, "bounded", watch(q.bounded))
+    monkeypatch.setattr(q, "checkpointed", watch(q.checkpointed))
+    out = q.quantiles_of(spark.read.parquet(path), ["a", "b"], [0.1, 0.5, 0.9], by=["g"])
+    rows = out.collect()
+    assert len(rows) == 3 * 2 * 3 and sum(reads) == 2
+    assert "FileScan" not in out._jdf.queryExecution().executedPlan().toString()
+    pdf = spark.read.parquet(path).toPandas()
+    for r in rows:
+        assert abs(np.quantile(pdf[pdf.g == r.g][r.feature], r.prob) - r.value) < 1e-12
+
+
+def test_null_groups_null_values_and_missed_brackets(spark, monkeypatch):
+    from upshot.functions import quantiles as q
+    rng = np.random.default_rng(4)
+    rows = [(None if i % 3 else "a", None if i % 10 == 0 else float(x)) for i, x in enumerate(rng.normal(size=60_000))]
+    pdf = pd.DataFrame([*rows, ("empty", None)], columns=["g", "x"])
+    df = spark.createDataFrame(pdf.astype({"x": "Float64"}), "g string, x double")
+    probs = [0.0, 0.3, 0.5, 1.0]
+
+    def same():
+        got = {(r.g, r.q_idx): (r.value, r.n) for r in q.quantiles(df, "x", probs, by=["g"]).collect()}
+        assert {k[0] for k in got} == {None, "a"}
+        for g in (None, "a"):
+            x = [v for k, v in rows if k == g and v is not None]
+            for i, p in enumerate(probs):
+                assert abs(got[g, i][0] - np.quantile(x, p)) < 1e-12 and got[g, i][1] == len(x)
+
+    same()
+    plain, tries = q._exact, []
+
+    def astray(base, width, k, p, delta):
+        tries.append(delta)
+        if len(tries) == 1:          # brackets around other ranks: every wanted one is missed
+            ends = [0.11, 0.12]
+            monkeypatch.setattr(q, "_sketched", lambda b, w, kk, at, f=q._sketched: f(b, w, kk, [ends[0] + 0.01 * (i % 2) for i in range(len(at))]))
+            out = plain(base, width, k, p, delta)
+            monkeypatch.undo()
+            monkeypatch.setattr(q, "_exact", astray)
+            return out
+        return plain(base, width, k, p, delta)
+
+    monkeypatch.setattr(q, "_exact", astray)
+    same()
+    assert len(tries) == 2
+
+
+def test_nan_values_sort_last(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(10)] + [(float("nan"),)] * 5, "x double")
+    got = {r.q_idx: r.value for r in quantiles(df, "x", [0.0, 0.5, 1.0]).collect()}
+    assert got[0] == 0.0 and got[1] == 7.0 and np.isnan(got[2])

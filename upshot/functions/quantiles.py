@@ -1,27 +1,27 @@
-"""Distributed quantiles with linear interpolation, exact without a global sort.
+"""Distributed quantiles with linear interpolation: exact, two reads of the data, no global sort.
 
 Spark's exact ``percentile`` keeps every distinct value of a group in one
-aggregation buffer, which does not survive a 100 TB column. ``quantiles``
-instead:
-
-1. brackets every wanted probability p with approximate edges at p +/- delta
-   (``percentile_approx``, bounded memory, partial aggregation);
-2. gives every row the index of the bucket between adjacent edges that holds
-   it and counts rows per bucket (partial aggregation, tiny output); the rank
-   of each wanted order statistic then names its bucket - always correctly,
-   the approximation only decides how narrow the bucket is;
-3. keeps only rows of those buckets (equi-join on the bucket index against a
-   small target table), aggregates them by distinct value and walks a
-   running count inside each (group, quantile) bucket.
-
-The two small intermediate tables (edges per group; target buckets per group
-and probability) are materialised once - as local relations when small, as
-checkpoints otherwise (see ``functions/materialize.py``) - so the base is
-scanned once per pass and not once per branch. The function is therefore
-eager for those two jobs.
+aggregation buffer, which does not survive a 100 TB column. Here:
+
+1. the first read builds one KLL sketch per group and column (all columns in
+   one aggregate, bounded memory, merged map-side) and takes from it a bracket
+   [q(p - d), q(p + d)] around every wanted probability p, with d three times
+   the sketch's rank error; brackets that touch are merged;
+2. the second read gives every row the number of its cell between bracket
+   ends (a codegen'd binary search) and counts rows by (group, column, cell,
+   value), where the value is kept inside brackets only: everything outside
+   collapses to one row a cell in the map-side aggregate, and so does a hot
+   value. Groups of a few thousand rows keep all their values.
+
+All else works on that count table, which is written once: running counts of
+cells name the cell of each wanted order statistic, running counts of the
+values inside that cell name the value. A rank outside the brackets (the sketch
+missed, which is improbable) starts again with wider ones, so the result never
+depends on the sketch.
 
 The result equals NumPy/DuckDB ``linear`` quantiles: h = (n-1) p,
-q = x[floor h] + (h - floor h) (x[floor h + 1] - x[floor h]).
+q = x[floor h] + (h - floor h) (x[floor h + 1] - x[floor h]). Null values take
+no part; null groups are groups.
 """
 
 from __future__ import annotations
@@ -29,96 +29,127 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from upshot.functions.materialize import bounded, small
+from upshot.functions.materialize import bounded, checkpointed, small
 from upshot.session import ensure_checkpoint_dir
 
+SKETCH_K = 32_768                # KLL parameter (8..65535): larger sketches, narrower brackets
 
-def quantiles(df: DataFrame, value: str, probs, by=(), accuracy: int = 100000,
+
+def quantiles(df: DataFrame, value: str, probs, by=(), accuracy: int = SKETCH_K,
               method: str = "exact") -> DataFrame:
     """Rows ``(by..., q_idx, prob, value, n)``; one per group and probability."""
-    by = list(by)
-    probs = [float(p) for p in probs]
-    base = df.select(*by, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    prob_arr = F.array(*[F.lit(p) for p in probs])
+    return _named(df, [value], probs, by, accuracy, method, [])
 
-    if method == "approx":
-        agg = base.groupBy(*by).agg(F.count(F.lit(1)).alias("n"),
-                                    F.percentile_approx("_v", probs, accuracy).alias("_q"))
-        return (agg.select(*by, "n", F.posexplode("_q").alias("q_idx", "value"))
-                .withColumn("prob", F.element_at(prob_arr, F.col("q_idx") + 1)))
-    if method != "exact":
-        raise ValueError(f"unknown method {method!r}")
 
-    delta = 3.0 / accuracy
-    edge_p = sorted({min(1.0, max(0.0, p + s * delta)) for p in probs for s in (-1.0, 1.0)})
-    n_edges = len(edge_p)
+def quantiles_of(df: DataFrame, columns: list[str], probs, by=(), accuracy: int = SKETCH_K,
+                 method: str = "exact") -> DataFrame:
+    """Quantiles of several columns at once: rows ``(by..., feature, q_idx, prob, value, n)``."""
+    return _named(df, columns, probs, by, accuracy, method, [F.array(*[F.lit(c) for c in columns])[F.col("_f")].alias("feature")])
 
+
+def _named(df, columns, probs, by, accuracy, method, feature) -> DataFrame:
+    if method not in ("exact", "approx"):
+        raise ValueError(f"unknown method {method!r}")
     ensure_checkpoint_dir(df.sparkSession)
-    # Pass 1: approximate edges per group (bounded sketch per group). The result has
-    # one row per group; materialising it keeps later passes from re-running it.
-    stats_agg = base.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"),
-                                      F.percentile_approx("_v", edge_p, accuracy).alias("_e"))
-    stats, stats_small = bounded(stats_agg, with_flag=True) if by else (small(stats_agg), True)
-
-    # Pass 2: rows per bucket, bucket b = number of edges <= v (b-th bucket is [e_b, e_{b+1})).
-    def attach(frame: DataFrame, side: DataFrame, side_small: bool = True) -> DataFrame:
-        side = F.broadcast(side) if side_small else side   # proven small: never shuffle the big side
-        return frame.join(side, by) if by else frame.crossJoin(side)
-
-    bucketed = attach(base, stats.select(*by, "_e"), stats_small).withColumn(
-        "_bk", count_sorted("_e", "_v", n_edges, strict=False))
-    per_bucket = bucketed.groupBy(*by, "_bk").agg(F.count(F.lit(1)).alias("_c"))
-    # values strictly below edge i (1-based) = rows in buckets < i
-    below = per_bucket.groupBy(*by).agg(F.collect_list(F.struct("_bk", "_c")).alias("_bc")).select(
-        *by, F.transform(F.sequence(F.lit(1), F.lit(n_edges)),
-                         lambda i: F.aggregate(F.filter("_bc", lambda x: x["_bk"] < i), F.lit(0).cast("long"),
-                                               lambda acc, x: acc + x["_c"])).alias("_lt"))
-    grid = attach(stats, below, stats_small)
-
-    # Per (group, quantile, lower/upper neighbour): the bucket holding that rank.
-    h = (F.col("_n") - 1).cast("double") * F.col("prob")
-    targets = (grid
-               .select(*by, "_n", "_e", "_lt",
-                       F.posexplode(prob_arr).alias("q_idx", "prob"))
-               .withColumn("_k", F.floor(h).cast("long"))
-               .withColumn("_frac", h - F.col("_k"))
-               .select(*by, "q_idx", "prob", "_n", "_frac", "_lt",
-                       F.explode(F.array(
-                           F.struct(F.lit(0).alias("side"), F.col("_k").alias("rank")),
-                           F.struct(F.lit(1).alias("side"),
-                                    F.least(F.col("_k") + 1, F.col("_n") - 1).alias("rank")))).alias("_t"))
-               .select("*", "_t.side", "_t.rank")
-               .withColumn("_bk", F.size(F.filter("_lt", lambda x: x <= F.col("rank"))))
-               .select(*by, "q_idx", "prob", "_n", "_frac", "side", "rank", "_bk",
-                       F.when(F.col("_bk") > 0, F.element_at("_lt", F.col("_bk"))).otherwise(F.lit(0)).alias("_off"))
-               )
-    targets, targets_small = (bounded(targets, with_flag=True) if by
-                              else (small(targets), True))  # groups x probabilities x 2 rows
-
-    # Pass 3: rows of the wanted buckets (equi-join on the bucket), counted by distinct value.
-    keys = [*by, "q_idx", "side"]
-    tsel = targets.select(*by, "_bk", "q_idx", "side")
-    # the bucket of a hot value is a hot key: broadcast the (small) target table, never shuffle on it
-    cand = (bucketed.select(*by, "_bk", "_v").join(F.broadcast(tsel) if targets_small else tsel, [*by, "_bk"])
-            .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")))
-    w = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    picked = (cand.join(targets.select(*keys, "rank", "_off", "prob", "_frac", "_n"), keys)
-              .withColumn("_cum", F.sum("_c").over(w) + F.col("_off"))
-              .where((F.col("_cum") - F.col("_c") <= F.col("rank")) & (F.col("rank") < F.col("_cum"))))
-    pair = picked.groupBy(*by, "q_idx", "prob", "_frac", "_n").agg(
-        F.max(F.when(F.col("side") == 0, F.col("_v"))).alias("_x0"),
-        F.max(F.when(F.col("side") == 1, F.col("_v"))).alias("_x1"))
-    return pair.select(*by, "q_idx", "prob", (F.col("_x0") + F.col("_frac") * (F.col("_x1") - F.col("_x0"))).alias("value"),
-                       F.col("_n").alias("n"))
+    by, probs = list(by), [float(p) for p in probs]
+    k = min(max(accuracy, 8), 65_535)
+    base = df.select(F.struct(F.lit(0).alias("_"), *by).alias("_g"),    # structs join null-safely
+                     *[F.col(c).cast("double").alias(f"_v{i}") for i, c in enumerate(columns)])
+    if method == "approx":
+        out = _sketched(base, len(columns), k, probs).select(
+            "_g", F.posexplode("_s").alias("_f", "_s")).select("_g", "_f", "_s.n", F.posexplode("_s.e").alias("q_idx", "value"))
+    else:
+        delta = 3 * 2.296 / k ** 0.9723
+        out = None
+        while out is None:
+            out = _exact(base, len(columns), k, probs, delta)
+            delta *= 16
+    return out.select(*[F.col("_g")[c].alias(c) for c in by], *feature, "q_idx",
+                      F.element_at(F.array(*[F.lit(p) for p in probs]), F.col("q_idx") + 1).alias("prob"), "value", "n")
+
+
+def _sketched(base: DataFrame, width: int, k: int, at: list[float]) -> DataFrame:
+    """(_g, _s): for each column the count n and the sketch's quantiles e at the given ranks; the first read."""
+    values = [F.col(f"_v{i}") for i in range(width)]
+    aggs = [a for i, v in enumerate(values) for a in (
+        F.count(v).alias(f"_n{i}"), F.kll_sketch_agg_double(v, F.lit(k)).alias(f"_k{i}"))]
+    ranks = F.array(*[F.lit(p) for p in at])
+    found = base.groupBy("_g").agg(*aggs)
+    return found.select("_g", F.array(*[F.struct(
+        F.col(f"_n{i}").alias("n"),
+        F.when(F.col(f"_n{i}") > 0, F.kll_sketch_get_quantile_double(f"_k{i}", ranks)).alias("e")) for i in range(width)]).alias("_s"))
+
+
+def _exact(base: DataFrame, width: int, k: int, probs: list[float], delta: float) -> DataFrame | None:
+    """(_g, _f, q_idx, value, n), or None if a wanted rank lies outside the brackets."""
+    ends: list[float] = []
+    for p in sorted(probs):
+        lo, hi = max(0.0, p - delta), min(1.0, p + delta)
+        if ends and lo <= ends[-1]:
+            ends[-1] = max(hi, ends[-1])
+        else:
+            ends += [lo, hi]
+    width_e = len(ends)
+    edges, edges_small = bounded(_sketched(base, width, k, ends), with_flag=True)
+
+    # Second read: cell 2 * (ends below v) + (v is an end), ordered like v; values kept inside brackets.
+    side = F.broadcast(edges) if edges_small else edges     # proven small: never shuffle the big side
+
+    def cell(i: int) -> Column:
+        v, e = F.col(f"_v{i}"), F.col("_s")[i]["e"]
+        below = count_sorted(e, v, width_e, strict=True)
+        at_end = F.coalesce(F.get(e, below) == v, F.lit(False))
+        few = F.col("_s")[i]["n"] * F.lit(delta) < 3     # a bracket narrower than a few rows: keep the group's values
+        kept = F.lit(True) if delta >= 1 else few | at_end | (below % 2 == 1)
+        return F.when(v.isNotNull(), F.struct(F.lit(i).alias("f"), (below * 2 + at_end.cast("int")).alias("c"),
+                                              F.when(kept, v).alias("v"), kept.alias("kept")))
+
+    counted = base.join(side, "_g").select("_g", F.explode(F.array(*[cell(i) for i in range(width)])).alias("_r"))
+    counted = counted.where("_r IS NOT NULL").groupBy("_g", F.col("_r.f").alias("_f"), F.col("_r.c").alias("_c"),
+                                                      F.col("_r.kept").alias("_kept"), F.col("_r.v").alias("_v"))
+    table = checkpointed(counted.agg(F.count(F.lit(1)).alias("_m")))
+
+    # Cells with the rows before them; wanted ranks find their cell as the last one that starts at or before them.
+    group = Window.partitionBy("_g", "_f")
+    cells = table.groupBy("_g", "_f", "_c", "_kept").agg(F.sum("_m").alias("_m"))
+    cells = cells.select("_g", "_f", "_c", "_kept", F.sum("_m").over(group).alias("n"),
+                         (F.sum("_m").over(group.orderBy("_c")) - F.col("_m")).alias("_at"))
+    sizes = cells.select("_g", "_f", "n").distinct()
+    h = (F.col("n") - 1).cast("double") * F.col("prob")
+    ranks = sizes.select("_g", "_f", "n", F.posexplode(F.array(*[F.lit(p) for p in probs])).alias("q_idx", "prob"))
+    ranks = ranks.withColumn("_k", F.floor(h).cast("long")).select(
+        "_g", "_f", "n", "q_idx", (h - F.col("_k")).alias("_frac"),
+        F.posexplode(F.array(F.col("_k"), F.least(F.col("_k") + 1, F.col("n") - 1))).alias("side", "_at"))
+    both = cells.withColumn("_o", F.lit(0)).unionByName(ranks.withColumn("_o", F.lit(1)), allowMissingColumns=True)
+    upto = group.orderBy("_at", "_o").rowsBetween(Window.unboundedPreceding, 0)
+    start = F.last(F.when(F.col("_o") == 0, F.struct("_c", "_kept", F.col("_at").alias("from"))), ignorenulls=True).over(upto)
+    targets = both.withColumn("_t", start).where("_o = 1").select(
+        "_g", "_f", "n", "q_idx", "_frac", "side", F.col("_at").alias("rank"), F.col("_t._c").alias("_c"),
+        F.col("_t._kept").alias("_kept"), F.col("_t.from").alias("_from"))
+    targets, targets_small = bounded(targets, with_flag=True)
+    if not targets.where("NOT _kept").isEmpty():
+        return None
+
+    # Values of the wanted cells, by running counts inside each cell.
+    run = Window.partitionBy("_g", "_f", "_c").orderBy("_v")
+    values = table.where("_kept").withColumn("_cum", F.sum("_m").over(run))
+    wanted = F.broadcast(targets) if targets_small else targets
+    reach = F.col("rank") - F.col("_from")
+    picked = values.join(wanted.drop("_kept"), ["_g", "_f", "_c"]).where(
+        (F.col("_cum") - F.col("_m") <= reach) & (reach < F.col("_cum")))
+    pair = picked.groupBy("_g", "_f", "q_idx", "_frac", "n").agg(
+        F.max(F.when(F.col("side") == 0, F.col("_v"))).alias("_x0"), F.max(F.when(F.col("side") == 1, F.col("_v"))).alias("_x1"))
+    return pair.select("_g", "_f", "q_idx", (F.col("_x0") + F.col("_frac") * (F.col("_x1") - F.col("_x0"))).alias("value"), "n")
 
 
 def quantile_array(df: DataFrame, value: str, probs, by=(), **kw) -> DataFrame:
     """One row per group: ``(by..., edges array<double> ordered by prob, n)``."""
     by = list(by)
     q = quantiles(df, value, probs, by, **kw)
-    return (q.groupBy(*by).agg(
+    arrays = (q.groupBy(*by).agg(
         F.array_sort(F.collect_list(F.struct("q_idx", "value"))).alias("_s"), F.first("n").alias("n"))
         .select(*by, F.transform("_s", lambda s: s["value"]).alias("edges"), "n"))
+    return arrays if by else small(arrays)
 
 
 def count_sorted(edges, value, n: int, strict: bool) -> Column:

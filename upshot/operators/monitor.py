@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from upshot.functions.columns import bid_decision, col_, psi_rag, unit_uniform
 from upshot.functions.materialize import small
-from upshot.functions.quantiles import count_sorted, quantiles
+from upshot.functions.quantiles import count_sorted, quantiles_of
 from upshot.functions.sampling import smallest_by_hash
 
 PSI_EPS = 1e-7
@@ -42,8 +42,7 @@ def unpivot(df: DataFrame, features: list[str], keep: list[str]) -> DataFrame:
 
 def psi_edges(reference: DataFrame, features: list[str], n_bins: int = 10, method: str = "exact") -> DataFrame:
     """Reference-quantile edges per feature, ends widened by 1e-7: (feature, edges array, n_ref)."""
-    long = unpivot(reference, features, [])
-    q = quantiles(long, "value", [i / n_bins for i in range(n_bins + 1)], by=["feature"], method=method)
+    q = quantiles_of(reference, features, [i / n_bins for i in range(n_bins + 1)], method=method)
     arr = q.groupBy("feature").agg(F.array_sort(F.collect_list(F.struct("q_idx", "value"))).alias("_s"),
                                    F.first("n").alias("n_ref"))
     last = n_bins
@@ -70,6 +69,19 @@ def histogram_bin(value: Column, edges: Column, n_bins: int, overflow: str = "dr
             .when(value == last, F.lit(n_bins - 1)).otherwise(idx))
 
 
+def bin_counts(df: DataFrame, edges: DataFrame, by: list[str], n_bins: int, overflow: str = "drop") -> DataFrame:
+    """(by..., feature, bin, c): rows per bin of every feature, from one read.
+
+    ``edges`` (one row per feature) go into the plan as literals; a row becomes
+    one small struct per feature, counted map-side.
+    """
+    rows = [F.struct(F.lit(r["feature"]).alias("feature"), histogram_bin(
+        F.col(r["feature"]).cast("double"), F.array(*[F.lit(float(x)) for x in r["edges"]]), n_bins, overflow).alias("bin"))
+        for r in edges.collect()]
+    long = df.select(*by, F.explode(F.array(*rows)).alias("_r")).where(F.col("_r.bin").isNotNull())
+    return long.groupBy(*by, F.col("_r.feature").alias("feature"), F.col("_r.bin").alias("bin")).agg(F.count(F.lit(1)).alias("c"))
+
+
 def psi(reference: DataFrame, current: DataFrame, features: list[str], by: list[str] | None = None,
         n_bins: int = 10, method: str = "exact", overflow: str = "drop") -> DataFrame:
     """Population Stability Index per feature (and per ``by`` group of the current frame).
@@ -81,14 +93,10 @@ def psi(reference: DataFrame, current: DataFrame, features: list[str], by: list[
     """
     by = list(by or [])
     edges = psi_edges(reference, features, n_bins, method)
-    ref_long = unpivot(reference, features, []).join(F.broadcast(edges), "feature")
-    ref_counts = (ref_long.withColumn("bin", histogram_bin(F.col("value"), F.col("edges"), n_bins))
-                  .where(F.col("bin").isNotNull()).groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("ref_c")))
-    cur_long = unpivot(current, features, by).join(F.broadcast(edges.select("feature", "edges")), "feature")
+    ref_counts = bin_counts(reference, edges, [], n_bins).withColumnRenamed("c", "ref_c")
+    cur_counts = bin_counts(current, edges, by, n_bins, overflow).withColumnRenamed("c", "cur_c")
     cur_n = current.groupBy(*by).agg(F.count(F.lit(1)).alias("n_cur")) if by else \
         current.agg(F.count(F.lit(1)).alias("n_cur"))
-    cur_counts = (cur_long.withColumn("bin", histogram_bin(F.col("value"), F.col("edges"), n_bins, overflow))
-                  .where(F.col("bin").isNotNull()).groupBy(*by, "feature", "bin").agg(F.count(F.lit(1)).alias("cur_c")))
     bins = current.sparkSession.range(n_bins).select(F.col("id").cast("int").alias("bin"))
     grid = (cur_n.crossJoin(edges.select("feature", "n_ref")).crossJoin(bins))
     full = (grid.join(ref_counts, ["feature", "bin"], "left").join(cur_counts, [*by, "feature", "bin"], "left")
