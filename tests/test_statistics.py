@@ -81,23 +81,55 @@ def test_one_arm_frame_gives_null_effect(spark):
     assert r["n_c"] == 0 and r["absolute_effect"] is None and r["std_error"] is None
 
 
-def test_jvm_and_pandas_p_values_agree(spark):
+def test_p_values_equal_the_error_function(spark):
     import math
 
-    from pyspark.sql import functions as F
-
     from upshot.functions import dist
-    df = spark.createDataFrame([(z,) for z in [0.0, 0.5, 1.96, 3.0, 7.5, 20.0]], "z double")
-    jvm = [r[0] for r in df.select(dist.normal_two_sided_p("z")).collect()]
-    pandas = [r[0] for r in df.select(dist._two_sided_p(F.col("z"))).collect()]
-    for z, a, b in zip([0.0, 0.5, 1.96, 3.0, 7.5, 20.0], jvm, pandas):
+    zs = [0.0, 0.5, 1.96, 3.0, 7.5, 20.0]
+    df = spark.createDataFrame([(z,) for z in zs], "z double")
+    for z, p in zip(zs, [r[0] for r in df.select(dist.normal_two_sided_p("z")).collect()], strict=True):
         want = math.erfc(z / math.sqrt(2))
-        assert abs(a - want) <= 1e-14 + 1e-9 * want and abs(b - want) <= 1e-14 + 1e-9 * want
+        assert abs(p - want) <= 1e-14 + 1e-9 * want
     chi = [r[0] for r in spark.createDataFrame([(3.841458820694124,)], "c double")
            .select(dist.chi2_1dof_p("c")).collect()]
     assert abs(chi[0] - 0.05) < 1e-12
 
 
+def test_plain_and_adjusted_effect_from_one_read(spark, tmp_path):
+    """Moment matrices against the adjusted column itself, with nulls, a third arm and a null arm."""
+    import re
+
+    from pyspark.sql import functions as F
+    rng = np.random.default_rng(21)
+    n = 6000
+    X = rng.normal(size=(n, 3)) * [1.0, 50.0, 1e-3] + [0.0, 1e4, 5.0]
+    t = rng.integers(0, 2, n)
+    y = X @ np.array([0.4, 0.01, 90.0]) + 0.3 * t + rng.normal(size=n)
+    pdf = pd.DataFrame(X, columns=["a", "b", "c"]).assign(conversion=y, treatment=t)
+    path = str(tmp_path / "rows")
+    rows = spark.createDataFrame(pdf)
+    odd = rows.limit(50)
+    rows = (rows.unionByName(odd.withColumn("treatment", F.lit(2))).unionByName(odd.withColumn("treatment", F.lit(None).cast("long")))
+            .unionByName(odd.withColumn("b", F.lit(None).cast("double"))).unionByName(odd.withColumn("conversion", F.lit(None).cast("double"))))
+    rows.write.parquet(path)
+    df = spark.read.parquet(path)
+    plan = effects.arm_moments(df, "conversion", ["a", "b", "c"])._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall("FileScan", plan)) == 1
+    raw, adjusted = [r.first() for r in effects.ate_and_cuped(df, "conversion", ["a", "b", "c"], with_p=True)]
+    p = df.toPandas()
+    ok = p.dropna(subset=["a", "b", "c", "conversion", "treatment"])
+    theta, centre = effects.cuped_theta(df.where("treatment IS NOT NULL"), "conversion", ["a", "b", "c"])
+    x = ok[["a", "b", "c"]].to_numpy()
+    assert np.allclose(theta, np.linalg.lstsq(x - x.mean(0), ok.conversion - ok.conversion.mean(), rcond=None)[0], rtol=1e-8)
+    adj = ok.conversion - (x - centre) @ theta
+    c, tr = adj[ok.treatment == 0], adj[ok.treatment == 1]
+    assert adjusted["n_c"] == len(c) and adjusted["n_t"] == len(tr)
+    assert abs(adjusted["absolute_effect"] - (tr.mean() - c.mean())) < 1e-9
+    assert abs(adjusted["std_error"] - np.sqrt(c.var(ddof=1) / len(c) + tr.var(ddof=1) / len(tr))) < 1e-9
+    plain = effects.ate(df, "conversion").first()
+    assert all(abs(raw[k] - plain[k]) < 1e-9 for k in ("absolute_effect", "std_error", "n_c", "n_t"))
+
+
 def test_cuped_theta_from_sample(spark):
     from upshot.functions.sampling import cuped_sample_size
     rng = np.random.default_rng(15)

@@ -8,7 +8,7 @@ aggregation buffer, which does not survive a 100 TB column. Here:
    [q(p - d), q(p + d)] around every wanted probability p, with d three times
    the sketch's rank error; brackets that touch are merged;
 2. the second read gives every row the number of its cell between bracket
-   ends (a codegen'd binary search) and counts rows by (group, column, cell,
+   ends (codegen'd halving steps) and counts rows by (group, column, cell,
    value), where the value is kept inside brackets only: everything outside
    collapses to one row a cell in the map-side aggregate, and so does a hot
    value. Groups of a few thousand rows keep all their values.
@@ -95,16 +95,28 @@ def _exact(base: DataFrame, width: int, k: int, probs: list[float], delta: float
     # Second read: cell 2 * (ends below v) + (v is an end), ordered like v; values kept inside brackets.
     side = F.broadcast(edges) if edges_small else edges     # proven small: never shuffle the big side
 
+    def end(i: int, at: Column) -> Column:
+        return F.get(F.col("_s")[i]["e"], at)           # null past the last end
+
+    # number of ends below v, by halving steps: one small projection each, for all columns
+    values = [f"_v{i}" for i in range(width)]
+    placed = base.join(side, "_g").select("*", *[F.lit(0).alias(f"_b{i}") for i in range(width)])
+    step = 1 << (width_e.bit_length() - 1)
+    while step:
+        placed = placed.select("_g", "_s", *values, *[
+            (F.col(f"_b{i}") + F.when(end(i, F.col(f"_b{i}") + (step - 1)) < F.col(f"_v{i}"), step).otherwise(0)).alias(f"_b{i}")
+            for i in range(width)])
+        step //= 2
+
     def cell(i: int) -> Column:
-        v, e = F.col(f"_v{i}"), F.col("_s")[i]["e"]
-        below = count_sorted(e, v, width_e, strict=True)
-        at_end = F.coalesce(F.get(e, below) == v, F.lit(False))
+        v, below = F.col(f"_v{i}"), F.col(f"_b{i}")
+        at_end = F.coalesce(end(i, below) == v, F.lit(False))
         few = F.col("_s")[i]["n"] * F.lit(delta) < 3     # a bracket narrower than a few rows: keep the group's values
         kept = F.lit(True) if delta >= 1 else few | at_end | (below % 2 == 1)
         return F.when(v.isNotNull(), F.struct(F.lit(i).alias("f"), (below * 2 + at_end.cast("int")).alias("c"),
                                               F.when(kept, v).alias("v"), kept.alias("kept")))
 
-    counted = base.join(side, "_g").select("_g", F.explode(F.array(*[cell(i) for i in range(width)])).alias("_r"))
+    counted = placed.select("_g", F.explode(F.array(*[cell(i) for i in range(width)])).alias("_r"))
     counted = counted.where("_r IS NOT NULL").groupBy("_g", F.col("_r.f").alias("_f"), F.col("_r.c").alias("_c"),
                                                       F.col("_r.kept").alias("_kept"), F.col("_r.v").alias("_v"))
     table = checkpointed(counted.agg(F.count(F.lit(1)).alias("_m")))

@@ -1,7 +1,8 @@
 """Average treatment effects: Welch difference, CUPED, proportion baselines.
 
-Moments come from one global aggregate with arm-filtered aggregates; all
-statistics are column expressions over that single row.
+Moments come from one aggregate over the rows, arm by arm; the adjusted
+effects follow from the arms' moment matrices, so plain and adjusted effects
+share a single read. All statistics are column expressions over one row.
 """
 
 from __future__ import annotations
@@ -58,62 +59,132 @@ def ate(df: DataFrame, outcome: str, treatment: str = "treatment", alpha: float
     return _effect_row(_moments(df, y, treatment), alpha, outcome, variant, with_p)
 
 
-def cuped_theta(df: DataFrame, outcome: str, covariates: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Pooled OLS slope of the outcome on centred covariates.
+def _pairs(d: int) -> list[tuple[int, int]]:
+    """Upper triangle of the moment matrix over (outcome, covariates)."""
+    return [(i, j) for i in range(d + 1) for j in range(i, d + 1)]
 
-    One distributed aggregate of the d(d+1)/2 + d population covariances and
-    d means (numerically stable merges); the d x d solve runs on the driver
-    (min-norm via pseudo-inverse when X is rank deficient).
+
+def arm_moments(df: DataFrame, outcome: str, covariates: list[str], treatment: str = "treatment") -> DataFrame:
+    """One row per arm: raw outcome moments, and the moment matrix of (outcome, covariates) over complete rows.
+
+    Columns: arm, n, mean, var (outcome as it is), n_x, means (outcome first)
+    and moments (population co-moments, upper triangle by rows). One read;
+    partial aggregates merge, so the result does not depend on how rows are dealt.
     """
+    cols = [F.col(c).cast("double") for c in (outcome, *covariates)]
+    complete = cols[0].isNotNull()
+    for c in cols[1:]:
+        complete = complete & c.isNotNull()
+    full = [F.when(complete, c) for c in cols]
     d = len(covariates)
-    xs = [F.col(c).cast("double") for c in covariates]
-    y = F.col(outcome).cast("double")
-    aggs = [F.avg(x).alias(f"m{i}") for i, x in enumerate(xs)]
-    aggs += [F.covar_pop(xs[i], xs[j]).alias(f"s{i}_{j}") for i in range(d) for j in range(i, d)]
-    aggs += [F.covar_pop(xs[i], y).alias(f"sy{i}") for i in range(d)]
-    row = df.agg(*aggs).first()
-    means = np.array([row[f"m{i}"] for i in range(d)], dtype=float)
-    sxx = np.zeros((d, d))
-    for i in range(d):
-        for j in range(i, d):
-            sxx[i, j] = sxx[j, i] = row[f"s{i}_{j}"]
-    sxy = np.array([row[f"sy{i}"] for i in range(d)], dtype=float)
-    theta = np.linalg.pinv(sxx) @ sxy
-    return theta, means
-
-
-def cuped_adjusted(df: DataFrame, outcome: str, covariates: list[str], theta, means,
-                   name: str | None = None) -> DataFrame:
-    """Add ``Y - (X - mean) . theta`` as a literal-coefficient expression."""
-    adj = F.col(outcome).cast("double")
-    for c, th, m in zip(covariates, theta, means):
-        adj = adj - (F.col(c).cast("double") - F.lit(float(m))) * F.lit(float(th))
-    return df.withColumn(name or f"{outcome}_cuped", adj)
+    out = df.groupBy(F.col(treatment).alias("arm")).agg(
+        F.count(cols[0]).alias("n"), F.avg(cols[0]).alias("mean"), F.var_samp(cols[0]).alias("var"),
+        F.count(full[0]).alias("n_x"), *[F.avg(c).alias(f"_m{i}") for i, c in enumerate(full)],
+        *[F.covar_pop(full[i], full[j]).alias(f"_s{i}_{j}") for i, j in _pairs(d)])
+    return out.select("arm", "n", "mean", "var", "n_x", F.array(*[f"_m{i}" for i in range(d + 1)]).alias("means"),
+                      F.array(*[f"_s{i}_{j}" for i, j in _pairs(d)]).alias("moments"))
+
+
+class Moments:
+    """Moment matrices of the arms on the driver (two small rows), and what follows from them without another read."""
+
+    def __init__(self, rows: list, d: int) -> None:
+        self.arms = {}
+        for r in rows:
+            if r["arm"] is None or not r["n_x"]:
+                continue
+            cov = np.zeros((d + 1, d + 1))
+            for (i, j), v in zip(_pairs(d), r["moments"], strict=True):
+                cov[i, j] = cov[j, i] = v
+            self.arms[int(r["arm"])] = (r["n_x"], np.array(r["means"], dtype=float), cov)
+        self.n, self.means, self.cov = 0, np.zeros(d + 1), np.zeros((d + 1, d + 1))
+        for n, means, cov in self.arms.values():     # pooled moments by pairwise merging
+            total, gap = self.n + n, means - self.means
+            self.cov = (self.cov * self.n + cov * n + np.outer(gap, gap) * self.n * n / total) / total
+            self.means = self.means + gap * n / total
+            self.n = total
+
+    def theta(self) -> np.ndarray:
+        """Pooled OLS slope of the outcome on the covariates (least norm when they are collinear)."""
+        return np.linalg.pinv(self.cov[1:, 1:]) @ self.cov[1:, 0]
+
+    def adjusted(self, theta: np.ndarray, centre: np.ndarray) -> dict:
+        """n, mean and sample variance of ``y - (x - centre) . theta`` in both arms: var(y) + t'St - 2 t's."""
+        found = {}
+        for arm, key in ((0, "c"), (1, "t")):
+            n, means, cov = self.arms.get(arm, (0, None, None))
+            mean = var = None
+            if n:
+                mean = float(means[0] - (means[1:] - centre) @ theta)
+                if n > 1:
+                    var = float(max(cov[0, 0] + theta @ cov[1:, 1:] @ theta - 2 * theta @ cov[1:, 0], 0.0) * n / (n - 1))
+            found |= {f"n_{key}": n, f"mu_{key}": mean, f"var_{key}": var}
+        return found
+
+
+_MOMENT_ROW = "n_c long, mu_c double, var_c double, n_t long, mu_t double, var_t double"
+
+
+def _row(df: DataFrame, found: dict) -> DataFrame:
+    return df.sparkSession.createDataFrame([tuple(found[k] for k in ("n_c", "mu_c", "var_c", "n_t", "mu_t", "var_t"))], _MOMENT_ROW)
+
+
+def cuped_theta(df: DataFrame, outcome: str, covariates: list[str], treatment: str = "treatment") -> tuple[np.ndarray, np.ndarray]:
+    """Pooled OLS slope of the outcome on centred covariates, and the covariates' means; rows with nulls take no part."""
+    treatment = treatment if treatment in df.columns else None
+    src = df if treatment else df.withColumn("treatment", F.lit(0))
+    m = Moments(arm_moments(src, outcome, covariates, treatment or "treatment").collect(), len(covariates))
+    return m.theta(), m.means[1:]
+
+
+def ate_and_cuped(df: DataFrame, outcome: str, covariates: list[str], treatment: str = "treatment",
+                  alpha: float = 0.05, with_p: bool = False, theta_sample: int | None = None,
+                  unit: str = "unit_id") -> tuple[DataFrame, DataFrame]:
+    """The plain and the variance-reduced effect (one row each) from a single read of the rows.
+
+    The adjusted outcome is never written down: its mean and variance in each
+    arm follow from the arm's moment matrix. With ``theta_sample`` the slope
+    comes from an exact-size unit-hash sample of that many rows (a second, narrow read).
+    """
+    rows = arm_moments(df, outcome, covariates, treatment).collect()     # one row per arm
+    m = Moments(rows, len(covariates))
+    theta, centre = m.theta(), m.means[1:]
+    if theta_sample is not None:
+        from upshot.operators.segments import sample_n
+        theta, centre = cuped_theta(sample_n(df, theta_sample, unit=unit, hash_kind="xxhash"), outcome, covariates, treatment)
+    raw = {"n_c": 0, "mu_c": None, "var_c": None, "n_t": 0, "mu_t": None, "var_t": None}
+    for r in rows:
+        if r["arm"] in (0, 1):
+            key = "ct"[int(r["arm"])]
+            raw |= {f"n_{key}": r["n"], f"mu_{key}": r["mean"], f"var_{key}": r["var"]}
+    return (_effect_row(_row(df, raw), alpha, outcome, "Simple Difference", with_p),
+            _effect_row(_row(df, m.adjusted(theta, centre)), alpha, f"{outcome}_cuped", "CUPED Adjusted", with_p))
 
 
 def cuped(df: DataFrame, outcome: str, covariates: list[str], treatment: str = "treatment",
           alpha: float = 0.05, with_p: bool = False, theta_sample: int | None = None,
           unit: str = "unit_id") -> DataFrame:
-    """Variance-reduced ATE: theta from all rows (or from an exact-size unit-hash sample of
-    ``theta_sample`` rows, as the reference does), then Welch on the adjusted outcome of all rows."""
-    src = df
-    if theta_sample is not None:
-        from upshot.operators.segments import sample_n
-        src = sample_n(df, theta_sample, unit=unit, hash_kind="xxhash")
-    theta, means = cuped_theta(src, outcome, covariates)
-    adj = cuped_adjusted(df.select(treatment, outcome, *covariates), outcome, covariates, theta, means)
-    return ate(adj, f"{outcome}_cuped", treatment, alpha, with_p, variant="CUPED Adjusted")
+    """Variance-reduced effect (one row): theta from all rows or a sample, Welch on the adjusted outcome of all rows."""
+    return ate_and_cuped(df, outcome, covariates, treatment, alpha, with_p, theta_sample, unit)[1]
 
 
 def cuped_single(df: DataFrame, outcome: str, covariate: str, treatment: str = "treatment",
                  alpha: float = 0.05, with_p: bool = False) -> DataFrame:
-    """One-covariate CUPED kept fully lazy: theta = regr_slope(y, x) as a broadcast scalar."""
-    x = F.col(covariate).cast("double")
-    y = F.col(outcome).cast("double")
-    coef = df.agg(F.regr_slope(y, x).alias("_theta"), F.avg(x).alias("_mx"))
-    adj = (df.select(treatment, outcome, covariate).crossJoin(F.broadcast(coef))
-           .withColumn(f"{outcome}_cuped", y - (x - F.col("_mx")) * F.col("_theta")))
-    return ate(adj, f"{outcome}_cuped", treatment, alpha, with_p, variant="CUPED Adjusted")
+    """One-covariate CUPED, lazy and in one aggregate: theta and the adjusted moments are expressions of it."""
+    x, y, t = F.col(covariate).cast("double"), F.col(outcome).cast("double"), F.col(treatment)
+    pair = x.isNotNull() & y.isNotNull()
+    aggs = [F.regr_slope(y, x).alias("theta"), F.avg(F.when(pair, x)).alias("mx")]
+    for arm, key in ((0, "c"), (1, "t")):
+        xa, ya = F.when(pair & (t == arm), x), F.when(pair & (t == arm), y)
+        aggs += [F.count(ya).alias(f"n_{key}"), F.avg(ya).alias(f"my_{key}"), F.avg(xa).alias(f"mx_{key}"),
+                 F.var_samp(ya).alias(f"vy_{key}"), F.var_samp(xa).alias(f"vx_{key}"), F.covar_samp(xa, ya).alias(f"s_{key}")]
+    m, th = df.agg(*aggs), F.col("theta")
+    cols = []
+    for key in "ct":
+        var = F.col(f"vy_{key}") + th * th * F.col(f"vx_{key}") - 2 * th * F.col(f"s_{key}")
+        cols += [F.col(f"n_{key}"), (F.col(f"my_{key}") - (F.col(f"mx_{key}") - F.col("mx")) * th).alias(f"mu_{key}"),
+                 F.greatest(var, F.lit(0.0)).alias(f"var_{key}")]
+    return _effect_row(m.select(*cols), alpha, f"{outcome}_cuped", "CUPED Adjusted", with_p)
 
 
 def statistics_results(ate_row: DataFrame, cuped_row: DataFrame) -> DataFrame:

@@ -17,13 +17,17 @@ from upshot.sources.experiment import EXPECTED_RATIO, FEATURES, experiment, expe
 
 # ----------------------------------------------------------------- validation
 
-@register("srm_check", experiment_cte() + f"""
+SRM_SQL = experiment_cte() + f"""
 , c AS (SELECT count(CASE WHEN treatment = 0 THEN 1 END) AS n_control,
                count(CASE WHEN treatment = 1 THEN 1 END) AS n_treatment FROM experiment)
 , s AS (SELECT *, n_control + n_treatment AS n_total,
           power(n_control - (n_control + n_treatment) * {1 - EXPECTED_RATIO!r}, 2) / ((n_control + n_treatment) * {1 - EXPECTED_RATIO!r})
         + power(n_treatment - (n_control + n_treatment) * {EXPECTED_RATIO!r}, 2) / ((n_control + n_treatment) * {EXPECTED_RATIO!r}) AS chi2
         FROM c)
+"""
+
+
+@register("srm_check", SRM_SQL + f"""
 SELECT n_control, n_treatment, n_total, {EXPECTED_RATIO!r} AS expected_ratio,
   {R('n_treatment / n_total')} AS observed_ratio, {R('chi2')} AS chi2,
   chi2 < {chi2_1dof_critical(0.001)!r} AS valid

@@ -8,9 +8,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from upshot.functions.materialize import checkpointed
+from upshot.functions.dist import chi2_1dof_critical, chi2_1dof_p_sql, normal_two_sided_p_sql
 from upshot.operators import bandit, effects, learners, policy, ranking, segments, validation
-from upshot.plans.catalog import _MOMENTS_SQL
-from upshot.plans.registry import COST, R, VALUE, memo, register, rnd, scored
+from upshot.plans.catalog import _MOMENTS_SQL, SRM_SQL, _effect_select
+from upshot.plans.registry import COST, R, VALUE, memo, register, rnd, scored, with_p
 from upshot.plans.q_segments import split_flag
 from upshot.sources.experiment import EXPECTED_RATIO, FEATURES, experiment, experiment_cte
 
@@ -48,39 +49,57 @@ SELECT method, {R('mu_c', 6)} AS control_mean, {R('mu_t', 6)} AS treatment_mean,
 FROM ab
 """)
 def q_stats_results(spark, sf):
-    exp = experiment(spark, sf)
-    out = effects.statistics_results(effects.ate(exp, "conversion"), effects.cuped_single(exp, "conversion", "f1"))
-    return rnd(out, 6)
+    return rnd(effects.statistics_results(*effects.ate_and_cuped(experiment(spark, sf), "conversion", ["f1"])), 6)
 
 
 @register("variance_reduction", _ATE_CUPED_SQL + f"""
 SELECT {R('e.se', 6)} AS se_ate, {R('ec.se', 6)} AS se_cuped, {R('(e.se - ec.se) / e.se', 6)} AS variance_reduction FROM e, ec
 """)
 def q_var_red(spark, sf):
-    exp = effects.ate(experiment(spark, sf), "conversion")
-    cu = effects.cuped_single(experiment(spark, sf), "conversion", "f1")
-    return rnd(effects.variance_reduction(exp, cu), 6)
+    return rnd(effects.variance_reduction(*effects.ate_and_cuped(experiment(spark, sf), "conversion", ["f1"])), 6)
 
 
-@register("cuped_all_features")
+def _normal_equations_sql() -> str:
+    """Adjusted outcome ``adj``: the normal equations of all features, solved by elimination written out as CTEs."""
+    d = len(FEATURES)
+    y = "CAST(conversion AS DOUBLE)"
+    first = [f"covar_pop({a}, {b}) AS a{i}_{j}" for i, a in enumerate(FEATURES) for j, b in enumerate([*FEATURES, y])]
+    means = [f"avg({f}) AS m{i}" for i, f in enumerate(FEATURES)]
+    parts = [f", e0 AS (SELECT {', '.join(first + means)} FROM experiment)"]
+    for p in range(d):
+        cells = [f"a{p}_{j} / a{p}_{p} AS a{i}_{j}" if i == p else f"a{i}_{j} - a{i}_{p} * a{p}_{j} / a{p}_{p} AS a{i}_{j}"
+                 for i in range(d) for j in range(d + 1)]
+        parts.append(f", e{p + 1} AS (SELECT {', '.join(cells)}, {', '.join(f'm{i}' for i in range(d))} FROM e{p})")
+    shift = " - ".join(f"({f} - m{i}) * a{i}_{d}" for i, f in enumerate(FEATURES))
+    return "\n".join(parts) + f"\n, adj AS (SELECT treatment, {y} - {shift} AS y FROM experiment, e{d})\n"
+
+
+def _with_p_sql(moments: str, select: str) -> str:
+    """An effect row's SQL with the two-sided p-value of its z statistic."""
+    body = select.removesuffix("FROM e")
+    return moments + ", z AS (SELECT *, eff / se AS zz FROM e)\n" + body + f", {R(normal_two_sided_p_sql('zz'), 12)} AS p_value FROM z"
+
+
+@register("cuped_all_features", experiment_cte() + _normal_equations_sql() + _with_p_sql(
+    _MOMENTS_SQL.format(y="y", src="adj"), _effect_select("conversion_cuped", "CUPED Adjusted")))
 def q_cuped_all(spark, sf):
-    return rnd(effects.cuped(experiment(spark, sf), "conversion", FEATURES, with_p=True), 6, keep=("p_value",))
+    return with_p(effects.cuped(experiment(spark, sf), "conversion", FEATURES, with_p=True))
 
 
-@register("ate_pvalue")
+@register("ate_pvalue", experiment_cte() + _with_p_sql(
+    _MOMENTS_SQL.format(y="CAST(conversion AS DOUBLE)", src="experiment"), _effect_select("conversion", "Simple Difference")))
 def q_ate_p(spark, sf):
-    return rnd(effects.ate(experiment(spark, sf), "conversion", with_p=True), keep=("p_value",))
+    return with_p(effects.ate(experiment(spark, sf), "conversion", with_p=True))
 
 
-@register("srm_pvalue")
+@register("srm_pvalue", SRM_SQL + f"""
+SELECT n_control, n_treatment, n_total, {EXPECTED_RATIO!r} AS expected_ratio,
+  {R('n_treatment / n_total')} AS observed_ratio, {R('chi2')} AS chi2,
+  chi2 < {chi2_1dof_critical(0.001)!r} AS valid, {R(chi2_1dof_p_sql('chi2'), 12)} AS p_value
+FROM s
+""")
 def q_srm_p(spark, sf):
-    return rnd(validation.check_srm(experiment(spark, sf), expected_ratio=EXPECTED_RATIO, with_p=True),
-               keep=("p_value",))
-
-
-@register("bootstrap_qini")
-def q_bootstrap(spark, sf):
-    return rnd(ranking.bootstrap_qini(scored(spark, sf), n_bootstraps=20, n_points=1000, n_buckets=200), 6)
+    return with_p(validation.check_srm(experiment(spark, sf), expected_ratio=EXPECTED_RATIO, with_p=True), keep=("expected_ratio",))
 
 
 @register("tlearner_deciles")

@@ -45,6 +45,11 @@ def rnd(df: DataFrame, digits: int = 6, keep=()) -> DataFrame:
                        for c, t in df.dtypes])
 
 
+def with_p(df: DataFrame, digits: int = 6, keep=()) -> DataFrame:
+    """``rnd`` that gives the p-value twelve decimals."""
+    return rnd(df, digits, keep=(*keep, "p_value")).withColumn("p_value", fixed("p_value", 12))
+
+
 def R(expr: str, digits: int = 6) -> str:
     return fixed_sql(expr, digits)
 

@@ -62,8 +62,7 @@ class ExperimentReport:
         self.scored = checkpointed(scored)         # reliable checkpoint: scoring happens once
         # one scan, one materialised row for both integrity checks
         self.srm, self.balance = validation.integrity(self.exp, c.features, expected_ratio=c.expected_ratio)
-        self.ate = effects.ate(self.exp, "conversion", with_p=True)
-        self.cuped = effects.cuped(self.exp, "conversion", c.features, with_p=True)
+        self.ate, self.cuped = effects.ate_and_cuped(self.exp, "conversion", c.features, with_p=True)
         self.surrogate = learners.surrogate_tree(self.scored, c.features, max_depth=c.surrogate_depth)
         self.student = learners.Distiller(c.features, "tree", max_depth=c.student_depth).fit(self.scored)
         self.student_r2 = self.student.fidelity(self.scored).first()["r2"]
