@@ -25,7 +25,7 @@ def test_experiment_fixture_counts(spark):
 
 # Queries SQL cannot express (learners, trees, bandit, bootstrap, p-values, model-based streams, report):
 ROWS_ONLY = {
-    "cuped_all_features", "ate_pvalue", "srm_pvalue", "bootstrap_qini", "tlearner_deciles", "xlearner_deciles",
+    "tlearner_deciles", "xlearner_deciles",
     "propensity_by_arm", "surrogate_tree_rules", "feature_importance", "segment_rules_text", "distillation_fidelity",
     "score_and_bid", "linucb_replay", "bandit_trajectory", "uplift_archetypes_model", "segment_dim",
     "experiment_summary", "report_export_validation", "stream_score", "stream_linucb",

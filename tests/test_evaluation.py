@@ -1,5 +1,6 @@
 import numpy as np
 import pandas as pd
+from pyspark.sql import functions as F
 
 from upshot.operators import ranking
 
@@ -68,6 +69,33 @@ def test_bootstrap_band(spark):
     assert band.auuc_std.iloc[0] >= 0
 
 
+def test_bootstrap_draws_per_cell(spark):
+    """One draw for a cell and replicate, however many rows it has; draws are Poisson with the cell's count as mean."""
+    cells = spark.createDataFrame([(1, 0, 0.0, 40), (1, 1, 1.0, 5_000), (2, 1, 0.5, 10**9)], "bucket int, arm long, y double, n long")
+    w = ranking.bootstrap_draws(cells, 2000).toPandas()
+    assert len(w) == 3 * 2000 and not w.duplicated(["b", "bucket", "arm"]).any()
+    for (_, arm, y), g in w.groupby(["bucket", "arm", "y"]):
+        n = {0.0: 40, 1.0: 5_000, 0.5: 10**9}[y]
+        assert abs(g.w.mean() - n) < 5 * np.sqrt(n / 2000) and abs(g.w.var() / n - 1) < 0.2
+    assert w.equals(ranking.bootstrap_draws(cells, 2000).toPandas())
+
+
+def test_bootstrap_does_not_multiply_the_rows(spark, monkeypatch):
+    rng = np.random.default_rng(10)
+    n = 20_000
+    pdf = pd.DataFrame({"score": np.round(rng.random(n), 3), "treatment": rng.integers(0, 2, n), "conversion": rng.integers(0, 2, n)})
+    holes = pd.DataFrame({"score": [None, 0.5, 0.5], "treatment": [1.0, None, 1.0], "conversion": [1.0, 1.0, None]})
+    df = spark.createDataFrame(pd.concat([pdf, holes])).select(
+        *[F.when(~F.isnan(c), F.col(c)).alias(c) for c in ("score", "treatment", "conversion")])
+    written = []
+    plain = ranking.checkpointed
+    monkeypatch.setattr(ranking, "checkpointed", lambda d: written.append(plain(d)) or written[-1])
+    band = ranking.bootstrap_qini(df, n_bootstraps=30, n_points=11, n_buckets=50)
+    rows = band.collect()
+    assert written[0].count() <= 50 * 4 and written[0].agg(F.sum("n")).first()[0] == n
+    assert written[1].count() <= 30 * 50 and len(rows) == 11
+
+
 def test_histogram_counts_sum(spark):
     pdf = planted(1000, 5)
     h = ranking.cate_histogram(spark.createDataFrame(pdf), bins=50).toPandas()

@@ -12,19 +12,18 @@ Scale notes
   rows) give exclusive prefix offsets, running sums run inside each range
   and add the offset. Both read the written ids, so they agree whatever the
   planner reuses and whichever executors are lost.
-* The bootstrap never materialises B copies of the data: Poisson(1) weights
-  are pure functions of (unit, replicate, seed), folded into a partial
-  aggregate per (score bucket, replicate); curves are built from B x K rows.
+* The bootstrap never materialises B copies of the data: one aggregate counts
+  rows by (score bucket, arm, outcome), and every such cell takes one Poisson
+  draw per replicate; curves are built from B x K rows.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from upshot.functions.columns import safe_div
+from upshot.functions.columns import safe_div, unit_uniform
+from upshot.functions.dist import poisson_quantile
 from upshot.functions.quantiles import bin_of, quantile_array
 from upshot.functions.materialize import checkpointed
 from upshot.session import ensure_checkpoint_dir
@@ -174,46 +173,47 @@ def random_line(curve: DataFrame) -> DataFrame:
 
 # -------------------------------------------------------------------- bootstrap
 
-def poisson_weight(u: Column, max_k: int = 12) -> Column:
-    """Inverse-CDF Poisson(1) draw from a uniform u in [0,1)."""
-    cdf, term, expr = 0.0, math.exp(-1.0), None
-    for k in range(max_k):
-        cdf += term
-        term /= (k + 1)
-        cond = u < F.lit(cdf)
-        expr = F.when(cond, F.lit(k)) if expr is None else expr.when(cond, F.lit(k))
-    return expr.otherwise(F.lit(max_k))
+def bootstrap_draws(cells: DataFrame, n_bootstraps: int, seed: int = 42) -> DataFrame:
+    """(b, bucket, arm, y, w): the weight of every cell in every replicate.
+
+    The sum of n independent Poisson(1) weights is Poisson(n), so a cell of n
+    equal rows takes one draw. It is the Poisson quantile at a uniform that is
+    a hash of (bucket, arm, y, b, seed), so reruns agree and SQL can repeat it.
+    """
+    name = F.concat_ws(":", "bucket", "arm", "y", "b")
+    half = F.lit(0.5 ** 53)                                   # keeps the uniform off 0
+    drawn = (cells.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(n_bootstraps - 1))))
+             .withColumn("u", unit_uniform(name, seed) + half).withColumn("w", poisson_quantile("n", "u")))
+    return drawn.where("w > 0").select("b", "bucket", "arm", "y", "w")
 
 
 def bootstrap_qini(scored: DataFrame, score: str = "score", treatment: str = "treatment",
-                   outcome: str = "conversion", unit: str = "unit_id", n_bootstraps: int = 50,
+                   outcome: str = "conversion", n_bootstraps: int = 50,
                    n_points: int = 1000, n_buckets: int = 1000, seed: int = 42,
-                   method: str = "approx") -> DataFrame:
+                   method: str = "exact") -> DataFrame:
     """Poisson-bootstrap Qini band on a common grid of ``n_points`` population fractions.
 
-    Each replicate's curve is evaluated at score-bucket boundaries (ties stay
-    together, so the curve is order independent) and linearly interpolated on
-    the grid. Output per grid point: population_pct, y_mean, y_lower_95ci,
-    y_upper_95ci, auuc_mean, auuc_std (population std over replicates).
+    The rows are read to place the bucket edges and once more to count them by
+    (score bucket, arm, outcome); everything else works on those cells, however
+    many replicates there are. Each replicate's curve is evaluated at
+    score-bucket boundaries (ties stay together, so the curve is order
+    independent) and linearly interpolated on the grid. Output per grid point:
+    population_pct, y_mean, y_lower_95ci, y_upper_95ci, auuc_mean, auuc_std
+    (population std over replicates). Rows without a score, arm or outcome take no part.
     """
     ensure_checkpoint_dir(scored.sparkSession)
+    t, y = F.col(treatment).cast("long"), F.col(outcome).cast("double")
+    rows = scored.select(F.col(score).cast("double").alias("_s"), t.alias("arm"), y.alias("y")).where(
+        "_s IS NOT NULL AND arm IN (0, 1) AND y IS NOT NULL")
     probs = [i / n_buckets for i in range(1, n_buckets)]
-    edges = quantile_array(scored, score, probs, method=method).select("edges")
-    t = F.col(treatment).cast("long")
-    y = F.col(outcome).cast("double")
-    base = (scored.select(unit, F.col(score).cast("double").alias("_s"), t.alias("_t"), y.alias("_y"))
-            .crossJoin(F.broadcast(edges))
-            .withColumn("_bucket", F.lit(n_buckets) - bin_of("_s", "edges", len(probs)))  # 1 = highest scores
-            .select(unit, "_bucket", "_t", "_y",
-                    F.explode(F.sequence(F.lit(0), F.lit(n_bootstraps - 1))).alias("b")))
-    u = F.pmod(F.xxhash64(F.col(unit), F.col("b"), F.lit(seed)), F.lit(1 << 53)).cast("double") / float(1 << 53)
-    w = poisson_weight(u)
-    agg = (base.withColumn("_w", w).where(F.col("_w") > 0)
-           .groupBy("b", "_bucket").agg(
-               F.sum(F.col("_w") * F.col("_y") * F.col("_t")).alias("yt"),
-               F.sum(F.col("_w") * F.col("_t")).alias("nt"),
-               F.sum(F.col("_w") * F.col("_y") * (1 - F.col("_t"))).alias("yc"),
-               F.sum(F.col("_w") * (1 - F.col("_t"))).alias("nc")))
+    edges = quantile_array(rows, "_s", probs, method=method).select("edges")
+    cells = (rows.crossJoin(F.broadcast(edges))
+             .select((F.lit(n_buckets) - bin_of("_s", "edges", len(probs))).alias("bucket"), "arm", "y")  # 1 = highest scores
+             .groupBy("bucket", "arm", "y").agg(F.count(F.lit(1)).alias("n")))
+    w, arm = F.col("w").cast("double"), F.col("arm")
+    agg = bootstrap_draws(checkpointed(cells), n_bootstraps, seed).groupBy("b", F.col("bucket").alias("_bucket")).agg(
+        F.sum(w * F.col("y") * arm).alias("yt"), F.sum(w * arm).alias("nt"),
+        F.sum(w * F.col("y") * (1 - arm)).alias("yc"), F.sum(w * (1 - arm)).alias("nc"))
     agg = checkpointed(agg)  # B x K rows; everything after this is small
     cum = Window.partitionBy("b").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     pts = agg.select("b", "_bucket", *[F.sum(c).over(cum).alias(c) for c in ["yt", "nt", "yc", "nc"]])

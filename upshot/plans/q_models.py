@@ -8,10 +8,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from upshot.functions.materialize import checkpointed
-from upshot.functions.dist import chi2_1dof_critical, chi2_1dof_p_sql, normal_two_sided_p_sql
+from upshot.functions.columns import unit_uniform_sql
+from upshot.functions.dist import chi2_1dof_critical, chi2_1dof_p_sql, normal_two_sided_p_sql, poisson_quantile_sql
 from upshot.operators import bandit, effects, learners, policy, ranking, segments, validation
 from upshot.plans.catalog import _MOMENTS_SQL, SRM_SQL, _effect_select
-from upshot.plans.registry import COST, R, VALUE, memo, register, rnd, scored, with_p
+from upshot.plans.registry import COST, R, SCORED_CTE, VALUE, memo, register, rnd, scored, with_p
 from upshot.plans.q_segments import split_flag
 from upshot.sources.experiment import EXPECTED_RATIO, FEATURES, experiment, experiment_cte
 
@@ -102,6 +103,47 @@ def q_srm_p(spark, sf):
     return with_p(validation.check_srm(experiment(spark, sf), expected_ratio=EXPECTED_RATIO, with_p=True), keep=("expected_ratio",))
 
 
+BOOT = dict(n_bootstraps=20, n_points=1000, n_buckets=200)
+
+
+def _bootstrap_sql(n_bootstraps: int, n_points: int, n_buckets: int, seed: int = 42) -> str:
+    probs = ", ".join(repr(i / n_buckets) for i in range(1, n_buckets))
+    u = unit_uniform_sql("(bucket || ':' || arm || ':' || y || ':' || b)", seed) + f" + {0.5 ** 53!r}"
+    point = "CASE WHEN g = 0 THEN {'x': x, 'y': y} END IGNORE NULLS"
+    return SCORED_CTE + f"""
+, ed AS (SELECT quantile_cont(score, [{probs}]) AS edges FROM scored)
+, cells AS (SELECT {n_buckets} - len(list_filter(edges, lambda e: e < score)) AS bucket, treatment AS arm,
+              CAST(conversion AS DOUBLE) AS y, count(*) AS n FROM scored, ed GROUP BY ALL)
+, dr AS (SELECT *, {poisson_quantile_sql('n', 'u')} AS w FROM (SELECT c.*, r.b, {u} AS u FROM cells c, range({n_bootstraps}) r(b)))
+, ag AS (SELECT b, bucket, sum(w * y * arm) AS yt, sum(w * arm) AS nt, sum(w * y * (1 - arm)) AS yc, sum(w * (1 - arm)) AS nc
+         FROM dr WHERE w > 0 GROUP BY b, bucket)
+, cm AS (SELECT b, bucket, sum(yt) OVER c AS yt, sum(nt) OVER c AS nt, sum(yc) OVER c AS yc, sum(nc) OVER c AS nc
+         FROM ag WINDOW c AS (PARTITION BY b ORDER BY bucket ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+, pt AS (SELECT b, bucket, CAST(nt + nc AS DOUBLE) / max(nt + nc) OVER (PARTITION BY b) AS x,
+           (yt / greatest(nt, 1) - yc / greatest(nc, 1)) * (nt + nc) AS y FROM cm
+         UNION ALL SELECT DISTINCT b, 0, 0.0::DOUBLE, 0.0::DOUBLE FROM cm)
+, sg AS (SELECT *, lag(x) OVER s AS px, lag(y) OVER s AS py FROM pt WINDOW s AS (PARTITION BY b ORDER BY x, bucket))
+, st AS (SELECT avg(auuc) AS auuc_mean, stddev_pop(auuc) AS auuc_std
+         FROM (SELECT b, sum(coalesce((x - px) * (y + py) / 2, 0.0)) AS auuc FROM sg GROUP BY b))
+, mg AS (SELECT b, x, y, 0 AS g, NULL AS point FROM pt
+         UNION ALL SELECT b, CAST(point AS DOUBLE) / {n_points - 1}, NULL, 1, point
+         FROM range({n_points}) p(point), (SELECT DISTINCT b FROM pt))
+, ip AS (SELECT b, x, g, point,
+           last_value({point}) OVER (PARTITION BY b ORDER BY x, g ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS l,
+           first_value({point}) OVER (PARTITION BY b ORDER BY x, g ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS r FROM mg)
+, cu AS (SELECT point, x, CASE WHEN r IS NULL THEN l.y WHEN l IS NULL THEN r.y WHEN r.x = l.x THEN l.y
+                          ELSE l.y + (r.y - l.y) * (x - l.x) / (r.x - l.x) END AS y FROM ip WHERE g = 1)
+SELECT point, {R('x')} AS population_pct, {R('avg(y)')} AS y_mean, {R('quantile_cont(y, 0.025)')} AS y_lower_95ci,
+  {R('quantile_cont(y, 0.975)')} AS y_upper_95ci, {R('auuc_mean')} AS auuc_mean, {R('auuc_std')} AS auuc_std
+FROM cu, st GROUP BY point, x, st.auuc_mean, st.auuc_std
+"""
+
+
+@register("bootstrap_qini", _bootstrap_sql(**BOOT))
+def q_bootstrap(spark, sf):
+    return rnd(ranking.bootstrap_qini(scored(spark, sf), **BOOT), 6)
+
+
 @register("tlearner_deciles")
 def q_tlearner(spark, sf):
     train, test = _split(spark, sf)
