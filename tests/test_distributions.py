@@ -50,7 +50,7 @@ def exact_quantile(n, u):
 def test_poisson_quantile(spark):
     rng = np.random.default_rng(1)
     pairs = [(n, float(u)) for n in (1, 2, 7, 30, 64, 65, 90, 300, 600) for u in np.r_[rng.random(300), 1e-9, 1 - 1e-9]]
-    got = spark.createDataFrame(pairs, "n long, u double").select("n", "u", dist.poisson_quantile("n", "u").alias("k")).toPandas()
+    got = dist.with_poisson(spark.createDataFrame(pairs, "n long, u double"), "n", "u", "k").toPandas()
     want = np.array([exact_quantile(n, u) for n, u in zip(got.n, got.u, strict=True)])
     off = np.abs(got.k.to_numpy() - want)
     assert (off[got.n <= dist.POISSON_EXACT] == 0).all()
@@ -64,6 +64,6 @@ def test_poisson_draws_add_up(spark):
     """Draws for a mean of 10^9 stay Poisson: mean and variance, and quantiles of the standardised draw."""
     u = (np.arange(4000) + 0.5) / 4000
     rows = [(10**9, float(x)) for x in u]
-    k = spark.createDataFrame(rows, "n long, u double").select(dist.poisson_quantile("n", "u").alias("k")).toPandas().k.to_numpy()
+    k = dist.with_poisson(spark.createDataFrame(rows, "n long, u double"), "n", "u", "k").toPandas().k.to_numpy()
     z = (k - 1e9) / math.sqrt(1e9)
     assert abs(z.mean()) < 1e-3 and abs(z.var() - 1) < 5e-3

@@ -28,7 +28,7 @@ ROWS_ONLY = {
     "tlearner_deciles", "xlearner_deciles",
     "propensity_by_arm", "surrogate_tree_rules", "feature_importance", "segment_rules_text", "distillation_fidelity",
     "score_and_bid", "linucb_replay", "bandit_trajectory", "uplift_archetypes_model", "segment_dim",
-    "experiment_summary", "report_export_validation", "stream_score", "stream_linucb",
+    "experiment_summary", "report_export_validation",
 }
 
 

@@ -72,8 +72,8 @@ def test_two_reads_of_the_data(spark, monkeypatch, tmp_path):
             return make(df, *args, **kw)
         return run
 
-    monkeypatch.setattr(q, "bounded", watch(q.bounded))
-    monkeypatch.setattr(q, "checkpointed", watch(q.checkpointed))
+    for name in ("bounded", "small", "checkpointed"):
+        monkeypatch.setattr(q, name, watch(getattr(q, name)))
     out = q.quantiles_of(spark.read.parquet(path), ["a", "b"], [0.1, 0.5, 0.9], by=["g"])
     rows = out.collect()
     assert len(rows) == 3 * 2 * 3 and sum(reads) == 2

@@ -102,3 +102,51 @@ def test_stream_linucb_equals_batched_rounds(spark, tmp_path):
     s = agent.summary(spark).first()
     assert out.matched.iloc[-1] == s["aligned_events"]
     assert abs(out.reward.iloc[-1] - s["cumulative_reward"]) < 1e-6
+
+
+def test_directory_table_and_file_table_are_both_streams(spark, tmp_path):
+    ev = read_table(spark, SF, "events")
+    ev.repartition(6).write.parquet(str(tmp_path / "events.parquet"))
+    a = st.stream_srm(spark, str(tmp_path)).toPandas().sort_values("window_start").reset_index(drop=True)
+    b = st.stream_srm(spark, SF).toPandas().sort_values("window_start").reset_index(drop=True)
+    assert len(a) and a.equals(b[a.columns])
+
+
+def test_arrivals_are_batches_and_rows_sent_again_are_accounted_for(spark):
+    import pyspark.sql.functions as F
+    ev = read_table(spark, SF, "events")
+    again = ev.where("event_id % 5 = 0")
+    source = st.Arrivals(ev, 4, again)
+    rows, dropped = st.stream_ingest(spark, source.folder, feed=source)
+    assert rows.count() == ev.count() == rows.select("event_id").distinct().count()
+    last = ev.agg(F.max("ts")).first()[0]
+    late = again.where(F.col("ts") <= F.lit(last) - F.expr("INTERVAL 1 DAY")).count()
+    assert dropped == {"late": late, "duplicate": again.count() - late} and late > 0
+
+
+def test_score_stream_with_a_tree_equals_batch(spark):
+    from upshot.operators.learners import Distiller
+    ev = st.event_columns(read_table(spark, SF, "events"))
+    student = Distiller(st.EVENT_FEATURES, "tree", max_depth=3).fit(ev, "score")
+    source = st.Arrivals(read_table(spark, SF, "events"), 3)
+    out = st.stream_score(spark, source.folder, lambda df: student.predict(df, "uplift_score"), feed=source)
+    want = {r.event_id: r.uplift_score for r in student.predict(ev, "uplift_score").collect()}
+    got = {r.event_id: r.uplift_score for r in out.collect()}
+    assert got == want and out.count() == len(want)
+
+
+def test_bandit_state_survives_a_replay_and_refuses_damage(spark, tmp_path):
+    import shutil
+
+    import pytest
+    path = str(tmp_path / "bandit")
+    source = st.Arrivals(read_table(spark, SF, "events"), 3)
+    first = st.stream_linucb(spark, source.folder, path=path, feed=source).orderBy("batch_id").collect()
+    shutil.rmtree(f"{path}/checkpoint/commits")           # the last batches count as not finished: they run again
+    again = st.stream_linucb(spark, source.folder, path=path).orderBy("batch_id").collect()
+    assert again == first and len(first) == 3
+    more = read_table(spark, SF, "events").limit(5)
+    shutil.rmtree(f"{path}/state/batch_id=2")
+    more.write.mode("append").parquet(f"{source.folder}/events.parquet")
+    with pytest.raises(Exception, match="batch_id=2|PATH_NOT_FOUND|damaged"):
+        st.stream_linucb(spark, source.folder, path=path)

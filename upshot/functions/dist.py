@@ -14,7 +14,7 @@ from __future__ import annotations
 import math
 from statistics import NormalDist
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from upshot.functions.columns import col_
@@ -125,24 +125,40 @@ def _giles(n: str, z: str) -> str:
             f" + (-8.0 / 405.0 + 7.0 * {z} * {z} / 810.0 + {z} * {z} * {z} * {z} / 270.0) / {n}) AS BIGINT)")
 
 
-def poisson_quantile(n: str, u: str) -> Column:
-    """Smallest k whose Poisson(n) distribution function exceeds u; ``n`` and ``u`` name columns, u in (0, 1)."""
-    mean, at = F.col(n).cast("double"), F.col(u)
-    first = F.exp(-mean)
-    terms = F.aggregate(
-        F.sequence(F.lit(1), F.lit(_TERMS)),
-        F.struct(first.alias("p"), first.alias("c"), F.lit(0).cast("long").alias("k")),
-        lambda s, k: F.struct((s["p"] * mean / k).alias("p"), (s["c"] + s["p"] * mean / k).alias("c"),
-                              (s["k"] + (s["c"] <= at).cast("long")).alias("k")))
+def _poisson_table() -> list[tuple[int, list[float]]]:
+    """(n, distribution function at 0, 1, ...) for n up to ``POISSON_EXACT``, as far as it still grows."""
+    rows = []
+    for n in range(1, POISSON_EXACT + 1):
+        p = c = math.exp(-n)
+        steps = [c]
+        for k in range(1, _TERMS):
+            p *= n / k
+            if k > n and c + p == c:
+                break
+            c += p
+            steps.append(c)
+        rows.append((n, steps))
+    return rows
+
+
+def with_poisson(df: DataFrame, n: str, u: str, name: str) -> DataFrame:
+    """``df`` with column ``name``: the smallest k whose Poisson(n) distribution function exceeds u.
+
+    ``n`` (1 or more) and ``u`` (in (0, 1)) name columns. The distribution
+    functions of small means are a fixed table of ``POISSON_EXACT`` rows.
+    """
+    table = df.sparkSession.createDataFrame(_poisson_table(), "_mean long, _cdf array<double>")
+    joined = df.join(F.broadcast(table), F.col(n) == F.col("_mean"), "left")
+    exact = F.size(F.filter("_cdf", lambda c: c <= F.col(u))).cast("long")
     large = F.expr(_giles(f"CAST({n} AS DOUBLE)", normal_quantile_text(u)))
-    return F.when(mean <= POISSON_EXACT, terms["k"]).otherwise(large)
+    return joined.withColumn(name, F.when(F.col(n) <= POISSON_EXACT, exact).otherwise(large)).drop("_mean", "_cdf")
 
 
 def poisson_quantile_sql(n: str, u: str) -> str:
-    """SQL text of ``poisson_quantile``; the small means sum the same terms in the same order."""
+    """SQL text of the column that ``with_poisson`` adds."""
     ks = ", ".join(f"{{'p': {k}.0::DOUBLE, 'c': 0.0::DOUBLE, 'k': 0.0::DOUBLE}}" for k in range(1, _TERMS + 1))
     start = f"{{'p': exp(-({n})::DOUBLE), 'c': exp(-({n})::DOUBLE), 'k': 0.0::DOUBLE}}"
-    step = (f"{{'p': s['p'] * ({n})::DOUBLE / t['p'], 'c': s['c'] + s['p'] * ({n})::DOUBLE / t['p'], "
+    step = (f"{{'p': s['p'] * (({n})::DOUBLE / t['p']), 'c': s['c'] + s['p'] * (({n})::DOUBLE / t['p']), "
             f"'k': s['k'] + CASE WHEN s['c'] <= {u} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END}}")
     small = f"CAST(list_reduce([{start}, {ks}], lambda s, t: {step})['k'] AS BIGINT)"
     return f"(CASE WHEN ({n}) <= {POISSON_EXACT} THEN {small} ELSE {_giles(f'({n})::DOUBLE', normal_quantile_text(u))} END)"

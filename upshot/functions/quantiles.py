@@ -65,7 +65,11 @@ def _named(df, columns, probs, by, accuracy, method, feature) -> DataFrame:
             out = _exact(base, len(columns), k, probs, delta)
             delta *= 16
     return out.select(*[F.col("_g")[c].alias(c) for c in by], *feature, "q_idx",
-                      F.element_at(F.array(*[F.lit(p) for p in probs]), F.col("q_idx") + 1).alias("prob"), "value", "n")
+                      F.element_at(_doubles(probs), F.col("q_idx") + 1).alias("prob"), "value", "n")
+
+
+def _doubles(values: list[float]) -> Column:
+    return F.expr(f"array({', '.join(f'{v!r}D' for v in values)})")
 
 
 def _sketched(base: DataFrame, width: int, k: int, at: list[float]) -> DataFrame:
@@ -73,13 +77,18 @@ def _sketched(base: DataFrame, width: int, k: int, at: list[float]) -> DataFrame
     values = [F.col(f"_v{i}") for i in range(width)]
     aggs = [a for i, v in enumerate(values) for a in (
         F.count(v).alias(f"_n{i}"), F.kll_sketch_agg_double(v, F.lit(k)).alias(f"_k{i}"))]
-    ranks = F.array(*[F.lit(p) for p in at])
+    ranks = _doubles(at)
     found = base.groupBy("_g").agg(*aggs)
     return found.select("_g", F.array(*[F.struct(
         F.col(f"_n{i}").alias("n"),
         F.when(F.col(f"_n{i}") > 0, F.kll_sketch_get_quantile_double(f"_k{i}", ranks)).alias("e")) for i in range(width)]).alias("_s"))
 
 
+def _materialised(df: DataFrame, grouped: bool) -> tuple[DataFrame, bool]:
+    """A small table computed once, and whether its size is proven small (always, without groups)."""
+    return bounded(df, with_flag=True) if grouped else (small(df), True)
+
+
 def _exact(base: DataFrame, width: int, k: int, probs: list[float], delta: float) -> DataFrame | None:
     """(_g, _f, q_idx, value, n), or None if a wanted rank lies outside the brackets."""
     ends: list[float] = []
@@ -90,7 +99,8 @@ def _exact(base: DataFrame, width: int, k: int, probs: list[float], delta: float
         else:
             ends += [lo, hi]
     width_e = len(ends)
-    edges, edges_small = bounded(_sketched(base, width, k, ends), with_flag=True)
+    grouped = len(base.schema["_g"].dataType.names) > 1
+    edges, edges_small = _materialised(_sketched(base, width, k, ends), grouped)
 
     # Second read: cell 2 * (ends below v) + (v is an end), ordered like v; values kept inside brackets.
     side = F.broadcast(edges) if edges_small else edges     # proven small: never shuffle the big side
@@ -128,7 +138,7 @@ def _exact(base: DataFrame, width: int, k: int, probs: list[float], delta: float
                          (F.sum("_m").over(group.orderBy("_c")) - F.col("_m")).alias("_at"))
     sizes = cells.select("_g", "_f", "n").distinct()
     h = (F.col("n") - 1).cast("double") * F.col("prob")
-    ranks = sizes.select("_g", "_f", "n", F.posexplode(F.array(*[F.lit(p) for p in probs])).alias("q_idx", "prob"))
+    ranks = sizes.select("_g", "_f", "n", F.posexplode(_doubles(probs)).alias("q_idx", "prob"))
     ranks = ranks.withColumn("_k", F.floor(h).cast("long")).select(
         "_g", "_f", "n", "q_idx", (h - F.col("_k")).alias("_frac"),
         F.posexplode(F.array(F.col("_k"), F.least(F.col("_k") + 1, F.col("n") - 1))).alias("side", "_at"))
@@ -138,7 +148,7 @@ def _exact(base: DataFrame, width: int, k: int, probs: list[float], delta: float
     targets = both.withColumn("_t", start).where("_o = 1").select(
         "_g", "_f", "n", "q_idx", "_frac", "side", F.col("_at").alias("rank"), F.col("_t._c").alias("_c"),
         F.col("_t._kept").alias("_kept"), F.col("_t.from").alias("_from"))
-    targets, targets_small = bounded(targets, with_flag=True)
+    targets, targets_small = _materialised(targets, grouped)
     if not targets.where("NOT _kept").isEmpty():
         return None
 

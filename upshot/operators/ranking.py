@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from upshot.functions.columns import safe_div, unit_uniform
-from upshot.functions.dist import poisson_quantile
+from upshot.functions.dist import with_poisson
 from upshot.functions.quantiles import bin_of, quantile_array
 from upshot.functions.materialize import checkpointed
 from upshot.session import ensure_checkpoint_dir
@@ -182,9 +182,9 @@ def bootstrap_draws(cells: DataFrame, n_bootstraps: int, seed: int = 42) -> Data
     """
     name = F.concat_ws(":", "bucket", "arm", "y", "b")
     half = F.lit(0.5 ** 53)                                   # keeps the uniform off 0
-    drawn = (cells.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(n_bootstraps - 1))))
-             .withColumn("u", unit_uniform(name, seed) + half).withColumn("w", poisson_quantile("n", "u")))
-    return drawn.where("w > 0").select("b", "bucket", "arm", "y", "w")
+    drawn = cells.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(n_bootstraps - 1)))).withColumn(
+        "u", unit_uniform(name, seed) + half)
+    return with_poisson(drawn, "n", "u", "w").select("b", "bucket", "arm", "y", "w")
 
 
 def bootstrap_qini(scored: DataFrame, score: str = "score", treatment: str = "treatment",
@@ -214,7 +214,7 @@ def bootstrap_qini(scored: DataFrame, score: str = "score", treatment: str = "tr
     agg = bootstrap_draws(checkpointed(cells), n_bootstraps, seed).groupBy("b", F.col("bucket").alias("_bucket")).agg(
         F.sum(w * F.col("y") * arm).alias("yt"), F.sum(w * arm).alias("nt"),
         F.sum(w * F.col("y") * (1 - arm)).alias("yc"), F.sum(w * (1 - arm)).alias("nc"))
-    agg = checkpointed(agg)  # B x K rows; everything after this is small
+    agg = checkpointed(agg.where("nt + nc > 0"))  # B x K rows; everything after this is small
     cum = Window.partitionBy("b").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     pts = agg.select("b", "_bucket", *[F.sum(c).over(cum).alias(c) for c in ["yt", "nt", "yc", "nc"]])
     tot = Window.partitionBy("b")

@@ -9,7 +9,13 @@ from upshot.plans.registry import COST, R, VALUE, register, rnd
 from upshot.sources.tables import read_table
 from upshot.streaming import events as st
 
-ROUNDS = 10
+ROUNDS, SPANS = 10, 5
+
+
+def arriving(spark, sf, spans=SPANS, late=None) -> st.Arrivals:
+    """The events table as a stream source that receives it span by span."""
+    return st.Arrivals(read_table(spark, sf, "events"), spans, late)
+
 
 EV_CTE = f"WITH ev AS ({st.EVENT_COLUMNS_SQL})\n"
 WIN = (f"CAST(floor((date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) * 86400 "
@@ -24,7 +30,8 @@ SELECT {WIN} AS window_start, count(*) AS n_events,
 FROM ev GROUP BY 1
 """)
 def q_stream_monitor(spark, sf):
-    return rnd(st.stream_monitor(spark, sf, VALUE, COST))
+    source = arriving(spark, sf)
+    return rnd(st.stream_monitor(spark, source.folder, VALUE, COST, feed=source))
 
 
 @register("stream_srm", EV_CTE + f"""
@@ -35,7 +42,8 @@ def q_stream_monitor(spark, sf):
 SELECT window_start, n_control, n_treatment, {R('chi2')} AS chi2, chi2 < 10.827566170662733 AS valid FROM x
 """)
 def q_stream_srm(spark, sf):
-    return rnd(st.stream_srm(spark, sf))
+    source = arriving(spark, sf)
+    return rnd(st.stream_srm(spark, source.folder, feed=source))
 
 
 def _event_reference(spark, sf):
@@ -83,18 +91,75 @@ SELECT window_start, feature, {R('psi')} AS psi,
 def q_stream_psi(spark, sf):
     ref = _event_reference(spark, sf)
     edges = st.with_ref_counts(ref, st.reference_edges(ref))
-    return rnd(st.stream_psi(spark, sf, edges))
+    source = arriving(spark, sf)
+    return rnd(st.stream_psi(spark, source.folder, edges, feed=source))
 
 
-@register("stream_score")
+@register("stream_ingest", EV_CTE + f"""
+, m AS (SELECT max(ts) - INTERVAL 1 DAY AS mark FROM ev)
+, again AS (SELECT count(*) FILTER (ts <= mark) AS n_late, count(*) FILTER (ts > mark) AS n_duplicate FROM ev, m WHERE event_id % 10 = 3)
+SELECT {WIN} AS window_start, count(*) AS n_events, count(DISTINCT event_id) AS n_ids, n_late, n_duplicate
+FROM ev, again GROUP BY 1, n_late, n_duplicate
+""")
+def q_stream_ingest(spark, sf):
+    """Every tenth event is sent again after all others: none may be let in twice, and all are accounted for."""
+    again = read_table(spark, sf, "events").where("event_id % 10 = 3")
+    source = arriving(spark, sf, late=again)
+    rows, dropped = st.stream_ingest(spark, source.folder, feed=source)
+    out = rows.groupBy(F.unix_seconds(F.window("ts", "7 days").start).alias("window_start")).agg(
+        F.count(F.lit(1)).alias("n_events"), F.countDistinct("event_id").alias("n_ids"))
+    return out.select("*", F.lit(dropped["late"]).cast("long").alias("n_late"),
+                      F.lit(dropped["duplicate"]).cast("long").alias("n_duplicate"))
+
+
+@register("stream_score", EV_CTE + f"""
+, k AS (SELECT regr_slope(score, x_value) AS b, regr_intercept(score, x_value) AS a FROM ev)
+, s AS (SELECT a + b * x_value AS uplift FROM ev, k)
+SELECT CASE WHEN uplift * {VALUE} - {COST} > 0 THEN 'BID' ELSE 'NO BID' END AS decision, count(*) AS n,
+  {R(f'avg(uplift * {VALUE} - {COST})')} AS avg_expected_profit FROM s GROUP BY 1
+""")
 def q_stream_score(spark, sf):
     ev = st.event_columns(read_table(spark, sf, "events"))
-    student = Distiller(st.EVENT_FEATURES, "tree", max_depth=3).fit(ev, "score")
-    out = st.stream_score(spark, sf, lambda df: student.predict(df, "uplift_score"), VALUE, COST)
+    student = Distiller(["x_value"], "linear").fit(ev, "score")
+    source = arriving(spark, sf)
+    out = st.stream_score(spark, source.folder, lambda df: student.predict(df, "uplift_score"), VALUE, COST, feed=source)
     return rnd(out.groupBy("decision").agg(F.count(F.lit(1)).alias("n"), F.avg("expected_profit").alias("avg_expected_profit")))
 
 
-@register("stream_linucb")
+def _linucb_sql(rounds: int, alpha: float = 1.0) -> str:
+    """LinUCB of two features round by round: 2 x 2 systems in closed form, a round's state from the one before."""
+    def ucb(a: int) -> str:
+        d = f"(a{a}11 * a{a}22 - a{a}12 * a{a}12)"
+        mean = f"((a{a}22 * b{a}1 - a{a}12 * b{a}2) * x0 + (a{a}11 * b{a}2 - a{a}12 * b{a}1) * x1) / {d}"
+        quad = f"(a{a}22 * x0 * x0 - 2 * a{a}12 * x0 * x1 + a{a}11 * x1 * x1) / {d}"
+        return f"{mean} + {alpha} * sqrt(greatest({quad}, 0.0))"
+
+    sums = []
+    for a in (0, 1):
+        take = f"coalesce(sum({{}}) FILTER (hit AND arm = {a}), 0.0)"
+        for name, what in ((f"a{a}11", "x0 * x0"), (f"a{a}12", "x0 * x1"), (f"a{a}22", "x1 * x1"), (f"b{a}1", "r * x0"), (f"b{a}2", "r * x1")):
+            sums.append(f"any_value({name}) + {take.format(what)}")
+    state = [f"{n}{a}{k}" for a in (0, 1) for n, k in (("a", "11"), ("a", "12"), ("a", "22"), ("b", "1"), ("b", "2"))]
+    return EV_CTE.replace("WITH ", "WITH RECURSIVE ", 1) + f"""
+, t AS (SELECT *, epoch_us(ts) AS us FROM ev)
+, g AS (SELECT min(us) AS lo, max(us) AS hi FROM t)
+, e AS (SELECT CAST(coalesce(floor((us - lo) * {rounds} / (hi - lo + 1)), 0) AS INTEGER) AS round, treatment AS arm,
+          x_value / 100.0 AS x0, x_hour / 10.0 AS x1, conversion * {VALUE} - treatment * {COST} AS r FROM t, g)
+, s(round, {', '.join(state)}, matched, reward) AS (
+    SELECT -1, 1.0::DOUBLE, 0.0::DOUBLE, 1.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE,
+      1.0::DOUBLE, 0.0::DOUBLE, 1.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, 0::BIGINT, 0.0::DOUBLE
+    UNION ALL
+    SELECT round + 1, {', '.join(sums)}, any_value(matched) + count(*) FILTER (hit),
+      any_value(reward) + coalesce(sum(r) FILTER (hit), 0.0)
+    FROM (SELECT s.*, e.x0, e.x1, e.arm, e.r, CASE WHEN {ucb(1)} > {ucb(0)} THEN 1 ELSE 0 END = e.arm AS hit
+          FROM s LEFT JOIN e ON e.round = s.round + 1) j
+    WHERE round < {rounds - 1} GROUP BY round)
+SELECT CAST(round AS BIGINT) AS batch_id, matched, {R('reward')} AS reward,
+  {R('CASE WHEN matched > 0 THEN reward / matched ELSE 0.0 END')} AS avg_profit FROM s WHERE round >= 0
+"""
+
+
+@register("stream_linucb", _linucb_sql(ROUNDS))
 def q_stream_linucb(spark, sf):
-    folder = st.rounds_by_time(spark, read_table(spark, sf, "events"), ROUNDS)
-    return rnd(st.stream_linucb(spark, folder, value=VALUE, cost=COST, glob="*.parquet"))
+    source = arriving(spark, sf, ROUNDS)
+    return rnd(st.stream_linucb(spark, source.folder, value=VALUE, cost=COST, feed=source))
