@@ -23,15 +23,15 @@ def smallest_by_hash(df: DataFrame, by: list[str], quotas: DataFrame, u: str, ti
     """Rows of ``df`` whose rank by (u, tie) within their stratum is <= the stratum's ``quota``.
 
     ``quotas`` has columns ``by..., quota`` (one row per stratum, small). Two
-    passes over ``df``: the histogram, then the selection.
+    passes over ``df``: the histogram, then the selection. Null is a stratum
+    like any other.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    keys = list(by) or ["_all"]
+    stratum = F.struct(F.lit(0).alias("_"), *by).alias("_key")     # a struct joins null strata too
+    keys = ["_key"]
     hb = F.least(F.floor(F.col(u) * bins), F.lit(bins - 1)).cast("int")
-    keyed = df.withColumn("_hb", hb)
-    if not by:
-        keyed = keyed.withColumn("_all", F.lit(0))
-        quotas = quotas.withColumn("_all", F.lit(0))
+    keyed = df.select("*", hb.alias("_hb"), stratum)
+    quotas = quotas.select(stratum, "quota")
     hist = keyed.groupBy(*keys, "_hb").agg(F.count(F.lit(1)).alias("_c"))
     w = Window.partitionBy(*keys).orderBy("_hb").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cut = (hist.withColumn("_cum", F.sum("_c").over(w)).join(quotas, keys)

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from upshot.functions.columns import realised_profit, unit_uniform
+from upshot.functions.materialize import checkpointed
 from upshot.session import scratch_path
 
 
@@ -75,8 +76,13 @@ class BatchedLinUCB:
     # -- data preparation -------------------------------------------------------
     def prepare(self, df: DataFrame, treatment: str = "treatment", outcome: str = "conversion",
                 unit: str = "unit_id", n_rounds: int = 10, seed: int = 42, order_col: str | None = None,
-                batch_size: int | None = None, standardize: bool = False, path: str | None = None) -> DataFrame:
-        """Write the replay stream (features, arm, reward, round, order key) partitioned by round."""
+                batch_size: int | None = None, standardize: bool = False, path: str | None = None,
+                hash_kind: str = "xxhash", files_per_round: int = 8) -> DataFrame:
+        """Write the replay stream (features, arm, reward, round, order key) partitioned by round.
+
+        Rows are dealt by (round, hash of the unit), so a round has
+        ``files_per_round`` files, not one from every task.
+        """
         xs = [F.col(f).cast("double") for f in self.features]
         if standardize:
             row = df.agg(*[F.avg(x).alias(f"m{i}") for i, x in enumerate(xs)],
@@ -89,7 +95,7 @@ class BatchedLinUCB:
             order = F.col(order_col).cast("double")
             rnd = F.floor(F.col(order_col) / F.lit(int(batch_size or 1))).cast("int")
         else:
-            order = unit_uniform(unit, seed, "xxhash")
+            order = unit_uniform(unit, seed, hash_kind)
             rnd = F.least(F.floor(order * n_rounds), F.lit(n_rounds - 1)).cast("int")
         stream = df.select(F.col(unit).alias("unit"), *[x.alias(f"x{i}") for i, x in enumerate(xs)],
                            F.col(treatment).cast("int").alias("arm"),
@@ -97,7 +103,8 @@ class BatchedLinUCB:
                            .alias("reward"),
                            order.alias("order_key"), rnd.alias("round"))
         path = path or scratch_path(df.sparkSession, f"linucb-{uuid.uuid4().hex}")
-        stream.write.mode("overwrite").partitionBy("round").parquet(path)
+        dealt = stream.repartition("round", F.pmod(F.xxhash64("unit"), F.lit(files_per_round)))
+        dealt.write.mode("overwrite").partitionBy("round").parquet(path)
         return df.sparkSession.read.parquet(path)
 
     # -- replay -------------------------------------------------------------------
@@ -156,6 +163,15 @@ class BatchedLinUCB:
             [(int(matched), float(reward), float(reward / matched) if matched else 0.0, len(self.rounds))],
             "aligned_events long, cumulative_reward double, avg_profit double, n_rounds int")
 
+    def policy_row(self, stream: DataFrame, policy_id: int, name: str, description: str) -> DataFrame:
+        """The replay as a row of the policy table: mean reward of matched events and share of treated choices."""
+        hit = F.col("chosen") == F.col("arm")
+        return self.decisions(stream).agg(
+            F.avg(F.when(hit, F.col("reward"))).alias("p"), F.avg(F.col("chosen").cast("double")).alias("b")).select(
+            F.lit(policy_id).alias("policy_id"), F.lit(name).alias("policy_name"),
+            F.coalesce("p", F.lit(0.0)).alias("avg_profit_per_user"), (F.col("b") * 100).alias("bid_rate_pct"),
+            F.lit(description).alias("description"))
+
     def round_table(self, spark) -> DataFrame:
         return spark.createDataFrame(
             [(int(r["round"]), int(r["matched"]), float(r["reward"]), int(r.get("matched_arm1", 0)))
@@ -177,26 +193,25 @@ class BatchedLinUCB:
         return joined.withColumn("chosen", chosen).drop("m0", "q0", "m1", "q1")
 
     def trajectory(self, stream: DataFrame, baseline_profit: float, n_points: int = 2000,
-                   buckets: int = 256) -> DataFrame:
+                   buckets: int = 16, rows_per_bucket: int = 2_000_000) -> DataFrame:
         """Cumulative profit of matched events in replay order, downsampled to ``n_points``.
 
-        Replay order is (round, order_key, unit). Running sums use balanced
-        buckets of that order (order_key is uniform within rounds) plus
-        per-bucket prefix offsets; no global single-task window.
+        Replay order is (round, order_key, unit). The order is cut into ranges
+        of about ``rows_per_bucket`` rows (at least ``buckets`` of them), which
+        are stored with their ids; running sums run inside each range on top
+        of the totals of the ranges before it.
         """
         m = self.decisions(stream).where(F.col("chosen") == F.col("arm")).select("round", "order_key", "unit", "reward")
-        lo_hi = m.groupBy("round").agg(F.min("order_key").alias("_lo"), F.max("order_key").alias("_hi"))
-        sub = F.least(F.floor((F.col("order_key") - F.col("_lo")) / (F.col("_hi") - F.col("_lo") + F.lit(1e-12))
-                              * buckets), F.lit(buckets - 1)).cast("long")
-        m = m.join(F.broadcast(lo_hi), "round").withColumn("_bk", F.col("round").cast("long") * buckets + sub)
+        ranges = max(1, buckets, -(-sum(r["matched"] for r in self.rounds) // rows_per_bucket))
+        m = checkpointed(m.repartitionByRange(ranges, "round", "order_key", "unit").withColumn("_bk", F.spark_partition_id()))
         tot = m.groupBy("_bk").agg(F.count(F.lit(1)).alias("_n"), F.sum("reward").alias("_r"))
         prior = Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
         off = tot.select("_bk", F.coalesce(F.sum("_n").over(prior), F.lit(0)).alias("_n0"),
                          F.coalesce(F.sum("_r").over(prior), F.lit(0.0)).alias("_r0"))
-        run = Window.partitionBy("_bk").orderBy("order_key", "unit").rowsBetween(Window.unboundedPreceding, 0)
-        rows = (m.join(F.broadcast(off), "_bk")
-                .select((F.row_number().over(Window.partitionBy("_bk").orderBy("order_key", "unit"))
-                         + F.col("_n0") - 1).alias("idx"),
+        inside = Window.partitionBy("_bk").orderBy("round", "order_key", "unit")
+        run = inside.rowsBetween(Window.unboundedPreceding, 0)
+        rows = (m.join(off, "_bk")
+                .select((F.row_number().over(inside) + F.col("_n0") - 1).alias("idx"),
                         (F.sum("reward").over(run) + F.col("_r0")).alias("cum")))
         n = tot.agg(F.sum("_n").alias("n"))
         grid = n.select("n", F.posexplode(F.transform(

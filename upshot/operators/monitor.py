@@ -122,15 +122,20 @@ def monitor_periods(scored: DataFrame, period: str = "period", score: str = "sco
 
 
 def control_band(timeseries: DataFrame, k: float = 2.0) -> DataFrame:
-    """Cumulative expected profit with a running mean +/- k sigma band over periods (few rows)."""
+    """Cumulative expected profit with a mean +/- k sigma band of the periods before (few rows).
+
+    A period is judged by its predecessors alone, so it cannot widen its own
+    band; the first two periods have no band and raise no alert.
+    """
     w = Window.orderBy("week").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    past = Window.orderBy("week").rowsBetween(Window.unboundedPreceding, -1)
     prof = F.col("expected_profit_per_user") * F.col("n_users")
     out = (timeseries.withColumn("period_profit", prof)
            .withColumn("cumulative_profit", F.sum("period_profit").over(w))
-           .withColumn("band_mean", F.avg("period_profit").over(w))
-           .withColumn("band_std", F.coalesce(F.stddev_samp("period_profit").over(w), F.lit(0.0))))
-    return out.withColumn("alert", (F.col("period_profit") > F.col("band_mean") + k * F.col("band_std"))
-                          | (F.col("period_profit") < F.col("band_mean") - k * F.col("band_std")))
+           .withColumn("band_std", F.stddev_samp("period_profit").over(past))
+           .withColumn("band_mean", F.when(F.col("band_std").isNotNull(), F.avg("period_profit").over(past))))
+    off = F.abs(F.col("period_profit") - F.col("band_mean")) > k * F.col("band_std")
+    return out.withColumn("alert", F.coalesce(off, F.lit(False)))
 
 
 def rag_counts(psi_scores: DataFrame) -> DataFrame:

@@ -16,6 +16,14 @@ from upshot.functions.quantiles import count_sorted, quantiles
 DEFAULT_COSTS = [0.05, 0.10, 0.15, 0.20, 0.25, 0.50]
 
 
+# Policies as the reports name and describe them.
+AS_LOGGED = ("As logged", "The randomised assignment as it happened.")
+TOP_SHARE = ("Top share", "Treats the share {:.0%} of units with the highest predicted effect.")
+WORTH_IT = ("Worth the cost", "Treats a unit if its expected gain covers the cost.")
+NOBODY = ("Nobody", "Treats no unit.")
+BANDIT = ("Batched bandit", "Takes the arm with the larger upper bound, learnt round by round.")
+
+
 def replay_value(scored: DataFrame, decision: Column | str, treatment: str = "treatment",
                  outcome: str = "conversion", value: float = 10.0, cost: float = 0.10) -> DataFrame:
     """Replay estimator: mean realised profit over rows whose logged arm equals the decision (0 if none)."""

@@ -52,10 +52,10 @@ def stratum_baseline(df: DataFrame, strata: list, treatment: str = "treatment",
     """A model-free P(Y=1 | X, T=0): the control conversion rate of the unit's stratum.
 
     ``strata`` are column expressions with few distinct values (the join
-    side has one row per stratum).
+    side has one row per stratum). Null strata are strata; every row stays.
     """
-    keyed = df.select("*", *[s.alias(f"_s{i}") for i, s in enumerate(strata)])
-    keys = [f"_s{i}" for i in range(len(strata))]
+    keyed = df.select("*", F.struct(*[s.alias(f"s{i}") for i, s in enumerate(strata)]).alias("_key"))
+    keys = ["_key"]
     rates = keyed.groupBy(*keys).agg(
         F.avg(F.when(F.col(treatment) == 0, F.col(outcome).cast("double"))).alias(name))
     # A stratum can hold a third of the rows: a shuffle join on its key would put it in one
@@ -102,7 +102,8 @@ def stratified_sample(df: DataFrame, label: str = "archetype_label", n: int = 50
     """Proportional stratified sample without replacement, exact size min(n, total).
 
     Quota per stratum: min(size, max(1, round_half_even(n * size / total))); if
-    the quotas overshoot n the union is trimmed to n by a second hash.
+    the quotas overshoot n the union is trimmed to n by a second hash, if they
+    fall short the strata that lost most by rounding get one row more each.
     Rows are chosen by the smallest hash of the unit id within each stratum,
     so the sample is reproducible and retry-safe. Adds ``row_id`` 0..n-1.
     Eager: the input is read once (persisted for the duration of the call, unless
@@ -117,10 +118,14 @@ def stratified_sample(df: DataFrame, label: str = "archetype_label", n: int = 50
         sizes = bounded(keyed.groupBy(label).agg(F.count(F.lit(1)).alias("_size")))  # one row per stratum
         total = sizes.agg(F.sum("_size").alias("_total"))
         k = F.least(F.col("_total"), F.lit(n))
-        quotas = (sizes.crossJoin(total)
-                  .withColumn("quota", F.least(F.col("_size"), F.greatest(
-                      F.lit(1).cast("long"), F.bround(k * F.col("_size") / F.col("_total")).cast("long"))))
-                  .select(label, "quota"))
+        share = k * F.col("_size") / F.col("_total")
+        quotas = sizes.crossJoin(total).withColumn("quota", F.least(F.col("_size"), F.greatest(
+            F.lit(1).cast("long"), F.bround(share).cast("long"))))
+        # rounding may leave a few rows to give: one each to the strata that lost most by it (one row per stratum here)
+        lost = Window.orderBy(F.desc(F.col("quota") < F.col("_size")), F.desc(share - F.col("quota")), F.asc_nulls_last(label))
+        short = k - F.sum("quota").over(Window.partitionBy())
+        quotas = quotas.select(label, (F.col("quota") + ((F.row_number().over(lost) <= short) & (F.col("quota") < F.col("_size")))
+                                       .cast("long")).alias("quota"))
         # at most n + (number of strata) rows: cheap to materialise, cuts the lineage
         picked = checkpointed(smallest_by_hash(keyed, [label], quotas, "_u", unit))
         trim_q = total.select(F.least(F.col("_total"), F.lit(n)).alias("quota"))

@@ -5,6 +5,9 @@ Plus the two effect summaries that combine ATE and CUPED rows (those keep an ora
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from upshot.functions.materialize import checkpointed
@@ -13,7 +16,8 @@ from upshot.functions.dist import chi2_1dof_critical, chi2_1dof_p_sql, normal_tw
 from upshot.operators import bandit, effects, learners, policy, ranking, segments, validation
 from upshot.plans.catalog import _MOMENTS_SQL, SRM_SQL, _effect_select
 from upshot.plans.registry import COST, R, SCORED_CTE, VALUE, memo, register, rnd, scored, with_p
-from upshot.plans.q_segments import split_flag
+from upshot.plans.q_segments import SPLIT_SQL, split_flag
+from upshot.session import scratch_path
 from upshot.sources.experiment import EXPECTED_RATIO, FEATURES, experiment, experiment_cte
 
 GBT = dict(n_estimators=100, max_depth=5)
@@ -60,19 +64,23 @@ def q_var_red(spark, sf):
     return rnd(effects.variance_reduction(*effects.ate_and_cuped(experiment(spark, sf), "conversion", ["f1"])), 6)
 
 
-def _normal_equations_sql() -> str:
-    """Adjusted outcome ``adj``: the normal equations of all features, solved by elimination written out as CTEs."""
+def _normal_equations_sql(y: str, source: str, name: str = "") -> str:
+    """CTEs that solve the normal equations of all features by elimination; the last, ``e6``, holds a{i}_6, m{i} and my."""
     d = len(FEATURES)
-    y = "CAST(conversion AS DOUBLE)"
     first = [f"covar_pop({a}, {b}) AS a{i}_{j}" for i, a in enumerate(FEATURES) for j, b in enumerate([*FEATURES, y])]
-    means = [f"avg({f}) AS m{i}" for i, f in enumerate(FEATURES)]
-    parts = [f", e0 AS (SELECT {', '.join(first + means)} FROM experiment)"]
+    means = [f"avg({f}) AS m{i}" for i, f in enumerate(FEATURES)] + [f"avg({y}) AS my"]
+    parts = [f", {name}e0 AS (SELECT {', '.join(first + means)} FROM {source})"]
     for p in range(d):
         cells = [f"a{p}_{j} / a{p}_{p} AS a{i}_{j}" if i == p else f"a{i}_{j} - a{i}_{p} * a{p}_{j} / a{p}_{p} AS a{i}_{j}"
                  for i in range(d) for j in range(d + 1)]
-        parts.append(f", e{p + 1} AS (SELECT {', '.join(cells)}, {', '.join(f'm{i}' for i in range(d))} FROM e{p})")
+        parts.append(f", {name}e{p + 1} AS (SELECT {', '.join(cells)}, {', '.join(f'm{i}' for i in range(d))}, my FROM {name}e{p})")
+    return "\n".join(parts)
+
+
+def _adjusted_sql() -> str:
+    d, y = len(FEATURES), "CAST(conversion AS DOUBLE)"
     shift = " - ".join(f"({f} - m{i}) * a{i}_{d}" for i, f in enumerate(FEATURES))
-    return "\n".join(parts) + f"\n, adj AS (SELECT treatment, {y} - {shift} AS y FROM experiment, e{d})\n"
+    return _normal_equations_sql(y, "experiment") + f"\n, adj AS (SELECT treatment, {y} - {shift} AS y FROM experiment, e{d})\n"
 
 
 def _with_p_sql(moments: str, select: str) -> str:
@@ -81,7 +89,7 @@ def _with_p_sql(moments: str, select: str) -> str:
     return moments + ", z AS (SELECT *, eff / se AS zz FROM e)\n" + body + f", {R(normal_two_sided_p_sql('zz'), 12)} AS p_value FROM z"
 
 
-@register("cuped_all_features", experiment_cte() + _normal_equations_sql() + _with_p_sql(
+@register("cuped_all_features", experiment_cte() + _adjusted_sql() + _with_p_sql(
     _MOMENTS_SQL.format(y="y", src="adj"), _effect_select("conversion_cuped", "CUPED Adjusted")))
 def q_cuped_all(spark, sf):
     return with_p(effects.cuped(experiment(spark, sf), "conversion", FEATURES, with_p=True))
@@ -169,8 +177,7 @@ def q_xlearner(spark, sf):
 @register("propensity_by_arm")
 def q_propensity(spark, sf):
     train, test = _split(spark, sf)
-    m = learners.XLearner(FEATURES, **GBT).fit(train)
-    p = m.predict_propensity(test)
+    p = learners.PropensityModel(FEATURES, **GBT).fit(train).predict(test)
     return rnd(p.groupBy("treatment").agg(F.avg("propensity").alias("mean_propensity"),
                                           F.count(F.lit(1)).alias("n")), 6)
 
@@ -199,14 +206,73 @@ def q_rules_text(spark, sf):
 
 @register("distillation_fidelity")
 def q_distill(spark, sf):
+    """Students judged on the units of the fold they were not fitted on."""
     _, s = _xlearner_scored(spark, sf)
     rows = []
-    for kind, depth in (("tree", 5), ("linear", None)):
-        d = learners.Distiller(FEATURES, kind, max_depth=depth or 5).fit(s, "uplift_score")
-        rows.append(d.fidelity(s, "uplift_score").select(F.lit(kind).alias("student_type"), "*"))
+    for kind in ("tree", "linear"):
+        judged = learners.out_of_fold(s, FEATURES, "uplift_score", kind, max_depth=5)
+        rows.append(learners.regression_fidelity(judged, "uplift_score", "student_score").select(F.lit(kind).alias("student_type"), "*"))
     return rnd(rows[0].unionByName(rows[1]), 6)
 
 
+TEACHER = "CASE WHEN f0 > 250000 THEN 0.10 WHEN f0 <= 50000 THEN -0.04 ELSE f1 / 100000.0 END"
+
+
+def _distil_linear_sql(folds: int = 2) -> str:
+    """A linear student by the normal equations of the other fold, scored on its own."""
+    fold = f"least(CAST(floor({unit_uniform_sql('unit_id', 5)} * {folds}) AS INTEGER), {folds - 1})"
+    parts = [f", d AS (SELECT *, {TEACHER} AS teacher, {fold} AS fold FROM experiment)"]
+    scored = []
+    for k in range(folds):
+        parts.append(_normal_equations_sql("teacher", f"(SELECT * FROM d WHERE fold <> {k})", f"k{k}_"))
+        line = " + ".join(f"({f} - m{i}) * a{i}_{len(FEATURES)}" for i, f in enumerate(FEATURES))
+        scored.append(f"SELECT teacher, my + {line} AS student FROM d, k{k}_e{len(FEATURES)} WHERE fold = {k}")
+    return "\n".join(parts) + f"""
+, s AS ({' UNION ALL '.join(scored)})
+SELECT {R('1 - sum((teacher - student) * (teacher - student)) / (var_pop(teacher) * count(*))')} AS r2,
+  {R('sqrt(sum((teacher - student) * (teacher - student)) / count(*))')} AS rmse, count(*) AS n FROM s
+"""
+
+
+@register("distillation_linear", experiment_cte() + _distil_linear_sql())
+def q_distil_linear(spark, sf):
+    """Out-of-fold fidelity of a linear student to a teacher that is known in closed form."""
+    rows = experiment(spark, sf).withColumn("teacher", F.expr(TEACHER))
+    judged = learners.out_of_fold(rows, FEATURES, "teacher", "linear")
+    return rnd(learners.regression_fidelity(judged, "teacher", "student_score"), 6)
+
+
+@register("model_roundtrip", SCORED_CTE + f"""
+SELECT count(*) AS n, 0 AS n_changed, 0.0::DOUBLE AS max_change FROM scored WHERE NOT ({SPLIT_SQL})
+""")
+def q_roundtrip(spark, sf):
+    """The trained learner saved as a pipeline, loaded again, and scored: no unit may change."""
+    model, s = _xlearner_scored(spark, sf)
+    path = scratch_path(spark, f"pipeline-{uuid.uuid4().hex}")
+    stage = learners.UpliftModel(model).setParams(predictionCol="again")
+    PipelineModel([stage]).write().overwrite().save(path)
+    change = F.abs(F.col("again") - F.col("uplift_score"))
+    return PipelineModel.load(path).transform(s).agg(
+        F.count(F.lit(1)).alias("n"), F.count(F.when(change > 0, 1)).cast("int").alias("n_changed"), F.max(change).alias("max_change"))
+
+
+@register("leaf_rules_checked", SCORED_CTE + f"""
+SELECT count(*) AS n_rows, count(*) AS n_trained, count(*) AS n_by_model, count(*) AS n_by_rule, 0 AS leaves_off,
+  {R('avg(score)')} AS mean_score FROM scored
+""")
+def q_leaf_rules(spark, sf):
+    """Leaves of the surrogate tree recounted on all rows, by the model and by the rules' predicates."""
+    rows = scored(spark, sf)
+    leaves = learners.leaf_check(_surrogate(spark, sf), rows, FEATURES, "score")
+    near = lambda a, b: F.abs(F.col(a) - F.col(b)) <= 1e-9
+    good = F.coalesce((F.col("n_samples") == F.col("n_rule")) & (F.col("n_model") == F.col("n_rule"))
+                      & near("mean_model", "mean_rule") & near("predicted", "mean_rule"), F.lit(False))
+    total = F.sum("n_rule")
+    return rnd(leaves.agg(total.alias("n_rows"), F.sum("n_samples").alias("n_trained"), F.sum("n_model").alias("n_by_model"),
+                          F.sum("n_rule").alias("n_by_rule"), F.count(F.when(~good, 1)).cast("int").alias("leaves_off"),
+                          (F.sum(F.col("mean_rule") * F.col("n_rule")) / total).alias("mean_score")))
+
+
 @register("score_and_bid")
 def q_score_bid(spark, sf):
     rows = scored(spark, sf)
@@ -216,6 +282,19 @@ def q_score_bid(spark, sf):
                                                           F.avg("expected_profit").alias("avg_expected_profit")), 6)
 
 
+@register("score_and_bid_linear", SCORED_CTE + f"""
+SELECT CASE WHEN score * {VALUE} - {COST} > 0 THEN 'BID' ELSE 'NO BID' END AS decision,
+  CASE WHEN score > 0.05 THEN 'High Persuadability' ELSE 'Low Persuadability' END AS uplift_band, count(*) AS n,
+  {R(f'avg(score * {VALUE} - {COST})')} AS avg_expected_profit FROM scored GROUP BY 1, 2
+""")
+def q_score_bid_linear(spark, sf):
+    """The same with a linear student: the score is linear, so SQL knows what the student says."""
+    rows = scored(spark, sf)
+    out = learners.score_and_bid(rows, learners.Distiller(["f0"], "linear").fit(rows, "score"), VALUE, COST)
+    return rnd(out.groupBy("decision", "uplift_band").agg(F.count(F.lit(1)).alias("n"),
+                                                          F.avg("expected_profit").alias("avg_expected_profit")), 6)
+
+
 def _bandit(spark, sf):
     def build():
         events = scored(spark, sf)

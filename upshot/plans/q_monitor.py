@@ -13,6 +13,10 @@ from upshot.sources.experiment import FEATURES
 N_PERIODS = 8
 
 
+def all_periods(spark, sf):
+    return monitor.assign_periods(scored(spark, sf), "ts", N_PERIODS)
+
+
 def test_periods(spark, sf):
     s = scored(spark, sf)
     return monitor.assign_periods(s.where(~split_flag()), "ts", N_PERIODS)
@@ -22,20 +26,32 @@ def train_ref(spark, sf):
     return scored(spark, sf).where(split_flag())
 
 
-PERIODS_CTE = SCORED_CTE + f"""
+def _periods_cte(where: str) -> str:
+    return SCORED_CTE + f"""
 , te AS (SELECT *, date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) * 86400 + hour(ts) * 3600
-                    + minute(ts) * 60 + second(ts) AS es FROM scored WHERE NOT ({SPLIT_SQL}))
+                    + minute(ts) * 60 + second(ts) AS es FROM scored WHERE {where})
 , rg AS (SELECT min(es) AS s0, max(es) AS s1 FROM te)
 , pe AS (SELECT te.*, CAST(((es - s0) * {N_PERIODS}) // (s1 - s0 + 1) AS INTEGER) + 1 AS period FROM te, rg)
 """
 
-TS_SQL = PERIODS_CTE + f"""
+
+PERIODS_CTE = _periods_cte(f"NOT ({SPLIT_SQL})")     # PSI: the held-out rows against the training rows
+ALL_PERIODS_CTE = _periods_cte("true")
+
+_TS_PART = f"""
 , ts AS (SELECT period AS week, 'Week ' || CAST(period AS VARCHAR) AS week_label, count(*) AS n_users,
            avg(CAST(score * {VALUE} > {COST} AS DOUBLE)) * 100 AS bid_rate_pct, avg(score) AS avg_uplift_score,
            avg(CAST(conversion AS DOUBLE)) AS avg_conversion_rate,
            avg(CASE WHEN score * {VALUE} > {COST} THEN score * {VALUE} - {COST} ELSE 0.0 END) AS expected_profit_per_user
          FROM pe GROUP BY period)
 """
+TS_SQL = ALL_PERIODS_CTE + _TS_PART
+_BAND_PART = """
+, b AS (SELECT week, expected_profit_per_user * n_users AS pp FROM ts)
+, c AS (SELECT week, pp, sum(pp) OVER (ORDER BY week ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cp,
+          CASE WHEN stddev_samp(pp) OVER w IS NOT NULL THEN avg(pp) OVER w END AS bm, stddev_samp(pp) OVER w AS bs
+        FROM b WINDOW w AS (ORDER BY week ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+"""
 
 
 @register("monitoring_timeseries", TS_SQL + f"""
@@ -43,18 +59,15 @@ SELECT week, week_label, n_users, {R('bid_rate_pct')} AS bid_rate_pct, {R('avg_u
   {R('avg_conversion_rate')} AS avg_conversion_rate, {R('expected_profit_per_user')} AS expected_profit_per_user FROM ts
 """)
 def q_timeseries(spark, sf):
-    return rnd(monitor.monitor_periods(test_periods(spark, sf), value=VALUE, cost=COST))
+    return rnd(monitor.monitor_periods(all_periods(spark, sf), value=VALUE, cost=COST))
 
 
-@register("control_band", TS_SQL + f"""
-, b AS (SELECT week, expected_profit_per_user * n_users AS pp FROM ts)
-, c AS (SELECT week, pp, sum(pp) OVER w AS cp, avg(pp) OVER w AS bm, coalesce(stddev_samp(pp) OVER w, 0.0) AS bs
-        FROM b WINDOW w AS (ORDER BY week ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+@register("control_band", TS_SQL + _BAND_PART + f"""
 SELECT week, {R('pp', 6)} AS period_profit, {R('cp', 6)} AS cumulative_profit, {R('bm', 6)} AS band_mean, {R('bs', 6)} AS band_std,
-  (pp > bm + 2.0 * bs) OR (pp < bm - 2.0 * bs) AS alert FROM c
+  coalesce(abs(pp - bm) > 2.0 * bs, false) AS alert FROM c
 """)
 def q_band(spark, sf):
-    ts = monitor.monitor_periods(test_periods(spark, sf), value=VALUE, cost=COST)
+    ts = monitor.monitor_periods(all_periods(spark, sf), value=VALUE, cost=COST)
     b = monitor.control_band(ts)
     return rnd(b.select("week", "period_profit", "cumulative_profit", "band_mean", "band_std", "alert"), 6)
 
@@ -110,14 +123,8 @@ def q_rag(spark, sf):
     return monitor.rag_counts(psi_scores(spark, sf))
 
 
-_TS_PART = TS_SQL[len(PERIODS_CTE):]
-
-
-@register("model_health", PSI_SQL + _TS_PART + """
-, b AS (SELECT week, expected_profit_per_user * n_users AS pp FROM ts)
-, c AS (SELECT pp, avg(pp) OVER w AS bm, coalesce(stddev_samp(pp) OVER w, 0.0) AS bs
-        FROM b WINDOW w AS (ORDER BY week ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
-, al AS (SELECT max(CAST((pp > bm + 2.0 * bs) OR (pp < bm - 2.0 * bs) AS INTEGER)) AS alert FROM c)
+@register("model_health", PSI_SQL + _TS_PART + _BAND_PART + """
+, al AS (SELECT max(CAST(coalesce(abs(pp - bm) > 2.0 * bs, false) AS INTEGER)) AS alert FROM c)
 , rag AS (SELECT max(CAST(rag_status = 'RED' AS INTEGER)) AS red, max(CAST(rag_status = 'AMBER' AS INTEGER)) AS amber FROM ps)
 SELECT CASE WHEN red = 1 THEN 'CRITICAL' WHEN amber = 1 OR alert = 1 THEN 'WARNING' ELSE 'HEALTHY' END AS model_health
 FROM rag, al
@@ -127,10 +134,10 @@ def q_health(spark, sf):
     return monitor.model_health(psi_scores(spark, sf), band)
 
 
-@register("drift_sample", PERIODS_CTE + f"""
+@register("drift_sample", ALL_PERIODS_CTE + f"""
 , r AS (SELECT period, unit_id, score, row_number() OVER (PARTITION BY period ORDER BY {unit_uniform_sql('unit_id', 42)}, unit_id) AS rn
         FROM pe)
 SELECT period AS week, unit_id, score AS uplift_score FROM r WHERE rn <= 500
 """)
 def q_drift(spark, sf):
-    return monitor.drift_sample(test_periods(spark, sf), per_period=500)
+    return monitor.drift_sample(all_periods(spark, sf), per_period=500)

@@ -55,10 +55,8 @@ POLICIES_SQL = SCORED_CTE + f"""
 
 
 def _policy_rows() -> str:
-    spec = [(1, "A/B Random (Baseline)", "d1", "Treat as logged (85% uniformly). No targeting."),
-            (2, "Uplift Model (Greedy)", "d2", "Target top 15% by predicted uplift. No exploration."),
-            (3, "Uplift Threshold", "d3", "Bid only when uplift x value > cost."),
-            (4, "Treat None", "d4", "Never bid.")]
+    texts = [(n, d.format(0.15)) for n, d in (policy.AS_LOGGED, policy.TOP_SHARE, policy.WORTH_IT, policy.NOBODY)]
+    spec = [(i, n, f"d{i}", d) for i, (n, d) in enumerate(texts, 1)]
     return "\nUNION ALL\n".join(
         f"""SELECT {i} AS policy_id, '{n}' AS policy_name, {R(f"coalesce({_replay_sql(d)}, 0.0)")} AS avg_profit_per_user,
   {R(f'avg(CAST({d} AS DOUBLE)) * 100')} AS bid_rate_pct, '{desc}' AS description FROM p""" for i, n, d, desc in spec)
@@ -67,10 +65,10 @@ def _policy_rows() -> str:
 @register("policy_comparison", POLICIES_SQL + _policy_rows())
 def q_policies(spark, sf):
     s = policy.greedy_decision(scored(spark, sf), top=0.15)
-    specs = [(1, "A/B Random (Baseline)", F.col("treatment") == 1, "Treat as logged (85% uniformly). No targeting."),
-             (2, "Uplift Model (Greedy)", F.col("greedy_bid"), "Target top 15% by predicted uplift. No exploration."),
-             (3, "Uplift Threshold", bid_decision("score", VALUE, COST), "Bid only when uplift x value > cost."),
-             (4, "Treat None", F.lit(False), "Never bid.")]
+    specs = [(1, policy.AS_LOGGED[0], F.col("treatment") == 1, policy.AS_LOGGED[1]),
+             (2, policy.TOP_SHARE[0], F.col("greedy_bid"), policy.TOP_SHARE[1].format(0.15)),
+             (3, policy.WORTH_IT[0], bid_decision("score", VALUE, COST), policy.WORTH_IT[1]),
+             (4, policy.NOBODY[0], F.lit(False), policy.NOBODY[1])]
     return rnd(policy.policy_table(s, specs, value=VALUE, cost=COST))
 
 

@@ -102,9 +102,12 @@ SAMPLE_N = 5000
 @register("stratified_sample", CLASSIFIED_CTE + f"""
 , sz AS (SELECT archetype_label, count(*) AS size FROM cl GROUP BY 1)
 , tot AS (SELECT sum(size) AS total FROM sz)
-, qt AS (SELECT archetype_label,
+, q0 AS (SELECT archetype_label, size, least(total, {SAMPLE_N}) AS k, least(total, {SAMPLE_N}) * size / total AS share,
            least(size, greatest(1, CAST(round_even(least(total, {SAMPLE_N}) * size / total, 0) AS BIGINT))) AS quota
          FROM sz, tot)
+, qt AS (SELECT archetype_label, quota + CASE WHEN quota < size AND k - sum(quota) OVER () >=
+           row_number() OVER (ORDER BY (quota < size) DESC, share - quota DESC, archetype_label NULLS LAST) THEN 1 ELSE 0 END AS quota
+         FROM q0)
 , rk AS (SELECT *, row_number() OVER (PARTITION BY archetype_label ORDER BY u1, unit_id) AS r
          FROM (SELECT *, {unit_uniform_sql('unit_id', 42)} AS u1 FROM cl) x)
 , pk AS (SELECT rk.* FROM rk JOIN qt USING (archetype_label) WHERE r <= quota)
@@ -154,9 +157,12 @@ def q_decile_summary(spark, sf):
 @register("uplift_sample_enriched", CLASSIFIED_CTE + f"""
 , sz AS (SELECT archetype_label, count(*) AS size FROM cl GROUP BY 1)
 , tot AS (SELECT sum(size) AS total FROM sz)
-, qt AS (SELECT archetype_label,
+, q0 AS (SELECT archetype_label, size, least(total, {SAMPLE_N}) AS k, least(total, {SAMPLE_N}) * size / total AS share,
            least(size, greatest(1, CAST(round_even(least(total, {SAMPLE_N}) * size / total, 0) AS BIGINT))) AS quota
          FROM sz, tot)
+, qt AS (SELECT archetype_label, quota + CASE WHEN quota < size AND k - sum(quota) OVER () >=
+           row_number() OVER (ORDER BY (quota < size) DESC, share - quota DESC, archetype_label NULLS LAST) THEN 1 ELSE 0 END AS quota
+         FROM q0)
 , rk AS (SELECT *, row_number() OVER (PARTITION BY archetype_label ORDER BY u1, unit_id) AS r
          FROM (SELECT *, {unit_uniform_sql('unit_id', 42)} AS u1 FROM cl) x)
 , pk AS (SELECT rk.* FROM rk JOIN qt USING (archetype_label) WHERE r <= quota)

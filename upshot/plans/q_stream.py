@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from upshot.operators.learners import Distiller
+from upshot.plans.bandit_sql import rounds_cte
 from upshot.plans.registry import COST, R, VALUE, register, rnd
 from upshot.sources.tables import read_table
 from upshot.streaming import events as st
@@ -126,34 +127,13 @@ def q_stream_score(spark, sf):
     return rnd(out.groupBy("decision").agg(F.count(F.lit(1)).alias("n"), F.avg("expected_profit").alias("avg_expected_profit")))
 
 
-def _linucb_sql(rounds: int, alpha: float = 1.0) -> str:
-    """LinUCB of two features round by round: 2 x 2 systems in closed form, a round's state from the one before."""
-    def ucb(a: int) -> str:
-        d = f"(a{a}11 * a{a}22 - a{a}12 * a{a}12)"
-        mean = f"((a{a}22 * b{a}1 - a{a}12 * b{a}2) * x0 + (a{a}11 * b{a}2 - a{a}12 * b{a}1) * x1) / {d}"
-        quad = f"(a{a}22 * x0 * x0 - 2 * a{a}12 * x0 * x1 + a{a}11 * x1 * x1) / {d}"
-        return f"{mean} + {alpha} * sqrt(greatest({quad}, 0.0))"
-
-    sums = []
-    for a in (0, 1):
-        take = f"coalesce(sum({{}}) FILTER (hit AND arm = {a}), 0.0)"
-        for name, what in ((f"a{a}11", "x0 * x0"), (f"a{a}12", "x0 * x1"), (f"a{a}22", "x1 * x1"), (f"b{a}1", "r * x0"), (f"b{a}2", "r * x1")):
-            sums.append(f"any_value({name}) + {take.format(what)}")
-    state = [f"{n}{a}{k}" for a in (0, 1) for n, k in (("a", "11"), ("a", "12"), ("a", "22"), ("b", "1"), ("b", "2"))]
+def _linucb_sql(rounds: int) -> str:
     return EV_CTE.replace("WITH ", "WITH RECURSIVE ", 1) + f"""
 , t AS (SELECT *, epoch_us(ts) AS us FROM ev)
 , g AS (SELECT min(us) AS lo, max(us) AS hi FROM t)
 , e AS (SELECT CAST(coalesce(floor((us - lo) * {rounds} / (hi - lo + 1)), 0) AS INTEGER) AS round, treatment AS arm,
           x_value / 100.0 AS x0, x_hour / 10.0 AS x1, conversion * {VALUE} - treatment * {COST} AS r FROM t, g)
-, s(round, {', '.join(state)}, matched, reward) AS (
-    SELECT -1, 1.0::DOUBLE, 0.0::DOUBLE, 1.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE,
-      1.0::DOUBLE, 0.0::DOUBLE, 1.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, 0::BIGINT, 0.0::DOUBLE
-    UNION ALL
-    SELECT round + 1, {', '.join(sums)}, any_value(matched) + count(*) FILTER (hit),
-      any_value(reward) + coalesce(sum(r) FILTER (hit), 0.0)
-    FROM (SELECT s.*, e.x0, e.x1, e.arm, e.r, CASE WHEN {ucb(1)} > {ucb(0)} THEN 1 ELSE 0 END = e.arm AS hit
-          FROM s LEFT JOIN e ON e.round = s.round + 1) j
-    WHERE round < {rounds - 1} GROUP BY round)
+""" + rounds_cte(rounds) + f"""
 SELECT CAST(round AS BIGINT) AS batch_id, matched, {R('reward')} AS reward,
   {R('CASE WHEN matched > 0 THEN reward / matched ELSE 0.0 END')} AS avg_profit FROM s WHERE round >= 0
 """

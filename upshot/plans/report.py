@@ -65,7 +65,8 @@ class ExperimentReport:
         self.ate, self.cuped = effects.ate_and_cuped(self.exp, "conversion", c.features, with_p=True)
         self.surrogate = learners.surrogate_tree(self.scored, c.features, max_depth=c.surrogate_depth)
         self.student = learners.Distiller(c.features, "tree", max_depth=c.student_depth).fit(self.scored)
-        self.student_r2 = self.student.fidelity(self.scored).first()["r2"]
+        judged = learners.out_of_fold(self.scored, c.features, "uplift_score", "tree", max_depth=c.student_depth)
+        self.student_r2 = learners.regression_fidelity(judged, "uplift_score", "student_score").first()["r2"]
         self.baseline_profit = effects.baseline_profit(self.exp, value=c.value, cost=c.cost).first()[0]
         self.agent = bandit.BatchedLinUCB(c.features, value=c.value, cost=c.cost)
         self.stream = self.agent.prepare(self.scored, n_rounds=c.bandit_rounds, standardize=True)
@@ -135,16 +136,11 @@ class ExperimentReport:
     def policy_comparison(self) -> DataFrame:
         c = self.cfg
         s = policy.greedy_decision(self.scored, "uplift_score", top=c.top_share, method=c.quantile_method)
-        specs = [(1, "A/B Random (Baseline)", F.col("treatment") == 1, "Treat as logged. No targeting."),
-                 (2, "Uplift Model (Greedy)", F.col("greedy_bid"), f"Target top {int(c.top_share * 100)}% by uplift."),
-                 (3, "Uplift Threshold", bid_decision("uplift_score", c.value, c.cost), "Bid when uplift x value > cost.")]
+        specs = [(1, policy.AS_LOGGED[0], F.col("treatment") == 1, policy.AS_LOGGED[1]),
+                 (2, policy.TOP_SHARE[0], F.col("greedy_bid"), policy.TOP_SHARE[1].format(c.top_share)),
+                 (3, policy.WORTH_IT[0], bid_decision("uplift_score", c.value, c.cost), policy.WORTH_IT[1])]
         table = policy.policy_table(s, specs, value=c.value, cost=c.cost)
-        b = self.bandit_summary
-        bids = self.agent.decisions(self.stream).agg(F.avg((F.col("chosen") == 1).cast("double")).alias("rate")).first()["rate"]
-        bandit_row = self.spark.createDataFrame(
-            [(4, "LinUCB Bandit (Batched)", float(b["avg_profit"]), 100.0 * (bids or 0.0),
-              "Profit-aware batched LinUCB replay.")], table.schema)
-        return table.unionByName(bandit_row)
+        return table.unionByName(self.agent.policy_row(self.stream, 4, *policy.BANDIT))
 
     def bandit_trajectory(self) -> DataFrame:
         return self.agent.trajectory(self.stream, self.baseline_profit, n_points=2000)
@@ -152,9 +148,9 @@ class ExperimentReport:
     def distillation_benchmark(self) -> DataFrame:
         c = self.cfg
         return self.spark.createDataFrame(
-            [("X-Learner (Teacher)", "Ensemble (5 boosted models)", None, c.n_estimators, 1.0, 0, "Full meta-learner."),
-             ("Decision Tree (Student)", "Single Decision Tree", c.student_depth, 1, float(self.student_r2), 1,
-              "Distilled student.")],
+            [("teacher", "X-learner: five boosted ensembles", None, c.n_estimators, 1.0, 0, "Scores the student is fitted to."),
+             ("student", "one decision tree", c.student_depth, 1, float(self.student_r2), 1,
+              "Judged on units it was not fitted on.")],
             "model_name string, model_type string, depth int, n_estimators int, fidelity_r2 double, "
             "is_production int, notes string")
 

@@ -16,7 +16,6 @@ import argparse
 import json
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from upshot.plans.report import ExperimentReport, ReportConfig
 from upshot.session import local_session
@@ -25,12 +24,6 @@ from upshot.sources.experiment import FEATURES, experiment
 from upshot.sources.loader import FEATURE_COLUMNS, read_experiment
 
 
-def prepare(df: DataFrame) -> DataFrame:
-    if "unit_id" not in df.columns:
-        df = df.withColumn("unit_id", F.monotonically_increasing_id())
-    return df
-
-
 def main(argv=None, spark=None) -> DataFrame:
     ap = argparse.ArgumentParser(description="Experiment report")
     src = ap.add_mutually_exclusive_group(required=True)
@@ -49,7 +42,7 @@ def main(argv=None, spark=None) -> DataFrame:
     a = ap.parse_args(argv)
     spark = spark or local_session()
     if a.input:
-        exp = prepare(read_experiment(spark, a.input))
+        exp = read_experiment(spark, a.input, unit_ids=True)
         feats = [f for f in FEATURE_COLUMNS if f in exp.columns]
         profile = [f for f in ["f2", "f3", "f4", "f6", "f9"] if f in feats]
     else:

@@ -38,11 +38,20 @@ def narrow_types(df: DataFrame, flags=FLAG_COLUMNS) -> DataFrame:
     return df.select(*out)
 
 
-def read_experiment(spark: SparkSession, path: str, required=REQUIRED, narrow: bool = True) -> DataFrame:
-    """Parquet scan, schema check, optional narrowing (lazy apart from the footer read)."""
+def read_experiment(spark: SparkSession, path: str, required=REQUIRED, narrow: bool = True,
+                    unit_ids: bool = False) -> DataFrame:
+    """Parquet scan, schema check, optional narrowing (lazy apart from the footer read).
+
+    With ``unit_ids``, rows without a ``unit_id`` column get one: the file's
+    name and the row's place in it. It does not change when the files are read
+    in other splits, in another order or from another folder, so hash splits
+    and samples of the rows stay the same.
+    """
     if "://" not in path and not os.path.exists(path):
         raise FileNotFoundError(f"File not found: {path}")
     df = validate_schema(spark.read.parquet(path), required)
+    if unit_ids and "unit_id" not in df.columns:
+        df = df.withColumn("unit_id", F.concat_ws(":", "_metadata.file_name", F.col("_metadata.row_index").cast("string")))
     return narrow_types(df) if narrow else df
 
 
