@@ -11,8 +11,9 @@ starts again from its first document.
 
 Running sums inside a source are split by hash buckets, so a source with a
 third of all rows is not one task's group: sums of (source, bucket) are added
-up first, and only rows of one bucket are ordered together. The number of
-buckets grows with the number of rows.
+up first, and only rows of one bucket are ordered together. A bucket is a range
+of the hash, and the number of ranges grows with the number of rows; it deals
+the work and changes no result.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from upshot.llm.common import cut, prepare
+
 WEIGHTS = (3, 1, 2)
 SLOPES = (-0.5, 0.5, 0.0)
 TOTAL_SHARE, MOST_PASSES = 1.5, 2.0
@@ -81,16 +84,18 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     Rows come range-sorted by position, left-out ones last.
 
     Null sources are one source. Null and empty texts have size 0 and are
-    never taken. Rows equal in id and size are interchangeable. Extra columns
+    never taken. A source is read in the order of a hash of the id (of the
+    text, where the id is null). Rows equal in id and size are interchangeable. Extra columns
     are ignored. An empty table gives an empty result.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
-                       n_words(F.col(text_col)).alias("size"))
-    rows = rows.withColumn("h", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")))
-    counted = docs.select(F.lit(1)).count()
-    buckets = max(16, 1 << (max(counted, 1) // rows_per_bucket).bit_length())
-    bucket = F.conv(F.substring("h", 1, 7), 16, 10).cast("long") % buckets
-    rows = rows.withColumn("bucket", bucket)
+    prepare(docs.sparkSession)
+    name = F.coalesce(F.col(id_col).cast("string"), F.col(text_col).cast("string"), F.lit(""))
+    rows = cut(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
+                           n_words(F.col(text_col)).alias("size"), F.md5(name.cast("binary")).alias("h")),
+               "mixture-sizes")                 # the texts are read once
+    # buckets are the leading bits of the hash: their number decides how the work is dealt, never the order
+    bits = min(28, max(4, (rows.count() // rows_per_bucket).bit_length()))
+    rows = rows.withColumn("bucket", F.shiftright(F.conv(F.substring("h", 1, 7), 16, 10).cast("long"), 28 - bits))
 
     key = F.struct(F.col("source").isNull().alias("n"), F.coalesce("source", F.lit("")).alias("s"))
     rows = rows.withColumn("key", key)

@@ -30,11 +30,8 @@ def register(name: str, sql: str | None = None):
 @register("op1_mixture", sql=r"""
 WITH r AS (SELECT doc_id, source,
              len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
-             md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
-b AS (SELECT CASE WHEN count(*) < 160000 THEN 16
-               ELSE CAST(pow(2, floor(log2(count(*) // 20000)) + 1) AS BIGINT) END AS buckets FROM r),
-d AS (SELECT r.*, CAST('0x' || substr(h, 1, 7) AS BIGINT) % buckets AS bucket FROM r, b),
-s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+             md5(coalesce(CAST(doc_id AS VARCHAR), text, '')) AS h FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM r GROUP BY source),
 p AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM s),
 w AS (SELECT *, [3.0::DOUBLE, 1.0, 2.0][CAST(place % 3 + 1 AS INT)] AS weight,
         [-0.5::DOUBLE, 0.5, 0.0][CAST(place % 3 + 1 AS INT)] AS slope, source_size * 2.0::DOUBLE AS cap FROM p),
@@ -44,10 +41,10 @@ l AS (SELECT *, (sum(source_size) OVER () * 1.5::DOUBLE
       FROM w WINDOW f AS (ORDER BY cap / weight, source NULLS LAST)),
 g AS (SELECT *, CASE WHEN cap / weight <= level THEN cap
                ELSE max(level) FILTER (WHERE cap / weight > level) OVER () * weight END AS target FROM l),
-o AS (SELECT d.*, g.source_size, g.target, g.slope,
-        sum(size) OVER (PARTITION BY d.source ORDER BY bucket, h, doc_id, size
+o AS (SELECT r.*, g.source_size, g.target, g.slope,
+        sum(size) OVER (PARTITION BY r.source ORDER BY h, doc_id, size
                         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size AS start
-      FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source),
+      FROM r JOIN g ON r.source IS NOT DISTINCT FROM g.source),
 k AS (SELECT *, CASE WHEN size > 0 THEN greatest(ceil((target - (start + size / 2.0::DOUBLE)) / source_size), 0)
                 ELSE 0 END AS passes FROM o)
 SELECT doc_id, size, source_size, target, CAST(size * passes AS BIGINT) AS taken,
