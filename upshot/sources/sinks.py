@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 # Minimum row counts per report table.
@@ -37,7 +38,7 @@ def export_all(spark: SparkSession, tables: dict[str, Callable[[], DataFrame]],
             write_report(build(), f"{out_dir}/{name}", fmt)
             exported.append(name)
         except Exception as exc:  # noqa: BLE001 - isolate one table's failure
-            failed.append(f"{name}: {type(exc).__name__}")
+            failed.append(f"{name}: {type(exc).__name__}: {str(exc).splitlines()[0][:300] if str(exc) else ''}")
     manifest = spark.createDataFrame(
         [(run_date, out_dir, exported, failed, len(exported), len(failed))],
         "run_date string, output_dir string, exported_files array<string>, failed_files array<string>, "
@@ -47,14 +48,19 @@ def export_all(spark: SparkSession, tables: dict[str, Callable[[], DataFrame]],
 
 
 def validate_exports(spark: SparkSession, out_dir: str, fmt: str = "parquet", min_rows=None) -> DataFrame:
-    """Per table: exists, rows, minimum, ok (reads each table back and counts it)."""
+    """Per table: exists, rows, minimum, ok (reads each table back and counts it).
+
+    A table that is not there fails its check; one that is there but cannot be read raises the reader's error.
+    """
     rows = []
     for name, need in (min_rows or MIN_ROWS).items():
         try:
             reader = spark.read.option("header", True) if fmt == "csv" else spark.read
             n = reader.format(fmt).load(f"{out_dir}/{name}").count()
             rows.append((name, True, n, need, n >= need))
-        except Exception:  # noqa: BLE001 - a missing table is a failed check, not a crash
+        except AnalysisException as exc:
+            if exc.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
             rows.append((name, False, 0, need, False))
     return spark.createDataFrame(rows, "table string, exists boolean, n_rows long, min_rows long, ok boolean")
 
