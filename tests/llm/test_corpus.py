@@ -68,6 +68,16 @@ def test_suffix_dedup_equals_brute_force(spark, texts, monkeypatch):
     assert suffix_dedup.remove_repeats(frame(spark, [])).count() == 0
 
 
+def test_hot_buckets_are_dealt_over_tasks(spark, texts, monkeypatch):
+    """Every bucket counts as hot; results stay those of brute force."""
+    monkeypatch.setattr(suffix_dedup, "HOT", 10**9)
+    monkeypatch.setattr(suffix_dedup, "SALTS", 3)
+    hot = texts + [(500 + i, texts[5][1] + " " + str(i), "s1") for i in range(12)]
+    rows = suffix_dedup.remove_repeats(frame(spark, hot), keep_text=False).select("doc_id", "__removed.*").collect()
+    assert sorted((r.doc_id or -1, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows) == sorted(
+        (i or -1, *rest) for i, *rest in brute_repeats(hot, 200))
+
+
 def brute_hits(text, items, window=13):
     words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
     doc, hit, found = words(text), set(), set()
@@ -173,6 +183,24 @@ def test_mix_meets_targets(spark, texts):
     assert mixing.mix(frame(spark, [])).count() == 0
 
 
+def test_buckets_change_no_position(spark, texts):
+    docs = frame(spark, texts + [(None, "other words", "s1"), (None, None, "s1")])
+    few, many = (sorted((repr(tuple(r)) for r in mixing.mix(docs, rows_per_bucket=n).collect())) for n in (1_000_000, 1))
+    assert few == many
+
+
+def test_training_order_lists_every_pass(spark, texts):
+    docs = frame(spark, texts)
+    order = mixing.training_order(docs).collect()
+    taken = {}
+    for r in order:
+        taken.setdefault(r.doc_id, []).append(r.position)
+    assert [r.position for r in order] == sorted(r.position for r in order)
+    for r in mixing.mix(docs).collect():
+        if r.doc_id not in (None, 105):             # ids of several rows
+            assert sorted(taken.get(r.doc_id, [])) == sorted(r.positions)
+
+
 def test_targets_are_filled_to_a_level(spark):
     sizes = spark.createDataFrame([("a", 100), ("b", 1000), (None, 10)], "source string, source_size long")
     got = {r.source: r.target for r in mixing.source_targets(sizes).collect()}
@@ -210,7 +238,7 @@ def test_url_rules_and_trust(spark):
     assert url_filter.judge(df.limit(0)).count() == 0
 
 
-def test_trust_equals_dense_power_iteration(spark):
+def test_trust_equals_the_closed_form(spark):
     hosts = ["a.org", "b.net", "c.net", "d.net"]
     edges = [("a.org", "b.net"), ("b.net", "c.net"), ("b.net", "a.org"), ("d.net", "b.net"), ("a.org", "b.net")]
     pages = [(i, f"http://{s}/", f'<a href="http://{d}/">x</a>') for i, (s, d) in enumerate(edges)]
@@ -220,10 +248,11 @@ def test_trust_equals_dense_power_iteration(spark):
         m[hosts.index(d), hosts.index(s)] += 1
     m /= np.maximum(m.sum(axis=0), 1)
     seed = np.array([1.0, 0, 0, 0])
-    rank = seed
-    for _ in range(url_filter.ROUNDS):
-        rank = 0.15 * seed + 0.85 * m @ rank
-    assert np.allclose([got[h] for h in hosts], rank)
+    lost = m.sum(axis=0) == 0                       # hosts without links give their mass back to the seeds
+    whole = m + np.outer(seed, lost)
+    rank = np.linalg.solve(np.eye(4) - 0.85 * whole, 0.15 * seed)
+    assert abs(sum(got.values()) - 1) < 1e-9 and abs(rank.sum() - 1) < 1e-9
+    assert np.allclose([got[h] for h in hosts], rank, atol=2 * url_filter.TOLERANCE)
 
 
 def test_html_main_text(spark):

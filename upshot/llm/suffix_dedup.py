@@ -22,8 +22,9 @@ length, so a hash of all their bytes tells them apart at once, where pointers
 would need a join with the buckets at a later offset for every doubling.
 
 Each level is an aggregation with map-side partial sums (count, least and
-greatest identifier) and a join back, so a passage shared by a third of all
-documents never meets in one task. Identifiers are 64-bit names within
+greatest identifier) and a join back in which the rows of hot buckets are dealt
+over many tasks, so a passage shared by a third of all documents never meets in
+one. Identifiers are 64-bit names within
 buckets that are 64-bit names themselves.
 """
 
@@ -42,6 +43,7 @@ from upshot.llm.bytesarr import (U64, gram_names, mix, powers, prefix_names, row
                                  text_bytes)
 from upshot.llm.common import cut, prepare
 
+HOT, SALTS = 1000, 64            # a bucket with more than 1 in HOT of the rows is dealt over SALTS tasks
 LENGTH, GRAM, BLOCK = 200, 40, 8
 CHUNK, SEGMENT = 100_000, 400_000      # bytes of text handled at a time
 _POS = U64(20)                         # low bits of a hash that hold a position; SEGMENT fits
@@ -181,6 +183,25 @@ def _merged(lists, length: int):
     return lo[new], hi[np.r_[new[1:], len(lo)] - 1]
 
 
+def _join_back(rows: DataFrame, summary: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """``rows`` joined with a summary of theirs (keys, n, ...), hot buckets dealt over ``SALTS`` tasks.
+
+    A bucket is hot if it holds more than one in ``HOT`` of the rows that
+    count, so there are fewer than ``HOT`` of them, whatever the data. Their
+    summary rows are repeated for each salt; a row's salt is a hash of its place.
+    """
+    summary = cut(summary, "buckets")
+    total = summary.agg(F.sum("n")).first()[0] or 0
+    hot = [r.bucket for r in summary.where(F.col("n") * F.lit(HOT) > F.lit(total)).select("bucket").distinct().collect()]
+    summary = summary.drop("n")
+    if not hot:
+        return rows.join(summary, keys, how)
+    is_hot = F.col("bucket").isin(hot)
+    salted = rows.withColumn("salt", F.when(is_hot, F.pmod(F.xxhash64("id", "place"), F.lit(SALTS))).otherwise(F.lit(0)))
+    every = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))).cast("array<long>")
+    return salted.join(summary.withColumn("salt", F.explode(every)), [*keys, "salt"], how).drop("salt")
+
+
 def repeated_places(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """(id, place): runs of repeated strings of each text; ``texts`` has columns id, th, body.
 
@@ -199,7 +220,7 @@ def repeated_places(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     def buckets(df: DataFrame) -> DataFrame:
         """Buckets of two or more members, and whether their members differ."""
         return (df.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("name").alias("lo"), F.max("name").alias("hi"))
-                .where("n >= 2").select("bucket", (F.col("lo") != F.col("hi")).alias("mixed")))
+                .where("n >= 2").select("bucket", "n", (F.col("lo") != F.col("hi")).alias("mixed")))
 
     def with_texts(places: DataFrame) -> DataFrame:
         """The texts that hold undecided places, with these places; one row for each distinct text."""
@@ -211,18 +232,18 @@ def repeated_places(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
 
     schema = fields("place", "bucket", "name")
     first = texts.mapInArrow(_emit_territories(length, gram, arrow(schema)), schema)
-    shared = cut(first.join(buckets(first), "bucket"), "territories")
+    shared = cut(_join_back(first, buckets(first), ["bucket"], "inner"), "territories")
 
     equal = shared.where("mixed").groupBy("bucket", "name").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("place", "id")).alias("one"))
-    copies = shared.where("mixed").join(equal.where("n >= 2").select("bucket", "name"), ["bucket", "name"], "left_semi")
+    copies = _join_back(shared.where("mixed"), equal.where("n >= 2").select("bucket", "name", "n"), ["bucket", "name"], "left_semi")
     ones = equal.select("one.id", "one.place", "bucket")
     blocks = with_texts(ones).mapInArrow(_emit_blocks(length, gram, arrow(schema)), schema)
-    split = cut(blocks.join(buckets(blocks), "bucket"), "blocks")
+    split = cut(_join_back(blocks, buckets(blocks), ["bucket"], "inner"), "blocks")
 
     strings = with_texts(split.where("mixed")).mapInArrow(_emit_strings(length, arrow(schema)), schema)
-    twice = strings.groupBy("bucket", "name").agg(F.count(F.lit(1)).alias("n")).where("n >= 2").drop("n")
-    last = cut(strings.join(twice, ["bucket", "name"], "left_semi"), "strings")
+    twice = strings.groupBy("bucket", "name").agg(F.count(F.lit(1)).alias("n")).where("n >= 2")
+    last = cut(_join_back(strings, twice, ["bucket", "name"], "left_semi"), "strings")
     return (shared.where("not mixed").select("id", "place").unionByName(copies.select("id", "place"))
             .unionByName(split.where("not mixed").select("id", "place")).unionByName(last.select("id", "place")))
 
