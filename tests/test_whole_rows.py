@@ -26,7 +26,7 @@ def test_learners_have_the_surveyed_size(spark, monkeypatch):
         raise Seen
 
     monkeypatch.setattr(q_models.learners, "TLearner", learner)
-    monkeypatch.setattr(q_models.learners, "XLearner", learner)
+    monkeypatch.setattr(q_models.learners, "PropensityModel", learner)
     for query in (q_models.q_tlearner, q_models.q_propensity):
         with pytest.raises(Seen):
             query(spark, SF)
@@ -37,8 +37,13 @@ def test_stream_linucb_learns_over_rounds(spark):
     out = q_stream.q_stream_linucb(spark, SF).toPandas().sort_values("batch_id")
     assert len(out) == q_stream.ROUNDS and out.matched.is_monotonic_increasing
     ev = read_table(spark, SF, "events")
-    folder = st.rounds_by_time(spark, ev, 4)
-    cut = spark.read.parquet(folder)
-    assert cut.count() == ev.count()
-    spans = cut.groupBy("_round").agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).orderBy("_round").collect()
-    assert len(spans) == 4 and all(a.hi < b.lo for a, b in zip(spans, spans[1:], strict=False))
+    source, spans, seen = st.Arrivals(ev, 4), [], 0
+    for _ in source:
+        landed = spark.read.parquet(f"{source.folder}/events.parquet")
+        n, hi = landed.agg(F.count("*"), F.max("ts")).first()
+        assert n > seen and (not spans or hi > spans[-1])
+        if spans:       # what arrives is later than all that was there
+            assert landed.where(F.col("ts") > F.lit(spans[-1])).count() == n - seen
+        spans.append(hi)
+        seen = n
+    assert len(spans) == 4 and seen == ev.count()
