@@ -33,3 +33,12 @@ def test_qini_window_is_partitioned_by_range(spark):
     assert "rangepartitioning" not in plan and "ExistingRDD" in plan
     big_windows = [w for w in re.findall(r"Window \[[^\n]*", plan) if "score" in w and "DESC" in w]
     assert big_windows and all("windowspecdefinition(_bucket" in w for w in big_windows)
+
+
+def test_summary_parts_do_not_multiply_their_partitions(spark):
+    """Five one-row frames of several partitions each: the row is made by as many tasks as the first frame has."""
+    from upshot.sources import sinks
+    parts = [spark.createDataFrame([(i,)], f"c{i} int") for i in range(5)]
+    row = sinks.summary_row(parts)
+    assert [tuple(r) for r in row.collect()] == [(0, 1, 2, 3, 4)]
+    assert row.rdd.getNumPartitions() <= parts[0].rdd.getNumPartitions()

@@ -201,7 +201,7 @@ def variance_reduction(ate_row: DataFrame, cuped_row: DataFrame) -> DataFrame:
     """``(SE_ate - SE_cuped) / SE_ate`` (a standard-error ratio)."""
     a = ate_row.select(F.col("std_error").alias("se_ate"))
     c = cuped_row.select(F.col("std_error").alias("se_cuped"))
-    return a.crossJoin(c).withColumn("variance_reduction",
+    return a.crossJoin(F.broadcast(c)).withColumn("variance_reduction",
                                      safe_div(F.col("se_ate") - F.col("se_cuped"), F.col("se_ate")))
 
 

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Minimum row counts per report table.
 MIN_ROWS = {
@@ -66,9 +67,13 @@ def validate_exports(spark: SparkSession, out_dir: str, fmt: str = "parquet", mi
 
 
 def summary_row(parts: list[DataFrame]) -> DataFrame:
-    """Cross join of one-row frames into the single summary row."""
+    """Cross join of one-row frames into the single summary row.
+
+    Each frame is broadcast: as Cartesian products their partition counts would multiply (five local frames of 8
+    partitions are 4,096 tasks).
+    """
     out = parts[0]
     for p in parts[1:]:
-        out = out.crossJoin(p)
+        out = out.crossJoin(F.broadcast(p))
     return out
 
