@@ -1,5 +1,6 @@
 import numpy as np
 import pandas as pd
+from pyspark.sql import functions as F
 
 from upshot.functions.columns import unit_uniform
 from upshot.functions.sampling import smallest_by_hash
@@ -64,3 +65,13 @@ def test_sample_n_and_frac(spark):
     assert 350 < f < 650
     from upshot.functions.sampling import cuped_sample_size
     assert cuped_sample_size(2_000_000) == 200_000 and cuped_sample_size(50_000) == 50_000
+
+
+def test_the_cut_join_does_not_shuffle_the_rows(spark):
+    """Nearly all rows in one stratum: a shuffle join on the stratum would send every one of them to one task."""
+    df = spark.range(20000).select(F.col("id").alias("unit_id"), F.when(F.col("id") < 19990, "hot").otherwise("b").alias("g"))
+    quotas = spark.createDataFrame([("hot", 100), ("b", 5)], "g string, quota long")
+    picked = smallest_by_hash(df.withColumn("_u", unit_uniform("unit_id", 5)), ["g"], quotas, "_u", "unit_id", bins=64)
+    assert picked.count() == 105
+    plan = picked._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan, plan
