@@ -110,32 +110,38 @@ def _residual(y: np.ndarray, f: np.ndarray, logistic: bool) -> np.ndarray:
 
 
 def _histogram(feature: np.ndarray, cut: np.ndarray, level: int, n_bins: int, first: bool, logistic: bool) -> Callable:
-    """A task's number of rows and sums of what the tree is fitted to, by feature, node and bin."""
+    """A task's rows, sums and sums of squares of what the tree is fitted to, by feature, node and bin."""
     def count(blocks: Iterator) -> Iterator[np.ndarray]:
         size = 2 ** level * n_bins
         total = None
         for bins, y, f in blocks:
             target = y.astype(float) if first else _residual(y, f, logistic)
-            code = _descend(bins, feature, cut, level).astype(np.int64) * n_bins
+            squares, code = target * target, _descend(bins, feature, cut, level).astype(np.int64) * n_bins
             if total is None:
-                total = np.zeros((2, len(bins), size))
+                total = np.zeros((3, len(bins), size))
             for j, column in enumerate(bins):
                 cell = code + column
                 total[0, j] += np.bincount(cell, minlength=size)
                 total[1, j] += np.bincount(cell, target, size)
+                total[2, j] += np.bincount(cell, squares, size)
         if total is not None:
             yield total
     return count
 
 
+def _variance(n: np.ndarray, s: np.ndarray, q: np.ndarray) -> np.ndarray:
+    return (q - s * s / n) / n
+
+
 def _best_splits(histogram: np.ndarray, n_cuts: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Feature and bin of each node's best cut, and the means left and right of it (a node without one stays whole)."""
-    whole = histogram.sum(axis=3)[:, 0]                                   # (rows, sum) by node
-    left = histogram.cumsum(axis=3)[..., :-1]
-    right = whole[:, None, :, None] - left
+    sums = histogram.cumsum(axis=3)
+    whole, left = sums[:, 0, :, -1], sums[..., :-1]                       # (rows, sum, squares) by node
+    right = sums[..., -1:] - left
     with np.errstate(divide="ignore", invalid="ignore"):
-        # variance gain: the sums of squares of both sides and of the whole cancel out
-        gain = left[1] ** 2 / left[0] + right[1] ** 2 / right[0] - (whole[1] ** 2 / whole[0])[:, None]
+        # written out as Spark ML does, so that near ties fall alike
+        gain = (_variance(*whole)[:, None] - left[0] / whole[0][:, None] * _variance(*left)
+                - right[0] / whole[0][:, None] * _variance(*right))
         mean = whole[1] / whole[0]
     exists = np.arange(left.shape[3]) < np.array(n_cuts)[:, None, None]
     gain = np.where((left[0] >= 1) & (right[0] >= 1) & exists, gain, -np.inf).transpose(1, 0, 2)
@@ -196,7 +202,7 @@ class BoostedTrees:
                     if spent is not None:    # the first pass has stored the blocks with the tree before
                         spent.unpersist()
                         spent = None
-                    histogram = sum(counted).reshape(2, n_features, 2 ** level, n_bins)
+                    histogram = sum(counted).reshape(3, n_features, 2 ** level, n_bins)
                     own = slice(2 ** level - 1, 2 ** (level + 1) - 1)
                     feature[own], cut[own], sides = _best_splits(histogram, n_cuts)
                     leaves = sides.ravel()
