@@ -429,6 +429,27 @@ def test_toxicity_learns_and_scores_all(spark):
     assert docs.select(toxicity.score(none, F.col("text"), docs).alias("s")).where("s >= 0.5").count() == 0
 
 
+def test_no_table_reaches_the_driver_row_by_row(spark, texts, monkeypatch):
+    """Labels stay on the executors; model states, samples and benchmark blocks come as Arrow columns."""
+    docs = frame(spark, texts)
+    labels = spark.createDataFrame([(i, int("changed" in (t or ""))) for i, t, _ in texts if i], "doc_id long, toxic int")
+    items = spark.createDataFrame([(1, texts[5][1]), (2, None), (None, "x")], "item_id long, text string")
+
+    def rows(*_, **__):
+        raise AssertionError("rows in the driver")
+
+    monkeypatch.setattr(type(docs), "toPandas", rows)
+    monkeypatch.setattr(type(spark), "createDataFrame", rows)
+    model = toxicity.fit(docs, labels)
+    prints = docs.select(simhash.fingerprint(F.col("text")).alias("fp")).distinct()
+    linked = simhash.links(prints)
+    found = decontaminate.matches(docs, items).where(F.size("__match.items") > 0)
+    monkeypatch.undo()
+    assert len(model.slots) == len(model.weights) and model.offset < 0
+    assert linked.where("a <= b").count() == 0
+    assert 5 in {r.doc_id for r in found.collect()}
+
+
 def test_pipeline_stages(spark):
     docs = queries.table(spark, SF, "documents")
     columns = docs.columns

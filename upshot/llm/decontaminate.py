@@ -184,8 +184,8 @@ def benchmark_blocks(benchmark: DataFrame, window: int = WINDOW, id_col: str = "
     total = items.agg(F.sum(F.octet_length("body"))).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))
     for b in range(blocks):
-        part = items.where(F.pmod(F.xxhash64("id", "body"), F.lit(blocks)) == b).toPandas()
-        yield test_suffixes(part.id.tolist(), part.body.tolist(), window)
+        part = items.where(F.pmod(F.xxhash64("id", "body"), F.lit(blocks)) == b).toArrow()
+        yield test_suffixes(part["id"].to_pylist(), part["body"].to_pylist(), window)
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window: int = WINDOW,

@@ -101,7 +101,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     known = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
              .groupBy(F.col(id_col).alias("__id")).agg(F.max(F.col(label_col)).cast("double").alias("__y"))
              .orderBy(F.xxhash64("__id"), "__id").limit(train_rows))
-    known = spark.createDataFrame(known.toPandas(), known.schema)      # at most train_rows pairs
+    known = cut(known, "known")      # at most train_rows pairs; the driver sees two numbers of them
     counts = known.agg(F.count(F.lit(1)).alias("n"), F.sum("__y").alias("pos")).first()
     total, pos = counts["n"], counts["pos"] or 0.0
     offset = math.log((pos + 1.0) / (total - pos + 19.0))
@@ -131,9 +131,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             parts = (train.repartition(shards, "shard").sortWithinPartitions("shard", "place").select("y", "body")
                      .mapInArrow(shard, "slot long, z double, n double"))
             # a mean over the shards that saw the slot, so that rare words keep what one shard has learned
-            merged = parts.groupBy("slot").agg(F.avg("z").alias("z"), F.avg("n").alias("n")).toPandas()
+            merged = parts.groupBy("slot").agg(F.avg("z").alias("z"), F.avg("n").alias("n")).toArrow()
             z, n = np.zeros(size), np.zeros(size)
-            z[merged.slot], n[merged.slot] = merged.z, merged.n
+            slot = merged["slot"].to_numpy()
+            z[slot], n[slot] = merged["z"].to_numpy(), merged["n"].to_numpy()
             state.unpersist()
     w = _weights(z, n, l1)
     at = np.flatnonzero(w)
