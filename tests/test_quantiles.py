@@ -1,7 +1,13 @@
+import contextlib
+import io
+import re
+
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
+from upshot.functions import quantiles as module
 from upshot.functions.quantiles import quantiles
 
 
@@ -122,3 +128,27 @@ def test_nan_values_sort_last(spark):
     df = spark.createDataFrame([(float(i),) for i in range(10)] + [(float("nan"),)] * 5, "x double")
     got = {r.q_idx: r.value for r in quantiles(df, "x", [0.0, 0.5, 1.0]).collect()}
     assert got[0] == 0.0 and got[1] == 7.0 and np.isnan(got[2])
+
+
+def test_the_second_read_of_many_columns_is_code_the_jvm_compiles(spark, monkeypatch):
+    """A method above 8,000 bytes of code is never compiled; one search a column made one method of all six."""
+    df = spark.range(500).select(*[(F.col("id") * k % 97).cast("double").alias(f"x{k}") for k in range(1, 7)])
+    sizes, store = [], module.checkpointed
+
+    def checked(table):
+        with contextlib.redirect_stdout(io.StringIO()) as out:
+            table.explain("codegen")
+        sizes.extend(int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", out.getvalue()))
+        return store(table)
+
+    monkeypatch.setattr(module, "checkpointed", checked)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = module.quantiles_of(df, [f"x{k}" for k in range(1, 7)], [i / 10 for i in range(11)]).toPandas()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert sizes and max(sizes) < 8000
+    pdf = df.toPandas()
+    for r in got.itertuples():
+        assert r.value == pytest.approx(np.quantile(pdf[r.feature], r.prob), abs=1e-9)

@@ -105,30 +105,28 @@ def _exact(base: DataFrame, width: int, k: int, probs: list[float], delta: float
     # Second read: cell 2 * (ends below v) + (v is an end), ordered like v; values kept inside brackets.
     side = F.broadcast(edges) if edges_small else edges     # proven small: never shuffle the big side
 
-    def end(i: int, at: Column) -> Column:
-        return F.get(F.col("_s")[i]["e"], at)           # null past the last end
+    # The columns become rows first: one search for all of them, short enough for the JVM to compile.
+    values = F.array(*[F.struct(F.lit(i).alias("f"), F.col(f"_v{i}").alias("v")) for i in range(width)])
+    placed = base.join(side, "_g").select("_g", "_s", F.explode(values).alias("_r")).where("_r.v IS NOT NULL").select(
+        "_g", F.col("_r.f").alias("_f"), F.col("_r.v").alias("_v"), F.col("_s")[F.col("_r.f")].alias("_s"), F.lit(0).alias("_b"))
 
-    # number of ends below v, by halving steps: one small projection each, for all columns
-    values = [f"_v{i}" for i in range(width)]
-    placed = base.join(side, "_g").select("*", *[F.lit(0).alias(f"_b{i}") for i in range(width)])
+    def end(at: Column) -> Column:
+        return F.get(F.col("_s")["e"], at)           # null past the last end
+
+    # number of ends below v, by halving steps
     step = 1 << (width_e.bit_length() - 1)
     while step:
-        placed = placed.select("_g", "_s", *values, *[
-            (F.col(f"_b{i}") + F.when(end(i, F.col(f"_b{i}") + (step - 1)) < F.col(f"_v{i}"), step).otherwise(0)).alias(f"_b{i}")
-            for i in range(width)])
+        placed = placed.select("_g", "_f", "_v", "_s", (
+            F.col("_b") + F.when(end(F.col("_b") + (step - 1)) < F.col("_v"), step).otherwise(0)).alias("_b"))
         step //= 2
 
-    def cell(i: int) -> Column:
-        v, below = F.col(f"_v{i}"), F.col(f"_b{i}")
-        at_end = F.coalesce(end(i, below) == v, F.lit(False))
-        few = F.col("_s")[i]["n"] * F.lit(delta) < 3     # a bracket narrower than a few rows: keep the group's values
-        kept = F.lit(True) if delta >= 1 else few | at_end | (below % 2 == 1)
-        return F.when(v.isNotNull(), F.struct(F.lit(i).alias("f"), (below * 2 + at_end.cast("int")).alias("c"),
-                                              F.when(kept, v).alias("v"), kept.alias("kept")))
-
-    counted = placed.select("_g", F.explode(F.array(*[cell(i) for i in range(width)])).alias("_r"))
-    counted = counted.where("_r IS NOT NULL").groupBy("_g", F.col("_r.f").alias("_f"), F.col("_r.c").alias("_c"),
-                                                      F.col("_r.kept").alias("_kept"), F.col("_r.v").alias("_v"))
+    at_end = F.coalesce(end(F.col("_b")) == F.col("_v"), F.lit(False))
+    few = F.col("_s")["n"] * F.lit(delta) < 3     # a bracket narrower than a few rows: keep the group's values
+    placed = placed.select("_g", "_f", "_v", "_b", few.alias("_few"), at_end.alias("_end"))
+    kept = F.lit(True) if delta >= 1 else F.col("_few") | F.col("_end") | (F.col("_b") % 2 == 1)
+    cells = placed.select("_g", "_f", (F.col("_b") * 2 + F.col("_end").cast("int")).alias("_c"), kept.alias("_kept"),
+                          F.when(kept, F.col("_v")).alias("_v"))
+    counted = cells.groupBy("_g", "_f", "_c", "_kept", "_v")
     table = checkpointed(counted.agg(F.count(F.lit(1)).alias("_m")))
 
     # Cells with the rows before them; wanted ranks find their cell as the last one that starts at or before them.
