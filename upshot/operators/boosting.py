@@ -36,7 +36,7 @@ SPARK_ML_ROWS = 50_000
 #: So many training rows are boosted by one task: a level of them takes less than starting a job.
 ONE_TASK_ROWS = 2_500_000
 #: Above, a task takes so many rows at least (fewer take less than starting it) and at most.
-LEAST_ROWS, MOST_ROWS = 1_000_000, 5_000_000
+LEAST_ROWS, MOST_ROWS = 2_000_000, 5_000_000
 #: Predictions are written to the checkpoint folder after so many trees, which cuts their lineage.
 CHECKPOINT_TREES = 25
 _STAY = 65_535   # the cut of a node that is not split: all its rows go left
